@@ -87,3 +87,9 @@ def filter_changed(df: DataFrame, old: str | Column, new: str | Column) -> DataF
 def filter_any_present(df: DataFrame, *columns: str) -> DataFrame:
     """Rows with at least one non-null value among the columns."""
     return df.where(F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull())
+
+
+def page_after(df: DataFrame, key: str, after: object | None, rows: int) -> DataFrame:
+    """The next ``rows`` rows after a key, in key order (None: the first)."""
+    rest = df if after is None else df.where(F.col(key) > F.lit(after))
+    return rest.orderBy(key).limit(rows)

@@ -175,7 +175,7 @@ CLAIM_COLUMNS = _distinct(
     DIAGNOSIS_FIELDS + LINE_FIELDS + [ALTERNATE_ITEM_NUMBER] + CLAIM_HEADER_COLUMNS
 )
 #: columns a claim input must have; the rest are read when present
-CLAIM_REQUIRED = ["CLAIM_ID", "DIAGNOSIS_CODE", *LINE_DEDUP_KEYS]
+CLAIM_REQUIRED = ["CLAIM_ID", "DIAGNOSIS_CODE", *LINE_MATCH_KEYS]
 
 #: position columns added by every scan: file, start of the split, row in it
 ORDINAL = ["_file", "_block", "_line"]

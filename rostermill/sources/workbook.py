@@ -17,6 +17,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rostermill.operators.clean import normalize_nulls
 from rostermill.schemas import SHEET_PRIORITY, strings
@@ -168,7 +169,12 @@ def read_workbook_sheets(books: DataFrame, sheet: str, columns: list[str]) -> Da
     absent gives nulls. Numbers that are whole become integer text, date
     cells ``YYYY-MM-DD HH:MM:SS`` text.
     """
-    schema = strings(columns).add("_file", "string").add("_block", "bigint").add("_line", "bigint")
+    schema = (
+        strings(columns)
+        .add("_file", T.StringType())
+        .add("_block", T.LongType())
+        .add("_line", T.LongType())
+    )
     names = schema.fieldNames()
 
     def parse(batches):

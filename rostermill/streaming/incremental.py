@@ -8,6 +8,8 @@ is loaded exactly once: skipped when committed, written again when not.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,24 +34,26 @@ def _not_lock_file(path: str):
     return ~F.col(path).rlike(r"/(~\$|%7E\$)[^/]*$")
 
 
-def stream_claim_reports(
-    ingest: Ingest, folder: str, checkpoint: str, files_per_batch: int = 1_000
+def stream_claim_rows(
+    ingest: Ingest,
+    source: DataFrame,
+    to_rows: Callable[[DataFrame], DataFrame],
+    checkpoint: str,
+    module: str = "claim_rpt",
+    file_type: str = "rpt",
 ) -> StreamingQuery:
-    """Start taking ``.rpt`` files; ends when all present ones are loaded.
+    """Load a stream of files as claim rows; ends when all present are taken.
 
-    Row numbers are added inside the batch (they cannot be on a stream).
+    ``to_rows`` turns a batch (the source's columns plus position) into claim
+    rows. Row numbers are added inside the batch (they cannot be on a
+    stream) and fixed by writing the batch before it is parsed.
     """
-    lines = (
-        _source(ingest.spark, "text", "rpt", files_per_batch)
-        .load(folder)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.col("_metadata.file_size").alias("_size"),
-        )
-        .where(_not_lock_file("_file"))
-    )
+    placed = source.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.col("_metadata.file_size").alias("_size"),
+    ).where(_not_lock_file("_file"))
 
     def take(batch: DataFrame, number: int) -> None:
         tag = f"{checkpoint}#{number}"
@@ -63,19 +67,28 @@ def stream_claim_reports(
             .withColumn("name", file_name("path"))
         )
         fresh = numbered.join(files.select(F.col("path").alias("_file")), "_file", "left_semi")
-        rows = parse_lines(fresh, CLAIM_COLUMNS)
         ingest.claim_rows_into(
-            run, rows, files, "claim_rpt", "rpt", dump=False, backup=False, tag=tag
+            run, to_rows(fresh), files, module, file_type, dump=False, backup=False, tag=tag
         )
 
     return (
-        lines.writeStream.foreachBatch(take)
+        placed.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def stream_claim_reports(
+    ingest: Ingest, folder: str, checkpoint: str, files_per_batch: int = 1_000
+) -> StreamingQuery:
+    """Start taking ``.rpt`` files; ends when all present ones are loaded."""
+    lines = _source(ingest.spark, "text", "rpt", files_per_batch).load(folder)
+    return stream_claim_rows(
+        ingest, lines, lambda batch: parse_lines(batch, CLAIM_COLUMNS), checkpoint
+    )
+
+
 def stream_eligibility_workbooks(
     ingest: Ingest, folder: str, checkpoint: str, files_per_batch: int = 100
 ) -> StreamingQuery:
