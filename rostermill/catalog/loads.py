@@ -24,11 +24,19 @@ from rostermill.plans import backfill as PB
 from rostermill.plans import claims as PC
 from rostermill.plans.eligibility import load_eligibility as load_coverage
 from rostermill.plans.jobs import Ingest
-from rostermill.plans.run import LazyRun
+from rostermill.plans.run import FolderRun, LazyRun
 from rostermill.schemas import LINE_FIELDS
 from rostermill.storage import TableStore
 from rostermill.streaming.incremental import stream_claim_rows
 
+def _shared_folder(spark: SparkSession) -> str:
+    """A new folder below the cluster's shared one; local only in tests."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/rostermill-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix="rostermill-")
+
+
 # --- eligibility -----------------------------------------------------------
 
 _LOAD = S.with_views(
@@ -112,13 +120,14 @@ UNION ALL SELECT 'reject eligibility', row_key, FALSE, 0, reason FROM eligibilit
 )
 def load_eligibility(spark: SparkSession, folder: str) -> DataFrame:
     """Stored tables after both sheets were loaded, and the rejected rows."""
-    run = LazyRun(
+    run = FolderRun(
         {
             "enrollee": B.persons_stored(spark, folder),
             "subscriber": B.subscribers_stored(spark, folder),
             "patient": B.patients_stored(spark, folder),
             "eligibility": B.eligibilities_stored(spark, folder),
-        }
+        },
+        _shared_folder(spark),
     )
     result = load_coverage(
         B.persons_in(spark, folder),
@@ -168,12 +177,13 @@ def _stored_children(spark: SparkSession, folder: str) -> tuple[DataFrame, DataF
 
 def _load_claims(spark: SparkSession, folder: str, rows: DataFrame):
     diagnoses, lines = _stored_children(spark, folder)
-    run = LazyRun(
+    run = FolderRun(
         {
             "claim": B.claims_stored(spark, folder),
             "claim_diagnosis": diagnoses,
             "claim_line": lines,
-        }
+        },
+        _shared_folder(spark),
     )
     return PC.load_claims(PC.claim_rows(rows), run, B.fixed_lineage(spark, "claims"))
 
@@ -330,14 +340,6 @@ def backfill_product_and_date(spark: SparkSession, folder: str) -> DataFrame:
 # --- incremental -----------------------------------------------------------
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; local only in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/rostermill-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="rostermill-")
-
-
 @query(
     """
 WITH rows AS (SELECT *, CAST(l_linenumber AS VARCHAR) AS code,

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermill.operators.nest import document
+from rostermill.operators.nest import documents
 from rostermill.schemas import LINEAGE_TYPE
 
 T0 = "1998-01-01 00:00:00"
@@ -101,7 +101,7 @@ def persons_stored(spark: SparkSession, folder: str) -> DataFrame:
         "demographic.address.state": text("c_nationkey"),
         "additionalInformation.countyId": text("c_nationkey"),
     }
-    return c.select(*document("enrollee", values))
+    return documents(c, "enrollee", values)
 
 
 # --- policies and coverage -------------------------------------------------
@@ -168,7 +168,7 @@ def subscribers_stored(spark: SparkSession, folder: str) -> DataFrame:
         "demographic.firstName": F.col("SUBSCRIBER_ID"),
         "demographic.lastName": insured,
     }
-    return g.select(*document("subscriber", values))
+    return documents(g, "subscriber", values)
 
 
 def patients_stored(spark: SparkSession, folder: str) -> DataFrame:
@@ -187,7 +187,7 @@ def patients_stored(spark: SparkSession, folder: str) -> DataFrame:
         "demographic.lastName": F.col("ENROLLEE_ID"),
         "demographic.dob": F.lit("1980-01-02").cast("timestamp_ntz"),
     }
-    return g.select(*document("patient", values))
+    return documents(g, "patient", values)
 
 
 ELIGIBILITY_KEYS = [
@@ -212,7 +212,7 @@ def eligibilities_stored(spark: SparkSession, folder: str) -> DataFrame:
         "serviceDate.formattedStartDate": F.col("EFFECTIVE_DATE"),
         "serviceDate.formattedEndDate": F.col("TERMINATION_DATE"),
     }
-    return g.select(*document("eligibility", values))
+    return documents(g, "eligibility", values)
 
 
 # --- claims ----------------------------------------------------------------
@@ -268,11 +268,11 @@ def claims_stored(spark: SparkSession, folder: str) -> DataFrame:
     g = rows.groupBy("CLAIM_ID", "INSURED_ENROLLEE_ID", "CLAIM_STATUS").agg(F.count("*").alias("n"))
     values = {
         "_id": F.concat(F.lit("c"), F.col("CLAIM_ID")),
-        "CLAIM_ID": F.col("CLAIM_ID"),
-        "CLAIM_STATUS": F.col("CLAIM_STATUS"),
+        "CLAIM_ID": "CLAIM_ID",
+        "CLAIM_STATUS": "CLAIM_STATUS",
         "SUBSCRIBER_INFO.INSURED_ENROLLEE_ID": F.col("INSURED_ENROLLEE_ID"),
     }
-    return g.select(*document("claim", values))
+    return documents(g, "claim", values)
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
@@ -283,4 +283,4 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
         "name": F.col("p_name"),
         "product.referenceId": text("p_size"),
     }
-    return p.select(*document("product", values))
+    return documents(p, "product", values)

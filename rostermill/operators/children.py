@@ -62,9 +62,8 @@ def collect_ordered(
         large, null_safe_equal([(children[k], large[n]) for k, n in zip(keys, names)]), "left"
     )
     part = F.struct(*[c.alias(f"s{i}") for i, c in enumerate(slots)])
-    item = F.struct(
-        F.struct(*[F.col(c) for c in order]).alias("o"),
-        F.struct(*[F.col(c) for c in fields]).alias("v"),
+    item = F.expr(
+        f"named_struct('o', struct({', '.join(order)}), 'v', struct({', '.join(fields)}))"
     )
     return (
         marked.withColumn("part", F.when(F.col("_large"), part))

@@ -35,33 +35,29 @@ def enforce_string_schema(
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(c) if c in present else F.lit(None)).cast("string").alias(c)
-            for c in wanted
-        ],
-        *[c for c in ORDINAL if c in present],
-    )
+    texts = [f"CAST({c if c in present else 'NULL'} AS STRING) AS `{c}`" for c in wanted]
+    return df.selectExpr(*texts, *[c for c in ORDINAL if c in present])
 
 
 def normalize_nulls(
     df: DataFrame, columns: Iterable[str] | None = None, tokens: Iterable[str] = NA_TOKENS
 ) -> DataFrame:
     """Turn the usual "missing" texts into null; NaN in doubles too."""
-    names = set(df.columns if columns is None else columns)
-    marks = list(tokens)
+    fields = df.schema.fields
+    names = {f.name for f in fields} if columns is None else set(columns)
+    marks = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tokens)
 
-    def cleaned(field: T.StructField) -> Column:
-        value = F.col(f"`{field.name}`")
+    def cleaned(field: T.StructField) -> str:
+        value = f"`{field.name}`"
         if field.name not in names or field.name in ORDINAL:
             return value
         if isinstance(field.dataType, T.StringType):
-            return F.when(~F.trim(value).isin(marks), value).alias(field.name)
+            return f"CASE WHEN trim({value}) NOT IN ({marks}) THEN {value} END AS {value}"
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            return F.when(~F.isnan(value), value).alias(field.name)
+            return f"CASE WHEN NOT isnan({value}) THEN {value} END AS {value}"
         return value
 
-    return df.select(*[cleaned(f) for f in df.schema.fields])
+    return df.selectExpr(*[cleaned(f) for f in fields])
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

@@ -21,6 +21,13 @@ def _expr(value: Expr) -> Column:
     return value if isinstance(value, Column) else value()
 
 
+def _fields(fields: Fields) -> Column:
+    """Struct of the wanted fields; all-path lists go over as one text."""
+    if all(isinstance(e, str) for e in fields.values()):
+        return F.expr("named_struct(" + ", ".join(f"'{n}', {e}" for n, e in fields.items()) + ")")
+    return F.struct(*[_expr(e).alias(n) for n, e in fields.items()])
+
+
 def lookup(
     left: DataFrame,
     right: DataFrame,
@@ -47,7 +54,7 @@ def lookup(
     order = [f"_o{i}" for i in range(len(first_by or []))]
     side = right.select(
         *[_expr(r).alias(k) for r, k in zip(on.values(), keys)],
-        F.struct(*[_expr(e).alias(n) for n, e in fields.items()]).alias(alias),
+        _fields(fields).alias(alias),
         *[_expr(c).alias(o) for c, o in zip(first_by or [], order)],
     )
     if order:

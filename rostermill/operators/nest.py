@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from rostermill.functions.arrays import array_concat, array_drop_nulls
 from rostermill.functions.scalars import (
     default_flag,
-    fallback_if_empty,
     gender_code,
     gender_label,
     name_of,
@@ -28,39 +27,59 @@ from rostermill.schemas import (
 )
 
 
-def document(entity: str, values: Mapping[str, Column]) -> list[Column]:
-    """Columns of a stored table, filled from dotted path → expression.
+Value = Column | str | None
 
-    Walks the stored layout, so names, order and types come from there; a
-    path without a value is null.
-    """
 
-    def build(field: T.StructField, path: str) -> Column:
+def documents(df: DataFrame, entity: str, values: Mapping[str, Value]) -> DataFrame:
+    """Rows of a stored table, filled from dotted path → value.
+
+    A value is a column name, dotted path or SQL text over ``df``, an
+    expression, or None. The stored layout is walked, so names, order and types come from
+    there; a path without a value is null. Layouts are up to 270 fields wide,
+    so the projection is handed over as text in one piece.
+    """
+    computed: dict[str, Column] = {}
+
+    def source(path: str) -> str | None:
+        value = values[path]
+        if isinstance(value, Column):
+            name = f"_v{len(computed)}"
+            computed[name] = value
+            return name
+        return value
+
+    def build(field: T.StructField, path: str) -> str:
+        kind = field.dataType
         if path in values:
-            return values[path].cast(field.dataType).alias(field.name)
-        if isinstance(field.dataType, T.StructType):
-            inner = [build(f, f"{path}.{f.name}") for f in field.dataType.fields]
-            return F.struct(*inner).alias(field.name)
-        return F.lit(None).cast(field.dataType).alias(field.name)
+            return f"CAST({source(path) or 'NULL'} AS {kind.simpleString()})"
+        if isinstance(kind, T.StructType):
+            inner = ", ".join(f"'{f.name}', {build(f, f'{path}.{f.name}')}" for f in kind.fields)
+            return f"named_struct({inner})"
+        return f"CAST(NULL AS {kind.simpleString()})"
 
-    return [build(f, f.name) for f in stored_schema(entity).fields]
+    texts = [f"{build(f, f.name)} AS `{f.name}`" for f in stored_schema(entity).fields]
+    return df.withColumns(computed).selectExpr(*texts)
 
 
-def _reader(df: DataFrame):
+def _reader(df: DataFrame) -> Callable[[str], str | None]:
     present = set(df.columns)
+    return lambda name: name if name in present else None
+
 
-    def read(name: str) -> Column:
-        return F.col(name) if name in present else F.lit(None).cast("string")
+def _column(name: str | None) -> Column:
+    return F.lit(None).cast("string") if name is None else F.col(name)
 
-    return read
 
+def _date(text: str | None) -> Value:
+    return None if text is None else parse_ts_strict(text)
 
-def _dated(path: str, text_path: str, text: Column) -> dict[str, Column]:
+
+def _dated(path: str, text_path: str, text: str | None) -> dict[str, Value]:
     """A date is stored twice: parsed and as it was written."""
-    return {path: parse_ts_strict(text), text_path: text}
+    return {path: _date(text), text_path: text}
 
 
-def _common(df: DataFrame, created: str, modified: str) -> dict[str, Column]:
+def _common(df: DataFrame, created: str, modified: str) -> dict[str, Value]:
     """Fields every document has.
 
     ``_old`` (the matched stored document, when the frame has one) keeps its
@@ -68,15 +87,15 @@ def _common(df: DataFrame, created: str, modified: str) -> dict[str, Column]:
     """
     read = _reader(df)
     out = {
-        "_id": F.col("_id"),
+        "_id": "_id",
         "hasCompleteInfo": default_flag(
             F.col("hasCompleteInfo") if "hasCompleteInfo" in df.columns else F.lit(None)
         ),
         "created": F.struct(
-            F.lit("system").alias("by"), parse_ts_strict(read(created)).alias("at")
+            F.lit("system").alias("by"), parse_ts_strict(_column(read(created))).alias("at")
         ),
         "updated": F.struct(
-            F.lit("system").alias("by"), parse_ts_strict(read(modified)).alias("at")
+            F.lit("system").alias("by"), parse_ts_strict(_column(read(modified))).alias("at")
         ),
     }
     out.update(_lineage(df))
@@ -85,7 +104,7 @@ def _common(df: DataFrame, created: str, modified: str) -> dict[str, Column]:
     return out
 
 
-def _lineage(df: DataFrame) -> dict[str, Column]:
+def _lineage(df: DataFrame) -> dict[str, Value]:
     if "lineage" not in df.columns:
         return {}
     documents = F.array(F.col("lineage"))
@@ -95,12 +114,12 @@ def _lineage(df: DataFrame) -> dict[str, Column]:
         documents = array_concat("_old.ardbDocuments", documents)
     return {
         "ardbDocuments": documents,
-        "ardbSourceDocument": F.col("lineage.fileName"),
-        "ardbLastModifiedDate": F.col("lineage.updatedAt"),
+        "ardbSourceDocument": "lineage.fileName",
+        "ardbLastModifiedDate": "lineage.updatedAt",
     }
 
 
-def _histories(df: DataFrame, entity: str) -> dict[str, Column]:
+def _histories(df: DataFrame, entity: str) -> dict[str, Value]:
     kind = stored_schema(entity)["histories"].dataType
     empty = F.array().cast(kind)
     if "_old" in df.columns:
@@ -108,7 +127,7 @@ def _histories(df: DataFrame, entity: str) -> dict[str, Column]:
     return {"histories": empty}
 
 
-def _demographic(read, dob: Column) -> dict[str, Column]:
+def _demographic(read, dob: str | None) -> dict[str, Value]:
     names = {
         "firstName": "FIRST_NAME", "middleName": "MIDDLE_NAME", "lastName": "LAST_NAME",
         "email": "EMAIL", "phone": "PHONE_NUMBER",
@@ -117,7 +136,7 @@ def _demographic(read, dob: Column) -> dict[str, Column]:
         "address.zipCode": "ZIP", "address.zipCode4": "ZIP_4",
     }
     out = {f"demographic.{path}": read(name) for path, name in names.items()}
-    out["demographic.gender"] = gender_label(read("GENDER"))
+    out["demographic.gender"] = gender_label(_column(read("GENDER")))
     out.update(_dated("demographic.dob", "demographic.formattedDob", dob))
     return out
 
@@ -146,10 +165,10 @@ def nest_person(df: DataFrame) -> DataFrame:
     values |= {"referenceId": read("ENROLLEE_ID"), "ssn": read("SS_NUMBER")}
     values |= {f"additionalInformation.{p}": read(n) for p, n in extra.items()}
     values |= {f"communicationPreference.{p}": read(n) for p, n in contact.items()}
-    return df.select(*document("enrollee", values))
+    return documents(df, "enrollee", values)
 
 
-def _policy(read) -> dict[str, Column]:
+def _policy(read) -> dict[str, Value]:
     out = {
         "subscriberNumber": read("SUBSCRIBER_ID"),
         "premiumGroup.referenceId": read("PREMIUM_GROUP_ID"),
@@ -177,7 +196,7 @@ def nest_subscriber_row(df: DataFrame) -> DataFrame:
         "insuredEnrollee.referenceId": read("INSURED_ENROLLEE_ID"),
         "insuredEnrollee.refId": read("insuredEnrollee_ref"),
     }
-    return df.select(*document("subscriber", values))
+    return documents(df, "subscriber", values)
 
 
 def nest_subscriber_enrollee(df: DataFrame) -> DataFrame:
@@ -187,10 +206,10 @@ def nest_subscriber_enrollee(df: DataFrame) -> DataFrame:
     values |= _histories(df, "subscriber")
     values |= _policy(read)
     for place in ("enrollee", "insuredEnrollee"):
-        values[f"{place}.referenceId"] = F.col("enrollee.referenceId")
-        values[f"{place}.refId"] = F.col("enrollee._id")
-    values["demographic"] = F.col("enrollee.demographic")
-    return df.select(*document("subscriber", values))
+        values[f"{place}.referenceId"] = "enrollee.referenceId"
+        values[f"{place}.refId"] = "enrollee._id"
+    values["demographic"] = "enrollee.demographic"
+    return documents(df, "subscriber", values)
 
 
 def nest_patient(df: DataFrame) -> DataFrame:
@@ -201,17 +220,17 @@ def nest_patient(df: DataFrame) -> DataFrame:
     values = _common(df, "CREATION_DATE", "LAST_MODIFIED_DATE_TIME")
     values |= _histories(df, "patient")
     values |= {
-        "enrollee.referenceId": F.col("enrollee.referenceId"),
-        "enrollee.refId": F.col("enrollee._id"),
-        "demographic": F.col("enrollee.demographic"),
-        "ssn": F.col("enrollee.ssn"),
-        "subscriber.refId": F.col("subscriber._id"),
-        "subscriber.identificationCode": F.col("subscriber.subscriberNumber"),
-        "subscriber.name": F.col("subscriber.name"),
-        "memberId": F.col("MEMBER_ID"),
+        "enrollee.referenceId": "enrollee.referenceId",
+        "enrollee.refId": "enrollee._id",
+        "demographic": "enrollee.demographic",
+        "ssn": "enrollee.ssn",
+        "subscriber.refId": "subscriber._id",
+        "subscriber.identificationCode": "subscriber.subscriberNumber",
+        "subscriber.name": "subscriber.name",
+        "memberId": "MEMBER_ID",
         "relationship": qualifier_struct("RELATIONSHIP_CODE", "relationship_label"),
     }
-    return df.select(*document("patient", values))
+    return documents(df, "patient", values)
 
 
 def nest_eligibility(df: DataFrame) -> DataFrame:
@@ -225,22 +244,22 @@ def nest_eligibility(df: DataFrame) -> DataFrame:
         "serviceDate.endDate", "serviceDate.formattedEndDate", read("TERMINATION_DATE")
     )
     values |= {
-        "enrollee.referenceId": F.col("enrollee.referenceId"),
-        "enrollee.refId": F.col("enrollee._id"),
+        "enrollee.referenceId": "enrollee.referenceId",
+        "enrollee.refId": "enrollee._id",
         "product.referenceId": read("PRODUCT_ID"),
-        "subscriber.refId": F.col("subscriber._id"),
-        "subscriber.identificationCode": F.col("subscriber.subscriberNumber"),
-        "subscriber.name": F.col("subscriber.name"),
-        "patient.refId": F.col("patient._id"),
-        "patient.memberId": F.col("patient.memberId"),
-        "patient.firstName": F.col("patient.firstName"),
-        "patient.middleName": F.col("patient.middleName"),
-        "patient.lastName": F.col("patient.lastName"),
-        "patient.dob": F.col("patient.dob"),
+        "subscriber.refId": "subscriber._id",
+        "subscriber.identificationCode": "subscriber.subscriberNumber",
+        "subscriber.name": "subscriber.name",
+        "patient.refId": "patient._id",
+        "patient.memberId": "patient.memberId",
+        "patient.firstName": "patient.firstName",
+        "patient.middleName": "patient.middleName",
+        "patient.lastName": "patient.lastName",
+        "patient.dob": "patient.dob",
         "patient.formattedDob": F.date_format(F.col("patient.dob"), "yyyy-MM-dd"),
-        "patient.relationship": F.col("patient.relationship"),
-        "patient.name": F.col("patient.name"),
-        "patient.identificationCode": F.col("patient.ssn"),
+        "patient.relationship": "patient.relationship",
+        "patient.name": "patient.name",
+        "patient.identificationCode": "patient.ssn",
         "maritalStatus": read("MARITAL_STATUS"),
         "benefitStatusCode": read("BENEFIT_STATUS_CODE"),
         "studentStatusCode": read("STUDENT_STATUS_CODE"),
@@ -256,43 +275,50 @@ def nest_eligibility(df: DataFrame) -> DataFrame:
     }
     values |= {f"additionalInformation.{p}": read(n) for p, n in extra.items()}
     values |= {
-        "additionalInformation.paidThrough.date": parse_ts_strict(read("PAID_THROUGH_DATE")),
-        "additionalInformation.terminationReason.eventDate": parse_ts_strict(
+        "additionalInformation.paidThrough.date": _date(read("PAID_THROUGH_DATE")),
+        "additionalInformation.terminationReason.eventDate": _date(
             read("TERMINATION_REASON_EVENT_DATE")
         ),
         "additionalInformation.otherInformation": array_drop_nulls(
-            *[read(f"OTHER_INFO{i}") for i in (1, 2, 3)]
+            *[_column(read(f"OTHER_INFO{i}")) for i in (1, 2, 3)]
         ),
     }
-    return df.select(*document("eligibility", values))
+    return documents(df, "eligibility", values)
 
 
 def nest_claim_header(df: DataFrame) -> DataFrame:
     """Claim rows to header documents with their nine groups."""
     read = _reader(df)
-    values = {"_id": F.col("_id"), **_lineage(df)}
+    values = {"_id": "_id", **_lineage(df)}
     values |= {name: read(name) for name in CLAIM_FIELDS}
     values |= {
         f"{group}.{name}": read(name) for group, names in CLAIM_GROUPS.items() for name in names
     }
-    return df.select(*document("claim", values))
+    return documents(df, "claim", values)
+
+
+def _struct(values: Mapping[str, str | None]) -> Column:
+    inner = ", ".join(f"'{n}', CAST({v or 'NULL'} AS STRING)" for n, v in values.items())
+    return F.expr(f"named_struct({inner})")
 
 
 def nest_diagnosis(df: DataFrame) -> Column:
     read = _reader(df)
-    return F.struct(*[read(name).alias(name) for name in DIAGNOSIS_FIELDS])
+    return _struct({name: read(name) for name in DIAGNOSIS_FIELDS})
 
 
-def line_values(df: DataFrame) -> dict[str, Column]:
-    """Stored service-line fields; the item number has a second source."""
+def line_values(df: DataFrame) -> dict[str, str | None]:
+    """Stored service-line fields as SQL text; the item number has a second
+    source for when it is empty."""
     read = _reader(df)
     out = {name: read(name) for name in LINE_FIELDS}
-    out["ITEM_NUMBER"] = fallback_if_empty(read("ITEM_NUMBER"), read(ALTERNATE_ITEM_NUMBER))
+    first, second = read("ITEM_NUMBER") or "NULL", read(ALTERNATE_ITEM_NUMBER) or "NULL"
+    out["ITEM_NUMBER"] = f"coalesce(nullif({first}, ''), {second})"
     return out
 
 
 def nest_service_line(df: DataFrame) -> Column:
-    return F.struct(*[value.alias(name) for name, value in line_values(df).items()])
+    return _struct(line_values(df))
 
 
 # --- stored documents back to flat rows -----------------------------------
@@ -359,13 +385,9 @@ _ELIGIBILITY_PATHS = {
 
 
 def _flatten(df: DataFrame, paths: Mapping[str, str], with_flag: bool = True) -> DataFrame:
-    head = (
-        [F.col("_id"), default_flag("hasCompleteInfo").alias("hasCompleteInfo")]
-        if with_flag
-        else []
-    )
+    head = ["_id", default_flag("hasCompleteInfo").alias("hasCompleteInfo")] if with_flag else []
     flat = [
-        (gender_code(path) if name == "GENDER" else F.col(path)).alias(name)
+        gender_code(path).alias(name) if name == "GENDER" else F.col(path).alias(name)
         for name, path in paths.items()
     ]
     return df.select(*head, *flat)

@@ -18,7 +18,7 @@ from rostermill.operators.classify import classify_always_update
 from rostermill.operators.clean import enforce_string_schema
 from rostermill.operators.dedup import keep_first, keep_last
 from rostermill.operators.match import lookup, without_match
-from rostermill.operators.nest import document, line_values, nest_claim_header
+from rostermill.operators.nest import documents, line_values, nest_claim_header
 from rostermill.operators.registry import with_lineage
 from rostermill.plans.run import LazyRun, Result
 from rostermill.schemas import (
@@ -28,6 +28,7 @@ from rostermill.schemas import (
     CLAIM_REQUIRED,
     DIAGNOSIS_FIELDS,
     LINE_FIELDS,
+    LINE_MATCH_KEYS,
     ORDINAL,
 )
 from rostermill.skew import hot_keys
@@ -41,9 +42,12 @@ def claim_rows(rows: DataFrame) -> DataFrame:
 def claim_headers(rows: DataFrame) -> DataFrame:
     """One header per claim: the last of its rows that are the first of
     their (claim, diagnosis)."""
-    columns = list(dict.fromkeys([*CLAIM_HEADER_COLUMNS, "DIAGNOSIS_CODE", *ORDINAL]))
-    first = keep_first(rows.select(*columns), ["CLAIM_ID", "DIAGNOSIS_CODE"])
-    return keep_last(first, ["CLAIM_ID"])
+    keys = ["CLAIM_ID", "DIAGNOSIS_CODE"]
+    rest = [c for c in CLAIM_HEADER_COLUMNS if c not in keys]
+    # One struct for the wide rest: sorts and shuffles move it as a whole.
+    packed = rows.selectExpr(*keys, *ORDINAL, f"struct({', '.join(rest)}) AS _rest")
+    header = keep_last(keep_first(packed, keys), ["CLAIM_ID"])
+    return header.select(*keys, "_rest.*", *ORDINAL)
 
 
 def claim_sources(rows: DataFrame, lineage: DataFrame) -> DataFrame:
@@ -77,12 +81,9 @@ def new_diagnoses(rows: DataFrame, stored: DataFrame, run_number: int) -> DataFr
     keys = ["CLAIM_ID", "DIAGNOSIS_CODE"]
     first = keep_first(rows.select(*columns), keys)
     fresh = without_match(first, stored, {k: k for k in keys})
-    values = {c: F.col(c) for c in columns}
-    values |= {
-        "_id": surrogate_key(F.lit("diagnosis"), *keys),
-        "_run": F.lit(run_number).cast("bigint"),
-    }
-    return fresh.select(*document("claim_diagnosis", values))
+    values = {c: c for c in columns}
+    values |= {"_id": surrogate_key(F.lit("diagnosis"), *keys), "_run": str(run_number)}
+    return documents(fresh, "claim_diagnosis", values)
 
 
 def new_lines(rows: DataFrame, stored: DataFrame, run_number: int) -> DataFrame:
@@ -91,12 +92,9 @@ def new_lines(rows: DataFrame, stored: DataFrame, run_number: int) -> DataFrame:
     columns = list(dict.fromkeys(["CLAIM_ID", *LINE_FIELDS, ALTERNATE_ITEM_NUMBER, *ORDINAL]))
     merged = merge_lines(rows.select(*columns), stored)
     values = line_values(merged)
-    values |= {c: F.col(c) for c in ["CLAIM_ID", *ORDINAL]}
-    values |= {
-        "_id": surrogate_key(F.lit("line"), F.col("CLAIM_ID"), F.col("CODE"), F.col("DATE_OF_SERVICE")),
-        "_run": F.lit(run_number).cast("bigint"),
-    }
-    return merged.select(*document("claim_line", values))
+    values |= {c: c for c in ["CLAIM_ID", *ORDINAL]}
+    key = surrogate_key(F.lit("line"), "CLAIM_ID", *LINE_MATCH_KEYS)
+    return documents(merged, "claim_line", {**values, "_id": key, "_run": str(run_number)})
 
 
 def load_claims(rows: DataFrame, run: LazyRun, lineage: DataFrame) -> Result:
@@ -162,11 +160,13 @@ def assemble_claims(
         both, claims, {"CLAIM_ID": "CLAIM_ID"}, header, "_h", how="inner",
         hot=large, spread=["CLAIM_ID", "part"],
     )
-    empty = {a: F.array().cast(joined.schema[a].dataType) for a in ("DIAGNOSIS_CODES", "SERVICE_LINES")}
     return joined.select(
         "part",
-        *[F.col(f"_h.{c}").alias(c) for c in claims.columns],
-        *[F.coalesce(F.col(a), e).alias(a) for a, e in empty.items()],
+        "_h.*",
+        *[
+            F.coalesce(F.col(a), F.filter(F.array(F.col(a)[0]), lambda x: F.lit(False))).alias(a)
+            for a in ("DIAGNOSIS_CODES", "SERVICE_LINES")
+        ],
     )
 
 

@@ -75,3 +75,26 @@ class StoreRun(LazyRun):
 
 def changed(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("action").isin("insert", "update"))
+
+
+class FolderRun(LazyRun):
+    """Stored tables are given frames; what a plan makes goes to a folder.
+
+    Every step is written as parquet below ``folder`` (on a cluster, the
+    shared folder) and read back, so a later step starts from files instead
+    of the whole plan before it, and survives lost executors.
+    """
+
+    def __init__(
+        self, tables: dict[str, DataFrame], folder: str, number: int = 1, guard_skew: bool = True
+    ):
+        super().__init__(tables, number, guard_skew)
+        self.folder = folder.rstrip("/")
+
+    def cut(self, name: str, rows: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+    def save(self, table: str, changes: DataFrame) -> DataFrame:
+        return super().save(table, self.cut(f"{table}_changes", changes))

@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rostermill.functions.scalars import empty_to_null
 from rostermill.operators.clean import normalize_nulls
 from rostermill.schemas import ORDINAL
 from rostermill.sources.files import scan_lines
@@ -74,12 +73,13 @@ def file_layouts(lines: DataFrame, columns: list[str]) -> DataFrame:
     """
     known = _heads(lines).withColumn("_layout", _layout(F.col("_header"), F.col("_dashes")))
     names = F.transform("_layout", lambda c: c["name"])
-    places = [
-        F.try_element_at("_layout", F.nullif(F.array_position(names, F.lit(c)), F.lit(0)).cast("int"))
-        .alias(c)
+    places = ", ".join(
+        f"'{c}', try_element_at(_layout, CAST(nullif(array_position(_names, '{c}'), 0) AS INT))"
         for c in columns
-    ]
-    return known.select("_file", "_header", "_dashes", F.struct(*places).alias("_at"))
+    )
+    return known.withColumn("_names", names).selectExpr(
+        "_file", "_header", "_dashes", f"named_struct({places}) AS _at"
+    )
 
 
 def _is_row() -> Column:
@@ -87,9 +87,8 @@ def _is_row() -> Column:
     return (text != "") & (text != F.col("_header")) & (text != F.col("_dashes"))
 
 
-def _cell(start: Column | int, length: Column | int) -> Column:
-    text = F.substring(F.col("value"), start, length)
-    return empty_to_null(F.trim(text))
+def _cell(start: str | int, length: str | int) -> str:
+    return f"nullif(trim(substring(value, {start}, {length})), '')"
 
 
 def parse_lines(lines: DataFrame, columns: list[str], layouts: DataFrame | None = None) -> DataFrame:
@@ -101,10 +100,8 @@ def parse_lines(lines: DataFrame, columns: list[str], layouts: DataFrame | None
     """
     known = file_layouts(lines, columns) if layouts is None else layouts
     rows = lines.join(F.broadcast(known), "_file").where(_is_row())
-    cells = [
-        _cell(F.col("_at")[c]["start"], F.col("_at")[c]["length"]).alias(c) for c in columns
-    ]
-    return normalize_nulls(rows.select(*cells, *ORDINAL), columns)
+    cells = [_cell(f"_at.`{c}`.start", f"_at.`{c}`.length") + f" AS `{c}`" for c in columns]
+    return normalize_nulls(rows.selectExpr(*cells, *ORDINAL), columns)
 
 
 def parse_shared_layout(
@@ -131,9 +128,9 @@ def parse_shared_layout(
         .otherwise((text != "") & (text != header) & (text != dashes))
     )
     cells = [
-        (_cell(*at[c]) if c in at else F.lit(None).cast("string")).alias(c) for c in columns
+        f"{_cell(*at[c]) if c in at else 'CAST(NULL AS STRING)'} AS `{c}`" for c in columns
     ]
-    return normalize_nulls(rows.select(*cells, *ORDINAL), columns)
+    return normalize_nulls(rows.selectExpr(*cells, *ORDINAL), columns)
 
 
 def read_fixed_width(

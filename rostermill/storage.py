@@ -8,6 +8,8 @@ by a small run, and a run that dies leaves nothing visible.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,16 @@ REPLACE_KEY: dict[str, str | None] = {
 _COMMIT = "run bigint, tables array<string>, is_base boolean, tag string"
 
 
+def _or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame, or None when its folder was never written."""
+    try:
+        return read()
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 class TableStore:
     """Stored tables below ``root``; one writer at a time."""
 
@@ -42,11 +54,9 @@ class TableStore:
     # -- commits ----------------------------------------------------------
 
     def _commits(self) -> list[T.Row]:
-        try:
-            rows = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits").collect()
-        except AnalysisException:
-            return []
-        return sorted(rows, key=lambda r: r.run)
+        log = self.spark.read.schema(_COMMIT).option("recursiveFileLookup", True)
+        rows = _or_none(lambda: log.json(f"{self.root}/commits"))
+        return [] if rows is None else sorted(rows.collect(), key=lambda r: r.run)
 
     def next_run(self) -> int:
         """Number for the next run. A run that died has not used its own up."""
@@ -85,11 +95,8 @@ class TableStore:
 
     def _snapshots(self, table: str, schema: T.StructType) -> DataFrame:
         typed = T.StructType([*schema.fields, T.StructField("snapshot", T.LongType())])
-        path = f"{self.root}/{table}"
-        try:
-            return self.spark.read.schema(typed).parquet(path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], typed)
+        found = _or_none(lambda: self.spark.read.schema(typed).parquet(f"{self.root}/{table}"))
+        return self.spark.createDataFrame([], typed) if found is None else found
 
     def read(self, table: str, pending: int | None = None) -> DataFrame:
         """Current rows; with ``pending`` also those of that open run."""
