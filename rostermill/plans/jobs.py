@@ -25,13 +25,14 @@ from rostermill.plans.eligibility import load_eligibility
 from rostermill.plans.run import Result, StoreRun
 from rostermill.schemas import (
     CLAIM_COLUMNS,
+    CLAIM_REQUIRED,
     CORRECTION_COLUMNS,
     ELIGIBILITY_COLUMNS,
     ENROLLEE_COLUMNS,
 )
-from rostermill.sources.files import list_input_files
-from rostermill.sources.fixed_width import read_fixed_width
-from rostermill.sources.workbook import read_workbook_sheets, workbook_files
+from rostermill.sources.files import list_input_files, scan_lines
+from rostermill.sources.fixed_width import layout_problems, read_fixed_width, report_files
+from rostermill.sources.workbook import parse_workbook_sheets, workbook_files
 from rostermill.storage import TableStore
 
 _REJECTS = "file string, step string, row_key string, reason string"
@@ -41,6 +42,15 @@ def _now() -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
 
+def _file_rejects(problems: DataFrame) -> DataFrame:
+    return problems.select(
+        F.col("_file").alias("file"),
+        F.lit("file").alias("step"),
+        F.lit("").alias("row_key"),
+        F.col("_problem").alias("reason"),
+    )
+
+
 class Ingest:
     """Loads new input files of one kind into a store.
 
@@ -78,9 +88,9 @@ class Ingest:
 
     def finish(self, run: int, files: DataFrame, result: Result, tag: str | None = None) -> None:
         """Write rejects, final statuses and the registry, then commit."""
-        rejects = result.rejects
-        if rejects is None:
-            rejects = self.spark.createDataFrame([], _REJECTS)
+        rejects = self.spark.createDataFrame([], _REJECTS)
+        if result.rejects is not None:
+            rejects = rejects.unionByName(result.rejects)
         self.store.append("rejects", run, rejects)
         kept = self.spark.read.schema(_REJECTS).parquet(f"{self.store.root}/rejects/run={run}")
         end = outcomes(files, kept, _now())
@@ -100,12 +110,16 @@ class Ingest:
 
     def claim_rows_into(
         self, run: int, rows: DataFrame, files: DataFrame, module: str, file_type: str,
-        dump: bool, backup: bool, tag: str | None = None,
+        dump: bool, backup: bool, problems: DataFrame | None = None, tag: str | None = None,
     ) -> Result:
+        """Load claim rows as one run; files with ``problems`` (_file,
+        _problem) end as Failed."""
         registered = self.register(files, run, module, backup)
         lineage = lineage_struct(registered, file_type)
         staged = self.store.stage("claims", run, claim_rows(rows))
         result = load_claims(staged, StoreRun(self.store, run, self.guard_skew), lineage)
+        if problems is not None:
+            result.add_rejects(_file_rejects(problems))
         if dump:
             self.store.append("dump_claims", run, raw_dump(staged, lineage))
         self.finish(run, registered, result, tag)
@@ -116,10 +130,17 @@ class Ingest:
         files = self.new_files(list_input_files(self.spark, folder, "rpt"))
         if files.isEmpty():
             return None
-        rows = read_fixed_width(self.spark, folder, CLAIM_COLUMNS, shared_layout)
-        rows = rows.join(files.select(F.col("path").alias("_file")), "_file", "left_semi")
+        rows = read_fixed_width(
+            self.spark, folder, CLAIM_COLUMNS, shared_layout, required=CLAIM_REQUIRED
+        )
+        new = files.select(F.col("path").alias("_file"))
+        problems = None
+        if not shared_layout:
+            lines = scan_lines(self.spark, report_files(self.spark, folder))
+            problems = layout_problems(lines, CLAIM_REQUIRED).join(new, "_file", "left_semi")
         return self.claim_rows_into(
-            self.store.next_run(), rows, files, "claim_rpt", "rpt", dump=False, backup=False
+            self.store.next_run(), rows.join(new, "_file", "left_semi"), files, "claim_rpt",
+            "rpt", dump=False, backup=False, problems=problems,
         )
 
     def claim_workbooks(self, folder: str) -> Result | None:
@@ -127,9 +148,12 @@ class Ingest:
         files, books = self._new_books(folder)
         if files.isEmpty():
             return None
-        rows = read_workbook_sheets(books, "CLAIMS", CLAIM_COLUMNS)
+        run = self.store.next_run()
+        rows, problems = self._sheet(
+            "claim_sheet", run, books, "CLAIMS", CLAIM_COLUMNS, CLAIM_REQUIRED, sheet_required=True
+        )
         return self.claim_rows_into(
-            self.store.next_run(), rows, files, "provider_claim", "xlsx", dump=True, backup=False
+            run, rows, files, "provider_claim", "xlsx", dump=True, backup=False, problems=problems
         )
 
     def claim_corrections(self, folder: str) -> Result | None:
@@ -139,12 +163,14 @@ class Ingest:
             return None
         run = self.store.next_run()
         registered = self.register(files, run, "provider_claim", backup=False)
-        rows = self.store.stage(
-            "corrections", run, read_workbook_sheets(books, "CLAIMS", CORRECTION_COLUMNS)
+        rows, problems = self._sheet(
+            "corrections", run, books, "CLAIMS", CORRECTION_COLUMNS, CORRECTION_COLUMNS,
+            sheet_required=True,
         )
         result = correct_claims(
             rows, StoreRun(self.store, run, self.guard_skew), lineage_struct(registered, "xlsx")
         )
+        result.add_rejects(_file_rejects(problems))
         self.finish(run, registered, result)
         return result
 
@@ -155,6 +181,16 @@ class Ingest:
         books = workbook_files(self.spark, folder).join(files.select("path"), "path", "left_semi")
         return files, books
 
+    def _sheet(
+        self, name: str, run: int, books: DataFrame, sheet: str, columns: list[str],
+        required: list[str], sheet_required: bool = False,
+    ) -> tuple[DataFrame, DataFrame]:
+        """(rows, problems) of a sheet, parsed once and staged."""
+        parsed = parse_workbook_sheets(books, sheet, columns, required, sheet_required)
+        staged = self.store.stage(name, run, parsed)
+        broken = staged.where("_problem IS NOT NULL").select("_file", "_problem")
+        return staged.where("_problem IS NULL").drop("_problem"), broken
+
     def eligibility_workbooks(self, folder: str) -> Result | None:
         files, books = self._new_books(folder)
         if files.isEmpty():
@@ -168,10 +204,10 @@ class Ingest:
         registered = self.register(files, run, "eligibility", backup=True)
         lineage = lineage_struct(registered, "xlsx")
         sheets = {"ENROLLEES": ENROLLEE_COLUMNS, "ELIGIBILITY": ELIGIBILITY_COLUMNS}
-        rows = {
-            name: self.store.stage(name.lower(), run, read_workbook_sheets(books, name, columns))
-            for name, columns in sheets.items()
-        }
+        rows, problems = {}, []
+        for name, columns in sheets.items():
+            rows[name], broken = self._sheet(name.lower(), run, books, name, columns, columns)
+            problems.append(broken)
         result = load_eligibility(
             rows["ENROLLEES"],
             rows["ELIGIBILITY"],
@@ -179,6 +215,8 @@ class Ingest:
             lineage,
             relationship_table(self.spark),
         )
+        for broken in problems:
+            result.add_rejects(_file_rejects(broken))
         self.store.append("dump_enrollees", run, raw_dump(rows["ENROLLEES"], lineage))
         self.store.append("dump_eligibility", run, raw_dump(rows["ELIGIBILITY"], lineage))
         self.finish(run, registered, result, tag)

@@ -91,14 +91,30 @@ def _cell(start: str | int, length: str | int) -> str:
     return f"nullif(trim(substring(value, {start}, {length})), '')"
 
 
-def parse_lines(lines: DataFrame, columns: list[str], layouts: DataFrame | None = None) -> DataFrame:
+def layout_problems(lines: DataFrame, required: list[str]) -> DataFrame:
+    """(_file, _problem) of files whose header lacks a required column."""
+    absent = F.expr(
+        "filter(array("
+        + ", ".join(f"IF(_at.`{c}` IS NULL, '{c}', NULL)" for c in required)
+        + "), x -> x IS NOT NULL)"
+    )
+    text = F.concat(F.lit("missing columns: "), F.concat_ws(", ", absent))
+    return file_layouts(lines, required).where(F.size(absent) > 0).select(
+        "_file", text.alias("_problem")
+    )
+
+
+def parse_lines(lines: DataFrame, columns: list[str], required: list[str] | None = None) -> DataFrame:
     """Rows of fixed-width lines as null-cleaned strings plus position.
 
     Files may differ in layout. The layouts are broadcast: the caller bounds
     the number of files (:data:`FILES_PER_GROUP`, or files per batch in a
-    stream). A column that a file lacks is null.
+    stream). A column that a file lacks is null; a file that lacks a
+    ``required`` one gives no rows (see :func:`layout_problems`).
     """
-    known = file_layouts(lines, columns) if layouts is None else layouts
+    known = file_layouts(lines, columns)
+    for c in required or []:
+        known = known.where(f"_at.`{c}` IS NOT NULL")
     rows = lines.join(F.broadcast(known), "_file").where(_is_row())
     cells = [_cell(f"_at.`{c}`.start", f"_at.`{c}`.length") + f" AS `{c}`" for c in columns]
     return normalize_nulls(rows.selectExpr(*cells, *ORDINAL), columns)
@@ -133,30 +149,39 @@ def parse_shared_layout(
     return normalize_nulls(rows.selectExpr(*cells, *ORDINAL), columns)
 
 
+def report_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the reports below a folder (the scan's own file listing)."""
+    found = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.rpt")
+        .text(path)
+        .inputFiles()
+    )
+    return sorted(f for f in found if not f.rsplit("/", 1)[-1].startswith(("~$", "%7E$")))
+
+
 def read_fixed_width(
-    spark: SparkSession, path: str, columns: list[str], shared_layout: bool = False
+    spark: SparkSession,
+    paths: str | list[str],
+    columns: list[str],
+    shared_layout: bool = False,
+    required: list[str] | None = None,
 ) -> DataFrame:
-    """Read every report below ``path``.
+    """Read reports: all below a folder, or the given files.
 
     With ``shared_layout`` the head lines of one file serve for all, and the
     text is scanned once. Otherwise a first scan finds the layout of each
     file; more than :data:`FILES_PER_GROUP` files are read group by group so
     that no broadcast grows with their number.
     """
-    files = sorted(
-        f
-        for f in spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.rpt")
-        .text(path)
-        .inputFiles()
-        if not f.rsplit("/", 1)[-1].startswith(("~$", "%7E$"))
-    )
+    files = report_files(spark, paths) if isinstance(paths, str) else list(paths)
     if not files:
-        raise FileNotFoundError(f"no .rpt file below {path}")
+        raise FileNotFoundError(f"no .rpt file below {paths}")
     if shared_layout:
         first_two = [r.value for r in spark.read.text(files[0]).head(2)]
         return parse_shared_layout(scan_lines(spark, files), columns, *first_two)
     groups = [files[i : i + FILES_PER_GROUP] for i in range(0, len(files), FILES_PER_GROUP)]
     return reduce(
-        DataFrame.unionByName, [parse_lines(scan_lines(spark, g), columns) for g in groups]
+        DataFrame.unionByName,
+        [parse_lines(scan_lines(spark, g), columns, required) for g in groups],
     )

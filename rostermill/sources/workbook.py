@@ -27,6 +27,8 @@ BATCH = 4_096
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 _DATE_FORMAT_IDS = {*range(14, 23), 45, 46, 47}
+#: what a damaged or foreign file raises; it fails that file only
+_BROKEN = (zipfile.BadZipFile, ElementTree.ParseError, KeyError, IndexError, ValueError)
 _QUOTED = re.compile(r'"[^"]*"|\[[^\]]*\]|\\.')
 
 
@@ -142,14 +144,17 @@ def workbook_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_sheets(books: DataFrame) -> DataFrame:
-    """(path, sheet, position) of every sheet in the workbooks."""
+    """(path, sheet, position) of every sheet in the readable workbooks."""
 
     def names(batches):
         for batch in batches:
             rows = []
             for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as book:
-                    rows += [(path, s, i) for i, s in enumerate(_sheet_parts(book))]
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as book:
+                        rows += [(path, s, i) for i, s in enumerate(_sheet_parts(book))]
+                except _BROKEN:
+                    continue
             yield pd.DataFrame(rows, columns=["path", "sheet", "position"])
 
     return books.mapInPandas(names, "path string, sheet string, position int")
@@ -162,41 +167,68 @@ def rank_sheets(sheets: DataFrame, name: str = "sheet") -> DataFrame:
     return sheets.join(F.broadcast(known), sheets[name] == known["_sheet"]).drop("_sheet")
 
 
-def read_workbook_sheets(books: DataFrame, sheet: str, columns: list[str]) -> DataFrame:
-    """Rows of one sheet of all workbooks: wanted columns plus position.
+def parse_workbook_sheets(
+    books: DataFrame,
+    sheet: str,
+    columns: list[str],
+    required: list[str] | None = None,
+    sheet_required: bool = False,
+) -> DataFrame:
+    """Rows of one sheet of all workbooks: wanted columns, position, problem.
 
     Columns are found by the names in the sheet's first row; one that is
-    absent gives nulls. Numbers that are whole become integer text, date
-    cells ``YYYY-MM-DD HH:MM:SS`` text.
+    absent gives nulls unless it is ``required``. Whole numbers become
+    integer text, date cells ``YYYY-MM-DD HH:MM:SS`` text. A workbook that
+    cannot be read, lacks a required column or a required sheet gives one
+    row with only its name and ``_problem``, so the others go on.
     """
     schema = (
         strings(columns)
         .add("_file", T.StringType())
         .add("_block", T.LongType())
         .add("_line", T.LongType())
+        .add("_problem", T.StringType())
     )
     names = schema.fieldNames()
+    need = set(required or [])
+
+    def rows_of(path: str, content: bytes) -> Iterator[list]:
+        rows = _sheet_rows(content, sheet)
+        header = next(rows, None)
+        if header is None:
+            if sheet_required:
+                raise ValueError(f"no sheet {sheet}")
+            return
+        at: dict[str, int] = {}
+        for index, name in header.items():
+            at.setdefault((name or "").strip(), index)
+        if missing := sorted(need - at.keys()):
+            raise ValueError(f"missing columns: {', '.join(missing)}")
+        places = [at.get(c, -1) for c in columns]
+        for number, cells in enumerate(rows):
+            if any(v not in (None, "") for v in cells.values()):
+                yield [cells.get(p) for p in places] + [path, 0, number, None]
 
     def parse(batches):
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                rows = _sheet_rows(content, sheet)
-                header = next(rows, None)
-                if header is None:
-                    continue
-                at = {}
-                for index, name in header.items():
-                    at.setdefault((name or "").strip(), index)
-                places = [at.get(c, -1) for c in columns]
                 out = []
-                for number, cells in enumerate(rows):
-                    if not any(v not in (None, "") for v in cells.values()):
-                        continue
-                    out.append([cells.get(p) for p in places] + [path, 0, number])
-                    if len(out) == BATCH:
-                        yield pd.DataFrame(out, columns=names)
-                        out = []
+                try:
+                    for row in rows_of(path, content):
+                        out.append(row)
+                        if len(out) == BATCH:
+                            yield pd.DataFrame(out, columns=names)
+                            out = []
+                except _BROKEN as problem:
+                    text = f"{type(problem).__name__}: {problem}"
+                    out.append([None] * len(columns) + [path, 0, -1, text])
                 if out:
                     yield pd.DataFrame(out, columns=names)
 
-    return normalize_nulls(books.mapInPandas(parse, schema), columns)
+    parsed = books.mapInPandas(parse, schema)
+    return normalize_nulls(parsed, columns)
+
+
+def read_workbook_sheets(books: DataFrame, sheet: str, columns: list[str]) -> DataFrame:
+    """The good rows of :func:`parse_workbook_sheets`."""
+    return parse_workbook_sheets(books, sheet, columns).where("_problem IS NULL").drop("_problem")

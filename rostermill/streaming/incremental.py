@@ -16,9 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rostermill.functions.scalars import file_name
 from rostermill.plans.jobs import Ingest
-from rostermill.schemas import CLAIM_COLUMNS
+from rostermill.schemas import CLAIM_COLUMNS, CLAIM_REQUIRED
 from rostermill.sources.files import number_rows
-from rostermill.sources.fixed_width import FILES_PER_GROUP, parse_lines
+from rostermill.sources.fixed_width import FILES_PER_GROUP, layout_problems, parse_lines
 
 
 def _source(spark: SparkSession, kind: str, extension: str, files_per_batch: int):
@@ -41,6 +41,7 @@ def stream_claim_rows(
     checkpoint: str,
     module: str = "claim_rpt",
     file_type: str = "rpt",
+    find_problems: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Load a stream of files as claim rows; ends when all present are taken.
 
@@ -68,7 +69,8 @@ def stream_claim_rows(
         )
         fresh = numbered.join(files.select(F.col("path").alias("_file")), "_file", "left_semi")
         ingest.claim_rows_into(
-            run, to_rows(fresh), files, module, file_type, dump=False, backup=False, tag=tag
+            run, to_rows(fresh), files, module, file_type, dump=False, backup=False,
+            problems=find_problems(fresh) if find_problems else None, tag=tag,
         )
 
     return (
@@ -85,7 +87,11 @@ def stream_claim_reports(
     """Start taking ``.rpt`` files; ends when all present ones are loaded."""
     lines = _source(ingest.spark, "text", "rpt", files_per_batch).load(folder)
     return stream_claim_rows(
-        ingest, lines, lambda batch: parse_lines(batch, CLAIM_COLUMNS), checkpoint
+        ingest,
+        lines,
+        lambda batch: parse_lines(batch, CLAIM_COLUMNS, CLAIM_REQUIRED),
+        checkpoint,
+        find_problems=lambda batch: layout_problems(batch, CLAIM_REQUIRED),
     )
 
 
