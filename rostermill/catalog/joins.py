@@ -247,7 +247,7 @@ def coalesce_with_previous(spark: SparkSession, folder: str) -> DataFrame:
     incoming = B.claims_in(spark, folder).withColumns(
         {f: empty for f in K.FALLBACK_FIELDS if f not in ("MODIFIER1", "MODIFIER2")}
     )
-    out = K.merge_lines(incoming, _stored_lines(spark, folder))
+    out = K.merge_lines(incoming, _stored_lines(spark, folder), single_file=True)
     return out.select(
         F.col("CLAIM_ID").alias("claim_id"), F.col("CODE").alias("code"),
         F.col("DATE_OF_SERVICE").alias("service_date"), F.col("BILLED_AMOUNT").alias("billed"),

@@ -172,7 +172,7 @@ def _stored_children(spark: SparkSession, folder: str) -> tuple[DataFrame, DataF
         rows, none.select(F.lit("").alias("CLAIM_ID"), F.lit("").alias("DIAGNOSIS_CODE")), 0
     )
     blank = none.select(F.lit("").alias("CLAIM_ID"), *[F.lit("").alias(c) for c in LINE_FIELDS])
-    return diagnoses, PC.new_lines(rows, blank, 0)
+    return diagnoses, PC.new_lines(rows, blank, LazyRun({}, 0), single_file=True)
 
 
 def _load_claims(spark: SparkSession, folder: str, rows: DataFrame):

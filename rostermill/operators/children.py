@@ -7,7 +7,9 @@ on demand by :func:`collect_ordered`, in parts of bounded size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostermill.operators.dedup import keep_first
@@ -101,14 +103,65 @@ def coalesce_with_previous(df: DataFrame, fields: list[str], old: str = "_old")
     return df.withColumns({f: F.coalesce(F.col(f), F.col(f"{old}.{f}")) for f in fields})
 
 
-def merge_lines(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+def merge_lines(
+    incoming: DataFrame,
+    stored: DataFrame,
+    single_file: bool = False,
+    hot: Callable[[DataFrame, list[str]], DataFrame | None] = lambda rows, keys: None,
+) -> DataFrame:
     """Incoming service lines, one per (claim, code, date), first row wins.
 
     Modifiers and diagnosis indexes missing in the input are taken from the
     stored line of the same claim, code and date. Keeping the first row per
     (claim, code, date) makes a prior pass over the longer 14-column key
     unnecessary: the first of the short key is the first of its long key.
+
+    In an input of several files a later file replaces a claim's lines, as if
+    the files were loaded one after another; ``single_file`` saves that step.
     """
-    first = keep_first(incoming, ["CLAIM_ID", *LINE_MATCH_KEYS], ORDINAL)
-    matched = match_child_rows(first, stored, "CLAIM_ID", LINE_MATCH_KEYS, FALLBACK_FIELDS)
-    return coalesce_with_previous(matched, FALLBACK_FIELDS).drop("_old")
+    keys = ["CLAIM_ID", *LINE_MATCH_KEYS]
+    if single_file:
+        current = keep_first(incoming, keys).withColumn("_linked", F.lit(True))
+    else:
+        current = _lines_of_last_file(incoming, keys, hot)
+    matched = match_child_rows(current, stored, "CLAIM_ID", LINE_MATCH_KEYS, FALLBACK_FIELDS)
+    linked = matched.withColumn("_old", F.when(F.col("_linked"), F.col("_old")))
+    return coalesce_with_previous(linked, FALLBACK_FIELDS).drop("_old", "_linked")
+
+
+def _lines_of_last_file(incoming: DataFrame, keys: list[str], hot) -> DataFrame:
+    """Lines of each claim's last file, missing codes filled from the files
+    before it.
+
+    A file without the line breaks the chain: it removed the line. ``_linked``
+    tells whether the chain reaches back to the stored line. Files of a claim
+    are numbered on one row per (claim, file).
+    """
+    by_claim = Window.partitionBy("CLAIM_ID")
+    files = (
+        incoming.select("CLAIM_ID", "_file")
+        .distinct()
+        .withColumn("r", F.row_number().over(by_claim.orderBy("_file")))
+        .withColumn("n", F.count(F.lit(1)).over(by_claim))
+    )
+    first = keep_first(incoming, [*keys, "_file"])
+    place = ["CLAIM_ID", "_file"]
+    ranked = lookup(
+        first, files, {c: c for c in place}, {"r": "r", "n": "n"}, "_f",
+        hot=hot(first, place), spread=[*keys, *ORDINAL],
+    )
+    newest_first = Window.partitionBy(*keys).orderBy(F.desc("_f.r"))
+    whole = newest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    chained = ranked.withColumn("_rn", F.row_number().over(newest_first)).withColumn(
+        "_in_chain", F.col("_f.n") - F.col("_f.r") == F.col("_rn") - 1
+    )
+    filled = {
+        f: F.first(F.when(F.col("_in_chain"), F.col(f)), ignorenulls=True).over(whole)
+        for f in FALLBACK_FIELDS
+    }
+    depth = F.sum(F.col("_in_chain").cast("int")).over(whole)
+    return (
+        chained.withColumns({**filled, "_linked": depth == F.col("_f.n")})
+        .where("_rn = 1 AND _in_chain")
+        .drop("_f", "_rn", "_in_chain")
+    )

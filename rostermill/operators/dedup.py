@@ -28,6 +28,23 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str] = ORDINAL) -> Dat
     return _one_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
+def keep_newest(df: DataFrame, keys: list[str], date: Column) -> DataFrame:
+    """One row per key from an input of several files.
+
+    Within a file the first row counts, as always; between files the newest
+    ``date`` (none is oldest; of equals the earlier file). That is what
+    loading the files one after another ends with when every row updates only
+    an older one.
+    """
+    per_file = keep_first(df, [*keys, "_file"])
+    return _one_per_key(per_file, keys, [date.desc_nulls_last(), *[F.col(c) for c in ORDINAL]])
+
+
+def keep_from_last_file(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: the first of the last file that has the key."""
+    return keep_last(keep_first(df, [*keys, "_file"]), keys, ["_file"])
+
+
 def distinct_keys(df: DataFrame, key: str, drop_empty: bool = True) -> DataFrame:
     """Distinct non-null (and non-empty) values of one key."""
     keys = df.select(key).where(F.col(key).isNotNull())

@@ -16,7 +16,7 @@ from rostermill.functions.scalars import surrogate_key
 from rostermill.operators.children import PART_ROWS, collect_ordered, merge_lines
 from rostermill.operators.classify import classify_always_update
 from rostermill.operators.clean import enforce_string_schema
-from rostermill.operators.dedup import keep_first, keep_last
+from rostermill.operators.dedup import keep_first, keep_from_last_file, keep_last
 from rostermill.operators.match import lookup, without_match
 from rostermill.operators.nest import documents, line_values, nest_claim_header
 from rostermill.operators.registry import with_lineage
@@ -41,12 +41,12 @@ def claim_rows(rows: DataFrame) -> DataFrame:
 
 def claim_headers(rows: DataFrame) -> DataFrame:
     """One header per claim: the last of its rows that are the first of
-    their (claim, diagnosis)."""
+    their (file, claim, diagnosis)."""
     keys = ["CLAIM_ID", "DIAGNOSIS_CODE"]
     rest = [c for c in CLAIM_HEADER_COLUMNS if c not in keys]
     # One struct for the wide rest: sorts and shuffles move it as a whole.
     packed = rows.selectExpr(*keys, *ORDINAL, f"struct({', '.join(rest)}) AS _rest")
-    header = keep_last(keep_first(packed, keys), ["CLAIM_ID"])
+    header = keep_last(keep_first(packed, [*keys, "_file"]), ["CLAIM_ID"])
     return header.select(*keys, "_rest.*", *ORDINAL)
 
 
@@ -86,19 +86,23 @@ def new_diagnoses(rows: DataFrame, stored: DataFrame, run_number: int) -> DataFr
     return documents(fresh, "claim_diagnosis", values)
 
 
-def new_lines(rows: DataFrame, stored: DataFrame, run_number: int) -> DataFrame:
+def new_lines(
+    rows: DataFrame, stored: DataFrame, run: LazyRun, single_file: bool = False
+) -> DataFrame:
     """Service lines of the incoming claims, missing codes filled from the
     stored line of the same code and date."""
     columns = list(dict.fromkeys(["CLAIM_ID", *LINE_FIELDS, ALTERNATE_ITEM_NUMBER, *ORDINAL]))
-    merged = merge_lines(rows.select(*columns), stored)
+    merged = merge_lines(rows.select(*columns), stored, single_file, run.hot)
     values = line_values(merged)
     values |= {c: c for c in ["CLAIM_ID", *ORDINAL]}
     key = surrogate_key(F.lit("line"), "CLAIM_ID", *LINE_MATCH_KEYS)
-    return documents(merged, "claim_line", {**values, "_id": key, "_run": str(run_number)})
+    return documents(merged, "claim_line", {**values, "_id": key, "_run": str(run.number)})
 
 
-def load_claims(rows: DataFrame, run: LazyRun, lineage: DataFrame) -> Result:
-    """A claim input against the stored claims.
+def load_claims(
+    rows: DataFrame, run: LazyRun, lineage: DataFrame, single_file: bool = False
+) -> Result:
+    """A claim input of one or several files against the stored claims.
 
     New claims are inserted, known ones replaced: header from the input,
     diagnoses added to, lines replaced, lineage extended.
@@ -119,7 +123,9 @@ def load_claims(rows: DataFrame, run: LazyRun, lineage: DataFrame) -> Result:
     result.changes["claim_diagnosis"] = new_diagnoses(
         rows, run.state("claim_diagnosis"), run.number
     )
-    result.changes["claim_line"] = new_lines(rows, run.state("claim_line"), run.number)
+    result.changes["claim_line"] = new_lines(
+        rows, run.state("claim_line"), run, single_file
+    )
     for table, changes in result.changes.items():
         result.current[table] = run.save(table, changes)
     return result
@@ -174,11 +180,11 @@ def correct_claims(rows: DataFrame, run: LazyRun, lineage: DataFrame) -> Result:
     """Set the insured id of stored claims from a (claim, insured id) sheet.
 
     Only claims whose id differs are touched; they also get the file's
-    lineage.
+    lineage. Of several files the last one counts.
     """
     result = Result()
     stored = run.state("claim")
-    incoming = with_lineage(keep_first(rows, ["CLAIM_ID"]), lineage)
+    incoming = with_lineage(keep_from_last_file(rows, ["CLAIM_ID"]), lineage)
     matched = lookup(
         stored, incoming, {"CLAIM_ID": "CLAIM_ID"},
         {"insured": "INSURED_ENROLLEE_ID", "lineage": "lineage"}, "_in", how="inner",

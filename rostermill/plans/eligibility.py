@@ -3,7 +3,8 @@
 Each step reduces the input to one row per business key, looks up parents
 and the row's own stored document (one join each, with only the needed
 fields), classifies, and builds the changed documents. Later steps see the
-tables as the earlier ones left them.
+tables as the earlier ones left them. Several files may be one input; see
+:func:`~rostermill.operators.dedup.keep_newest`.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from rostermill.operators.classify import (
     complete_unless_false,
 )
 from rostermill.operators.clean import project_columns
-from rostermill.operators.dedup import keep_first
+from rostermill.operators.dedup import keep_newest
 from rostermill.operators.match import code_lookup, lookup, missing_parents
 from rostermill.operators.nest import (
     nest_eligibility,
@@ -109,9 +110,15 @@ def _judged(df: DataFrame, complete: Column, null_incoming: str, parents: dict[s
     )
 
 
+def one_per_key(rows: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
+    """The wanted columns, one row per business key."""
+    picked = project_columns(rows, columns, ORDINAL)
+    return keep_newest(picked, keys, parse_ts_tolerant("LAST_MODIFIED_DATE_TIME"))
+
+
 def classify_persons(rows: DataFrame, enrollees: DataFrame) -> DataFrame:
     """Enrollee rows, one per id, with their stored match and action."""
-    first = keep_first(project_columns(rows, ENROLLEE_COLUMNS, ORDINAL), ["ENROLLEE_ID"])
+    first = one_per_key(rows, ENROLLEE_COLUMNS, ["ENROLLEE_ID"])
     fields = {**_OLD_WITH_HISTORY, "complete": default_flag("hasCompleteInfo")}
     matched = lookup(first, enrollees, {"ENROLLEE_ID": "referenceId"}, fields, "_old")
     judged = _judged(matched, F.coalesce(F.col("_old.complete"), F.lit(True)), "skip", {})
@@ -245,9 +252,7 @@ def load_eligibility(
     persons = nest_person(
         settle("enrollee", classify_persons(enrollee_rows, old_enrollees), ["ENROLLEE_ID"])
     )
-    policies = keep_first(
-        project_columns(eligibility_rows, SUBSCRIBER_COLUMNS, ORDINAL), SUBSCRIBER_KEYS
-    )
+    policies = one_per_key(eligibility_rows, SUBSCRIBER_COLUMNS, SUBSCRIBER_KEYS)
     known = old_enrollees.select("referenceId").unionByName(persons.select("referenceId"))
     absent = missing_parents(policies, "INSURED_ENROLLEE_ID", known, "referenceId")
     stubs = stub_persons(with_lineage(absent, lineage), "INSURED_ENROLLEE_ID")
@@ -259,16 +264,14 @@ def load_eligibility(
     subscribers = save("subscriber", nest_subscriber_enrollee(good))
 
     # Patients.
-    rows = keep_first(project_columns(eligibility_rows, PATIENT_COLUMNS, ORDINAL), PATIENT_KEYS)
+    rows = one_per_key(eligibility_rows, PATIENT_COLUMNS, PATIENT_KEYS)
     classified = classify_patients(rows, enrollees, subscribers, run.state("patient"), run)
     good = settle("patient", classified, PATIENT_KEYS)
     labelled = code_lookup(good, relationships, "RELATIONSHIP_CODE", "relationship_label")
     patients = save("patient", nest_patient(labelled))
 
     # Eligibilities.
-    rows = keep_first(
-        project_columns(eligibility_rows, ELIGIBILITY_COLUMNS, ORDINAL), ELIGIBILITY_KEYS
-    )
+    rows = one_per_key(eligibility_rows, ELIGIBILITY_COLUMNS, ELIGIBILITY_KEYS)
     classified = classify_eligibilities(
         rows, enrollees, subscribers, patients, run.state("eligibility"), run
     )

@@ -117,7 +117,8 @@ class Ingest:
         registered = self.register(files, run, module, backup)
         lineage = lineage_struct(registered, file_type)
         staged = self.store.stage("claims", run, claim_rows(rows))
-        result = load_claims(staged, StoreRun(self.store, run, self.guard_skew), lineage)
+        single = registered.limit(2).count() < 2
+        result = load_claims(staged, StoreRun(self.store, run, self.guard_skew), lineage, single)
         if problems is not None:
             result.add_rejects(_file_rejects(problems))
         if dump:

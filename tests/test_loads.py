@@ -89,6 +89,31 @@ def test_claim_reports_insert_then_update(spark, tmp_path, ingest):
     assert claims_of(store) == AFTER_SECOND
 
 
+def test_one_run_equals_file_after_file(spark, tmp_path):
+    third = [
+        claim("C1", "third", "E1", "F32", "97110", "2024-01-02", "7", None, None),
+        claim("C1", "third", "E1", "F32", "97112", "2024-01-02", "8", None, None),
+        claim("C2", "third", "E2", "A1", "97110", "2024-01-02", "1", None, None),
+    ]
+    files = {"a.rpt": FIRST, "b.rpt": SECOND, "c.rpt": third}
+    results = []
+    for mode in ("one", "each"):
+        folder = tmp_path / mode
+        folder.mkdir()
+        ingest = Ingest(TableStore(spark, str(tmp_path / f"store-{mode}")))
+        for name, data in files.items():
+            write_report(folder / name, CLAIM, data)
+            if mode == "each":
+                ingest.claim_reports(str(folder))
+        if mode == "one":
+            ingest.claim_reports(str(folder))
+        results.append(claims_of(ingest.store))
+    assert results[0] == results[1]
+    # 97112 was absent from the second file, so nothing fills its modifier.
+    assert results[0]["C1"][2] == [("97110", "7", "M1"), ("97112", "8", None)]
+    assert results[0]["C1"][3] == ["c.rpt", "b.rpt", "a.rpt"]
+
+
 def test_the_same_file_twice_changes_nothing(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()

@@ -72,6 +72,19 @@ def test_group_limit_runs_before_the_shuffle(rows):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_newest_file_wins_after_the_first_row_of_each(rows):
+    data = [
+        {"K": "a", "D": "2024-01-02", "V": "1", "_file": "f1"},
+        {"K": "a", "D": "2024-09-09", "V": "not first", "_file": "f1"},
+        {"K": "a", "D": "2024-01-03", "V": "2", "_file": "f2"},
+        {"K": "a", "D": "2024-01-03", "V": "tie", "_file": "f3"},
+        {"K": "b", "V": "3", "_file": "f1"}, {"K": "b", "V": "4", "_file": "f2"},
+    ]
+    df = rows(["K", "D", "V"], data)
+    assert values(D.keep_newest(df, ["K"], F.col("D").cast("date")), "K", "V") == [("a", "2"), ("b", "3")]
+    assert values(D.keep_from_last_file(df, ["K"]), "K", "V") == [("a", "tie"), ("b", "4")]
+
+
 def test_distinct_keys_skip_null_and_empty(rows):
     df = rows(["K"], [{"K": "a"}, {"K": "a"}, {"K": ""}, {}])
     assert values(D.distinct_keys(df, "K"), "K") == [("a",)]
@@ -299,7 +312,8 @@ def test_large_parents_come_in_ordered_parts(rows, part_rows):
     assert got["small"] == [["s"]] and got[None] == [["n"]]
 
 
-def test_lines_take_missing_codes_from_their_own_old_line(rows):
+@pytest.mark.parametrize("single_file", [True, False])
+def test_lines_take_missing_codes_from_their_own_old_line(rows, single_file):
     columns = ["CLAIM_ID", "CODE", "DATE_OF_SERVICE", *K.FALLBACK_FIELDS]
     new = rows(columns, [
         {"CLAIM_ID": "1", "CODE": "a", "DATE_OF_SERVICE": "d"},
@@ -313,7 +327,7 @@ def test_lines_take_missing_codes_from_their_own_old_line(rows):
         {"CLAIM_ID": "1", "CODE": None, "DATE_OF_SERVICE": None, "MODIFIER1": "N"},
         {"CLAIM_ID": "1", "CODE": "gone", "DATE_OF_SERVICE": "d", "MODIFIER1": "G"},
     ])
-    out = K.merge_lines(new, old)
+    out = K.merge_lines(new, old, single_file)
     assert values(out, "CLAIM_ID", "CODE", "MODIFIER1", "DIAGNOSIS_CODE_INDEX8") == [
         ("1", "a", "M", "8"), ("1", "b", None, None), ("1", None, "N", None), ("2", "a", None, None),
     ]
