@@ -37,6 +37,11 @@ def ordinal_slot(part_rows: int = PART_ROWS) -> list[Column]:
     ]
 
 
+def large_parents(children: DataFrame, keys: list[str], part_rows: int = PART_ROWS) -> DataFrame:
+    """Parents whose children do not fit one array. Reads the keys only."""
+    return hot_keys(children, keys, part_rows + 1, MAX_SPLIT_PARENTS)
+
+
 def collect_ordered(
     children: DataFrame,
     keys: list[str],
@@ -53,12 +58,11 @@ def collect_ordered(
     whole parents) puts them in order. ``slot`` must rise with ``order``.
     """
     slots = ordinal_slot(part_rows) if slot is None else slot
-    large = hot_keys(children, keys, part_rows + 1, MAX_SPLIT_PARENTS)
     names = [f"_p{i}" for i in range(len(keys))]
     large = F.broadcast(
-        large.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).withColumn(
-            "_large", F.lit(True)
-        )
+        large_parents(children, keys, part_rows)
+        .select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+        .withColumn("_large", F.lit(True))
     )
     marked = children.join(
         large, null_safe_equal([(children[k], large[n]) for k, n in zip(keys, names)]), "left"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rostermill.functions.arrays import array_union_by_key, set_nested_fields
 from rostermill.functions.scalars import surrogate_key
-from rostermill.operators.children import PART_ROWS, collect_ordered, merge_lines
+from rostermill.operators.children import PART_ROWS, collect_ordered, large_parents, merge_lines
 from rostermill.operators.classify import classify_always_update
 from rostermill.operators.clean import enforce_string_schema
 from rostermill.operators.dedup import keep_first, keep_from_last_file, keep_last
@@ -31,7 +31,6 @@ from rostermill.schemas import (
     LINE_MATCH_KEYS,
     ORDINAL,
 )
-from rostermill.skew import hot_keys
 
 
 def claim_rows(rows: DataFrame) -> DataFrame:
@@ -108,7 +107,7 @@ def load_claims(
     diagnoses added to, lines replaced, lineage extended.
     """
     result = Result()
-    classified = run.cut("claim_classified", classify_claims(rows, run.state("claim")))
+    classified = classify_claims(rows, run.state("claim"))
     result.classified["claim"] = classified
     sources = claim_sources(rows, lineage)
     headers = with_lineage(classified, lineage).join(
@@ -160,7 +159,8 @@ def assemble_claims(
         "DIAGNOSIS_CODES",
         "SERVICE_LINES",
     )
-    large = hot_keys(both, ["CLAIM_ID"], min_rows=2)
+    split = [large_parents(side, ["CLAIM_ID"], part_rows) for side in (diagnoses, lines)]
+    large = split[0].union(split[1]).distinct()
     header = {c: c for c in claims.columns}
     joined = lookup(
         both, claims, {"CLAIM_ID": "CLAIM_ID"}, header, "_h", how="inner",
