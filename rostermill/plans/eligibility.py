@@ -135,9 +135,12 @@ def stub_persons(keys: DataFrame, key: str) -> DataFrame:
 
 
 def classify_subscribers(
-    rows: DataFrame, enrollees: DataFrame, subscribers: DataFrame, run: LazyRun
+    rows: DataFrame, enrollees: DataFrame, subscribers: DataFrame, run: LazyRun,
+    source: DataFrame | None = None,
 ) -> DataFrame:
-    hot = run.hot(rows, ["INSURED_ENROLLEE_ID"])
+    """Subscriber rows. ``source``, here and below, is the input that ``rows``
+    were reduced from: hot keys are counted on its key columns alone."""
+    hot = run.hot(rows if source is None else source, ["INSURED_ENROLLEE_ID"])
     with_parent = lookup(
         rows, enrollees, {"INSURED_ENROLLEE_ID": "referenceId"}, _PERSON, "enrollee", hot=hot
     )
@@ -152,16 +155,17 @@ def _missing(alias: str, key: str) -> dict[str, Column]:
 
 
 def classify_patients(
-    rows: DataFrame, enrollees: DataFrame, subscribers: DataFrame, patients: DataFrame, run: LazyRun
+    rows: DataFrame, enrollees: DataFrame, subscribers: DataFrame, patients: DataFrame,
+    run: LazyRun, source: DataFrame | None = None,
 ) -> DataFrame:
     """Patient rows; the first subscriber (by id) with the number is taken."""
     step = lookup(
         rows, enrollees, {"ENROLLEE_ID": "referenceId"}, _PERSON, "enrollee",
-        hot=run.hot(rows, ["ENROLLEE_ID"]),
+        hot=run.hot(rows if source is None else source, ["ENROLLEE_ID"]),
     )
     step = lookup(
         step, subscribers, {"SUBSCRIBER_ID": "subscriberNumber"}, _POLICY, "subscriber",
-        first_by=["_id"], hot=run.hot(rows, ["SUBSCRIBER_ID"]), spread=[*PATIENT_KEYS, *ORDINAL],
+        first_by=["_id"], hot=run.hot(rows if source is None else source, ["SUBSCRIBER_ID"]), spread=[*PATIENT_KEYS, *ORDINAL],
     )
     on = {
         "ENROLLEE_ID": "enrollee.referenceId",
@@ -183,17 +187,18 @@ def classify_eligibilities(
     patients: DataFrame,
     eligibilities: DataFrame,
     run: LazyRun,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     spread = [*ELIGIBILITY_KEYS, *ORDINAL]
     step = lookup(
         rows, enrollees, {"ENROLLEE_ID": "referenceId"},
         {k: v for k, v in _PERSON.items() if k in ("_id", "referenceId", "hasCompleteInfo")},
-        "enrollee", hot=run.hot(rows, ["ENROLLEE_ID"]), spread=spread,
+        "enrollee", hot=run.hot(rows if source is None else source, ["ENROLLEE_ID"]), spread=spread,
     )
     step = lookup(
         step, subscribers,
         {"SUBSCRIBER_ID": "subscriberNumber", "INSURED_ENROLLEE_ID": "enrollee.referenceId"},
-        _POLICY, "subscriber", hot=run.hot(rows, SUBSCRIBER_KEYS), spread=spread,
+        _POLICY, "subscriber", hot=run.hot(rows if source is None else source, SUBSCRIBER_KEYS), spread=spread,
     )
     step = lookup(
         step, patients,
@@ -202,7 +207,7 @@ def classify_eligibilities(
             "SUBSCRIBER_ID": "subscriber.identificationCode",
             "MEMBER_ID": "memberId",
         },
-        _PATIENT, "patient", hot=run.hot(rows, PATIENT_KEYS), spread=spread,
+        _PATIENT, "patient", hot=run.hot(rows if source is None else source, PATIENT_KEYS), spread=spread,
     )
     on = {
         "ENROLLEE_ID": "enrollee.referenceId",
@@ -259,13 +264,17 @@ def load_eligibility(
     enrollees = save("enrollee", persons.unionByName(stubs))
 
     # Subscribers.
-    classified = classify_subscribers(policies, enrollees, run.state("subscriber"), run)
+    classified = classify_subscribers(
+        policies, enrollees, run.state("subscriber"), run, eligibility_rows
+    )
     good = settle("subscriber", classified, SUBSCRIBER_KEYS)
     subscribers = save("subscriber", nest_subscriber_enrollee(good))
 
     # Patients.
     rows = one_per_key(eligibility_rows, PATIENT_COLUMNS, PATIENT_KEYS)
-    classified = classify_patients(rows, enrollees, subscribers, run.state("patient"), run)
+    classified = classify_patients(
+        rows, enrollees, subscribers, run.state("patient"), run, eligibility_rows
+    )
     good = settle("patient", classified, PATIENT_KEYS)
     labelled = code_lookup(good, relationships, "RELATIONSHIP_CODE", "relationship_label")
     patients = save("patient", nest_patient(labelled))
@@ -273,7 +282,8 @@ def load_eligibility(
     # Eligibilities.
     rows = one_per_key(eligibility_rows, ELIGIBILITY_COLUMNS, ELIGIBILITY_KEYS)
     classified = classify_eligibilities(
-        rows, enrollees, subscribers, patients, run.state("eligibility"), run
+        rows, enrollees, subscribers, patients, run.state("eligibility"), run,
+        eligibility_rows,
     )
     good = settle("eligibility", classified, ELIGIBILITY_KEYS)
     save("eligibility", nest_eligibility(good))

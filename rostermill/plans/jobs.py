@@ -30,8 +30,13 @@ from rostermill.schemas import (
     ELIGIBILITY_COLUMNS,
     ENROLLEE_COLUMNS,
 )
-from rostermill.sources.files import list_input_files, scan_lines
-from rostermill.sources.fixed_width import layout_problems, read_fixed_width, report_files
+from rostermill.sources.files import list_input_files, listed_paths, scan_lines
+from rostermill.sources.fixed_width import (
+    file_layouts,
+    layout_problems,
+    read_reports,
+    read_shared_reports,
+)
 from rostermill.sources.workbook import parse_workbook_sheets, workbook_files
 from rostermill.storage import TableStore
 
@@ -129,27 +134,27 @@ class Ingest:
     def claim_reports(self, folder: str, shared_layout: bool = False) -> Result | None:
         """All new ``.rpt`` files below ``folder`` as one run."""
         files = self.new_files(list_input_files(self.spark, folder, "rpt"))
-        if files.isEmpty():
+        paths = listed_paths(files)
+        if not paths:
             return None
-        rows = read_fixed_width(
-            self.spark, folder, CLAIM_COLUMNS, shared_layout, required=CLAIM_REQUIRED
-        )
-        new = files.select(F.col("path").alias("_file"))
-        problems = None
-        if not shared_layout:
-            lines = scan_lines(self.spark, report_files(self.spark, folder))
-            problems = layout_problems(lines, CLAIM_REQUIRED).join(new, "_file", "left_semi")
+        run, problems = self.store.next_run(), None
+        if shared_layout:
+            rows = read_shared_reports(self.spark, paths, CLAIM_COLUMNS)
+        else:
+            found = file_layouts(scan_lines(self.spark, paths), CLAIM_COLUMNS)
+            layouts = self.store.stage("layouts", run, found)
+            problems = layout_problems(layouts, CLAIM_REQUIRED)
+            rows = read_reports(self.spark, paths, CLAIM_COLUMNS, CLAIM_REQUIRED, layouts)
         return self.claim_rows_into(
-            self.store.next_run(), rows.join(new, "_file", "left_semi"), files, "claim_rpt",
-            "rpt", dump=False, backup=False, problems=problems,
+            run, rows, files, "claim_rpt", "rpt", dump=False, backup=False, problems=problems
         )
 
     def claim_workbooks(self, folder: str) -> Result | None:
         """Sheet CLAIMS of all new workbooks, with a raw dump."""
-        files, books = self._new_books(folder)
-        if files.isEmpty():
+        files, paths = self._new_books(folder)
+        if not paths:
             return None
-        run = self.store.next_run()
+        run, books = self.store.next_run(), workbook_files(self.spark, paths)
         rows, problems = self._sheet(
             "claim_sheet", run, books, "CLAIMS", CLAIM_COLUMNS, CLAIM_REQUIRED, sheet_required=True
         )
@@ -159,10 +164,10 @@ class Ingest:
 
     def claim_corrections(self, folder: str) -> Result | None:
         """Sheet CLAIMS (claim, insured id) applied to stored claims."""
-        files, books = self._new_books(folder)
-        if files.isEmpty():
+        files, paths = self._new_books(folder)
+        if not paths:
             return None
-        run = self.store.next_run()
+        run, books = self.store.next_run(), workbook_files(self.spark, paths)
         registered = self.register(files, run, "provider_claim", backup=False)
         rows, problems = self._sheet(
             "corrections", run, books, "CLAIMS", CORRECTION_COLUMNS, CORRECTION_COLUMNS,
@@ -177,10 +182,9 @@ class Ingest:
 
     # -- eligibility ------------------------------------------------------
 
-    def _new_books(self, folder: str) -> tuple[DataFrame, DataFrame]:
+    def _new_books(self, folder: str) -> tuple[DataFrame, list[str]]:
         files = self.new_files(list_input_files(self.spark, folder, "xlsx"))
-        books = workbook_files(self.spark, folder).join(files.select("path"), "path", "left_semi")
-        return files, books
+        return files, listed_paths(files)
 
     def _sheet(
         self, name: str, run: int, books: DataFrame, sheet: str, columns: list[str],
@@ -193,9 +197,10 @@ class Ingest:
         return staged.where("_problem IS NULL").drop("_problem"), broken
 
     def eligibility_workbooks(self, folder: str) -> Result | None:
-        files, books = self._new_books(folder)
-        if files.isEmpty():
+        files, paths = self._new_books(folder)
+        if not paths:
             return None
+        books = workbook_files(self.spark, paths)
         return self.eligibility_books_into(self.store.next_run(), books, files)
 
     def eligibility_books_into(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermill.functions.scalars import file_name
+from rostermill.functions.scalars import ColumnOrName, col, file_name
 
 
 def list_input_files(spark: SparkSession, folder: str, extension: str) -> DataFrame:
@@ -23,6 +25,22 @@ def list_input_files(spark: SparkSession, folder: str, extension: str) -> DataFr
     )
 
 
+def decoded_path(path: ColumnOrName) -> Column:
+    """A scan's file path as the listing writes it: URI escapes undone."""
+    return F.url_decode(F.replace(col(path), F.lit("+"), F.lit("%2B")))
+
+
+def literal_paths(paths: list[str]) -> list[str]:
+    """Paths for a reader, with the characters of glob patterns escaped."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+
+
+def listed_paths(files: DataFrame) -> list[str]:
+    """Names of the given files. The driver plans every scan from such a
+    list; reading only these spares files that are loaded already."""
+    return sorted(r.path for r in files.select("path").collect())
+
+
 def number_rows(lines: DataFrame) -> DataFrame:
     """Add ``_line``; with ``_file`` and ``_block`` it orders the rows.
 
@@ -32,14 +50,12 @@ def number_rows(lines: DataFrame) -> DataFrame:
     return lines.withColumn("_line", F.monotonically_increasing_id())
 
 
-def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Text lines (column ``value``) with their position."""
+def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Text lines (column ``value``) of the files with their position."""
     return number_rows(
-        spark.read.option("recursiveFileLookup", True)
-        .text(paths)
-        .select(
+        spark.read.text(literal_paths(paths)).select(
             "value",
-            F.col("_metadata.file_path").alias("_file"),
+            decoded_path("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
         )
     )

@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 from rostermill.operators.clean import normalize_nulls
 from rostermill.schemas import ORDINAL
-from rostermill.sources.files import scan_lines
+from rostermill.sources.files import (
+    list_input_files,
+    listed_paths,
+    literal_paths,
+    scan_lines,
+)
 
 #: layouts (about 5 kB each) broadcast in one go; more files are read in groups
 FILES_PER_GROUP = 5_000
@@ -91,7 +96,7 @@ def _cell(start: str | int, length: str | int) -> str:
     return f"nullif(trim(substring(value, {start}, {length})), '')"
 
 
-def layout_problems(lines: DataFrame, required: list[str]) -> DataFrame:
+def layout_problems(layouts: DataFrame, required: list[str]) -> DataFrame:
     """(_file, _problem) of files whose header lacks a required column."""
     absent = F.expr(
         "filter(array("
@@ -99,12 +104,15 @@ def layout_problems(lines: DataFrame, required: list[str]) -> DataFrame:
         + "), x -> x IS NOT NULL)"
     )
     text = F.concat(F.lit("missing columns: "), F.concat_ws(", ", absent))
-    return file_layouts(lines, required).where(F.size(absent) > 0).select(
-        "_file", text.alias("_problem")
-    )
+    return layouts.where(F.size(absent) > 0).select("_file", text.alias("_problem"))
 
 
-def parse_lines(lines: DataFrame, columns: list[str], required: list[str] | None = None) -> DataFrame:
+def parse_lines(
+    lines: DataFrame,
+    columns: list[str],
+    required: list[str] | None = None,
+    layouts: DataFrame | None = None,
+) -> DataFrame:
     """Rows of fixed-width lines as null-cleaned strings plus position.
 
     Files may differ in layout. The layouts are broadcast: the caller bounds
@@ -112,7 +120,7 @@ def parse_lines(lines: DataFrame, columns: list[str], required: list[str] | None
     stream). A column that a file lacks is null; a file that lacks a
     ``required`` one gives no rows (see :func:`layout_problems`).
     """
-    known = file_layouts(lines, columns)
+    known = file_layouts(lines, columns) if layouts is None else layouts
     for c in required or []:
         known = known.where(f"_at.`{c}` IS NOT NULL")
     rows = lines.join(F.broadcast(known), "_file").where(_is_row())
@@ -149,39 +157,46 @@ def parse_shared_layout(
     return normalize_nulls(rows.selectExpr(*cells, *ORDINAL), columns)
 
 
-def report_files(spark: SparkSession, path: str) -> list[str]:
-    """Names of the reports below a folder (the scan's own file listing)."""
-    found = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.rpt")
-        .text(path)
-        .inputFiles()
-    )
-    return sorted(f for f in found if not f.rsplit("/", 1)[-1].startswith(("~$", "%7E$")))
+def read_reports(
+    spark: SparkSession,
+    files: list[str],
+    columns: list[str],
+    required: list[str] | None = None,
+    layouts: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of the given reports.
+
+    A first scan finds the layout of each file, unless they are given. More
+    than :data:`FILES_PER_GROUP` files are read group by group, so that no
+    broadcast grows with their number.
+    """
+    parts = []
+    for i in range(0, len(files), FILES_PER_GROUP):
+        group = files[i : i + FILES_PER_GROUP]
+        known = layouts
+        if layouts is not None and len(files) > FILES_PER_GROUP:
+            known = layouts.where(F.col("_file").between(group[0], group[-1]))
+        parts.append(parse_lines(scan_lines(spark, group), columns, required, known))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_shared_reports(spark: SparkSession, files: list[str], columns: list[str]) -> DataFrame:
+    """Rows of reports that all have the first one's layout, in one scan."""
+    first_two = [r.value for r in spark.read.text(literal_paths(files[:1])).head(2)]
+    return parse_shared_layout(scan_lines(spark, files), columns, *first_two)
 
 
 def read_fixed_width(
     spark: SparkSession,
-    paths: str | list[str],
+    folder: str,
     columns: list[str],
     shared_layout: bool = False,
     required: list[str] | None = None,
 ) -> DataFrame:
-    """Read reports: all below a folder, or the given files.
-
-    With ``shared_layout`` the head lines of one file serve for all, and the
-    text is scanned once. Otherwise a first scan finds the layout of each
-    file; more than :data:`FILES_PER_GROUP` files are read group by group so
-    that no broadcast grows with their number.
-    """
-    files = report_files(spark, paths) if isinstance(paths, str) else list(paths)
+    """Rows of every report below a folder."""
+    files = listed_paths(list_input_files(spark, folder, "rpt"))
     if not files:
-        raise FileNotFoundError(f"no .rpt file below {paths}")
+        raise FileNotFoundError(f"no .rpt file below {folder}")
     if shared_layout:
-        first_two = [r.value for r in spark.read.text(files[0]).head(2)]
-        return parse_shared_layout(scan_lines(spark, files), columns, *first_two)
-    groups = [files[i : i + FILES_PER_GROUP] for i in range(0, len(files), FILES_PER_GROUP)]
-    return reduce(
-        DataFrame.unionByName,
-        [parse_lines(scan_lines(spark, g), columns, required) for g in groups],
-    )
+        return read_shared_reports(spark, files, columns)
+    return read_reports(spark, files, columns, required)

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from rostermill.operators.clean import normalize_nulls
 from rostermill.schemas import SHEET_PRIORITY, strings
+from rostermill.sources.files import literal_paths
 
 BATCH = 4_096
 
@@ -131,15 +132,10 @@ def _sheet_rows(content: bytes, sheet: str) -> Iterator[dict[int, str]]:
                 yield cells
 
 
-def workbook_files(spark: SparkSession, path: str) -> DataFrame:
-    """Workbooks below ``path`` as (path, content)."""
+def workbook_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The given workbooks as (path, content)."""
     return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.xlsx")
-        .load(path)
-        .where(~F.element_at(F.split("path", "/"), -1).startswith("~$"))
-        .select("path", "content")
+        spark.read.format("binaryFile").load(literal_paths(paths)).select("path", "content")
     )
 
 

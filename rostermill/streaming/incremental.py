@@ -17,8 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 from rostermill.functions.scalars import file_name
 from rostermill.plans.jobs import Ingest
 from rostermill.schemas import CLAIM_COLUMNS, CLAIM_REQUIRED
-from rostermill.sources.files import number_rows
-from rostermill.sources.fixed_width import FILES_PER_GROUP, layout_problems, parse_lines
+from rostermill.sources.files import decoded_path, number_rows
+from rostermill.sources.fixed_width import (
+    FILES_PER_GROUP,
+    file_layouts,
+    layout_problems,
+    parse_lines,
+)
 
 
 def _source(spark: SparkSession, kind: str, extension: str, files_per_batch: int):
@@ -31,7 +36,7 @@ def _source(spark: SparkSession, kind: str, extension: str, files_per_batch: int
 
 
 def _not_lock_file(path: str):
-    return ~F.col(path).rlike(r"/(~\$|%7E\$)[^/]*$")
+    return ~F.col(path).rlike(r"/~\$[^/]*$")
 
 
 def stream_claim_rows(
@@ -51,7 +56,7 @@ def stream_claim_rows(
     """
     placed = source.select(
         "*",
-        F.col("_metadata.file_path").alias("_file"),
+        decoded_path("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.col("_metadata.file_size").alias("_size"),
     ).where(_not_lock_file("_file"))
@@ -91,7 +96,9 @@ def stream_claim_reports(
         lines,
         lambda batch: parse_lines(batch, CLAIM_COLUMNS, CLAIM_REQUIRED),
         checkpoint,
-        find_problems=lambda batch: layout_problems(batch, CLAIM_REQUIRED),
+        find_problems=lambda batch: layout_problems(
+            file_layouts(batch, CLAIM_REQUIRED), CLAIM_REQUIRED
+        ),
     )
 
 

@@ -15,6 +15,9 @@ CLAIM = ["CLAIM_ID", "CLAIM_STATUS", "INSURED_ENROLLEE_ID", "DIAGNOSIS_CODE", "C
          "DATE_OF_SERVICE", "ITEM_NUMBER", "SH_ITEM_NUMBER", "MODIFIER1"]
 
 
+ODD = "b +1% [x]{y}.rpt"
+
+
 def claim(*values):
     return dict(zip(CLAIM, values))
 
@@ -76,17 +79,19 @@ def test_claim_reports_insert_then_update(spark, tmp_path, ingest):
 
     # A second file updates; the first is registered and not read again,
     # while the failed one is tried again.
-    write_report(folder / "b.rpt", CLAIM, SECOND)
+    write_report(folder / ODD, CLAIM, SECOND)
     ingest.claim_reports(str(folder))
-    assert claims_of(store) == AFTER_SECOND
+    second = {k: (*v[:3], ["b.rpt" if d == ODD else d for d in v[3]]) for k, v in claims_of(store).items()}
+    assert second == AFTER_SECOND
+    second = claims_of(store)
     ids = {r.CLAIM_ID: r._id for r in store.read("claim").collect()}
     assert len(set(ids.values())) == 3
 
     # Nothing new but the failed file: the state stays.
     ingest.claim_reports(str(folder))
-    assert claims_of(store) == AFTER_SECOND
+    assert claims_of(store) == second
     store.compact()
-    assert claims_of(store) == AFTER_SECOND
+    assert claims_of(store) == second
 
 
 def test_one_run_equals_file_after_file(spark, tmp_path):
@@ -137,10 +142,9 @@ def test_stream_takes_each_file_once(spark, tmp_path, ingest):
     run()
     assert claims_of(ingest.store) == AFTER_FIRST
     write_report(folder / "b.rpt", CLAIM, SECOND)
-    run()
-    assert claims_of(ingest.store) == AFTER_SECOND
-    run()
-    assert claims_of(ingest.store) == AFTER_SECOND
+    for _ in range(2):
+        run()
+        assert claims_of(ingest.store) == AFTER_SECOND
 
 
 def test_an_open_run_is_invisible(spark, tmp_path):

@@ -4,8 +4,13 @@ import pytest
 from pyspark.errors import PySparkException
 
 from files import write_report, write_workbook
-from rostermill.sources.files import list_input_files, scan_lines
-from rostermill.sources.fixed_width import fwf_layout, layout_problems, read_fixed_width
+from rostermill.sources.files import list_input_files, listed_paths, scan_lines
+from rostermill.sources.fixed_width import (
+    file_layouts,
+    fwf_layout,
+    layout_problems,
+    read_fixed_width,
+)
 from rostermill.sources.workbook import (
     list_sheets,
     parse_workbook_sheets,
@@ -14,6 +19,10 @@ from rostermill.sources.workbook import (
 )
 
 
+def paths(spark, folder, extension):
+    return listed_paths(list_input_files(spark, str(folder), extension))
+
+
 def test_listing_skips_lock_files_and_other_types(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     for name in ("a.rpt", "sub/b.rpt", "~$c.rpt", "d.txt"):
@@ -26,7 +35,7 @@ def test_layout_rules(spark, tmp_path):
     (tmp_path / "a.rpt").write_text(
         "CLAIM_ID   CODE  LAST_NAME_IS_LONG\n---------- ----- ---------\nC1         97110 abc\n"
     )
-    got = {r.name: (r.start, r.length) for r in fwf_layout(scan_lines(spark, str(tmp_path))).collect()}
+    got = {r.name: (r.start, r.length) for r in fwf_layout(scan_lines(spark, paths(spark, tmp_path, "rpt"))).collect()}
     assert got == {"CLAIM_ID": (1, 11), "CODE": (12, 6), "LAST_NAME_IS_LONG": (18, 17)}
 
 
@@ -55,7 +64,9 @@ def test_files_of_different_layout(spark, tmp_path):
     write_report(tmp_path / "c.rpt", ["CODE"], [{"CODE": "z"}])
     got = read_fixed_width(spark, str(tmp_path), ["CLAIM_ID", "CODE"], required=["CLAIM_ID"]).collect()
     assert sorted((r.CLAIM_ID, r.CODE) for r in got) == [("1", "x"), ("2", "y")]
-    bad = layout_problems(scan_lines(spark, str(tmp_path)), ["CLAIM_ID", "CODE"]).collect()
+    need = ["CLAIM_ID", "CODE"]
+    known = file_layouts(scan_lines(spark, paths(spark, tmp_path, "rpt")), need)
+    bad = layout_problems(known, need).collect()
     assert [(r._file[-5:], r._problem) for r in bad] == [("c.rpt", "missing columns: CLAIM_ID")]
     with pytest.raises(PySparkException, match="other layout"):
         read_fixed_width(spark, str(tmp_path), ["CLAIM_ID"], shared_layout=True).collect()
@@ -73,7 +84,7 @@ def test_workbook_cells(spark, tmp_path):
         ],
     })
     (tmp_path / "~$a.xlsx").write_text("lock")
-    books = workbook_files(spark, str(tmp_path))
+    books = workbook_files(spark, paths(spark, tmp_path, "xlsx"))
     got = read_workbook_sheets(books, "CLAIMS", ["CLAIM_ID", "NOTE", "DOB", "FLAG", "ABSENT"])
     got = sorted(got.collect(), key=lambda r: r._line)
     assert [(r.CLAIM_ID, r.DOB, r.NOTE, r.FLAG) for r in got] == [
@@ -89,7 +100,7 @@ def test_a_broken_workbook_does_not_stop_the_others(spark, tmp_path):
     write_workbook(tmp_path / "lacks.xlsx", {"CLAIMS": [["OTHER"], ["1"]]})
     write_workbook(tmp_path / "nosheet.xlsx", {"X": [["CLAIM_ID"], ["1"]]})
     (tmp_path / "bad.xlsx").write_text("not a zip")
-    books = workbook_files(spark, str(tmp_path))
+    books = workbook_files(spark, paths(spark, tmp_path, "xlsx"))
     rows = parse_workbook_sheets(books, "CLAIMS", ["CLAIM_ID"], ["CLAIM_ID"], sheet_required=True).collect()
     assert [r.CLAIM_ID for r in rows if r._problem is None] == ["1"]
     problems = {r._file.rsplit("/", 1)[-1]: r._problem for r in rows if r._problem}
