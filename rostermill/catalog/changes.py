@@ -135,7 +135,10 @@ def classify_always_update(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(F.col("CLAIM_ID").alias("claim_id"), "action")
 
 
-@query(_views(PERSON_STEP) + "SELECT enrollee_id AS row_key, action FROM person_step WHERE action <> 'no_action'")
+@query(
+    _views(PERSON_STEP)
+    + "SELECT enrollee_id AS row_key, action FROM person_step WHERE action <> 'no_action'"
+)
 def split_by_action(spark: SparkSession, folder: str) -> DataFrame:
     classified = PE.classify_persons(B.persons_in(spark, folder), B.persons_stored(spark, folder))
     slim = classified.select(F.col("ENROLLEE_ID").alias("row_key"), "action")

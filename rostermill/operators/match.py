@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +40,7 @@ def lookup(
     how: str = "left",
     hot: DataFrame | None = None,
     spread: list[str] | None = None,
+    null_safe: bool = True,
 ) -> DataFrame:
     """Add the matching right row to each left row as struct ``alias``.
 
@@ -48,7 +51,8 @@ def lookup(
     keeps the first; leave it out when the keys are unique by construction,
     which saves that shuffle. ``hot`` (see :mod:`rostermill.skew`) spreads
     left keys that hold a large share of the rows, by the ``spread`` columns
-    (default: all).
+    (default: all). ``null_safe=False`` is for keys without nulls: plain
+    equality can use a partitioning that the left side already has.
     """
     keys = [f"_k{i}" for i in range(len(on))]
     order = [f"_o{i}" for i in range(len(first_by or []))]
@@ -62,7 +66,10 @@ def lookup(
     pairs = list(zip(on.keys(), keys))
     if hot is not None:
         return salted_left_join(left, side, pairs, hot, how=how, spread=spread).drop(*keys)
-    condition = null_safe_equal([(left[lk], side[k]) for lk, k in pairs])
+    if null_safe:
+        condition = null_safe_equal([(left[lk], side[k]) for lk, k in pairs])
+    else:
+        condition = reduce(and_, [left[lk] == side[k] for lk, k in pairs])
     return left.join(side, condition, how).drop(*keys)
 
 

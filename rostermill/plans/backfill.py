@@ -12,7 +12,9 @@ from rostermill.operators.match import lookup
 from rostermill.plans.run import LazyRun, Result
 
 
-def patient_subscriber_names(patients: DataFrame, subscribers: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def patient_subscriber_names(
+    patients: DataFrame, subscribers: DataFrame, hot: DataFrame | None = None
+) -> DataFrame:
     """Patients whose subscriber's display name is known and not stored yet.
 
     Patients without a subscriber, with an unknown one or with a nameless

@@ -38,26 +38,33 @@ def claim_rows(rows: DataFrame) -> DataFrame:
     return enforce_string_schema(rows, CLAIM_COLUMNS, CLAIM_REQUIRED)
 
 
+#: claim id with a stand-in for null. Header rows are wide; grouped and joined
+#: by this one column with plain equality they are shuffled by claim once.
+_CLAIM_KEY = "coalesce(CLAIM_ID, '\\u0000')"
+
+
 def claim_headers(rows: DataFrame) -> DataFrame:
     """One header per claim: the last of its rows that are the first of
     their (file, claim, diagnosis)."""
     keys = ["CLAIM_ID", "DIAGNOSIS_CODE"]
     rest = [c for c in CLAIM_HEADER_COLUMNS if c not in keys]
     # One struct for the wide rest: sorts and shuffles move it as a whole.
-    packed = rows.selectExpr(*keys, *ORDINAL, f"struct({', '.join(rest)}) AS _rest")
-    header = keep_last(keep_first(packed, [*keys, "_file"]), ["CLAIM_ID"])
-    return header.select(*keys, "_rest.*", *ORDINAL)
+    packed = rows.selectExpr(
+        f"{_CLAIM_KEY} AS _claim", *keys, *ORDINAL, f"struct({', '.join(rest)}) AS _rest"
+    )
+    header = keep_last(keep_first(packed, ["_claim", "DIAGNOSIS_CODE", "_file"]), ["_claim"])
+    return header.select("_claim", *keys, "_rest.*", *ORDINAL)
 
 
 def claim_sources(rows: DataFrame, lineage: DataFrame) -> DataFrame:
-    """(CLAIM_ID, documents): files of this run that hold the claim, newest
+    """(_claim, documents): files of this run that hold the claim, newest
     first. The array is as long as the run has files, not rows."""
-    pairs = rows.groupBy("CLAIM_ID", "_file").agg(F.lit(1).alias("_n"))
+    pairs = rows.selectExpr(f"{_CLAIM_KEY} AS _claim", "_file").distinct()
     item = F.struct(F.col("_file").alias("f"), F.col("lineage").alias("d"))
     newest_first = F.reverse(F.array_sort(F.collect_list(item)))
     return (
         with_lineage(pairs, lineage)
-        .groupBy("CLAIM_ID")
+        .groupBy("_claim")
         .agg(F.transform(newest_first, lambda x: x["d"]).alias("documents"))
     )
 
@@ -65,7 +72,9 @@ def claim_sources(rows: DataFrame, lineage: DataFrame) -> DataFrame:
 def classify_claims(rows: DataFrame, claims: DataFrame) -> DataFrame:
     headers = claim_headers(rows)
     fields = {"_id": "_id", "ardbDocuments": "ardbDocuments"}
-    matched = lookup(headers, claims, {"CLAIM_ID": "CLAIM_ID"}, fields, "_old")
+    matched = lookup(
+        headers, claims, {"_claim": F.expr(_CLAIM_KEY)}, fields, "_old", null_safe=False
+    )
     return matched.withColumns(
         {
             "action": classify_always_update(F.col("_old").isNotNull()),
@@ -110,11 +119,7 @@ def load_claims(
     classified = classify_claims(rows, run.state("claim"))
     result.classified["claim"] = classified
     sources = claim_sources(rows, lineage)
-    headers = with_lineage(classified, lineage).join(
-        sources.withColumnRenamed("CLAIM_ID", "_c"),
-        F.col("CLAIM_ID").eqNullSafe(F.col("_c")),
-        "left",
-    )
+    headers = with_lineage(classified, lineage).join(sources, "_claim", "left")
     headers = headers.withColumn(
         "documents", array_union_by_key("documents", "_old.ardbDocuments", "documentId")
     )

@@ -159,13 +159,15 @@ def classify_patients(
     run: LazyRun, source: DataFrame | None = None,
 ) -> DataFrame:
     """Patient rows; the first subscriber (by id) with the number is taken."""
+    counted = rows if source is None else source
     step = lookup(
         rows, enrollees, {"ENROLLEE_ID": "referenceId"}, _PERSON, "enrollee",
-        hot=run.hot(rows if source is None else source, ["ENROLLEE_ID"]),
+        hot=run.hot(counted, ["ENROLLEE_ID"]),
     )
     step = lookup(
         step, subscribers, {"SUBSCRIBER_ID": "subscriberNumber"}, _POLICY, "subscriber",
-        first_by=["_id"], hot=run.hot(rows if source is None else source, ["SUBSCRIBER_ID"]), spread=[*PATIENT_KEYS, *ORDINAL],
+        first_by=["_id"], hot=run.hot(counted, ["SUBSCRIBER_ID"]),
+        spread=[*PATIENT_KEYS, *ORDINAL],
     )
     on = {
         "ENROLLEE_ID": "enrollee.referenceId",
@@ -189,16 +191,17 @@ def classify_eligibilities(
     run: LazyRun,
     source: DataFrame | None = None,
 ) -> DataFrame:
+    counted = rows if source is None else source
     spread = [*ELIGIBILITY_KEYS, *ORDINAL]
     step = lookup(
         rows, enrollees, {"ENROLLEE_ID": "referenceId"},
         {k: v for k, v in _PERSON.items() if k in ("_id", "referenceId", "hasCompleteInfo")},
-        "enrollee", hot=run.hot(rows if source is None else source, ["ENROLLEE_ID"]), spread=spread,
+        "enrollee", hot=run.hot(counted, ["ENROLLEE_ID"]), spread=spread,
     )
     step = lookup(
         step, subscribers,
         {"SUBSCRIBER_ID": "subscriberNumber", "INSURED_ENROLLEE_ID": "enrollee.referenceId"},
-        _POLICY, "subscriber", hot=run.hot(rows if source is None else source, SUBSCRIBER_KEYS), spread=spread,
+        _POLICY, "subscriber", hot=run.hot(counted, SUBSCRIBER_KEYS), spread=spread,
     )
     step = lookup(
         step, patients,
@@ -207,7 +210,7 @@ def classify_eligibilities(
             "SUBSCRIBER_ID": "subscriber.identificationCode",
             "MEMBER_ID": "memberId",
         },
-        _PATIENT, "patient", hot=run.hot(rows if source is None else source, PATIENT_KEYS), spread=spread,
+        _PATIENT, "patient", hot=run.hot(counted, PATIENT_KEYS), spread=spread,
     )
     on = {
         "ENROLLEE_ID": "enrollee.referenceId",

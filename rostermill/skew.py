@@ -54,9 +54,9 @@ def salted_left_join(
     ``hot`` holds key tuples under the left names (from :func:`hot_keys`).
     Left rows of a hot key get one of ``salts`` numbers, by a hash of their
     ``spread`` columns (a hash, not a random number: a repeated task must send
-    each row to the same place again); the matching right rows are repeated once per number. All other rows have salt 0 on both
-    sides, so nothing is multiplied for them and the result is the same as
-    without salt. Column names of both sides must differ.
+    each row to the same place again); the matching right rows are repeated
+    once per number. All other rows have salt 0 on both sides, so nothing is
+    multiplied for them and the result is the same as without salt. Column names of both sides must differ.
     """
     names = [f"_hot{i}" for i in range(len(pairs))]
     flags = F.broadcast(

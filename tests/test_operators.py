@@ -347,3 +347,43 @@ def test_latest_status(spark):
         ('d', 'New', timestamp_ntz '2024-01-01', NULL), ('d', 'Failed', timestamp_ntz '2024-01-03', 'why'),
         ('d', 'Processing', timestamp_ntz '2024-01-02', NULL) AS t(document, status, at, reason)""")
     assert values(G.latest_status(history), "document", "status", "reason") == [("d", "Failed", "why")]
+
+
+# --- plans -----------------------------------------------------------------
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nested_fields_are_pruned_in_the_scan(spark, tmp_path):
+    from rostermill.catalog.tables import persons_stored
+
+    path = str(tmp_path / "enrollee")
+    persons_stored(spark, "/root/testdata/sf0.001").write.parquet(path)
+    stored = spark.read.parquet(path).where("referenceId = '7'")
+    plan = plan_of(stored.select("_id", "demographic.address.city"))
+    assert "ReadSchema: struct<_id:string,referenceId:string,demographic:struct<address:struct<city:string>>>" in plan
+    assert "PushedFilters: [IsNotNull(referenceId), EqualTo(referenceId,7)]" in plan
+
+
+def test_headers_are_shuffled_by_claim_once(spark):
+    from rostermill.catalog.tables import claims_in, claims_stored
+    from rostermill.plans.claims import claim_rows, classify_claims
+
+    folder = "/root/testdata/sf0.001"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(classify_claims(claim_rows(claims_in(spark, folder)), claims_stored(spark, folder)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(_claim#") == 2  # per diagnosis, then per claim
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_settings_grow_with_the_input():
+    from rostermill.settings import session_settings
+
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert session_settings(1, 8)[name] == "24"
+    assert int(session_settings(100 * 1024**4, 4_000)[name]) == 819_200
