@@ -19,6 +19,7 @@ from rostermill.operators.registry import (
     skip_registered_files,
     status_events,
 )
+from rostermill.operators.quality import check_unique
 from rostermill.plans.backfill import backfill_names, backfill_products_and_dates
 from rostermill.plans.claims import claim_rows, correct_claims, load_claims
 from rostermill.plans.eligibility import load_eligibility
@@ -37,9 +38,16 @@ from rostermill.sources.fixed_width import (
     read_reports,
     read_shared_reports,
 )
-from rostermill.sources.workbook import parse_workbook_sheets, workbook_files
+from rostermill.sources.workbook import (
+    list_sheets,
+    parse_workbook_sheets,
+    rank_sheets,
+    workbook_files,
+)
 from rostermill.storage import TableStore
 
+READ_SHEETS = ["ENROLLEES", "ELIGIBILITY", "CLAIMS"]
+
 _REJECTS = "file string, step string, row_key string, reason string"
 
 
@@ -111,6 +119,23 @@ class Ingest:
         self.store.write("registry", run, final)
         self.store.commit(run, tag)
 
+    def duplicate_keys(self) -> DataFrame:
+        """(table, key, n_rows) of stored business keys that are not unique."""
+        keys = {"enrollee": "referenceId", "claim": "CLAIM_ID"}
+        found = [
+            check_unique(self.store.read(table), [key]).select(
+                F.lit(table).alias("table"), F.col(key).alias("key"), "n_rows"
+            )
+            for table, key in keys.items()
+        ]
+        return found[0].unionByName(found[1])
+
+    def unread_sheets(self, folder: str) -> DataFrame:
+        """(path, sheet, priority) of known sheets that no load reads."""
+        paths = listed_paths(list_input_files(self.spark, folder, "xlsx"))
+        ranked = rank_sheets(list_sheets(workbook_files(self.spark, paths)))
+        return ranked.where(~F.col("sheet").isin(*READ_SHEETS)).select("path", "sheet", "priority")
+
     # -- claim reports ----------------------------------------------------
 
     def claim_rows_into(

@@ -8,10 +8,12 @@ or in a :class:`~rostermill.storage.TableStore` (:class:`StoreRun`).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rostermill.operators.classify import action_counts
 from rostermill.operators.upsert import upsert_replace
 from rostermill.skew import hot_keys
 from rostermill.storage import REPLACE_KEY, TableStore
@@ -26,6 +28,14 @@ class Result:
     classified: dict[str, DataFrame] = field(default_factory=dict)
     rejects: DataFrame | None = None
 
+    def counts(self) -> DataFrame:
+        """(step, action, n_rows) of the classified rows."""
+        parts = [
+            action_counts(rows).select(F.lit(step).alias("step"), "action", "n_rows")
+            for step, rows in self.classified.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
     def add_rejects(self, rows: DataFrame) -> None:
         self.rejects = rows if self.rejects is None else self.rejects.unionByName(rows)
 

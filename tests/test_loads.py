@@ -220,7 +220,11 @@ def test_eligibility_workbooks(spark, tmp_path, ingest):
             cover("E2", "E9", "S2", RELATIONSHIP_CODE="??"), cover("E8", "E1", "S1"),
         ],
     )
-    ingest.eligibility_workbooks(str(folder))
+    result = ingest.eligibility_workbooks(str(folder))
+    counts = {(r.step, r.action): r.n_rows for r in result.counts().collect()}
+    assert counts == {("enrollee", "insert"): 3, ("subscriber", "insert"): 2,
+                      ("patient", "insert"): 3, ("eligibility", "insert"): 4}
+    assert [r.sheet for r in ingest.unread_sheets(str(folder)).collect()] == ["PRODUCTS"]
     read = ingest.store.read
     enrollees = {r.referenceId: r for r in read("enrollee").collect()}
     assert {k: (r.hasCompleteInfo, r.demographic.lastName) for k, r in enrollees.items()} == {
@@ -259,6 +263,7 @@ def test_eligibility_workbooks(spark, tmp_path, ingest):
     assert {k: r._id for k, r in enrollees.items()} == before
     assert [enrollees[k].demographic.lastName for k in ("E1", "E2", "E9")] == ["LE1", "newer", "LE9"]
     assert str(enrollees["E2"].created.at)[:4] == "2020"
+    assert ingest.duplicate_keys().count() == 0
     assert len(enrollees["E2"].ardbDocuments) == 2 and enrollees["E9"].hasCompleteInfo
 
 
