@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rostermill.llm import bpe
+from rostermill.llm import bpe, exact_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,3 +42,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; digests of both directions."""
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query(
+    """
+    WITH d AS (
+        SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+        FROM documents
+    )
+    SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+           doc_id = max(doc_id) OVER g AS kept, text_sha256
+    FROM d WINDOW g AS (PARTITION BY text_sha256)
+    """
+)
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts; the largest doc_id stays."""
+    return exact_dedup.mark(table(spark, sf_dir, "documents")).drop("place")
