@@ -11,8 +11,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rostermill.llm import bpe, exact_dedup
+from rostermill.llm import bpe, exact_dedup, langid
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four of five folds."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = langid.train(docs.where(~held_out))
+    return langid.predict(docs, model, keep={"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
 @query()
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; digests of both directions."""
