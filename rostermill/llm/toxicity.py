@@ -46,8 +46,8 @@ class Fit:
     #: how many standard errors a feature's rates must lie apart
     least_z: float = 6.0
     grades: int = 4
-    penalty: float = 1e-4
-    steps: int = 500
+    penalty: float = 1e-6
+    steps: int = 800
 
 
 @dataclass(frozen=True)
