@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermill.llm import bpe, exact_dedup, langid, toxicity
+from rostermill.llm import bpe, exact_dedup, langid, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,15 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model)
 
 
+@query()
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in windows of 4096 ids, with a checksum per piece."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query()
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; digests of both directions."""
