@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermill.llm import bpe, exact_dedup, langid, packing, toxicity
+from rostermill.llm import bpe, exact_dedup, langid, packing, token_shards, toxicity
+from rostermill.workdir import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +72,15 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@query()
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all documents' ids as shards with an index; read them back by key."""
+    docs, folder = table(spark, sf_dir, "documents"), fresh_folder(spark, "shards")
+    token_shards.write_shards(docs, TOKENIZER, folder)
+    buckets = token_shards.write_index(spark, folder)
+    return token_shards.read_keys(spark, folder, buckets, docs)
+
+
 @query(
     """
     WITH d AS (
