@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermill.llm import bpe, exact_dedup, langid, packing, token_shards, toxicity
-from rostermill.workdir import fresh_folder
+from rostermill.llm import bpe, chat, exact_dedup, langid, packing, token_shards, toxicity
+from rostermill.workdir import fresh_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,48 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+_ESCAPED_EXTRA = " + ".join(
+    ["length({0}) - length(replace({0}, chr(92), ''))"]
+    + [f"(length({{0}}) - length(replace({{0}}, '{c}', ''))) // {len(c)}" for c in chat.CONTROL]
+)
+
+
+@query(
+    f"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL
+        SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(length(text) + {_ESCAPED_EXTRA.format("text")}
+               + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+                 ELSE 19 + length(role) + {_ESCAPED_EXTRA.format("role")} END)::BIGINT AS formatted_chars
+    FROM rows GROUP BY conv_id
+    """
+)
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format all conversations, write them, and digest what is read back."""
+    marked = "</s>[INST] ok [/INST]"
+    more = spark.sql(
+        f"SELECT * FROM VALUES (-1L, 0, 'user', '{marked}'), (-1L, 1, 'assistant', '{marked}') AS t(conv_id, turn, role, text)"
+    )
+    turns = chat.canonical_turns(table(spark, sf_dir, "conversations")).unionByName(more)
+    back = chat.read_back(staged(chat.format_turns(turns), "chats"))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @query()
 def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents' ids as shards with an index; read them back by key."""
