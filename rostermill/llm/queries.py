@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermill.llm import bpe, chat, exact_dedup, langid, packing, token_shards, toxicity
+from rostermill.llm import bpe, chat, exact_dedup, langid, ngram_join, packing, token_shards, toxicity
 from rostermill.workdir import fresh_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model)
 
 
+@query()
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by four-word shingles, similarity 0.85."""
+    join = ngram_join.Join(words=4, share=85, of=100)
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"), join)
+
+
 @query()
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in windows of 4096 ids, with a checksum per piece."""
