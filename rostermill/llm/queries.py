@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermill.llm import bpe, chat, exact_dedup, langid, ngram_join, packing, token_shards, toxicity
+from rostermill.llm import bpe, chat, embed_dedup, exact_dedup, langid, ngram_join, packing, token_shards, toxicity, warc
 from rostermill.workdir import fresh_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +145,51 @@ def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts; the largest doc_id stays."""
     return exact_dedup.mark(table(spark, sf_dir, "documents")).drop("place")
+
+
+@query(
+    """
+    WITH p AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+        FROM pages
+    ), g AS (
+        SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+        FROM p
+    )
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first <> page_id THEN first END AS refers_to
+    FROM g
+    """
+)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page to WARC files, and what reading them gives."""
+    folder = fresh_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder)
+
+
+@query(
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    ), good AS (
+        SELECT *, sqrt(list_inner_product(e, e)) AS norm FROM v
+        WHERE label IS NOT NULL AND e IS NOT NULL
+          AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+    ), links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+        AND list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.98
+    ), reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings
+        UNION
+        SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+    ), c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = c.vec_id) AS n_links, component_id,
+           vec_id = component_id AS kept
+    FROM c
+    """
+)
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of one label, cosine 0.98 and above."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
