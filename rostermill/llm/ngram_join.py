@@ -420,3 +420,14 @@ def _links(docs: DataFrame, tiles: DataFrame, classes: DataFrame, join: Join, te
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = staged(_bounded_pairs(members, join).join(done, ["a", "b"], "left_anti"), "more")
     return linked.union(_verified(more, sets, join))
+
+
+def keep_rows(docs: DataFrame, join: Join = Join(), text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each group of similar texts, with all its columns.
+
+    The row of the group's smallest id stays; documents that are in no group
+    stay all. Rows that repeat an id stay or go together.
+    """
+    found = similar_groups(docs, join, text, key)
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col(f"`{key}`") == F.col("__gone"), "left_anti")
