@@ -50,10 +50,12 @@ def dedup_wide_key(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     S.with_views(S.CLAIMS)
     + f""", firsts AS (SELECT * FROM claim_input QUALIFY row_number() OVER (
-    PARTITION BY claim_id, code, service_date ORDER BY {S.ORD}) = 1)
-SELECT claim_id, count(*) AS n_lines,
+    PARTITION BY claim_id, code, service_date ORDER BY {S.ORD}) = 1),
+numbered AS (SELECT *, (row_number() OVER (PARTITION BY claim_id ORDER BY {S.ORD}) - 1) // {K.PART_ROWS} AS part
+  FROM firsts)
+SELECT claim_id, part, count(*) AS n_lines,
   string_agg(code || '@' || service_date || '=' || billed, ',' ORDER BY {S.ORD}) AS lines
-FROM firsts GROUP BY claim_id"""
+FROM numbered GROUP BY claim_id, part"""
 )
 def collect_children_ordered(spark: SparkSession, folder: str) -> DataFrame:
     rows = B.claim_input(spark, folder)
@@ -66,7 +68,7 @@ def collect_children_ordered(spark: SparkSession, folder: str) -> DataFrame:
         lambda x: F.concat(x["CODE"], F.lit("@"), x["DATE_OF_SERVICE"], F.lit("="), x["BILLED_AMOUNT"]),
     )
     return out.select(
-        F.col("CLAIM_ID").alias("claim_id"),
+        F.col("CLAIM_ID").alias("claim_id"), "part",
         F.size("lines").cast("bigint").alias("n_lines"),
         F.concat_ws(",", shown).alias("lines"),
     )
@@ -75,9 +77,11 @@ def collect_children_ordered(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     S.with_views(S.CLAIMS)
     + f""", firsts AS (SELECT * FROM claim_input QUALIFY row_number() OVER (
-    PARTITION BY claim_id, diagnosis ORDER BY {S.ORD}) = 1)
-SELECT claim_id, string_agg(coalesce(diagnosis, '?') || description, ',' ORDER BY {S.ORD}) AS codes
-FROM firsts GROUP BY claim_id"""
+    PARTITION BY claim_id, diagnosis ORDER BY {S.ORD}) = 1),
+numbered AS (SELECT *, (row_number() OVER (PARTITION BY claim_id ORDER BY {S.ORD}) - 1) // {K.PART_ROWS} AS part
+  FROM firsts)
+SELECT claim_id, part, string_agg(coalesce(diagnosis, '?') || description, ',' ORDER BY {S.ORD}) AS codes
+FROM numbered GROUP BY claim_id, part"""
 )
 def collect_distinct_ordered(spark: SparkSession, folder: str) -> DataFrame:
     rows = B.claim_input(spark, folder)
@@ -89,7 +93,7 @@ def collect_distinct_ordered(spark: SparkSession, folder: str) -> DataFrame:
         "codes",
         lambda x: F.concat(F.coalesce(x["DIAGNOSIS_CODE"], F.lit("?")), x["DIAGNOSIS_DESCRIPTION"]),
     )
-    return out.select(F.col("CLAIM_ID").alias("claim_id"), F.concat_ws(",", shown).alias("codes"))
+    return out.select(F.col("CLAIM_ID").alias("claim_id"), "part", F.concat_ws(",", shown).alias("codes"))
 
 
 @query(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,20 +20,14 @@ from rostermill.codes import relationship_table
 from rostermill.operators.registry import raw_dump
 from rostermill.plans import backfill as PB
 from rostermill.plans import claims as PC
+from rostermill.operators.children import PART_ROWS
 from rostermill.plans.eligibility import load_eligibility as load_coverage
 from rostermill.plans.jobs import Ingest
 from rostermill.plans.run import FolderRun, LazyRun
 from rostermill.schemas import LINE_FIELDS
 from rostermill.storage import TableStore
 from rostermill.streaming.incremental import stream_claim_rows
-
-def _shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; local only in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/rostermill-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="rostermill-")
-
+from rostermill.workdir import fresh_folder
 
 # --- eligibility -----------------------------------------------------------
 
@@ -127,7 +119,7 @@ def load_eligibility(spark: SparkSession, folder: str) -> DataFrame:
             "patient": B.patients_stored(spark, folder),
             "eligibility": B.eligibilities_stored(spark, folder),
         },
-        _shared_folder(spark),
+        fresh_folder(spark, "loads"),
     )
     result = load_coverage(
         B.persons_in(spark, folder),
@@ -183,7 +175,7 @@ def _load_claims(spark: SparkSession, folder: str, rows: DataFrame):
             "claim_diagnosis": diagnoses,
             "claim_line": lines,
         },
-        _shared_folder(spark),
+        fresh_folder(spark, "loads"),
     )
     return PC.load_claims(PC.claim_rows(rows), run, B.fixed_lineage(spark, "claims"))
 
@@ -205,10 +197,11 @@ old_codes AS (SELECT *, 0 AS run FROM claims_before QUALIFY row_number() OVER (
     PARTITION BY claim_id, diagnosis ORDER BY {S.ORD}) = 1),
 new_codes AS (SELECT *, 1 AS run FROM claims_in QUALIFY row_number() OVER (
     PARTITION BY claim_id, diagnosis ORDER BY {S.ORD}) = 1),
-codes AS (SELECT claim_id, string_agg(coalesce(diagnosis, '?'), ',' ORDER BY run, {S.ORD}) AS codes
-  FROM (SELECT * FROM old_codes UNION ALL SELECT * FROM new_codes n WHERE NOT EXISTS (
-    SELECT 1 FROM old_codes o WHERE o.claim_id = n.claim_id
-      AND o.diagnosis IS NOT DISTINCT FROM n.diagnosis)) GROUP BY claim_id),
+codes AS (SELECT claim_id, part, string_agg(coalesce(diagnosis, '?'), ',' ORDER BY run, {S.ORD}) AS codes
+  FROM (SELECT *, (row_number() OVER (PARTITION BY claim_id ORDER BY run, {S.ORD}) - 1) // {PART_ROWS} AS part
+    FROM (SELECT * FROM old_codes UNION ALL SELECT * FROM new_codes n WHERE NOT EXISTS (
+      SELECT 1 FROM old_codes o WHERE o.claim_id = n.claim_id
+        AND o.diagnosis IS NOT DISTINCT FROM n.diagnosis))) GROUP BY claim_id, part),
 old_lines AS (SELECT * FROM claims_before QUALIFY row_number() OVER (
     PARTITION BY claim_id, code, service_date ORDER BY {S.ORD}) = 1),
 new_lines AS (SELECT n.* REPLACE (coalesce(n.modifier1, o.modifier1) AS modifier1,
@@ -219,13 +212,14 @@ new_lines AS (SELECT n.* REPLACE (coalesce(n.modifier1, o.modifier1) AS modifier
     AND o.service_date = n.service_date),
 all_lines AS (SELECT *, 0 AS old FROM new_lines UNION ALL SELECT *, 1 FROM old_lines
   WHERE claim_id NOT IN (SELECT claim_id FROM claims_in)),
-lines AS (SELECT claim_id, count(*) AS n_lines,
+lines AS (SELECT claim_id, part, count(*) AS n_lines,
     string_agg(code || service_date || {item}
       || coalesce(modifier1, '-') || coalesce(modifier2, '-'), ',' ORDER BY {S.ORD}) AS lines
-  FROM all_lines GROUP BY claim_id)
-SELECT claim_id, claim_status AS status, provider_id AS provider, n AS n_documents, codes,
-  n_lines, lines
-FROM claims JOIN codes USING (claim_id) JOIN lines USING (claim_id)"""
+  FROM (SELECT *, (row_number() OVER (PARTITION BY claim_id ORDER BY {S.ORD}) - 1) // {PART_ROWS} AS part
+    FROM all_lines) GROUP BY claim_id, part)
+SELECT claim_id, part, claim_status AS status, provider_id AS provider, n AS n_documents,
+  coalesce(codes, '') AS codes, coalesce(n_lines, 0) AS n_lines, coalesce(lines, '') AS lines
+FROM claims JOIN (codes FULL JOIN lines USING (claim_id, part)) USING (claim_id)"""
     )
 
 
@@ -242,6 +236,7 @@ def _claims_view(result) -> DataFrame:
     )
     return docs.select(
         F.col("CLAIM_ID").alias("claim_id"),
+        "part",
         F.col("CLAIM_STATUS").alias("status"),
         F.col("RENDERING_PROVIDER_INFO.PROVIDER_ID").alias("provider"),
         F.coalesce(F.size("ardbDocuments"), F.lit(0)).alias("n_documents"),
@@ -350,7 +345,7 @@ FROM rows GROUP BY ALL
 )
 def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Line items streamed into a store; its lines read back."""
-    place = _shared_folder(spark)
+    place = fresh_folder(spark, "loads")
     store = TableStore(spark, f"{place}/store")
     schema = B.table(spark, folder, "lineitem").schema
     stream = (

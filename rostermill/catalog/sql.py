@@ -17,7 +17,7 @@ PERSONS_STORED = """persons_stored AS (
     c_mktsegment AS first_name, c_mktsegment <> 'BUILDING' AS complete,
     CASE WHEN c_nationkey < 12 THEN 'MALE' ELSE 'FEMALE' END AS gender,
     CAST(c_nationkey AS VARCHAR) AS state, 'ssn' || c_custkey AS ssn
-  FROM customer WHERE c_acctbal > 0 AND c_acctbal <= 5000)"""
+  FROM customer WHERE c_acctbal > 0)"""
 
 COVERAGE = """coverage AS (
   SELECT o_orderkey AS ord, o_orderstatus AS status, o_orderdate AS ordered,

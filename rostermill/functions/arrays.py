@@ -39,12 +39,23 @@ def array_append_if_new(array: ColumnOrName, element: Column, key: str) -> Colum
 
 
 def array_first_per_key(array: ColumnOrName, key: str) -> Column:
-    """Keep the first element of each key, in order."""
-    elements = col(array)
-    keys = F.transform(elements, lambda e: _key_text(e, key))
-    return F.filter(
-        elements, lambda e, i: F.array_position(keys, _key_text(e, key)) == i + 1
+    """Keep the first element of each key, in order.
+
+    Sorted by (key, place), an element whose left neighbour has another key is
+    the first of its key; so two sorts do, whatever the length. Elements must
+    be of a type that can be ordered.
+    """
+    marked = F.transform(
+        col(array), lambda e, i: F.struct(_key_text(e, key).alias("k"), i.alias("i"), e.alias("e"))
     )
+    order = F.array_sort(marked)
+    left = F.concat(F.array(F.lit(None)), F.transform(order, lambda x: x["k"]))
+    pairs = F.filter(
+        F.arrays_zip(order.alias("x"), left.alias("l")),
+        lambda p: p["x"].isNotNull() & (p["l"].isNull() | (p["l"] != p["x"]["k"])),
+    )
+    firsts = F.array_sort(F.transform(pairs, lambda p: F.struct(p["x"]["i"].alias("i"), p["x"]["e"].alias("e"))))
+    return F.transform(firsts, lambda x: x["e"])
 
 
 def array_union_by_key(first: ColumnOrName, second: ColumnOrName, key: str) -> Column:

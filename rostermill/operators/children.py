@@ -15,31 +15,48 @@ from pyspark.sql import functions as F
 from rostermill.operators.dedup import keep_first
 from rostermill.operators.match import lookup
 from rostermill.schemas import FALLBACK_FIELDS, LINE_MATCH_KEYS, ORDINAL
-from rostermill.skew import hot_keys, null_safe_equal
 
 #: longest array put into one row
 PART_ROWS = 10_000
-#: parents that may be split; the list of them is broadcast, so it is bounded.
-#: A parent beyond it holds under 1/50,000 of all children and stays whole.
-MAX_SPLIT_PARENTS = 50_000
 
 
-def ordinal_slot(part_rows: int = PART_ROWS) -> list[Column]:
-    """Slots of the scan position with at most ``part_rows`` rows each.
+def ordinal_slot(order: list[str], part_rows: int = PART_ROWS) -> list[Column]:
+    """Slots that rise with ``order`` and hold at most ``part_rows`` rows each.
 
-    Row numbers of a split are distinct integers, so a run of ``part_rows``
-    consecutive numbers cannot hold more rows than that.
+    The last column is the row number in a split. Row numbers are distinct
+    integers, so ``part_rows`` consecutive ones cannot hold more rows.
     """
-    return [
-        F.col("_file"),
-        F.col("_block"),
-        F.floor(F.col("_line") / part_rows).cast("bigint"),
-    ]
+    return [*map(F.col, order[:-1]), F.floor(F.col(order[-1]) / part_rows).cast("bigint")]
 
 
-def large_parents(children: DataFrame, keys: list[str], part_rows: int = PART_ROWS) -> DataFrame:
-    """Parents whose children do not fit one array. Reads the keys only."""
-    return hot_keys(children, keys, part_rows + 1, MAX_SPLIT_PARENTS)
+def with_part(
+    children: DataFrame,
+    keys: list[str],
+    order: list[str],
+    slot: list[Column] | None = None,
+    part_rows: int = PART_ROWS,
+) -> DataFrame:
+    """Add ``part``: the place of a child among its parent's, over ``part_rows``.
+
+    Children are numbered within bounded slots, and slots start at the sum of
+    the counts of those before them, so no task orders a whole parent. The
+    counts are one row per (parent, slot).
+    """
+    slots = ordinal_slot(order, part_rows) if slot is None else slot
+    place = F.struct(
+        F.struct(*keys).alias("parent"),
+        F.struct(*[c.alias(f"s{i}") for i, c in enumerate(slots)]).alias("slot"),
+    )
+    placed = children.withColumn("_place", place)
+    counts = placed.groupBy("_place").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_place.parent").orderBy("_place.slot").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_place", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_place").orderBy(*order))
+    return (
+        placed.join(starts, "_place")
+        .withColumn("part", F.floor((F.col("_start") + within - 1) / part_rows).cast("bigint"))
+        .drop("_place", "_start")
+    )
 
 
 def collect_ordered(
@@ -51,28 +68,18 @@ def collect_ordered(
     slot: list[Column] | None = None,
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """One row per parent with its children as an ordered array of structs.
+    """Children of each parent as ordered arrays of at most ``part_rows`` structs.
 
-    Parents with more than ``part_rows`` children give several rows, each
-    with the children of one ``slot``; sorting by column ``part`` (null for
-    whole parents) puts them in order. ``slot`` must rise with ``order``.
+    One row per (parent, ``part``); parts count from 0, all but a parent's
+    last are full, and most parents have one. ``slot`` must rise with
+    ``order`` and hold at most a bounded number of rows.
     """
-    slots = ordinal_slot(part_rows) if slot is None else slot
-    names = [f"_p{i}" for i in range(len(keys))]
-    large = F.broadcast(
-        large_parents(children, keys, part_rows)
-        .select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-        .withColumn("_large", F.lit(True))
-    )
-    marked = children.join(
-        large, null_safe_equal([(children[k], large[n]) for k, n in zip(keys, names)]), "left"
-    )
-    part = F.struct(*[c.alias(f"s{i}") for i, c in enumerate(slots)])
     item = F.expr(
         f"named_struct('o', struct({', '.join(order)}), 'v', struct({', '.join(fields)}))"
     )
+    needed = [*dict.fromkeys([*keys, *fields, *order])] if slot is None else children.columns
     return (
-        marked.withColumn("part", F.when(F.col("_large"), part))
+        with_part(children.select(*needed), keys, order, slot, part_rows)
         .groupBy(*keys, "part")
         .agg(F.array_sort(F.collect_list(item)).alias("_items"))
         .select(*keys, "part", F.transform("_items", lambda i: i["v"]).alias(alias))

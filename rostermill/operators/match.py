@@ -90,12 +90,12 @@ def _path(df: DataFrame, dotted: str) -> Column:
 
 def with_match(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows of ``left`` whose key tuple occurs in ``right`` (prefetch)."""
-    return _semi(left, right.select(*on.values()).distinct(), dict(on), "left_semi")
+    return _semi(left, right.select(*on.values()), dict(on), "left_semi")
 
 
 def without_match(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows of ``left`` whose key tuple does not occur in ``right``."""
-    return _semi(left, right.select(*on.values()).distinct(), dict(on), "left_anti")
+    return _semi(left, right.select(*on.values()), dict(on), "left_anti")
 
 
 def missing_parents(children: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:

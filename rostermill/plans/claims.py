@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rostermill.functions.arrays import array_union_by_key, set_nested_fields
 from rostermill.functions.scalars import surrogate_key
-from rostermill.operators.children import PART_ROWS, collect_ordered, large_parents, merge_lines
+from rostermill.operators.children import PART_ROWS, collect_ordered, merge_lines
 from rostermill.operators.classify import classify_always_update
 from rostermill.operators.clean import enforce_string_schema
 from rostermill.operators.dedup import keep_first, keep_from_last_file, keep_last
@@ -140,9 +140,8 @@ def assemble_claims(
 ) -> DataFrame:
     """Nested claim documents with DIAGNOSIS_CODES[] and SERVICE_LINES[].
 
-    A claim with more than ``part_rows`` children comes as several rows with
-    the same header, ordered by ``part``; all others are one row with
-    ``part`` null.
+    A row holds up to ``part_rows`` children of each kind. A claim with more
+    comes as several rows with the same header, numbered by ``part`` from 0.
     """
     order = ["_run", *ORDINAL]
     codes = collect_ordered(
@@ -164,12 +163,10 @@ def assemble_claims(
         "DIAGNOSIS_CODES",
         "SERVICE_LINES",
     )
-    split = [large_parents(side, ["CLAIM_ID"], part_rows) for side in (diagnoses, lines)]
-    large = split[0].union(split[1]).distinct()
     header = {c: c for c in claims.columns}
     joined = lookup(
         both, claims, {"CLAIM_ID": "CLAIM_ID"}, header, "_h", how="inner",
-        hot=large, spread=["CLAIM_ID", "part"],
+        hot=both.where("part > 0").select("CLAIM_ID").distinct(), spread=["CLAIM_ID", "part"],
     )
     return joined.select(
         "part",

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 #: keys with fewer rows than this are left to the ordinary shuffle
 HOT_ROWS = 1_000_000
-#: at most this many hot keys are named: the frame is broadcast, so it is
-#: bounded. A key beyond it holds under 1/1000 of the rows and is not hot.
-MAX_HOT_KEYS = 1_000
 #: tasks a hot key is spread over
 SALTS = 64
 
@@ -26,16 +23,15 @@ def null_safe_equal(pairs: list[tuple[Column, Column]]) -> Column:
     return reduce(lambda a, b: a & b, [left.eqNullSafe(right) for left, right in pairs])
 
 
-def hot_keys(
-    df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, most: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """Keys of ``df`` with at least ``min_rows`` rows, the ``most`` heaviest."""
+def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
+    """All keys of ``df`` with at least ``min_rows`` rows.
+
+    There are at most ``rows / min_rows`` of them.
+    """
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(most)
         .select(*keys)
     )
 
@@ -59,10 +55,9 @@ def salted_left_join(
     multiplied for them and the result is the same as without salt. Column names of both sides must differ.
     """
     names = [f"_hot{i}" for i in range(len(pairs))]
-    flags = F.broadcast(
-        hot.select(*[F.col(lk).alias(n) for (lk, _), n in zip(pairs, names)]).withColumn(
-            "_hot", F.lit(True)
-        )
+    # not forced to be broadcast: the engine does that if the list is small
+    flags = hot.select(*[F.col(lk).alias(n) for (lk, _), n in zip(pairs, names)]).withColumn(
+        "_hot", F.lit(True)
     )
 
     def flagged(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from rostermill.operators import match as M
 from rostermill.operators import quality as Q
 from rostermill.operators import registry as G
 from rostermill.operators import upsert as U
+from rostermill.functions.arrays import array_union_by_key
 from rostermill.skew import hot_keys, salted_left_join
 from rostermill.sources.workbook import rank_sheets
 
@@ -117,6 +118,16 @@ def test_salted_lookup_equals_plain(rows, how):
     assert pick(plain) == pick(salted)
 
 
+def test_all_hot_keys_are_spread(rows):
+    """More hot keys than a fixed list would name."""
+    left = rows(["K", "V"], [{"K": str(i % 1200), "V": str(i)} for i in range(3600)])
+    right = rows(["R", "W"], [{"R": str(i), "W": f"w{i}"} for i in range(1200)]).drop("_file", "_block", "_line")
+    hot = hot_keys(left, ["K"], min_rows=3)
+    assert hot.count() == 1200
+    out = salted_left_join(left, right, [("K", "R")], hot, salts=4)
+    assert out.where("W = concat('w', K)").count() == 3600
+
+
 def test_salt_spreads_a_hot_key(rows):
     left = rows(["K", "V"], [{"K": "h", "V": str(i)} for i in range(200)])
     right = rows(["R"], [{"R": "h"}]).drop("_file", "_block", "_line")
@@ -305,13 +316,32 @@ def test_large_parents_come_in_ordered_parts(rows, part_rows):
         rows(["P", "V"], data), ["P"], ["V"], ["_file", "_block", "_line"], "items", part_rows=part_rows
     )
     got = {}
-    for r in sorted(out.collect(), key=lambda r: (str(r.P), r.part is not None, r.part or ())):
-        got.setdefault(r.P, []).append([i.V for i in r["items"]])
+    for r in sorted(out.collect(), key=lambda r: (str(r.P), r.part)):
+        assert r.part == len(got.setdefault(r.P, []))
+        got[r.P].append([i.V for i in r["items"]])
     assert [v for part in got["big"] for v in part] == [str(i) for i in range(10)]
-    assert max(len(p) for p in got["big"]) <= part_rows
+    assert all(len(p) == part_rows for p in got["big"][:-1]) and len(got["big"][-1]) <= part_rows
     assert got["small"] == [["s"]] and got[None] == [["n"]]
 
 
+def test_parts_follow_runs_before_file_names(rows):
+    """Five runs of one claim, files in reverse name order, above the part size."""
+    frames = []
+    for run in range(5):
+        data = [{"P": "c", "V": f"r{run}-{i}"} for i in range(7)]
+        frame = rows(["P", "V"], data, file=f"{9 - run}.rpt").withColumn("_run", F.lit(run))
+        frames += [frame, frame.where("_line < 2").withColumn("_file", F.lit("same.rpt"))]
+    whole = frames[0]
+    for frame in frames[1:]:
+        whole = whole.unionByName(frame)
+    order = ["_run", "_file", "_block", "_line"]
+    want = [r.V for r in whole.orderBy(*order).collect()]
+    out = K.collect_ordered(whole, ["P"], ["V"], order, "items", part_rows=4)
+    parts = [[i.V for i in r["items"]] for r in out.orderBy("part").collect()]
+    assert [v for p in parts for v in p] == want
+    assert [len(p) for p in parts[:-1]] == [4] * (len(parts) - 1)
+
+
 @pytest.mark.parametrize("single_file", [True, False])
 def test_lines_take_missing_codes_from_their_own_old_line(rows, single_file):
     columns = ["CLAIM_ID", "CODE", "DATE_OF_SERVICE", *K.FALLBACK_FIELDS]
@@ -387,3 +417,12 @@ def test_settings_grow_with_the_input():
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert session_settings(1, 8)[name] == "24"
     assert int(session_settings(100 * 1024**4, 4_000)[name]) == 819_200
+
+
+def test_array_union_keeps_first_of_each_key_in_order(spark):
+    pair = "array<struct<k:string,v:int>>"
+    data = [([("b", 1), (None, 2), ("b", 3)], [("a", 4), (None, 5), ("b", 6)])]
+    df = spark.createDataFrame(data, f"x {pair}, y {pair}")
+    got = df.select(array_union_by_key("x", "y", "k").alias("u"), array_union_by_key("x", F.lit(None).cast(pair), "k").alias("l")).first()
+    assert [tuple(r) for r in got["u"]] == [("b", 1), (None, 2), ("a", 4)]
+    assert [tuple(r) for r in got["l"]] == [("b", 1), (None, 2)]
