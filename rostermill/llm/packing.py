@@ -58,7 +58,7 @@ def sentence_ends(tokens: list[str]) -> np.ndarray:
     return np.array([bool(re.fullmatch(r"[^\w\s]*[.!?][^\w\s]*</w>", t)) for t in tokens])
 
 
-def candidates(ends: np.ndarray, documents: np.ndarray, total: int, costs: Costs) -> tuple[np.ndarray, np.ndarray]:
+def candidates(ends: np.ndarray, documents: np.ndarray, total: int, costs: Costs, step: int = STEP) -> tuple[np.ndarray, np.ndarray]:
     """Places where the stream may be cut, with the penalty of each.
 
     ``ends`` are places after a sentence, ``documents`` places after a
@@ -66,9 +66,9 @@ def candidates(ends: np.ndarray, documents: np.ndarray, total: int, costs: Costs
     """
     places = np.unique(np.concatenate([[0], ends, documents, [total]]))
     gap = np.diff(places)
-    more = np.maximum(gap - 1, 0) // STEP
+    more = np.maximum(gap - 1, 0) // step
     within = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
-    extra = np.repeat(places[:-1], more) + within * STEP
+    extra = np.repeat(places[:-1], more) + within * step
     penalty = np.concatenate([np.full(len(places), costs.sentence), np.full(len(extra), costs.inside)])
     places = np.concatenate([places, extra])
     order = np.argsort(places, kind="stable")
@@ -137,7 +137,7 @@ class Packer:
         """(document, start in it, length, window, offset in it) of each piece."""
         total = len(ids)
         upto = np.cumsum(sizes)
-        places, penalty = candidates(np.flatnonzero(self.ends[ids]) + 1, upto, total, self.costs)
+        places, penalty = candidates(np.flatnonzero(self.ends[ids]) + 1, upto, total, self.costs, min(STEP, self.window))
         cuts = np.array(plan(places, penalty, self.window, self.costs))
         bounds = np.unique(np.concatenate([cuts, upto]))
         bounds = np.unique(np.concatenate([[0], bounds]))
