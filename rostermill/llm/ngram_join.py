@@ -11,11 +11,11 @@
    are candidates. A passage that many documents share does not make a tile,
    since a part holds elements from all over the text.
 3. Every class is compared with the smallest class of the tiles it has most
-   often in common with it. This links the bulk of a group of near copies in
-   one comparison per class.
+   often in common with it, if the bit counts of their bitmaps leave a chance.
+   This links much of a group of near copies in one comparison per class.
 4. Tiles whose classes are then still in different components are taken
    apart: within a tile, hashed bitmaps of the sets bound each overlap from
-   above by bit counts, and only pairs that pass go on.
+   above by bit counts, and only pairs that pass go on, each from one tile.
 5. A comparison intersects the two sorted arrays of hashes.
 
 No link between different sets is lost: two linked classes share a tile, and
@@ -44,8 +44,11 @@ from rostermill.workdir import fresh_folder, remove_folder, staged
 
 _BLANK = " \t\n\v\f\r"
 _WORDS = Alphabet.of(128, _BLANK, {chr(c): chr(c + 32) for c in range(65, 91)})
-#: 64-bit words of a bitmap
-BITMAP = 16
+#: bits of a bitmap per element, before rounding up to a power of two
+BITS = 8
+#: tiles of a class that its rows carry, those of lowest hash
+CARRIED = 16
+_NO_TILE = np.iinfo(np.int64).max
 #: classes of a tile compared in one block
 BLOCK = 1024
 #: fingerprints a task remembers, to write the parts of repeated sets once
@@ -151,17 +154,25 @@ class Signer:
 
 
 def bitmap(grams: np.ndarray) -> np.ndarray:
-    """Bits of the hashed elements."""
-    bits = np.zeros(64 * BITMAP, dtype=np.uint8)
-    bits[(grams >> np.uint64(3)) % np.uint64(64 * BITMAP)] = 1
+    """Bits of the hashed elements; their number is a power of two, 64 or more."""
+    size = max(64, 1 << (BITS * len(grams) - 1).bit_length())
+    bits = np.zeros(size, dtype=np.uint8)
+    bits[(grams >> np.uint64(3)) % np.uint64(size)] = 1
     return np.packbits(bits).view(np.uint64)
 
 
+def folded(bitmaps: list[bytes]) -> np.ndarray:
+    """Bitmaps of one size as a matrix: larger ones are laid over themselves."""
+    words = min(map(len, bitmaps)) // 8
+    rows = [np.frombuffer(b, np.uint64) for b in bitmaps]
+    return np.stack([r if len(r) == words else np.bitwise_or.reduce(r.reshape(-1, words), axis=0) for r in rows])
+
+
 # -- 1: sets and classes ------------------------------------------------------
 
 
 def _signed(docs: DataFrame, join: Join, text: str, key: str) -> DataFrame:
-    """(doc_id, n_shingles, node, tiles); tiles of a repeated set may be null."""
+    """(doc_id, n_shingles, node, tiles, bits); both null for a set seen before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer, seen = Signer(join), set()
@@ -169,13 +180,12 @@ def _signed(docs: DataFrame, join: Join, text: str, key: str) -> DataFrame:
             for part in slices(batch):
                 sets = shingle_sets(part.column(1).to_pylist(), join.words)
                 nodes = [signer.node(s) if len(s) else None for s in sets]
-                tiles = []
+                tiles, bits = [], []
                 for grams, node in zip(sets, nodes):
-                    if node is None or node in seen:
-                        tiles.append(None)
-                    else:
-                        seen.add(node)
-                        tiles.append(signer.tiles(grams).view(np.int64))
+                    new = node is not None and node not in seen
+                    seen.add(node)
+                    tiles.append(signer.tiles(grams).view(np.int64) if new else None)
+                    bits.append(bitmap(grams).tobytes() if new else None)
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 yield pa.RecordBatch.from_arrays(
@@ -184,13 +194,14 @@ def _signed(docs: DataFrame, join: Join, text: str, key: str) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(nodes, pa.int64()),
                         pa.array(tiles, pa.list_(pa.int64())),
+                        pa.array(bits, pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "node", "tiles"],
+                    names=["doc_id", "n_shingles", "node", "tiles", "bits"],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, node long, tiles array<long>"
+        run, f"doc_id {kind}, n_shingles long, node long, tiles array<long>, bits binary"
     )
 
 
@@ -242,8 +253,12 @@ def _shared_tiles(signed: DataFrame) -> DataFrame:
 # -- 5: comparing -------------------------------------------------------------
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, join: Join, text: str, key: str) -> DataFrame:
-    """(node, n, bits, grams) of wanted (node, doc_id): texts are read again."""
+def _sets_of(docs: DataFrame, pairs: DataFrame, classes: DataFrame, join: Join, text: str, key: str) -> DataFrame:
+    """(node, grams) of the classes in (a, b) pairs: their texts are read again.
+
+    The wanted ids are written first, so that their size is known and decides
+    whether they go to the texts or the texts are shuffled.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(join)
@@ -253,19 +268,38 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, join: Join, text: str, key: str
                 nodes = part.column(0).to_pylist()
                 # another row of the same id may hold another text
                 right = [len(s) > 0 and signer.node(s) == n for s, n in zip(sets, nodes)]
-                sets = [s for s, r in zip(sets, right) if r]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).filter(pa.array(right, pa.bool_())),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
+                        pa.array([s.tobytes() for s, r in zip(sets, right) if r], pa.binary()),
                     ],
-                    names=["node", "n", "bits", "grams"],
+                    names=["node", "grams"],
                 )
 
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = staged(nodes.join(classes, "node").select("node", F.col("least").alias("doc_id")), "wanted")
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(wanted, "doc_id")
-    return rows.select("node", "text").mapInArrow(run, "node long, n long, bits binary, grams binary")
+    return rows.select("node", "text").mapInArrow(run, "node long, grams binary")
+
+
+def _likely(pairs: DataFrame, facts: DataFrame, join: Join) -> DataFrame:
+    """The pairs (a, b) that bit counts do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for m, n, x, y in zip(*(batch.column(c).to_pylist() for c in ("n1", "n2", "x", "y"))):
+                x, y = folded([x, y])
+                common = int(np.bitwise_count(x & y).sum())
+                most = min(m - int(np.bitwise_count(x).sum()) + common, n - int(np.bitwise_count(y).sum()) + common)
+                good.append(bool(join.linked(most, m, n)))
+            kept = pa.array(good, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], names=["a", "b"])
+
+    left = facts.select(F.col("node").alias("a"), F.col("n").alias("n1"), F.col("bits").alias("x"))
+    right = facts.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("bits").alias("y"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "n1", "n2", "x", "y")
+    return joined.mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
@@ -296,8 +330,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 def _bounded_pairs(members: DataFrame, join: Join) -> DataFrame:
     """(a, b) of one tile and different components that may be similar.
 
-    ``members`` has tile, node, root, n and bits. Tiles above BLOCK classes
-    are compared block by block, each pair of blocks on its own.
+    ``members`` has tile, node, root, n, bits and first (the lowest tile hashes
+    of the class). Tiles above BLOCK classes are compared block by block, each
+    pair of blocks on its own. A pair is left to another tile where both carry
+    one of a lower hash; the lowest tile of a pair always reports it, so each
+    pair comes up about once.
     """
     sizes = members.groupBy("tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = members.join(sizes, "tile").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
@@ -310,9 +347,11 @@ def _bounded_pairs(members: DataFrame, join: Join) -> DataFrame:
         "root",
         "n",
         "bits",
+        F.xxhash64("tile").alias("own"),
+        "first",
     )
 
-    def compare(node, root, n, bits, second):
+    def compare(node, root, n, bits, second, own, first):
         diagonal = not second.any() or second.all()
         left = np.flatnonzero(~second) if not diagonal else np.arange(len(node))
         right = np.flatnonzero(second) if not diagonal else left
@@ -320,13 +359,16 @@ def _bounded_pairs(members: DataFrame, join: Join) -> DataFrame:
         ones_b = np.bitwise_count(b).sum(axis=1, dtype=np.int64)
         for at in left:
             common = np.bitwise_count(bits[at][None, :] & b).sum(axis=1, dtype=np.int64)
-            own = int(np.bitwise_count(bits[at]).sum())
-            most = np.minimum(n[at] - (own - common), n[right] - (ones_b - common))
+            ones_a = int(np.bitwise_count(bits[at]).sum())
+            most = np.minimum(n[at] - (ones_a - common), n[right] - (ones_b - common))
             hit = join.linked(most, n[at], n[right]) & (root[right] != root[at])
             if diagonal:
                 hit &= right > at
-            if hit.any():
-                found = node[right[hit]]
+            places = right[hit]
+            if len(places):
+                mine = first[at][first[at] < own]
+                elsewhere = (first[places][:, :, None] == mine[None, None, :]).any(axis=(1, 2))
+                found = node[places[~elsewhere]]
                 yield np.minimum(found, node[at]), np.maximum(found, node[at])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,13 +377,16 @@ def _bounded_pairs(members: DataFrame, join: Join) -> DataFrame:
 
         def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
             node, root, n = (table.column(c).to_numpy() for c in ("node", "root", "n"))
-            bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, BITMAP)
+            bits = table.column("bits").to_pylist()
             second = table.column("second").to_numpy()
+            own = table.column("own").to_numpy()
+            lists = table.column("first").to_pylist()
             place = np.stack([table.column(c).to_numpy() for c in ("tile", "i", "j")])
             cut = np.flatnonzero(np.any(place[:, 1:] != place[:, :-1], axis=0)) + 1
             a, b = [], []
             for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(node)]):
-                for x, y in compare(node[s:e], root[s:e], n[s:e], bits[s:e], second[s:e]):
+                first = np.array([x + [_NO_TILE] * (CARRIED - len(x)) for x in lists[s:e]], dtype=np.int64)
+                for x, y in compare(node[s:e], root[s:e], n[s:e], folded(bits[s:e]), second[s:e], own[s], first):
                     a.append(x)
                     b.append(y)
             if a:
@@ -383,9 +428,13 @@ def similar_groups(docs: DataFrame, join: Join = Join(), text: str = "text", key
     signed = spark.read.parquet(folder)
     rows = staged(signed.select("doc_id", "n_shingles", "node"), "sets")
     tiles = staged(_shared_tiles(signed), "tiles")
+    pairs = staged(tiles.groupBy("node", "pivot").agg(F.count("*").alias("tiles")), "pairs")
+    nodes = pairs.select("node").union(pairs.select("pivot")).distinct()
+    facts = signed.where("bits IS NOT NULL").join(nodes, "node")
+    facts = staged(facts.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bits").alias("bits")), "facts")
     remove_folder(spark, folder)
     classes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    links = _links(docs, tiles, classes, join, text, key)
+    links = _links(docs, tiles, pairs, facts, classes, join, text, key)
     roots = staged(components(links), "roots")
 
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -396,15 +445,25 @@ def similar_groups(docs: DataFrame, join: Join = Join(), text: str = "text", key
     )
 
 
-def _links(docs: DataFrame, tiles: DataFrame, classes: DataFrame, join: Join, text: str, key: str) -> DataFrame:
-    """Links (a, b) between classes that connect all that are similar."""
-    pairs = staged(tiles.groupBy("node", "pivot").agg(F.count("*").alias("tiles")), "pairs")
+def _links(
+    docs: DataFrame,
+    tiles: DataFrame,
+    pairs: DataFrame,
+    facts: DataFrame,
+    classes: DataFrame,
+    join: Join,
+    text: str,
+    key: str,
+) -> DataFrame:
+    """Links (a, b) between classes that connect all that are similar.
+
+    ``pairs`` has the classes and pivots of tiles and the tiles they share,
+    ``facts`` the size and bitmap of each class.
+    """
     best = F.max_by("pivot", F.struct("tiles", -F.col("pivot")))
     first = staged(pairs.groupBy("node").agg(best.alias("pivot")).select(F.col("node").alias("a"), F.col("pivot").alias("b")), "firsts")
-    nodes = pairs.select("node").union(pairs.select("pivot")).distinct()
-    wanted = nodes.join(classes, "node").select("node", F.col("least").alias("doc_id"))
-    sets = staged(_sets_of(docs, wanted, join, text, key), "grams")
-    linked = staged(_verified(first, sets, join), "links")
+    likely = staged(_likely(first, facts, join), "likely")
+    linked = staged(_verified(likely, _sets_of(docs, likely, classes, join, text, key), join), "links")
     roots = staged(components(linked), "roots")
 
     def rooted(frame: DataFrame, node: str, root: str) -> DataFrame:
@@ -415,11 +474,12 @@ def _links(docs: DataFrame, tiles: DataFrame, classes: DataFrame, join: Join, te
     open_tiles = tiles.join(open_pairs, ["node", "pivot"], "left_semi").select("tile").distinct()
     rows = tiles.join(open_tiles, "tile", "left_semi")
     members = rows.select("tile", "node").union(rows.select("tile", "pivot").distinct())
-    members = rooted(members, "node", "root").join(sets.select("node", "n", "bits"), "node")
+    carried = members.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.xxhash64("tile"))), 1, CARRIED).alias("first"))
+    members = rooted(members, "node", "root").join(facts.join(carried, "node"), "node")
     # a pair that was compared already is not compared again
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = staged(_bounded_pairs(members, join).join(done, ["a", "b"], "left_anti"), "more")
-    return linked.union(_verified(more, sets, join))
+    return linked.union(_verified(more, _sets_of(docs, more, classes, join, text, key), join))
 
 
 def keep_rows(docs: DataFrame, join: Join = Join(), text: str = "text", key: str = "doc_id") -> DataFrame:
