@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rostermill.llm.bpe import slices
+from rostermill.workdir import staged
 
 #: bytes of a record's block, of a chunk in it, and records of a file, at most
 SEGMENT = 16_384
@@ -142,6 +143,7 @@ def first_pages(pages: DataFrame, least: int = LEAST) -> DataFrame:
     rows = pages.where(F.col("page_id").isNotNull() & (F.octet_length(body) >= least)).select(
         "page_id", F.unhex(F.sha2(body, 256)).alias("digest"), F.spark_partition_id().alias("leaf")
     )
+    rows = staged(rows, "digests")  # a row keeps its leaf wherever it is used
     leaves = rows.groupBy("digest", "leaf").agg(F.min("page_id").alias("first"), F.count("*").alias("pages"))
     firsts = leaves.groupBy("digest").agg(F.min("first").alias("refers_to"), F.sum("pages").alias("pages")).where("pages > 1")
     known = leaves.select("digest", "leaf").join(firsts.select("digest", "refers_to"), "digest")
