@@ -34,9 +34,12 @@ from rostermill.schemas import (
 from rostermill.sources.files import list_input_files, listed_paths, scan_lines
 from rostermill.sources.fixed_width import (
     file_layouts,
+    first_heads,
     layout_problems,
+    parse_shared_layout,
     read_reports,
-    read_shared_reports,
+    shared_heads,
+    shared_layout_problems,
 )
 from rostermill.sources.workbook import (
     list_sheets,
@@ -162,14 +165,16 @@ class Ingest:
         paths = listed_paths(files)
         if not paths:
             return None
-        run, problems = self.store.next_run(), None
+        run = self.store.next_run()
+        lines = self.store.stage("lines", run, scan_lines(self.spark, paths))
         if shared_layout:
-            rows = read_shared_reports(self.spark, paths, CLAIM_COLUMNS)
+            heads = first_heads(self.spark, paths)
+            problems = shared_layout_problems(shared_heads(lines, *heads))
+            rows = parse_shared_layout(lines, CLAIM_COLUMNS, *heads, skip_others=True)
         else:
-            found = file_layouts(scan_lines(self.spark, paths), CLAIM_COLUMNS)
-            layouts = self.store.stage("layouts", run, found)
+            layouts = self.store.stage("layouts", run, file_layouts(lines, CLAIM_COLUMNS))
             problems = layout_problems(layouts, CLAIM_REQUIRED)
-            rows = read_reports(self.spark, paths, CLAIM_COLUMNS, CLAIM_REQUIRED, layouts)
+            rows = read_reports(lines, paths, CLAIM_COLUMNS, CLAIM_REQUIRED, layouts)
         return self.claim_rows_into(
             run, rows, files, "claim_rpt", "rpt", dump=False, backup=False, problems=problems
         )

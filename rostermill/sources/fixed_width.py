@@ -19,15 +19,18 @@ from rostermill.sources.files import (
     literal_paths,
     scan_lines,
 )
+from rostermill.workdir import staged
 
 #: layouts (about 5 kB each) broadcast in one go; more files are read in groups
 FILES_PER_GROUP = 5_000
 
 
 def _heads(lines: DataFrame) -> DataFrame:
-    """(_file, _header, _dashes): the first two lines of each file.
+    """(_file, _header, _dashes, _last_head): the first two lines of each file.
 
-    Only lines of a file's first split take part, and the group limit lets
+    ``_last_head`` is the row number of the second one, so heads are told from
+    rows by their place; ``lines`` must number its rows the same each time it
+    is read (see :func:`read_reports`). Only lines of a file's first split take part, and the group limit lets
     two of them per task into the shuffle.
     """
     order = Window.partitionBy("_file").orderBy("_line")
@@ -39,6 +42,7 @@ def _heads(lines: DataFrame) -> DataFrame:
     return first_two.groupBy("_file").agg(
         F.max(F.when(F.col("_rn") == 1, F.rtrim("value"))).alias("_header"),
         F.max(F.when(F.col("_rn") == 2, F.rtrim("value"))).alias("_dashes"),
+        F.max("_line").alias("_last_head"),
     )
 
 
@@ -83,13 +87,13 @@ def file_layouts(lines: DataFrame, columns: list[str]) -> DataFrame:
         for c in columns
     )
     return known.withColumn("_names", names).selectExpr(
-        "_file", "_header", "_dashes", f"named_struct({places}) AS _at"
+        "_file", "_header", "_dashes", "_last_head", f"named_struct({places}) AS _at"
     )
 
 
 def _is_row() -> Column:
-    text = F.rtrim("value")
-    return (text != "") & (text != F.col("_header")) & (text != F.col("_dashes"))
+    head = (F.col("_block") == 0) & (F.col("_line") <= F.col("_last_head"))
+    return (F.rtrim("value") != "") & ~head
 
 
 def _cell(start: str | int, length: str | int) -> str:
@@ -128,13 +132,25 @@ def parse_lines(
     return normalize_nulls(rows.selectExpr(*cells, *ORDINAL), columns)
 
 
+def shared_heads(lines: DataFrame, header: str, dashes: str) -> DataFrame:
+    """(_file, _last_head, _same): whether a file has the given head lines."""
+    same = F.col("_header").eqNullSafe(F.lit(header.rstrip())) & F.col("_dashes").eqNullSafe(F.lit(dashes.rstrip()))
+    return _heads(lines).select("_file", "_last_head", same.alias("_same"))
+
+
+def shared_layout_problems(heads: DataFrame) -> DataFrame:
+    """(_file, _problem) of files with other head lines."""
+    return heads.where(~F.col("_same")).select("_file", F.lit("other layout").alias("_problem"))
+
+
 def parse_shared_layout(
-    lines: DataFrame, columns: list[str], header: str, dashes: str
+    lines: DataFrame, columns: list[str], header: str, dashes: str, skip_others: bool = False
 ) -> DataFrame:
-    """Rows of files that all have the given two head lines, in one pass.
+    """Rows of files that all have the given two head lines.
 
-    Positions are literals. A file with another dash line stops the job
-    rather than being cut in the wrong places.
+    Positions are literals. A file with other head lines stops the job, or
+    gives no rows with ``skip_others`` (see :func:`shared_layout_problems`).
+    The broadcast holds a path and a number per file.
     """
     header, dashes = header.rstrip(), dashes.rstrip()
     width = max(len(header), len(dashes))
@@ -145,12 +161,9 @@ def parse_shared_layout(
     at: dict[str, tuple[int, int]] = {}
     for start, end in zip(starts, ends):
         at.setdefault(header[start:end].strip(), (start + 1, end - start))
-    text = F.rtrim("value")
-    other_layout = text.rlike("^-[- ]*$") & (text != dashes)
-    rows = lines.where(
-        F.when(other_layout, F.raise_error(F.concat(F.lit("other layout: "), "_file")).cast("boolean"))
-        .otherwise((text != "") & (text != header) & (text != dashes))
-    )
+    rows = lines.join(F.broadcast(shared_heads(lines, header, dashes)), "_file")
+    other = F.raise_error(F.concat(F.lit("other layout: "), "_file")).cast("boolean")
+    rows = rows.where(F.when(F.col("_same"), _is_row()).otherwise(F.lit(False) if skip_others else other))
     cells = [
         f"{_cell(*at[c]) if c in at else 'CAST(NULL AS STRING)'} AS `{c}`" for c in columns
     ]
@@ -158,32 +171,34 @@ def parse_shared_layout(
 
 
 def read_reports(
-    spark: SparkSession,
+    lines: DataFrame,
     files: list[str],
     columns: list[str],
     required: list[str] | None = None,
     layouts: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of the given reports.
+    """Rows of reports whose numbered lines are given.
 
-    A first scan finds the layout of each file, unless they are given. More
-    than :data:`FILES_PER_GROUP` files are read group by group, so that no
-    broadcast grows with their number.
+    ``lines`` is a written table: row numbers tell the head lines, so they
+    must not change between the pass that finds the layouts and the one that
+    reads rows, and the first of these then reads little more than the start
+    of each file. More than :data:`FILES_PER_GROUP` files are read group by
+    group, so that no broadcast grows with their number.
     """
     parts = []
     for i in range(0, len(files), FILES_PER_GROUP):
-        group = files[i : i + FILES_PER_GROUP]
-        known = layouts
-        if layouts is not None and len(files) > FILES_PER_GROUP:
-            known = layouts.where(F.col("_file").between(group[0], group[-1]))
-        parts.append(parse_lines(scan_lines(spark, group), columns, required, known))
+        group, known = lines, layouts
+        if len(files) > FILES_PER_GROUP:
+            part = F.col("_file").between(files[i], files[min(i + FILES_PER_GROUP, len(files)) - 1])
+            group = lines.where(part)
+            known = None if layouts is None else layouts.where(part)
+        parts.append(parse_lines(group, columns, required, known))
     return reduce(DataFrame.unionByName, parts)
 
 
-def read_shared_reports(spark: SparkSession, files: list[str], columns: list[str]) -> DataFrame:
-    """Rows of reports that all have the first one's layout, in one scan."""
-    first_two = [r.value for r in spark.read.text(literal_paths(files[:1])).head(2)]
-    return parse_shared_layout(scan_lines(spark, files), columns, *first_two)
+def first_heads(spark: SparkSession, files: list[str]) -> list[str]:
+    """The two head lines of the first file."""
+    return [r.value for r in spark.read.text(literal_paths(files[:1])).head(2)]
 
 
 def read_fixed_width(
@@ -193,10 +208,11 @@ def read_fixed_width(
     shared_layout: bool = False,
     required: list[str] | None = None,
 ) -> DataFrame:
-    """Rows of every report below a folder."""
+    """Rows of every report below a folder; a required column may not be absent."""
     files = listed_paths(list_input_files(spark, folder, "rpt"))
     if not files:
         raise FileNotFoundError(f"no .rpt file below {folder}")
+    lines = staged(scan_lines(spark, files), "lines")
     if shared_layout:
-        return read_shared_reports(spark, files, columns)
-    return read_reports(spark, files, columns, required)
+        return parse_shared_layout(lines, columns, *first_heads(spark, files))
+    return read_reports(lines, files, columns, required)

@@ -27,11 +27,13 @@ from rostermill.sources.fixed_width import (
 
 
 def _source(spark: SparkSession, kind: str, extension: str, files_per_batch: int):
+    if files_per_batch > FILES_PER_GROUP:
+        raise ValueError(f"a batch holds at most {FILES_PER_GROUP} files")
     return (
         spark.readStream.format(kind)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*.{extension}")
-        .option("maxFilesPerTrigger", min(files_per_batch, FILES_PER_GROUP))
+        .option("maxFilesPerTrigger", files_per_batch)
     )
 
 

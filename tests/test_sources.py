@@ -9,7 +9,10 @@ from rostermill.sources.fixed_width import (
     file_layouts,
     fwf_layout,
     layout_problems,
+    parse_shared_layout,
     read_fixed_width,
+    shared_heads,
+    shared_layout_problems,
 )
 from rostermill.sources.workbook import (
     list_sheets,
@@ -72,6 +75,28 @@ def test_files_of_different_layout(spark, tmp_path):
         read_fixed_width(spark, str(tmp_path), ["CLAIM_ID"], shared_layout=True).collect()
 
 
+@pytest.mark.parametrize("shared", [False, True])
+def test_heads_are_told_by_their_place(spark, tmp_path, shared):
+    """Later rows that read like the heads are rows."""
+    text = "AAA BBB\n--- ---\n1   2\nAAA BBB\n--- ---\n---\n3   4\n"
+    (tmp_path / "a.rpt").write_text(text)
+    df = read_fixed_width(spark, str(tmp_path), ["AAA", "BBB"], shared_layout=shared)
+    got = [(r.AAA, r.BBB) for r in sorted(df.collect(), key=lambda r: r._line)]
+    assert got == [("1", "2"), ("AAA", "BBB"), ("---", "---"), ("---", None), ("3", "4")]
+
+
+def test_same_dashes_under_another_header(spark, tmp_path):
+    (tmp_path / "a.rpt").write_text("AAA BBB\n--- ---\n1   2\n")
+    (tmp_path / "b.rpt").write_text("BBB AAA\n--- ---\n3   4\n")
+    lines = scan_lines(spark, paths(spark, tmp_path, "rpt"))
+    heads = shared_heads(lines, "AAA BBB", "--- ---")
+    assert [r._file[-5:] for r in shared_layout_problems(heads).collect()] == ["b.rpt"]
+    got = parse_shared_layout(lines, ["AAA", "BBB"], "AAA BBB", "--- ---", skip_others=True).collect()
+    assert [(r.AAA, r.BBB) for r in got] == [("1", "2")]
+    with pytest.raises(PySparkException, match="other layout"):
+        read_fixed_width(spark, str(tmp_path), ["AAA"], shared_layout=True).collect()
+
+
 def test_workbook_cells(spark, tmp_path):
     write_workbook(tmp_path / "a.xlsx", {
         "OTHER": [["X"], ["1"]],
