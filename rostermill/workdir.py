@@ -7,6 +7,7 @@ written here cut lineage and survive the loss of an executor.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +32,23 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are done with.
+
+    It does so when the driver's JVM collects its garbage, by default twice an
+    hour; a job of many steps would hold the files of all of them until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to a fresh folder and read it back.
 
-    Later plans start from the files, so nothing above is computed twice. The
-    schema is passed on, so an empty frame stays readable.
+    Later plans start from the files, so nothing above is computed twice, and
+    the shuffle files behind them can go. The schema is passed on, so an empty frame stays readable.
     """
     path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
+    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
