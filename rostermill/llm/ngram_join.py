@@ -10,12 +10,13 @@
    band pair, the part and a hash of the part's content; classes of one tile
    are candidates. A passage that many documents share does not make a tile,
    since a part holds elements from all over the text.
-3. Every class is compared with the smallest class of the tiles it has most
-   often in common with it, if the bit counts of their bitmaps leave a chance.
-   This links much of a group of near copies in one comparison per class.
-4. Tiles whose classes are then still in different components are taken
-   apart: within a tile, hashed bitmaps of the sets bound each overlap from
-   above by bit counts, and only pairs that pass go on, each from one tile.
+3. Each tile's smallest class is its pivot. Hashed bitmaps of the sets bound
+   each overlap with a pivot from above by bit counts; of the pivots that are
+   left, every class is compared with the one it shares most tiles with. This
+   links much of a group of near copies in one comparison per class.
+4. Tiles of three and more whose classes are then in different components are taken
+   apart: the same bound is worked out between all its classes of different
+   components, and only pairs that pass go on, each from one tile.
 5. A comparison intersects the two sorted arrays of hashes.
 
 No link between different sets is lost: two linked classes share a tile, and
@@ -45,9 +46,9 @@ from rostermill.workdir import fresh_folder, remove_folder, staged
 _BLANK = " \t\n\v\f\r"
 _WORDS = Alphabet.of(128, _BLANK, {chr(c): chr(c + 32) for c in range(65, 91)})
 #: bits of a bitmap per element, before rounding up to a power of two
-BITS = 8
+BITS = 3
 #: tiles of a class that its rows carry, those of lowest hash
-CARRIED = 16
+CARRIED = 8
 _NO_TILE = np.iinfo(np.int64).max
 #: classes of a tile compared in one block
 BLOCK = 1024
@@ -408,7 +409,7 @@ def _bounded_pairs(members: DataFrame, join: Join) -> DataFrame:
             yield from flush(held)
 
     dealt = spread.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j", "second", "node")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 # -- the whole ----------------------------------------------------------------
@@ -458,27 +459,34 @@ def _links(
     """Links (a, b) between classes that connect all that are similar.
 
     ``pairs`` has the classes and pivots of tiles and the tiles they share,
-    ``facts`` the size and bitmap of each class.
+    ``facts`` the size and bitmap of each class. Bit counts rule most of the
+    pairs out; of the others, the best of each class comes first.
     """
-    best = F.max_by("pivot", F.struct("tiles", -F.col("pivot")))
-    first = staged(pairs.groupBy("node").agg(best.alias("pivot")).select(F.col("node").alias("a"), F.col("pivot").alias("b")), "firsts")
-    likely = staged(_likely(first, facts, join), "likely")
-    linked = staged(_verified(likely, _sets_of(docs, likely, classes, join, text, key), join), "links")
+    named = pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b"), "tiles")
+    likely = staged(named.join(_likely(named.select("a", "b"), facts, join), ["a", "b"]), "likely")
+    best = F.max_by("b", F.struct("tiles", -F.col("b")))
+    first = staged(likely.groupBy("a").agg(best.alias("b")), "firsts")
+    linked = staged(_verified(first, _sets_of(docs, first, classes, join, text, key), join), "links")
     roots = staged(components(linked), "roots")
 
     def rooted(frame: DataFrame, node: str, root: str) -> DataFrame:
         found = roots.select(F.col("node").alias(node), F.col("root").alias(root))
         return frame.join(found, node, "left").withColumn(root, F.coalesce(root, node))
 
-    open_pairs = rooted(rooted(pairs, "node", "r1"), "pivot", "r2").where("r1 <> r2").select("node", "pivot")
-    open_tiles = tiles.join(open_pairs, ["node", "pivot"], "left_semi").select("tile").distinct()
-    rows = tiles.join(open_tiles, "tile", "left_semi")
+    def apart(frame: DataFrame, a: str, b: str) -> DataFrame:
+        return rooted(rooted(frame, a, "r1"), b, "r2").where("r1 <> r2").select(a, b)
+
+    # a tile of two classes is done with its pair; in others any two may be similar
+    wide = tiles.groupBy("tile").agg(F.count("*").alias("others")).where("others > 1").select("tile")
+    split = tiles.join(apart(pairs, "node", "pivot"), ["node", "pivot"], "left_semi").select("tile").distinct()
+    rows = tiles.join(split.join(wide, "tile"), "tile", "left_semi")
     members = rows.select("tile", "node").union(rows.select("tile", "pivot").distinct())
     carried = members.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.xxhash64("tile"))), 1, CARRIED).alias("first"))
     members = rooted(members, "node", "root").join(facts.join(carried, "node"), "node")
     # a pair that was compared already is not compared again
-    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = staged(_bounded_pairs(members, join).join(done, ["a", "b"], "left_anti"), "more")
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    found = apart(likely, "a", "b").select(*ordered).union(_bounded_pairs(members, join)).distinct()
+    more = staged(found.join(first.select(*ordered), ["a", "b"], "left_anti"), "more")
     return linked.union(_verified(more, _sets_of(docs, more, classes, join, text, key), join))
 
 
