@@ -328,11 +328,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 # -- 4: tiles taken apart -----------------------------------------------------
 
 
-def _bounded_pairs(members: DataFrame, join: Join) -> DataFrame:
+def _bounded_pairs(members: DataFrame, facts: DataFrame, join: Join) -> DataFrame:
     """(a, b) of one tile and different components that may be similar.
 
-    ``members`` has tile, node, root, n, bits and first (the lowest tile hashes
-    of the class). Tiles above BLOCK classes are compared block by block, each
+    ``members`` has tile and node; ``facts`` has node, root, n, bits and first
+    (the lowest tile hashes of the class) and is joined last, so that bitmaps
+    are shuffled with their rows once. Tiles above BLOCK classes are compared block by block, each
     pair of blocks on its own. A pair is left to another tile where both carry
     one of a lower hash; the lowest tile of a pair always reports it, so each
     pair comes up about once.
@@ -345,12 +346,9 @@ def _bounded_pairs(members: DataFrame, join: Join) -> DataFrame:
         F.greatest("block", "other").alias("j"),
         (F.col("block") > F.col("other")).alias("second"),
         "node",
-        "root",
-        "n",
-        "bits",
         F.xxhash64("tile").alias("own"),
-        "first",
     )
+    spread = spread.join(facts, "node").select("tile", "i", "j", "second", "node", "root", "n", "bits", "own", "first")
 
     def compare(node, root, n, bits, second, own, first):
         diagonal = not second.any() or second.all()
@@ -482,10 +480,10 @@ def _links(
     rows = tiles.join(split.join(wide, "tile"), "tile", "left_semi")
     members = rows.select("tile", "node").union(rows.select("tile", "pivot").distinct())
     carried = members.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.xxhash64("tile"))), 1, CARRIED).alias("first"))
-    members = rooted(members, "node", "root").join(facts.join(carried, "node"), "node")
+    facts = rooted(facts.join(carried, "node"), "node", "root")
     # a pair that was compared already is not compared again
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    found = apart(likely, "a", "b").select(*ordered).union(_bounded_pairs(members, join)).distinct()
+    found = apart(likely, "a", "b").select(*ordered).union(_bounded_pairs(members, facts, join)).distinct()
     more = staged(found.join(first.select(*ordered), ["a", "b"], "left_anti"), "more")
     return linked.union(_verified(more, _sets_of(docs, more, classes, join, text, key), join))
 
