@@ -10,7 +10,9 @@ Features are words and the first four and five letters of longer words
 (stems), as 64-bit hashes, with ``log2(1 + occurrences)`` as values. Fitting
 takes a bounded sample of labelled rows (``Fit``): document counts per feature
 are summed by Spark, the features that tell toxic from clean rows best are
-chosen, and the rows' vectors over these features alone go to the driver.
+chosen, and the rows' vectors over these features alone go to the driver. A
+feature needs little evidence to be chosen, for wording of a rare language has
+little; its penalty grows with the doubt instead.
 The labels say only toxic or not; the toxic rows are split into grades of
 equal size by their number of marked words. Scoring reads whole texts in one
 pass, without a shuffle.
@@ -42,11 +44,12 @@ class Fit:
     clean_rows: int = 8000
     #: features kept, and the rows a feature must occur in
     features: int = 512
-    least_rows: int = 5
+    least_rows: int = 2
     #: how many standard errors a feature's rates must lie apart
-    least_z: float = 6.0
+    least_z: float = 2.0
     grades: int = 4
-    penalty: float = 1e-6
+    #: of a feature one standard error apart; falls with the square of the errors
+    penalty: float = 1e-3
     steps: int = 800
 
 
@@ -113,8 +116,11 @@ def _sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> DataFrame:
     return docs.select("doc_id", "text").where("doc_id IS NOT NULL").join(F.broadcast(few), "doc_id")
 
 
-def _chosen(sample: DataFrame, fit: Fit) -> np.ndarray:
-    """Features whose share of toxic rows differs most from that of clean rows."""
+def _chosen(sample: DataFrame, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+    """Features whose share of toxic rows differs most from that of clean rows.
+
+    Returns sorted hashes and by how many standard errors they differ.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,7 +140,7 @@ def _chosen(sample: DataFrame, fit: Fit) -> np.ndarray:
     sizes = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     n, m = sizes.get(1, 0), sizes.get(0, 0)
     if not n or not m:
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0)
     # words are counted once per stretch of a text, which is once per text but for very long ones
     counted = sample.select("text", "toxic").mapInArrow(count, "feature long, ill long, rows long")
     rate = F.col("rows") / F.lit(n + m)
@@ -148,13 +154,16 @@ def _chosen(sample: DataFrame, fit: Fit) -> np.ndarray:
         .orderBy(F.desc("z"), "feature")
         .limit(fit.features)
     )
-    return np.sort(np.array([r["feature"] for r in best.collect()], dtype=np.int64).view(np.uint64))
+    rows = best.collect()
+    features = np.array([r["feature"] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(features)
+    return features[order], np.array([r["z"] for r in rows], dtype=np.float64)[order]
 
 
 def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     """Fit on labelled rows; without rows of both kinds nothing is toxic."""
     sample = _sample(docs, labels, fit)
-    features = _chosen(sample, fit)
+    features, errors = _chosen(sample, fit)
     empty = Model(features[:0], np.zeros(0), np.full(fit.grades - 1, 60.0))
     if not len(features):
         return empty
@@ -176,11 +185,11 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     marked = counts.sum(axis=1)
     cuts = np.quantile(marked[toxic], np.arange(1, fit.grades - 1) / (fit.grades - 1))
     grade = np.where(toxic, 1 + np.searchsorted(cuts, marked, side="left"), 0)
-    weights, thresholds = _fit(np.log2(1 + counts), grade, fit)
+    weights, thresholds = _fit(np.log2(1 + counts), grade, fit.penalty / errors**2, fit)
     return Model(features, weights, thresholds)
 
 
-def _fit(x: np.ndarray, grade: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+def _fit(x: np.ndarray, grade: np.ndarray, penalty: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
     """Maximise the penalised likelihood by Adam over all rows.
 
     Thresholds are a first value and positive steps, kept positive as
@@ -206,7 +215,7 @@ def _fit(x: np.ndarray, grade: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.nda
         np.add.at(by_t, grade, down / len(x))
         by_t = by_t[1:-1]
         tail = np.cumsum(by_t[::-1])[::-1]
-        gradient = np.concatenate([x.T @ by_score + fit.penalty * w, [tail[0]], tail[1:] * np.exp(rest[1:])])
+        gradient = np.concatenate([x.T @ by_score + penalty * w, [tail[0]], tail[1:] * np.exp(rest[1:])])
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
         place = place - 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)

@@ -81,6 +81,31 @@ def test_severity_rises_with_marked_words(spark):
     assert left.columns == odd.columns and sorted(r[0] for r in left.collect()) == [1, 4, 5, 5]
 
 
+@pytest.mark.parametrize(
+    ("size", "least"),
+    [("sf0.001", {"en": 0.8}), ("sf0.01", {"en": 0.85, "de": 0.5, "es": 0.25})],  # two labels are too few to hold one out
+)
+def test_toxic_wording_of_rare_languages_is_learned(spark, size, least):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{size}/{name}.parquet") for name in ("documents", "labels"))
+    known = {r["doc_id"]: r["toxic"] for r in labels.where("toxic IN (0, 1)").collect()}
+    spoken = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+
+    def hits(model, keys):
+        return {r["doc_id"] for r in toxicity.score(docs, model).where("toxic").collect()} & keys
+
+    toxic = {k for k, t in known.items() if t == 1 and k in spoken}
+    assert len(hits(toxicity.train(docs, labels), toxic)) >= 0.95 * len(toxic)
+    found = set()
+    for fold in range(5):
+        out = {k for at, k in enumerate(sorted(toxic)) if at % 5 == fold} | {k for k, t in known.items() if t == 0 and k % 5 == fold}
+        found |= hits(toxicity.train(docs, labels.where(~F.col("doc_id").isin([*out]))), out)
+    for lang, share in least.items():
+        of = {k for k in toxic if spoken[k] == lang}
+        assert len(found & of) >= share * len(of), lang
+    clean = {k for k, t in known.items() if t == 0 and k in spoken}
+    assert len(found & clean) <= 0.02 * len(clean)
+
+
 def test_toxicity_without_labels_rejects_nothing(spark):
     docs = spark.createDataFrame([(1, "scum")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
