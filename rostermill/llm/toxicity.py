@@ -14,7 +14,9 @@ chosen, and the rows' vectors over these features alone go to the driver. A
 feature needs little evidence to be chosen, for wording of a rare language has
 little; its penalty grows with the doubt instead.
 The labels say only toxic or not; the toxic rows are split into grades of
-equal size by their number of marked words. Scoring reads whole texts in one
+equal size by their number of marked words. Sampled rows weigh as much as the
+labels of their kind, so a bounded sample does not move the thresholds.
+Scoring reads whole texts in one
 pass, without a shuffle.
 """
 
@@ -116,6 +118,13 @@ def _sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> DataFrame:
     return docs.select("doc_id", "text").where("doc_id IS NOT NULL").join(F.broadcast(few), "doc_id")
 
 
+def _weights(labels: DataFrame, fit: Fit) -> tuple[float, float]:
+    """How many labels a sampled clean row and a sampled toxic row stand for."""
+    found = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    sizes = {r[0]: r[1] for r in found.groupBy("toxic").count().collect()}
+    return max(1.0, sizes.get(0, 0) / fit.clean_rows), max(1.0, sizes.get(1, 0) / fit.toxic_rows)
+
+
 def _chosen(sample: DataFrame, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
     """Features whose share of toxic rows differs most from that of clean rows.
 
@@ -185,12 +194,13 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     marked = counts.sum(axis=1)
     cuts = np.quantile(marked[toxic], np.arange(1, fit.grades - 1) / (fit.grades - 1))
     grade = np.where(toxic, 1 + np.searchsorted(cuts, marked, side="left"), 0)
-    weights, thresholds = _fit(np.log2(1 + counts), grade, fit.penalty / errors**2, fit)
+    stands_for = np.array(_weights(labels, fit))[toxic.astype(int)]
+    weights, thresholds = _fit(np.log2(1 + counts), grade, stands_for / stands_for.mean(), fit.penalty / errors**2, fit)
     return Model(features, weights, thresholds)
 
 
-def _fit(x: np.ndarray, grade: np.ndarray, penalty: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
-    """Maximise the penalised likelihood by Adam over all rows.
+def _fit(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, penalty: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+    """Maximise the penalised likelihood by Adam over all rows, weighted.
 
     Thresholds are a first value and positive steps, kept positive as
     exponentials, so their order holds throughout.
@@ -208,7 +218,7 @@ def _fit(x: np.ndarray, grade: np.ndarray, penalty: np.ndarray, fit: Fit) -> tup
         edge = np.concatenate([np.zeros((len(x), 1)), low, np.ones((len(x), 1))], axis=1)
         slope = edge * (1 - edge)
         chance = np.maximum(edge[rows, grade + 1] - edge[rows, grade], 1e-12)
-        up, down = slope[rows, grade + 1] / chance, slope[rows, grade] / chance
+        up, down = weight * slope[rows, grade + 1] / chance, weight * slope[rows, grade] / chance
         by_score = (up - down) / len(x)  # of the loss
         by_t = np.zeros(fit.grades + 1)
         np.add.at(by_t, grade + 1, -up / len(x))

@@ -106,6 +106,18 @@ def test_toxic_wording_of_rare_languages_is_learned(spark, size, least):
     assert len(found & clean) <= 0.02 * len(clean)
 
 
+def test_a_bounded_sample_keeps_the_balance_of_the_labels(spark):
+    # of 100 rows with the word in doubt 40 are toxic
+    rows = [(n, "wort scum" if n % 5 else "wort hmph", 1) for n in range(200)]
+    rows += [(n, "wort hmph" if n % 50 < 3 else "wort", 0) for n in range(200, 1200)]
+    docs = spark.createDataFrame([(k, f"{t} w{k}") for k, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, x) for k, _, x in rows], "doc_id long, toxic int")
+    new = spark.createDataFrame([(1, "wort hmph")], docs.schema)
+    for fit in (toxicity.Fit(), toxicity.Fit(clean_rows=200), toxicity.Fit(toxic_rows=100)):
+        chance = toxicity.score(new, toxicity.train(docs, labels, fit)).first()["p_toxic"]
+        assert 0.25 < chance < 0.5, fit
+
+
 def test_toxicity_without_labels_rejects_nothing(spark):
     docs = spark.createDataFrame([(1, "scum")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
