@@ -1,8 +1,8 @@
 """Chat records of several layouts as one formatted text with a loss mask.
 
-The nested field paths of a record are hashed into a fingerprint, and the
-fingerprint selects a declarative mapping to turns. A table's own schema is
-fingerprinted once; records kept as JSON are fingerprinted row by row, so one
+The nested field paths of a record select a declarative mapping to turns. A
+table's own schema is looked at once, and further columns do not matter;
+records kept as JSON are told by a fingerprint of their paths row by row, so one
 column may mix layouts. Everything is DataFrame expressions.
 
 Turns are written in a template whose markers enclose each text::
@@ -25,9 +25,7 @@ turns of one conversation meet in one task; that is the format's limit.
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -55,11 +53,6 @@ def field_paths(kind: T.DataType, at: str = "") -> list[str]:
     return [at]
 
 
-def fingerprint(paths: Iterable[str]) -> str:
-    """Hash of a set of paths."""
-    return hashlib.sha256("\n".join(sorted(set(paths))).encode()).hexdigest()
-
-
 @dataclass(frozen=True)
 class Mapping:
     """A layout: its leaf paths and, in SQL, its turns as (role, text) structs."""
@@ -116,22 +109,23 @@ MAPPINGS = [
 #: one row per turn
 TURN_ROWS = ("role", "text", "turn")
 _KNOWN = {*TURN_ROWS, *[p for m in MAPPINGS for p in m.paths]}
-_BY_PRINT = {fingerprint(m.paths): m for m in MAPPINGS}
 
 
 def canonical_turns(df: DataFrame, key: str = "conv_id") -> DataFrame:
     """(key, turn, role, text) from a table in any known layout.
 
-    The fingerprint is taken over the fields that layouts use, so further
-    columns do not matter. An unknown layout raises.
+    A layout fits if all its fields are there; further columns do not matter.
+    Rows of turns come first, then the fitting layout of most fields, the
+    earlier one of several. An unknown layout raises.
     """
-    paths = [p for p in field_paths(df.schema) if p != key and p in _KNOWN]
-    found = fingerprint(paths)
-    if found == fingerprint(TURN_ROWS):
+    paths = {p for p in field_paths(df.schema) if p != key}
+    if paths.issuperset(TURN_ROWS):
         return df.select(key, "turn", "role", "text")
-    if found not in _BY_PRINT:
-        raise ValueError(f"no mapping for the fields {sorted(paths)}")
-    return _turn_rows(df.select(key, F.expr(_BY_PRINT[found].turns).alias("turns")), key)
+    fitting = [m for m in MAPPINGS if paths.issuperset(m.paths)]
+    if not fitting:
+        raise ValueError(f"no mapping for the fields {sorted(paths & _KNOWN)}")
+    found = max(fitting, key=lambda m: len(m.paths))
+    return _turn_rows(df.select(key, F.expr(found.turns).alias("turns")), key)
 
 
 def _turn_rows(df: DataFrame, key: str) -> DataFrame:

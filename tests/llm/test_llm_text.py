@@ -174,6 +174,14 @@ def test_layouts_are_told_by_their_fields(spark):
     assert sorted(r["conv_id"] for r in chat.unmapped_json(df, "record").collect()) == [6, 7, 8]
 
 
+def test_further_columns_may_bear_names_of_other_layouts(spark):
+    more = "'x' AS prompt, 'x' AS response, 'x' AS output, 'x' AS input"
+    turns = chat.canonical_turns(spark.sql(f"SELECT 1L AS conv_id, 0 AS turn, 'user' AS role, 'q' AS text, {more}"))
+    assert [tuple(r) for r in turns.collect()] == [(1, 0, "user", "q")]
+    turns = chat.canonical_turns(spark.sql("SELECT 1L AS conv_id, 'q' AS prompt, 'a' AS response, 'x' AS output, 'x' AS role"))
+    assert sorted(tuple(r) for r in turns.collect()) == [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
+
+
 def test_formatting_uses_no_python(spark):
     turns = chat.canonical_turns(spark.read.parquet(f"{SF}/conversations.parquet"))
     plan = chat.read_back(chat.format_turns(turns))._jdf.queryExecution().executedPlan().toString()
