@@ -13,7 +13,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermill.llm import bpe, chat, embed_dedup, exact_dedup, langid, ngram_join, packing, token_shards, toxicity, warc
+from rostermill.llm import (
+    bpe,
+    chat,
+    collision_search,
+    embed_dedup,
+    exact_dedup,
+    importance,
+    langid,
+    ngram_join,
+    packing,
+    periodic_runs,
+    token_shards,
+    toxicity,
+    warc,
+)
 from rostermill.workdir import fresh_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,3 +207,45 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of one label, cosine 0.98 and above."""
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, a tenth of which are made to repeat a stretch."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"[^ \x09-\x0D]+"), F.lit(0))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    looped = docs.where(h % 10 == 0).withColumn("words", F.coalesce(words, F.array())).withColumn("h", h)
+    looped = looped.withColumn("a", F.when(n > 0, g % n).cast("int")).withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    turn = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))),
+    )
+    looped = looped.select("doc_id", F.when(n > 0, F.array_join(turn, " ")).alias("text"))
+    plain = docs.where(~F.coalesce(h % 10 == 0, F.lit(False)))
+    found = periodic_runs.periodic_runs(plain.unionByName(looped))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    best = periodic_runs.longest("runs")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth, by inner product."""
+    return collision_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents drawn towards the words of the benchmark."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
