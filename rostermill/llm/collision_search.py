@@ -5,12 +5,12 @@
    sqrt(M² - |x|²) and a query is scaled to norm M with a 0 there, so that the
    largest inner product is the smallest distance.
 2. A shard's index has one sorted array per projection (directions of random
-   rotations from a fixed seed). A query's window in an array is centred on the
-   query's own projection, not on a grid.
+   rotations from a fixed seed), read in blocks of ranks. A query's window in
+   an array is centred on the query's own projection and rounded out to blocks.
 3. Virtual rehashing: all windows of a query grow by a factor from round to
-   round, and only what a round adds to them is counted. A vector that lies in
-   enough windows (``Search.share`` of all) is a candidate; the rounds end
-   when there are ``extra`` + ``part`` of the shard of them, or all rows.
+   round. Collisions are counted for 64 vectors at a time, as bits. A vector
+   that lies in enough windows (``Search.share`` of all) is a candidate; the
+   rounds end when there are ``extra`` + ``part`` of the shard, or all rows.
 4. Candidates are verified by the inner product of the original vectors, in
    double precision and in the order of the components, so equal vectors get
    equal scores. The best of all shards are merged per query.
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from rostermill.workdir import staged
 
-#: queries that a task holds windows for at once
-BLOCK = 64
+#: words of window bits that a task holds at once
+HELD = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -43,14 +43,16 @@ class Search:
     """Parameters of the index; recall is measured in the tests."""
 
     projections: int = 96
+    #: blocks of ranks that a sorted array is read by
+    blocks: int = 64
     #: share of the windows that must hold a candidate
     share: float = 0.6
     #: candidates wanted per shard: a number, and a part of its rows
     extra: int = 200
     part: float = 0.06
     #: first half width in spreads of the projections, and growth per round
-    first: float = 0.25
-    growth: float = 1.25
+    first: float = 0.6
+    growth: float = 1.15
     #: rows of a shard at most (about), and shards of a large enough table
     rows: int = 65_536
     shards: int = 8
@@ -67,6 +69,42 @@ def directions(size: int, count: int, seed: int) -> np.ndarray:
     return np.concatenate(turns)[:count] * np.sqrt(size)
 
 
+def at_least(masks: np.ndarray, least: int) -> np.ndarray:
+    """Bits that are set in at least ``least`` of the masks.
+
+    ``masks`` is (rows, masks, words). Adders work on 64 counters at a time:
+    three masks of one weight become one of that weight and one of the next.
+    """
+    planes, level = [], masks
+    while level.shape[1]:
+        carried = []
+        while level.shape[1] > 1:
+            third = (level.shape[1] - level.shape[1] % 3) // 3
+            if third:
+                a, b, c = level[:, :third], level[:, third : 2 * third], level[:, 2 * third : 3 * third]
+                odd = a ^ b
+                carried.append((a & b) | (odd & c))
+                level = np.concatenate([odd ^ c, level[:, 3 * third :]], axis=1)
+            else:
+                a, b = level[:, :1], level[:, 1:2]
+                carried.append(a & b)
+                level = a ^ b
+        planes.append(level[:, 0])
+        level = np.concatenate(carried, axis=1) if carried else level[:, :0]
+    # compare the counters with the number, highest plane first
+    above = np.zeros_like(planes[0])
+    equal = ~above
+    if least >> len(planes):
+        return above
+    for bit in range(len(planes) - 1, -1, -1):
+        if least >> bit & 1:
+            equal = equal & planes[bit]
+        else:
+            above = above | (equal & planes[bit])
+            equal = equal & ~planes[bit]
+    return above | equal
+
+
 def inner(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Inner products, added up in the order of the components."""
     total = np.zeros(len(rows))
@@ -76,68 +114,76 @@ def inner(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """Sorted projections of some vectors, and searches in them."""
+    """Sorted projections of some vectors, and searches in them.
+
+    A sorted array is held as blocks of ranks: bit x of ``before[j, g]`` says
+    whether vector x lies in one of the first g blocks of array j, so the
+    members of any window of blocks are two of these rows apart.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, search: Search):
         self.ids, self.vectors, self.search = ids, vectors, search
         norms = np.linalg.norm(vectors, axis=1)
         self.norm = norms.max()
         unit = vectors / self.norm
+        self.quick = unit.astype(np.float32)
         rest = np.sqrt(np.maximum(1 - (unit * unit).sum(axis=1), 0))
         self.ways = directions(vectors.shape[1] + 1, search.projections, search.seed)
         values = self.ways @ np.column_stack([unit, rest]).T
-        order = np.argsort(values, axis=1, kind="stable")
-        self.values = np.take_along_axis(values, order, axis=1)
-        self.order = order.ravel()
         self.spread = values.std()
+        size = len(ids)
+        self.step = -(-size // search.blocks)
+        edges = np.arange(-(-size // self.step) + 1)
+        words = -(-size // 64)
+        self.before = np.zeros((len(values), len(edges), words), np.uint64)
+        for j, value in enumerate(values):
+            order = np.argsort(value, kind="stable")
+            value[:] = value[order]
+            block = np.empty(size, np.int64)
+            block[order] = np.arange(size) // self.step
+            bits = np.zeros((len(edges), words * 64), bool)
+            bits[:, :size] = block < edges[:, None]
+            self.before[j] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+        self.values = values
+
+    def _collided(self, centre: np.ndarray, half: np.ndarray) -> np.ndarray:
+        """Bits of the vectors that lie in enough windows, a row per query."""
+        low = np.stack([np.searchsorted(v, c - half) for v, c in zip(self.values, centre.T)], axis=1)
+        high = np.stack([np.searchsorted(v, c + half, "right") for v, c in zip(self.values, centre.T)], axis=1)
+        way = np.arange(len(self.values))
+        window = self.before[way, -(-high // self.step)] ^ self.before[way, low // self.step]
+        return at_least(window, int(np.ceil(self.search.share * len(way))))
 
     def candidates(self, queries: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(number of the query, rows that its windows collide with often enough)."""
-        search, size, ways = self.search, len(self.ids), len(self.values)
+        search, size = self.search, len(self.ids)
         need = min(size, search.extra + int(np.ceil(search.part * size)))
-        least = int(np.ceil(search.share * ways))
         centre = (queries / np.linalg.norm(queries, axis=1, keepdims=True)) @ self.ways[:, :-1].T
         farthest = np.maximum(np.abs(centre - self.values[:, 0]), np.abs(centre - self.values[:, -1])).max(axis=1)
         half = search.first * self.spread + 1e-3 * farthest
-        low = np.stack([np.searchsorted(v, c) for v, c in zip(self.values, centre.T)], axis=1)
-        high = low.copy()
-        counts = [np.zeros(size, np.int64) for _ in queries]
-        base = np.arange(ways) * size
         live = np.arange(len(queries))
         while len(live):
-            reach = half[live]
-            below = np.stack([np.searchsorted(v, c - reach) for v, c in zip(self.values, centre[live].T)], axis=1)
-            above = np.stack([np.searchsorted(v, c + reach, "right") for v, c in zip(self.values, centre[live].T)], axis=1)
-            open_ = []
-            for i, a, b in zip(live, below, above):
-                starts = np.concatenate([base + a, base + high[i]])
-                lengths = np.concatenate([low[i] - a, b - high[i]])
-                low[i], high[i] = a, b
-                places = np.arange(int(lengths.sum()))
-                places += np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
-                counts[i] += np.bincount(self.order[places], minlength=size)
-                hit = np.flatnonzero(counts[i] >= least)
-                if len(hit) >= need:
-                    yield i, hit
-                else:
-                    open_.append(i)
-            live = np.array(open_, dtype=int)
+            hits = self._collided(centre[live], half[live])
+            done = np.bitwise_count(hits).sum(axis=1) >= need
+            for i, bits in zip(live[done], hits[done]):
+                yield i, np.flatnonzero(np.unpackbits(bits.view(np.uint8), bitorder="little"))
+            live = live[~done]
             half[live] *= search.growth
 
     def nearest(self, ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(number of the query, its nearest rows here, their scores); a query's own row is no candidate."""
-        for low in range(0, len(queries), BLOCK):
-            block = queries[low : low + BLOCK]
+        many = max(1, HELD // (self.before.shape[0] * self.before.shape[2]))
+        for low in range(0, len(queries), many):
+            block = queries[low : low + many]
             for i, hit in self.candidates(block):
                 own = hit[self.ids[hit] == ids[low + i]]
                 own = own[(self.vectors[own] == block[i]).all(axis=1)]
                 if len(own):
                     hit = hit[~np.isin(hit, own)]
                 if len(hit) > 4 * k:
-                    # a quick product leaves out what is far behind the k-th
-                    quick = self.vectors[hit] @ block[i]
-                    slack = 1e-9 * self.norm * np.linalg.norm(block[i])
-                    hit = hit[quick >= np.partition(quick, -k)[-k] - slack]
+                    # single precision is enough to leave out what is far behind the k-th
+                    near = self.quick[hit] @ (block[i] / np.linalg.norm(block[i])).astype(np.float32)
+                    hit = hit[near >= np.partition(near, -k)[-k] - 1e-4]
                 score = inner(self.vectors[hit], block[i])
                 best = np.lexsort((self.ids[hit], -score))[:k]
                 yield low + i, hit[best], score[best]
