@@ -34,7 +34,7 @@ from rostermill.workdir import staged
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: distinct features whose bucket a task remembers
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 
 
 @dataclass(frozen=True)
@@ -53,6 +53,11 @@ class Resample:
     block: int = 65_536
 
 
+def packed(buckets: int) -> str:
+    """Type of a packed bucket number."""
+    return "<u2" if buckets <= 1 << 16 else "<u4"
+
+
 class Buckets:
     """Bucket numbers of texts; remembers those of frequent words."""
 
@@ -74,11 +79,12 @@ class Buckets:
             features += [b" ".join(words[i : i + n]) for i in range(len(words) - n + 1)]
         get = self.known.get
         found = (b if (b := get(f)) is not None else self._one(f) for f in features)
-        return len(words), np.fromiter(found, np.uint32, len(features))
+        return len(words), np.fromiter(found, packed(self.rule.buckets), len(features))
 
 
-def features(docs: DataFrame, rule: Resample, text: str = "text", key: str = "doc_id", batch: int = 500) -> DataFrame:
-    """(key, n_words, n_features, buckets): little-endian 32-bit bucket numbers."""
+def features(docs: DataFrame, rule: Resample, text: str = "text", key: str = "doc_id", batch: int = 200) -> DataFrame:
+    """(key, n_words, n_features, buckets): little-endian bucket numbers of 16 bits
+    (32 for more than 65,536 buckets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets(rule)
@@ -91,7 +97,7 @@ def features(docs: DataFrame, rule: Resample, text: str = "text", key: str = "do
                         part.column(0),
                         pa.array([n for n, _ in found], pa.int64()),
                         pa.array([len(b) for _, b in found], pa.int64()),
-                        pa.array([b.astype("<u4").tobytes() for _, b in found], pa.binary()),
+                        pa.array([b.tobytes() for _, b in found], pa.binary()),
                     ],
                     names=["key", "n_words", "n_features", "buckets"],
                 )
@@ -110,7 +116,7 @@ def _counts(found: DataFrame, buckets: int) -> dict[int, int]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
             for text in batch.column(0):
-                total += np.bincount(np.frombuffer(text.as_py(), "<u4"), minlength=buckets)
+                total += np.bincount(np.frombuffer(text.as_py(), packed(buckets)), minlength=buckets)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
 
@@ -133,7 +139,7 @@ def weighted(found: DataFrame, gain: list[int]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = [int(table[np.frombuffer(b.as_py(), "<u4")].sum()) for b in batch.column(3)]
+            sums = [int(table[np.frombuffer(b.as_py(), packed(len(table)))].sum()) for b in batch.column(3)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(sums, pa.int64())],
                 names=["key", "n_words", "n_features", "weight"],
