@@ -23,10 +23,10 @@ from rostermill.plans import claims as PC
 from rostermill.operators.children import PART_ROWS
 from rostermill.plans.eligibility import load_eligibility as load_coverage
 from rostermill.plans.jobs import Ingest
-from rostermill.plans.run import FolderRun, LazyRun
-from rostermill.schemas import LINE_FIELDS
+from rostermill.plans.run import FolderRun, LazyRun, Result
+from rostermill.schemas import LINE_FIELDS, ORDINAL
 from rostermill.storage import TableStore
-from rostermill.streaming.incremental import stream_claim_rows
+from rostermill.streaming.incremental import Parsed, stream_claim_rows
 from rostermill.workdir import fresh_folder
 
 # --- eligibility -----------------------------------------------------------
@@ -180,19 +180,36 @@ def _load_claims(spark: SparkSession, folder: str, rows: DataFrame):
     return PC.load_claims(PC.claim_rows(rows), run, B.fixed_lineage(spark, "claims"))
 
 
-def _claims_sql(item: str) -> str:
-    return (
-        S.with_views(S.CLAIMS)
-        + f""", heads AS (
-  SELECT * FROM (SELECT * FROM claims_in QUALIFY row_number() OVER (
+def _heads(name: str, rows: str) -> str:
+    return f"""{name} AS (
+  SELECT * FROM (SELECT * FROM {rows} QUALIFY row_number() OVER (
       PARTITION BY claim_id, diagnosis ORDER BY {S.ORD}) = 1)
-  QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY o1 DESC, o2 DESC, o3 DESC) = 1),
-old_ids AS (SELECT DISTINCT claim_id, claim_status, insured_id FROM claims_before),
+  QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY o1 DESC, o2 DESC, o3 DESC) = 1)"""
+
+
+#: claims after open lines came over ones that were only stored
+_OVER_STORED = """old_ids AS (SELECT DISTINCT claim_id, claim_status, insured_id FROM claims_before),
 claims AS (
   SELECT claim_id, claim_status, provider_id, 1 AS n FROM heads
   UNION ALL
   SELECT claim_id, claim_status, NULL, 0 FROM old_ids
-  WHERE claim_id NOT IN (SELECT claim_id FROM heads)),
+  WHERE claim_id NOT IN (SELECT claim_id FROM heads))"""
+
+#: claims after both inputs were loaded, one after the other
+_OVER_LOADED = f"""{_heads('old_heads', 'claims_before')},
+claims AS (
+  SELECT claim_id, claim_status, provider_id,
+    CASE WHEN claim_id IN (SELECT claim_id FROM old_heads) THEN 2 ELSE 1 END AS n FROM heads
+  UNION ALL
+  SELECT claim_id, claim_status, provider_id, 1 FROM old_heads
+  WHERE claim_id NOT IN (SELECT claim_id FROM heads))"""
+
+
+def _claims_sql(item: str, claims: str = _OVER_STORED, more: str = "") -> str:
+    return (
+        S.with_views(S.CLAIMS)
+        + f""", {_heads('heads', 'claims_in')},
+{claims},
 old_codes AS (SELECT *, 0 AS run FROM claims_before QUALIFY row_number() OVER (
     PARTITION BY claim_id, diagnosis ORDER BY {S.ORD}) = 1),
 new_codes AS (SELECT *, 1 AS run FROM claims_in QUALIFY row_number() OVER (
@@ -218,14 +235,13 @@ lines AS (SELECT claim_id, part, count(*) AS n_lines,
   FROM (SELECT *, (row_number() OVER (PARTITION BY claim_id ORDER BY {S.ORD}) - 1) // {PART_ROWS} AS part
     FROM all_lines) GROUP BY claim_id, part)
 SELECT claim_id, part, claim_status AS status, provider_id AS provider, n AS n_documents,
-  coalesce(codes, '') AS codes, coalesce(n_lines, 0) AS n_lines, coalesce(lines, '') AS lines
+  coalesce(codes, '') AS codes, coalesce(n_lines, 0) AS n_lines, coalesce(lines, '') AS lines{more}
 FROM claims JOIN (codes FULL JOIN lines USING (claim_id, part)) USING (claim_id)"""
     )
 
 
-def _claims_view(result) -> DataFrame:
-    current = result.current
-    docs = PC.assemble_claims(current["claim"], current["claim_diagnosis"], current["claim_line"])
+def _claims_view(claims: DataFrame, diagnoses: DataFrame, service_lines: DataFrame) -> DataFrame:
+    docs = PC.assemble_claims(claims, diagnoses, service_lines)
     codes = F.transform("DIAGNOSIS_CODES", lambda d: F.coalesce(d["DIAGNOSIS_CODE"], F.lit("?")))
     lines = F.transform(
         "SERVICE_LINES",
@@ -246,10 +262,18 @@ def _claims_view(result) -> DataFrame:
     )
 
 
-@query(_claims_sql("(CASE WHEN item = '' THEN sh_item ELSE item END)"))
+def _view(result: Result) -> DataFrame:
+    current = result.current
+    return _claims_view(current["claim"], current["claim_diagnosis"], current["claim_line"])
+
+
+_ITEM = "(CASE WHEN item = '' THEN sh_item ELSE item END)"
+
+
+@query(_claims_sql(_ITEM))
 def load_claims(spark: SparkSession, folder: str) -> DataFrame:
     """Claim documents after open lines were loaded over fulfilled ones."""
-    return _claims_view(_load_claims(spark, folder, B.claims_in(spark, folder)))
+    return _view(_load_claims(spark, folder, B.claims_in(spark, folder)))
 
 
 @query(_claims_sql("CASE WHEN old = 1 AND item <> '' THEN item ELSE sh_item END"))
@@ -260,7 +284,7 @@ def load_claims_workbook(spark: SparkSession, folder: str) -> DataFrame:
         "ITEM_NUMBER", F.lit(None).cast("string")
     )
     dump = raw_dump(PC.claim_rows(rows), B.fixed_lineage(spark, "claims"))
-    return _claims_view(
+    return _view(
         _load_claims(spark, folder, dump.drop("ardbSourceDocument", "ardbLastModifiedDate"))
     )
 
@@ -336,40 +360,34 @@ def backfill_product_and_date(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """
-WITH rows AS (SELECT *, CAST(l_linenumber AS VARCHAR) AS code,
-    strftime(l_shipdate, '%Y') || '-01-01' AS service_date FROM lineitem)
-SELECT CAST(l_orderkey AS VARCHAR) AS claim_id, code, service_date, count(*) > 0 AS stored
-FROM rows GROUP BY ALL
-"""
+    _claims_sql(
+        _ITEM,
+        _OVER_LOADED,
+        ", CASE WHEN claim_id IN (SELECT claim_id FROM claims_in) THEN 1 ELSE 0 END AS run",
+    )
 )
 def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items streamed into a store; its lines read back."""
+    """Claim documents after two batches of a stream, one over the other.
+
+    Fulfilled line items arrive and are taken as the first batch, open ones
+    after that as the second; the stream's checkpoint and the store carry what
+    the first left. A claim's rows are in one file, in input order.
+    """
     place = fresh_folder(spark, "loads")
     store = TableStore(spark, f"{place}/store")
-    schema = B.table(spark, folder, "lineitem").schema
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "lineitem.parquet")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(folder)
-    )
-
-    def to_rows(batch: DataFrame) -> DataFrame:
-        return batch.select(
-            B.text("l_orderkey").alias("CLAIM_ID"),
-            F.col("l_returnflag").alias("DIAGNOSIS_CODE"),
-            B.text("l_linenumber").alias("CODE"),
-            F.concat(B.text(F.year("l_shipdate")), F.lit("-01-01")).alias("DATE_OF_SERVICE"),
-            F.col("l_linestatus").alias("MODIFIER1"),
-            "_file", "_block", "_line",
-        )
-
-    started = stream_claim_rows(Ingest(store), stream, to_rows, f"{place}/checkpoint")
-    started.awaitTermination()
-    return store.read("claim_line").select(
-        F.col("CLAIM_ID").alias("claim_id"),
-        F.col("CODE").alias("code"),
-        F.col("DATE_OF_SERVICE").alias("service_date"),
-        F.lit(True).alias("stored"),
-    )
+    landing, seen = f"{place}/landing", f"{place}/checkpoint"
+    arriving = [B.claims_before(spark, folder), B.claims_in(spark, folder)]
+    schema = arriving[0].drop(*ORDINAL).schema
+
+    def parse(batch: DataFrame, run: int) -> Parsed:
+        return Parsed(batch)
+
+    for rows in arriving:
+        files = rows.repartition("CLAIM_ID").sortWithinPartitions("CLAIM_ID", "_line").drop(*ORDINAL)
+        files.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1_000).parquet(landing)
+        stream_claim_rows(Ingest(store), stream, parse, seen).awaitTermination()
+    service_lines = store.read("claim_line")
+    runs = service_lines.groupBy(F.col("CLAIM_ID").alias("claim_id")).agg(F.max("_run").cast("int").alias("run"))
+    view = _claims_view(store.read("claim"), store.read("claim_diagnosis"), service_lines)
+    return view.join(runs, "claim_id")

@@ -41,6 +41,7 @@ def lookup(
     hot: DataFrame | None = None,
     spread: list[str] | None = None,
     null_safe: bool = True,
+    tuple_key: str | None = None,
 ) -> DataFrame:
     """Add the matching right row to each left row as struct ``alias``.
 
@@ -53,6 +54,10 @@ def lookup(
     left keys that hold a large share of the rows, by the ``spread`` columns
     (default: all). ``null_safe=False`` is for keys without nulls: plain
     equality can use a partitioning that the left side already has.
+    ``tuple_key`` names a left column with :func:`tuple_hash` of the keys: the
+    whole tuple is then one join key, and the optimizer can build a Bloom
+    filter from the left side's tuples and apply it to the right side before
+    that is shuffled.
     """
     keys = [f"_k{i}" for i in range(len(on))]
     order = [f"_o{i}" for i in range(len(first_by or []))]
@@ -66,13 +71,30 @@ def lookup(
     pairs = list(zip(on.keys(), keys))
     if hot is not None:
         return salted_left_join(left, side, pairs, hot, how=how, spread=spread).drop(*keys)
-    if null_safe:
+    if tuple_key is not None:
+        same = null_safe_equal([(left[lk], side[k]) for lk, k in pairs])
+        condition = (left[tuple_key] == tuple_hash([side[k] for k in keys])) & same
+    elif null_safe:
         condition = null_safe_equal([(left[lk], side[k]) for lk, k in pairs])
     else:
         condition = reduce(and_, [left[lk] == side[k] for lk, k in pairs])
     return left.join(side, condition, how).drop(*keys)
 
 
+def tuple_hash(keys: list[str] | list[Column]) -> Column:
+    """One number for a key tuple. Nulls count; different tuples may share it."""
+    return F.xxhash64(*keys)
+
+
+def with_tuple(rows: DataFrame, keys: list[str], name: str = "_tuple") -> DataFrame:
+    """Add the hash of a key tuple to numbered rows, for :func:`lookup`.
+
+    Row numbers are never negative; the comparison tells the optimizer that
+    this side is filtered, without which it builds no runtime filter.
+    """
+    return rows.where(F.col("_line") >= 0).withColumn(name, tuple_hash(keys))
+
+
 def _semi(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str) -> DataFrame:
     keys = [f"_k{i}" for i in range(len(on))]
     side = right.select(*[F.col(r).alias(k) for r, k in zip(on.values(), keys)])
@@ -155,5 +177,5 @@ def code_lookup(df: DataFrame, codes: DataFrame, code: str, label: str) -> DataF
 
 __all__ = [
     "code_lookup", "detect_changes", "distinct_keys", "lookup", "missing_parents",
-    "union_with_precedence", "with_match", "without_match",
+    "tuple_hash", "union_with_precedence", "with_match", "with_tuple", "without_match",
 ]

@@ -116,7 +116,9 @@ def load_claims(
     diagnoses added to, lines replaced, lineage extended.
     """
     result = Result()
-    classified = classify_claims(rows, run.state("claim"))
+    # stored rows of other claims than the incoming ones are not read
+    ids = rows.select(F.col("CLAIM_ID").alias("key"))
+    classified = classify_claims(rows, run.state("claim", ids))
     result.classified["claim"] = classified
     sources = claim_sources(rows, lineage)
     headers = with_lineage(classified, lineage).join(sources, "_claim", "left")
@@ -125,10 +127,10 @@ def load_claims(
     )
     result.changes["claim"] = nest_claim_header(headers)
     result.changes["claim_diagnosis"] = new_diagnoses(
-        rows, run.state("claim_diagnosis"), run.number
+        rows, run.state("claim_diagnosis", ids), run.number
     )
     result.changes["claim_line"] = new_lines(
-        rows, run.state("claim_line"), run, single_file
+        rows, run.state("claim_line", ids), run, single_file
     )
     for table, changes in result.changes.items():
         result.current[table] = run.save(table, changes)
@@ -185,7 +187,7 @@ def correct_claims(rows: DataFrame, run: LazyRun, lineage: DataFrame) -> Result:
     lineage. Of several files the last one counts.
     """
     result = Result()
-    stored = run.state("claim")
+    stored = run.state("claim", rows.select(F.col("CLAIM_ID").alias("key")))
     incoming = with_lineage(keep_from_last_file(rows, ["CLAIM_ID"]), lineage)
     matched = lookup(
         stored, incoming, {"CLAIM_ID": "CLAIM_ID"},

@@ -9,6 +9,8 @@ tables as the earlier ones left them. Several files may be one input; see
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ from rostermill.operators.classify import (
 )
 from rostermill.operators.clean import project_columns
 from rostermill.operators.dedup import keep_newest
-from rostermill.operators.match import code_lookup, lookup, missing_parents
+from rostermill.operators.match import code_lookup, lookup, missing_parents, with_tuple
 from rostermill.operators.nest import (
     nest_eligibility,
     nest_patient,
@@ -134,18 +136,29 @@ def stub_persons(keys: DataFrame, key: str) -> DataFrame:
     )
 
 
+#: heavy keys by key set, from one pass over the input
+Hot = Mapping[tuple[str, ...], DataFrame | None]
+
+
+def _hot(hot: Hot | None, run: LazyRun, rows: DataFrame, keys: list[str]) -> DataFrame | None:
+    return run.hot(rows, keys) if hot is None else hot[tuple(keys)]
+
+
 def classify_subscribers(
     rows: DataFrame, enrollees: DataFrame, subscribers: DataFrame, run: LazyRun,
-    source: DataFrame | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
-    """Subscriber rows. ``source``, here and below, is the input that ``rows``
-    were reduced from: hot keys are counted on its key columns alone."""
-    hot = run.hot(rows if source is None else source, ["INSURED_ENROLLEE_ID"])
+    """Subscriber rows. ``hot``, here and below, holds the heavy keys of the
+    input that ``rows`` were reduced from; without it they are counted here."""
+    keyed = with_tuple(rows, SUBSCRIBER_KEYS)
     with_parent = lookup(
-        rows, enrollees, {"INSURED_ENROLLEE_ID": "referenceId"}, _PERSON, "enrollee", hot=hot
+        keyed, enrollees, {"INSURED_ENROLLEE_ID": "referenceId"}, _PERSON, "enrollee",
+        hot=_hot(hot, run, rows, ["INSURED_ENROLLEE_ID"]),
     )
     on = {"SUBSCRIBER_ID": "subscriberNumber", "INSURED_ENROLLEE_ID": "enrollee.referenceId"}
-    matched = lookup(with_parent, subscribers, on, _OLD_WITH_HISTORY, "_old")
+    matched = lookup(
+        with_parent, subscribers, on, _OLD_WITH_HISTORY, "_old", tuple_key="_tuple"
+    )
     complete = complete_unless_false(F.col("enrollee.hasCompleteInfo"))
     return _identified(_judged(matched, complete, "compare", {}), "subscriber", SUBSCRIBER_KEYS)
 
@@ -156,17 +169,16 @@ def _missing(alias: str, key: str) -> dict[str, Column]:
 
 def classify_patients(
     rows: DataFrame, enrollees: DataFrame, subscribers: DataFrame, patients: DataFrame,
-    run: LazyRun, source: DataFrame | None = None,
+    run: LazyRun, hot: Hot | None = None,
 ) -> DataFrame:
     """Patient rows; the first subscriber (by id) with the number is taken."""
-    counted = rows if source is None else source
     step = lookup(
-        rows, enrollees, {"ENROLLEE_ID": "referenceId"}, _PERSON, "enrollee",
-        hot=run.hot(counted, ["ENROLLEE_ID"]),
+        with_tuple(rows, PATIENT_KEYS), enrollees, {"ENROLLEE_ID": "referenceId"}, _PERSON,
+        "enrollee", hot=_hot(hot, run, rows, ["ENROLLEE_ID"]),
     )
     step = lookup(
         step, subscribers, {"SUBSCRIBER_ID": "subscriberNumber"}, _POLICY, "subscriber",
-        first_by=["_id"], hot=run.hot(counted, ["SUBSCRIBER_ID"]),
+        first_by=["_id"], hot=_hot(hot, run, rows, ["SUBSCRIBER_ID"]),
         spread=[*PATIENT_KEYS, *ORDINAL],
     )
     on = {
@@ -174,7 +186,7 @@ def classify_patients(
         "SUBSCRIBER_ID": "subscriber.identificationCode",
         "MEMBER_ID": "memberId",
     }
-    matched = lookup(step, patients, on, _OLD_WITH_HISTORY, "_old")
+    matched = lookup(step, patients, on, _OLD_WITH_HISTORY, "_old", tuple_key="_tuple")
     complete = complete_if_all(
         F.col("enrollee.hasCompleteInfo"), F.col("subscriber.hasCompleteInfo")
     )
@@ -189,19 +201,18 @@ def classify_eligibilities(
     patients: DataFrame,
     eligibilities: DataFrame,
     run: LazyRun,
-    source: DataFrame | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
-    counted = rows if source is None else source
     spread = [*ELIGIBILITY_KEYS, *ORDINAL]
     step = lookup(
-        rows, enrollees, {"ENROLLEE_ID": "referenceId"},
+        with_tuple(rows, ELIGIBILITY_KEYS), enrollees, {"ENROLLEE_ID": "referenceId"},
         {k: v for k, v in _PERSON.items() if k in ("_id", "referenceId", "hasCompleteInfo")},
-        "enrollee", hot=run.hot(counted, ["ENROLLEE_ID"]), spread=spread,
+        "enrollee", hot=_hot(hot, run, rows, ["ENROLLEE_ID"]), spread=spread,
     )
     step = lookup(
         step, subscribers,
         {"SUBSCRIBER_ID": "subscriberNumber", "INSURED_ENROLLEE_ID": "enrollee.referenceId"},
-        _POLICY, "subscriber", hot=run.hot(counted, SUBSCRIBER_KEYS), spread=spread,
+        _POLICY, "subscriber", hot=_hot(hot, run, rows, SUBSCRIBER_KEYS), spread=spread,
     )
     step = lookup(
         step, patients,
@@ -210,7 +221,7 @@ def classify_eligibilities(
             "SUBSCRIBER_ID": "subscriber.identificationCode",
             "MEMBER_ID": "memberId",
         },
-        _PATIENT, "patient", hot=run.hot(counted, PATIENT_KEYS), spread=spread,
+        _PATIENT, "patient", hot=_hot(hot, run, rows, PATIENT_KEYS), spread=spread,
     )
     on = {
         "ENROLLEE_ID": "enrollee.referenceId",
@@ -220,7 +231,7 @@ def classify_eligibilities(
         "EFFECTIVE_DATE": "serviceDate.formattedStartDate",
         "TERMINATION_DATE": "serviceDate.formattedEndDate",
     }
-    matched = lookup(step, eligibilities, on, _OLD, "_old")
+    matched = lookup(step, eligibilities, on, _OLD, "_old", tuple_key="_tuple")
     parents = ["enrollee", "subscriber", "patient"]
     complete = complete_if_all(*[F.col(f"{p}.hasCompleteInfo") for p in parents])
     orphans = {f"{p} not found": F.col(p).isNull() for p in parents}
@@ -255,41 +266,55 @@ def load_eligibility(
         result.current[table] = run.save(table, documents)
         return result.current[table]
 
+    # Stored rows are looked up by three keys of the input; only the folders
+    # of those are read. Heavy keys are counted in one pass.
+    insured = eligibility_rows.select(F.col("INSURED_ENROLLEE_ID").alias("key"))
+    covered = eligibility_rows.select(F.col("ENROLLEE_ID").alias("key"))
+    people = enrollee_rows.select(F.col("ENROLLEE_ID").alias("key")).unionAll(insured)
+    people = people.unionAll(covered)
+    numbers = eligibility_rows.select(F.col("SUBSCRIBER_ID").alias("key"))
+    hot = run.hot_sets(
+        eligibility_rows,
+        [["INSURED_ENROLLEE_ID"], ["ENROLLEE_ID"], ["SUBSCRIBER_ID"], SUBSCRIBER_KEYS, PATIENT_KEYS],
+    )
+
     # Enrollees, with stubs for insured persons nobody sent.
-    old_enrollees = run.state("enrollee")
+    old_enrollees = run.state("enrollee", people)
     persons = nest_person(
         settle("enrollee", classify_persons(enrollee_rows, old_enrollees), ["ENROLLEE_ID"])
     )
     policies = one_per_key(eligibility_rows, SUBSCRIBER_COLUMNS, SUBSCRIBER_KEYS)
+    policies = run.cut("subscriber_rows", policies)
     known = old_enrollees.select("referenceId").unionByName(persons.select("referenceId"))
     absent = missing_parents(policies, "INSURED_ENROLLEE_ID", known, "referenceId")
     stubs = stub_persons(with_lineage(absent, lineage), "INSURED_ENROLLEE_ID")
-    enrollees = save("enrollee", persons.unionByName(stubs))
+    save("enrollee", persons.unionByName(stubs))
+    enrollees = run.state("enrollee", people)
 
     # Subscribers.
     classified = classify_subscribers(
-        policies, enrollees, run.state("subscriber"), run, eligibility_rows
+        policies, enrollees, run.state("subscriber", numbers), run, hot
     )
     good = settle("subscriber", classified, SUBSCRIBER_KEYS)
-    subscribers = save("subscriber", nest_subscriber_enrollee(good))
+    save("subscriber", nest_subscriber_enrollee(good))
+    subscribers = run.state("subscriber", numbers)
 
     # Patients.
-    rows = one_per_key(eligibility_rows, PATIENT_COLUMNS, PATIENT_KEYS)
+    rows = run.cut("patient_rows", one_per_key(eligibility_rows, PATIENT_COLUMNS, PATIENT_KEYS))
     classified = classify_patients(
-        rows, enrollees, subscribers, run.state("patient"), run, eligibility_rows
+        rows, enrollees, subscribers, run.state("patient", covered), run, hot
     )
     good = settle("patient", classified, PATIENT_KEYS)
     labelled = code_lookup(good, relationships, "RELATIONSHIP_CODE", "relationship_label")
-    patients = save("patient", nest_patient(labelled))
+    save("patient", nest_patient(labelled))
+    patients = run.state("patient", covered)
 
     # Eligibilities.
     rows = one_per_key(eligibility_rows, ELIGIBILITY_COLUMNS, ELIGIBILITY_KEYS)
     classified = classify_eligibilities(
-        rows, enrollees, subscribers, patients, run.state("eligibility"), run,
-        eligibility_rows,
+        run.cut("eligibility_rows", rows), enrollees, subscribers, patients,
+        run.state("eligibility", covered), run, hot,
     )
     good = settle("eligibility", classified, ELIGIBILITY_KEYS)
     save("eligibility", nest_eligibility(good))
     return result
-
-

@@ -51,6 +51,7 @@ from rostermill.storage import TableStore
 
 READ_SHEETS = ["ENROLLEES", "ELIGIBILITY", "CLAIMS"]
 
+_OUTCOMES = "path string, module string, status string"
 _REJECTS = "file string, step string, row_key string, reason string"
 
 
@@ -94,9 +95,22 @@ class Ingest:
     def current_registry(self) -> DataFrame:
         return self.store.read("registry")
 
+    def failed_files(self, module: str) -> DataFrame:
+        """(path) of the files whose last load by the module failed."""
+        newest = F.max_by("status", "run").alias("status")
+        return (
+            self.store.read_appended("file_outcomes", _OUTCOMES)
+            .where(F.col("module") == module)
+            .groupBy("path")
+            .agg(newest)
+            .where("status = 'Failed'")
+            .select("path")
+        )
+
     def register(self, files: DataFrame, run: int, module: str, backup: bool) -> DataFrame:
         """Registry rows of the run's files, written before loading starts."""
         rows = register_files(files, module, self.environment, _now(), backup)
+        rows = rows.withColumn("module", F.lit(module))
         staged = self.store.stage(f"{module.rsplit('/', 1)[-1]}_files", run, rows)
         start = status_events(staged, "Processing", _now(), F.lit(None))
         self.store.append("status_history/phase=start", run, start)
@@ -120,6 +134,10 @@ class Ingest:
             .select(*self.store.read("registry").columns)
         )
         self.store.write("registry", run, final)
+        ended = files.drop("status").join(
+            done.select(F.col("document").alias("_id"), "status"), "_id"
+        )
+        self.store.append("file_outcomes", run, ended.select("path", "module", "status"))
         self.store.commit(run, tag)
 
     def duplicate_keys(self) -> DataFrame:
@@ -159,9 +177,14 @@ class Ingest:
         self.finish(run, registered, result, tag)
         return result
 
-    def claim_reports(self, folder: str, shared_layout: bool = False) -> Result | None:
-        """All new ``.rpt`` files below ``folder`` as one run."""
-        files = self.new_files(list_input_files(self.spark, folder, "rpt"))
+    def claim_reports(
+        self, folder: str, shared_layout: bool = False, only: DataFrame | None = None
+    ) -> Result | None:
+        """All new ``.rpt`` files below ``folder`` as one run.
+
+        ``only`` (path) restricts them, here and in other jobs.
+        """
+        files = self._listed(folder, "rpt", only)
         paths = listed_paths(files)
         if not paths:
             return None
@@ -212,8 +235,14 @@ class Ingest:
 
     # -- eligibility ------------------------------------------------------
 
-    def _new_books(self, folder: str) -> tuple[DataFrame, list[str]]:
-        files = self.new_files(list_input_files(self.spark, folder, "xlsx"))
+    def _listed(self, folder: str, extension: str, only: DataFrame | None = None) -> DataFrame:
+        listed = list_input_files(self.spark, folder, extension)
+        return self.new_files(listed if only is None else listed.join(only, "path", "left_semi"))
+
+    def _new_books(
+        self, folder: str, only: DataFrame | None = None
+    ) -> tuple[DataFrame, list[str]]:
+        files = self._listed(folder, "xlsx", only)
         return files, listed_paths(files)
 
     def _sheet(
@@ -226,8 +255,8 @@ class Ingest:
         broken = staged.where("_problem IS NOT NULL").select("_file", "_problem")
         return staged.where("_problem IS NULL").drop("_problem"), broken
 
-    def eligibility_workbooks(self, folder: str) -> Result | None:
-        files, paths = self._new_books(folder)
+    def eligibility_workbooks(self, folder: str, only: DataFrame | None = None) -> Result | None:
+        files, paths = self._new_books(folder, only)
         if not paths:
             return None
         books = workbook_files(self.spark, paths)

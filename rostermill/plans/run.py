@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rostermill.operators.classify import action_counts
 from rostermill.operators.upsert import upsert_replace
-from rostermill.skew import hot_keys
+from rostermill.skew import heavy_key_sets, hot_keys, split_sets
 from rostermill.storage import REPLACE_KEY, TableStore
 
 
@@ -48,14 +48,21 @@ class LazyRun:
         self.number = number
         self.guard_skew = guard_skew
 
-    def state(self, table: str) -> DataFrame:
+    def state(self, table: str, keys: DataFrame | None = None) -> DataFrame:
+        """The stored rows, with what this run has saved so far.
+
+        ``keys`` (one column, see :data:`~rostermill.storage.BUCKET_KEY`) says
+        which are wanted; a run may leave out others.
+        """
         return self.tables[table]
 
     def save(self, table: str, changes: DataFrame) -> DataFrame:
         key = REPLACE_KEY[table]
         old = self.tables[table]
         rows = changes.select(*old.columns)
-        return old.unionByName(rows) if key is None else upsert_replace(old, rows, key)
+        now = old.unionByName(rows) if key is None else upsert_replace(old, rows, key)
+        self.tables = {**self.tables, table: now}
+        return now
 
     def cut(self, name: str, rows: DataFrame) -> DataFrame:
         return rows
@@ -64,6 +71,14 @@ class LazyRun:
         """Heavy lookup keys of ``rows``, when skew is to be looked for."""
         return hot_keys(rows, keys) if self.guard_skew else None
 
+    def hot_sets(
+        self, rows: DataFrame, sets: list[list[str]]
+    ) -> dict[tuple[str, ...], DataFrame | None]:
+        """Heavy keys of several key sets, from one pass over ``rows``."""
+        if not self.guard_skew:
+            return {tuple(keys): None for keys in sets}
+        return split_sets(self.cut("hot_keys", heavy_key_sets(rows, sets)), sets)
+
 
 class StoreRun(LazyRun):
     """Changes are written as one snapshot of the store and read back."""
@@ -72,8 +87,8 @@ class StoreRun(LazyRun):
         super().__init__({}, number, guard_skew)
         self.store = store
 
-    def state(self, table: str) -> DataFrame:
-        return self.store.read(table)
+    def state(self, table: str, keys: DataFrame | None = None) -> DataFrame:
+        return self.store.read(table, pending=self.number, keys=keys)
 
     def save(self, table: str, changes: DataFrame) -> DataFrame:
         self.store.write(table, self.number, changes)

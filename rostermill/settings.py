@@ -16,6 +16,8 @@ def session_settings(input_bytes: int, cores: int) -> dict[str, str]:
     Shuffles start with enough partitions for the whole input and adaptive
     execution merges the small ones, so narrow steps do not pay for it. Skewed
     sort-merge joins are split at run time in addition to the explicit salt.
+    Lookups by key tuples build a Bloom filter from the keys of a load when the
+    stored side is large; the filter itself has a fixed greatest size.
     """
     partitions = max(3 * cores, -(-input_bytes // REDUCE_BYTES))
     return {
@@ -25,5 +27,7 @@ def session_settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(REDUCE_BYTES),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(SCAN_BYTES),
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": str(1024 * MIB),
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(1024 * MIB),
         "spark.sql.session.timeZone": "UTC",
     }

@@ -36,6 +36,34 @@ def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFr
     )
 
 
+def _set_columns(sets: list[list[str]]) -> list[str]:
+    return list(dict.fromkeys(c for keys in sets for c in keys))
+
+
+def heavy_key_sets(df: DataFrame, sets: list[list[str]], min_rows: int = HOT_ROWS) -> DataFrame:
+    """(columns of all sets, _set): :func:`hot_keys` of several key sets, counted
+    in one pass over ``df``; ``_set`` tells the key set."""
+    columns = _set_columns(sets)
+    distinct = {frozenset(keys): keys for keys in sets}.values()
+    counted = df.groupingSets([[F.col(c) for c in keys] for keys in distinct], *columns)
+    return (
+        counted.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") >= min_rows)
+        .drop("_rows")
+    )
+
+
+def split_sets(found: DataFrame, sets: list[list[str]]) -> dict[tuple[str, ...], DataFrame]:
+    """The heavy keys of each set."""
+    columns = _set_columns(sets)
+    out = {}
+    for keys in sets:
+        # a column that is not in the set has its bit set, the last one is 1
+        number = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+        out[tuple(keys)] = found.where(F.col("_set") == number).select(*keys)
+    return out
+
+
 def salted_left_join(
     left: DataFrame,
     right: DataFrame,

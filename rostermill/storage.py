@@ -4,6 +4,11 @@ A run writes only the rows it changed, as parquet under ``snapshot=<run>``,
 and becomes visible through one commit record. Readers take, for each key,
 the rows of its newest committed snapshot. The large base is not rewritten
 by a small run, and a run that dies leaves nothing visible.
+
+Within a snapshot rows are dealt over folders by a hash of the key that
+lookups know (``BUCKET_KEY``). A run that names the keys it wants reads only
+their folders: a join with the few bucket numbers prunes the scan when it
+starts.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +35,21 @@ REPLACE_KEY: dict[str, str | None] = {
     "registry": "_id",
 }
 
-_COMMIT = "run bigint, tables array<string>, is_base boolean, tag string"
+#: column whose hash decides the folder of a row; all versions of a row have the
+#: same value there
+BUCKET_KEY = {
+    "enrollee": "referenceId",
+    "subscriber": "subscriberNumber",
+    "patient": "enrollee.referenceId",
+    "eligibility": "enrollee.referenceId",
+    "claim": "CLAIM_ID",
+    "claim_diagnosis": "CLAIM_ID",
+    "claim_line": "CLAIM_ID",
+    "product": "product.referenceId",
+    "registry": "originalName",
+}
+
+_COMMIT = "run bigint, tables array<string>, is_base boolean, tag string, buckets int"
 
 
 def _or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -43,13 +62,24 @@ def _or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    """Folder number of a row by its key; null is a key like any other."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 class TableStore:
-    """Stored tables below ``root``; one writer at a time."""
+    """Stored tables below ``root``; one writer at a time.
+
+    ``buckets`` is the number of folders of a snapshot, for a new store; one
+    that has commits keeps the number it was begun with.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
         self.root = root.rstrip("/")
         self._written: dict[int, set[str]] = {}
+        commits = self._commits()
+        self.buckets = commits[0].buckets if commits else buckets
 
     # -- commits ----------------------------------------------------------
 
@@ -74,14 +104,20 @@ class TableStore:
         same number never count.
         """
         tables = sorted(self._written.pop(run, set()))
-        record = self.spark.createDataFrame([(run, tables, is_base, tag)], _COMMIT)
+        record = self.spark.createDataFrame([(run, tables, is_base, tag, self.buckets)], _COMMIT)
         record.coalesce(1).write.mode("overwrite").json(f"{self.root}/commits/run_{run}")
 
     # -- tables -----------------------------------------------------------
 
     def write(self, table: str, run: int, rows: DataFrame) -> None:
-        """Write a run's rows of a table; invisible until :meth:`commit`."""
-        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/snapshot={run}")
+        """Write a run's rows of a table; invisible until :meth:`commit`.
+
+        The rows of a folder meet before they are written, so a run writes
+        few files; a folder with much data is split over several tasks.
+        """
+        placed = rows.withColumn("bucket", bucket_of(BUCKET_KEY[table], self.buckets))
+        whole = placed.hint("rebalance", "bucket").write.partitionBy("bucket").mode("overwrite")
+        whole.parquet(f"{self.root}/{table}/snapshot={run}")
         self._written.setdefault(run, set()).add(table)
 
     def _visible(self, table: str, pending: int | None) -> list[int]:
@@ -94,21 +130,34 @@ class TableStore:
         return runs
 
     def _snapshots(self, table: str, schema: T.StructType) -> DataFrame:
-        typed = T.StructType([*schema.fields, T.StructField("snapshot", T.LongType())])
+        places = [T.StructField("snapshot", T.LongType()), T.StructField("bucket", T.IntegerType())]
+        typed = T.StructType([*schema.fields, *places])
         found = _or_none(lambda: self.spark.read.schema(typed).parquet(f"{self.root}/{table}"))
         return self.spark.createDataFrame([], typed) if found is None else found
 
-    def read(self, table: str, pending: int | None = None) -> DataFrame:
-        """Current rows; with ``pending`` also those of that open run."""
+    def read(
+        self, table: str, pending: int | None = None, keys: DataFrame | None = None
+    ) -> DataFrame:
+        """Current rows; with ``pending`` also those of that open run.
+
+        ``keys`` (one column, values of the table's bucket key) leaves out
+        folders that hold none of them. Rows with other keys may remain.
+        """
         schema = stored_schema(table)
         visible = self._visible(table, pending)
         rows = self._snapshots(table, schema)
         if not visible:
-            return rows.where(F.lit(False)).drop("snapshot")
+            return rows.where(F.lit(False)).drop("snapshot", "bucket")
         rows = rows.where(F.col("snapshot").isin(visible))
+        if keys is not None:
+            # At most `buckets` numbers. That they are not negative is always
+            # true; a join is used for pruning only if its side is filtered.
+            near = keys.select(bucket_of(keys.columns[0], self.buckets).alias("bucket"))
+            near = near.where("bucket >= 0").distinct()
+            rows = rows.join(F.broadcast(near), "bucket", "left_semi")
         key = REPLACE_KEY[table]
         if key is None or len(visible) == 1:
-            return rows.drop("snapshot")
+            return rows.select(*schema.fieldNames())
         newest = (
             rows.where(F.col("snapshot") != min(visible))
             .groupBy(F.col(key).alias("_key"))
@@ -142,6 +191,14 @@ class TableStore:
         """Add a run's rows to an append-only table (dumps, rejects, history)."""
         rows.write.mode("overwrite").parquet(f"{self.root}/{name}/run={run}")
 
-    def read_appended(self, name: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/{name}")
+    def read_appended(self, name: str, schema: str) -> DataFrame:
+        """An append-only table with its ``run``; empty if never written.
+
+        Rows of a run count once it is committed.
+        """
+        typed = f"{schema}, run bigint"
+        found = _or_none(lambda: self.spark.read.schema(typed).parquet(f"{self.root}/{name}"))
+        if found is None:
+            return self.spark.createDataFrame([], typed)
+        return found.where(F.col("run").isin([c.run for c in self._commits()]))
 

@@ -3,12 +3,18 @@
 The stream's checkpoint remembers which files were taken. A committed run
 carries the batch it came from, so a batch that is replayed after a failure
 is loaded exactly once: skipped when committed, written again when not.
-``files_per_batch=1`` loads file after file.
+``files_per_batch=1`` loads file after file. State goes from batch to batch
+through the store; a batch reads only the folders of its own keys.
+
+A checkpoint never gives a file twice, not even one that was mended after its
+load failed. Such files are the retry set (``Ingest.failed_files``): each start
+of a stream first loads those that are still there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +43,13 @@ def _source(spark: SparkSession, kind: str, extension: str, files_per_batch: int
     )
 
 
+class Parsed(NamedTuple):
+    """Claim rows of a batch, and files that cannot be read (_file, _problem)."""
+
+    rows: DataFrame
+    problems: DataFrame | None = None
+
+
 def _not_lock_file(path: str):
     return ~F.col(path).rlike(r"/~\$[^/]*$")
 
@@ -44,17 +57,16 @@ def _not_lock_file(path: str):
 def stream_claim_rows(
     ingest: Ingest,
     source: DataFrame,
-    to_rows: Callable[[DataFrame], DataFrame],
+    parse: Callable[[DataFrame, int], Parsed],
     checkpoint: str,
     module: str = "claim_rpt",
     file_type: str = "rpt",
-    find_problems: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Load a stream of files as claim rows; ends when all present are taken.
 
-    ``to_rows`` turns a batch (the source's columns plus position) into claim
-    rows. Row numbers are added inside the batch (they cannot be on a
-    stream) and fixed by writing the batch before it is parsed.
+    ``parse`` turns a batch (the source's columns plus position) and its run
+    number into claim rows. Row numbers are added inside the batch (they cannot
+    be on a stream) and fixed by writing the batch before it is parsed.
     """
     placed = source.select(
         "*",
@@ -75,9 +87,10 @@ def stream_claim_rows(
             .withColumn("name", file_name("path"))
         )
         fresh = numbered.join(files.select(F.col("path").alias("_file")), "_file", "left_semi")
+        rows, problems = parse(fresh, run)
         ingest.claim_rows_into(
-            run, to_rows(fresh), files, module, file_type, dump=False, backup=False,
-            problems=find_problems(fresh) if find_problems else None, tag=tag,
+            run, rows, files, module, file_type, dump=False, backup=False,
+            problems=problems, tag=tag,
         )
 
     return (
@@ -91,23 +104,26 @@ def stream_claim_rows(
 def stream_claim_reports(
     ingest: Ingest, folder: str, checkpoint: str, files_per_batch: int = 1_000
 ) -> StreamingQuery:
-    """Start taking ``.rpt`` files; ends when all present ones are loaded."""
+    """Start taking ``.rpt`` files; ends when all present ones are loaded.
+
+    Files whose last load failed are loaded again first.
+    """
+
+    def parse(batch: DataFrame, run: int) -> Parsed:
+        layouts = ingest.store.stage("layouts", run, file_layouts(batch, CLAIM_COLUMNS))
+        rows = parse_lines(batch, CLAIM_COLUMNS, CLAIM_REQUIRED, layouts)
+        return Parsed(rows, layout_problems(layouts, CLAIM_REQUIRED))
+
+    ingest.claim_reports(folder, only=ingest.failed_files("claim_rpt"))
     lines = _source(ingest.spark, "text", "rpt", files_per_batch).load(folder)
-    return stream_claim_rows(
-        ingest,
-        lines,
-        lambda batch: parse_lines(batch, CLAIM_COLUMNS, CLAIM_REQUIRED),
-        checkpoint,
-        find_problems=lambda batch: layout_problems(
-            file_layouts(batch, CLAIM_REQUIRED), CLAIM_REQUIRED
-        ),
-    )
+    return stream_claim_rows(ingest, lines, parse, checkpoint)
 
 
 def stream_eligibility_workbooks(
     ingest: Ingest, folder: str, checkpoint: str, files_per_batch: int = 100
 ) -> StreamingQuery:
-    """Start taking eligibility workbooks; ends like the report stream."""
+    """Start taking eligibility workbooks; retries and ends like the report stream."""
+    ingest.eligibility_workbooks(folder, only=ingest.failed_files("eligibility"))
     books = (
         _source(ingest.spark, "binaryFile", "xlsx", files_per_batch)
         .load(folder)
