@@ -69,15 +69,15 @@ def filter_changed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    S.with_views(S.COVERAGE, S.PERSONS_STORED)
+    S.with_views(S.ALL_COVERAGE, S.ALL_PERSONS_STORED)
     + """SELECT ord AS row_id, enrollee_id, p.id AS ref, p.last_name AS last_name
 FROM coverage_in LEFT JOIN persons_stored p ON enrollee_id = p.ref"""
 )
 def lookup_first_match(spark: SparkSession, folder: str) -> DataFrame:
     """With hot keys spread: every customer with 4 rows counts as hot here."""
-    rows = B.coverage_in(spark, folder)
+    rows = B.coverage_in(spark, folder, whole=True)
     out = M.lookup(
-        rows, B.persons_stored(spark, folder), {"ENROLLEE_ID": "referenceId"},
+        rows, B.persons_stored(spark, folder, whole=True), {"ENROLLEE_ID": "referenceId"},
         {"id": "_id", "last_name": "demographic.lastName"}, "e",
         hot=hot_keys(rows, ["ENROLLEE_ID"], min_rows=4),
     )
@@ -282,14 +282,15 @@ def lookup_last_wins(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    S.with_views(S.COVERAGE, S.SUBSCRIBERS_STORED, S.PATIENTS_STORED)
+    S.with_views(S.ALL_COVERAGE, S.SUBSCRIBERS_STORED, S.PATIENTS_STORED)
     + """SELECT p.id, s.name FROM patients_stored p JOIN subscribers_stored s
 ON p.subscriber_ref = s.id"""
 )
 def lookup_by_ref_inner(spark: SparkSession, folder: str) -> DataFrame:
-    patients = B.patients_stored(spark, folder).withColumn("_ref", F.col("subscriber.refId"))
+    patients = B.patients_stored(spark, folder, whole=True)
+    patients = patients.withColumn("_ref", F.col("subscriber.refId"))
     out = M.lookup(
-        patients, B.subscribers_stored(spark, folder), {"_ref": "_id"},
+        patients, B.subscribers_stored(spark, folder, whole=True), {"_ref": "_id"},
         {"name": lambda: name_of("demographic")}, "s", how="inner",
     )
     return out.select(F.col("_id").alias("id"), F.col("s.name").alias("name"))

@@ -283,10 +283,9 @@ def load_claims_workbook(spark: SparkSession, folder: str) -> DataFrame:
     rows = B.claims_in(spark, folder).drop("ITEM_NUMBER").withColumn(
         "ITEM_NUMBER", F.lit(None).cast("string")
     )
-    dump = raw_dump(PC.claim_rows(rows), B.fixed_lineage(spark, "claims"))
-    return _view(
-        _load_claims(spark, folder, dump.drop("ardbSourceDocument", "ardbLastModifiedDate"))
-    )
+    dump = raw_dump(PC.claim_rows(rows), F.lit("2024-01-01").cast("timestamp_ntz"))
+    extra = ["undeclared", "ardbSourceDocument", "ardbLastModifiedDate"]
+    return _view(_load_claims(spark, folder, dump.drop(*extra)))
 
 
 @query(
@@ -317,15 +316,15 @@ def correct_claims(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    S.with_views(S.COVERAGE, S.SUBSCRIBERS_STORED, S.PATIENTS_STORED)
+    S.with_views(S.ALL_COVERAGE, S.SUBSCRIBERS_STORED, S.PATIENTS_STORED)
     + """SELECT p.id, s.name AS subscriber_name FROM patients_stored p
 LEFT JOIN subscribers_stored s ON p.subscriber_ref = s.id"""
 )
 def backfill_names(spark: SparkSession, folder: str) -> DataFrame:
     run = LazyRun(
         {
-            "patient": B.patients_stored(spark, folder),
-            "subscriber": B.subscribers_stored(spark, folder),
+            "patient": B.patients_stored(spark, folder, whole=True),
+            "subscriber": B.subscribers_stored(spark, folder, whole=True),
         },
         guard_skew=True,
     )
@@ -334,7 +333,7 @@ def backfill_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    S.with_views(S.COVERAGE, S.ELIGIBILITIES_STORED)
+    S.with_views(S.ALL_COVERAGE, S.ELIGIBILITIES_STORED)
     + """, last AS (SELECT CAST(p_size AS VARCHAR) AS ref, arg_max(p_name, p_partkey) AS name
   FROM part GROUP BY 1)
 SELECT id, name AS product_name, strftime(updated_at, '%Y-%m-%d') AS dob
@@ -343,7 +342,7 @@ FROM eligibilities_stored LEFT JOIN last ON ref = product_id"""
 def backfill_product_and_date(spark: SparkSession, folder: str) -> DataFrame:
     run = LazyRun(
         {
-            "eligibility": B.eligibilities_stored(spark, folder),
+            "eligibility": B.eligibilities_stored(spark, folder, whole=True),
             "product": B.products(spark, folder),
         },
         guard_skew=True,

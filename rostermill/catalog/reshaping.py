@@ -13,7 +13,9 @@ from rostermill.operators import nest as N
 from rostermill.operators.match import code_lookup, lookup
 from rostermill.operators.registry import with_lineage
 from rostermill.codes import RELATIONSHIPS, relationship_table
+from rostermill.functions.digests import row_digest
 from rostermill.plans.eligibility import _PATIENT, _PERSON, _POLICY
+from rostermill.schemas import CLAIM_FIELDS, CLAIM_GROUPS, LINE_FIELDS, stored_schema, strings
 
 LABELS = "(VALUES " + ", ".join(
     "('" + c + "', '" + label.replace("'", "''") + "')" for c, label in RELATIONSHIPS.items()
@@ -71,14 +73,14 @@ def drop_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    S.with_views(S.PERSONS_IN)
+    S.with_views(S.ALL_PERSONS_IN)
     + """SELECT 'n' || enrollee_id AS id, enrollee_id AS reference, last_name, gender,
   '1980-01-02' AS dob, '01/02/1980' AS formatted_dob, state, state AS county,
   TRUE AS complete, modified, '1-persons' AS source, 1 AS n_documents
 FROM persons_in"""
 )
 def nest_person(spark: SparkSession, folder: str) -> DataFrame:
-    rows = with_lineage(B.persons_in(spark, folder), B.fixed_lineage(spark, "persons"))
+    rows = with_lineage(B.persons_in(spark, folder, whole=True), B.fixed_lineage(spark, "persons"))
     out = N.nest_person(rows.withColumn("_id", F.concat(F.lit("n"), "ENROLLEE_ID")))
     return out.select(
         F.col("_id").alias("id"),
@@ -112,7 +114,7 @@ def _subscriber_view(df: DataFrame) -> DataFrame:
 
 
 @query(
-    S.with_views(S.COVERAGE)
+    S.with_views(S.ALL_COVERAGE)
     + """SELECT CAST(ord AS VARCHAR) AS id, enrollee_id AS enrollee, insured_id AS insured,
   subscriber_id AS number, status AS premium_group, effective AS start_date, ends AS end_text,
   CAST(NULL AS VARCHAR) AS last_name, CAST(NULL AS VARCHAR) AS gender,
@@ -120,21 +122,21 @@ def _subscriber_view(df: DataFrame) -> DataFrame:
 FROM coverage_in"""
 )
 def nest_subscriber_row(spark: SparkSession, folder: str) -> DataFrame:
-    rows = B.coverage_in(spark, folder).withColumn("_id", B.text("_line"))
+    rows = B.coverage_in(spark, folder, whole=True).withColumn("_id", B.text("_line"))
     return _subscriber_view(N.nest_subscriber_row(rows))
 
 
 @query(
-    S.with_views(S.COVERAGE, S.PERSONS_STORED)
+    S.with_views(S.ALL_COVERAGE, S.ALL_PERSONS_STORED)
     + """SELECT CAST(ord AS VARCHAR) AS id, p.ref AS enrollee, p.ref AS insured,
   subscriber_id AS number, status AS premium_group, effective AS start_date, ends AS end_text,
   last_name, gender, created
 FROM coverage_in LEFT JOIN persons_stored p ON insured_id = p.ref"""
 )
 def nest_subscriber_enrollee(spark: SparkSession, folder: str) -> DataFrame:
-    rows = B.coverage_in(spark, folder).withColumn("_id", B.text("_line"))
+    rows = B.coverage_in(spark, folder, whole=True).withColumn("_id", B.text("_line"))
     joined = lookup(
-        rows, B.persons_stored(spark, folder), {"INSURED_ENROLLEE_ID": "referenceId"},
+        rows, B.persons_stored(spark, folder, whole=True), {"INSURED_ENROLLEE_ID": "referenceId"},
         _PERSON, "enrollee",
     )
     return _subscriber_view(N.nest_subscriber_enrollee(joined))
@@ -222,6 +224,17 @@ def nest_eligibility(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: a whole header document and a whole line in SQL: layout path → value
+_CLAIM_HEADER = (
+    {"_id": "billed", "ardbDocuments": None, "ardbSourceDocument": None, "ardbLastModifiedDate": None}
+    | {c: S.claim_column(c) for c in CLAIM_FIELDS}
+    | {group: {c: S.claim_column(c) for c in names} for group, names in CLAIM_GROUPS.items()}
+)
+_LINE = {c: S.claim_column(c) for c in LINE_FIELDS} | {
+    "ITEM_NUMBER": "(CASE WHEN item = '' THEN sh_item ELSE item END)"
+}
+
+
 @query(
     S.with_views(S.CLAIMS)
     + """SELECT claim_id, claim_status AS status, category, provider_id AS provider,
@@ -229,6 +242,7 @@ def nest_eligibility(spark: SparkSession, folder: str) -> DataFrame:
 FROM claim_input"""
 )
 def nest_claim_header(spark: SparkSession, folder: str) -> DataFrame:
+    """Some fields of the documents; :func:`digest_claim_header` has all."""
     rows = B.claim_input(spark, folder).withColumn("_id", F.col("BILLED_AMOUNT"))
     out = N.nest_claim_header(rows)
     return out.select(
@@ -242,6 +256,22 @@ def nest_claim_header(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    S.with_views(S.CLAIMS)
+    + f"""SELECT claim_id, billed AS row_key, {S.digest(stored_schema('claim'), _CLAIM_HEADER)} AS digest
+FROM claim_input"""
+)
+def digest_claim_header(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest of whole header documents, all 179 values of the layout."""
+    rows = B.wide_claim_input(spark, folder).withColumn("_id", F.col("BILLED_AMOUNT"))
+    out = N.nest_claim_header(rows)
+    return out.select(
+        F.col("CLAIM_ID").alias("claim_id"),
+        F.col("_id").alias("row_key"),
+        row_digest(out.schema).alias("digest"),
+    )
+
+
 @query(
     S.with_views(S.CLAIMS)
     + """SELECT claim_id, diagnosis AS code, description, CAST(NULL AS VARCHAR) AS poa
@@ -266,6 +296,7 @@ def nest_diagnosis(spark: SparkSession, folder: str) -> DataFrame:
 FROM claim_input"""
 )
 def nest_service_line(spark: SparkSession, folder: str) -> DataFrame:
+    """Some fields of the lines; :func:`digest_service_line` has all."""
     rows = B.claim_input(spark, folder)
     out = rows.select("CLAIM_ID", N.nest_service_line(rows).alias("s"))
     return out.select(
@@ -281,6 +312,21 @@ def nest_service_line(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    S.with_views(S.CLAIMS)
+    + f"""SELECT claim_id, code, {S.digest(strings(LINE_FIELDS), _LINE)} AS digest FROM claim_input"""
+)
+def digest_service_line(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest of whole service lines, all 95 fields."""
+    rows = B.wide_claim_input(spark, folder)
+    out = rows.select("CLAIM_ID", N.nest_service_line(rows).alias("s"))
+    return out.select(
+        F.col("CLAIM_ID").alias("claim_id"),
+        F.col("s.CODE").alias("code"),
+        row_digest(out.schema["s"].dataType, "s").alias("digest"),
+    )
+
+
 @query(
     """
 SELECT 'd' || doc_id AS document_id, doc_id || '.rpt' AS name, '.rpt' AS extension,
@@ -318,14 +364,14 @@ def lineage_struct(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    S.with_views(S.PERSONS_STORED)
+    S.with_views(S.ALL_PERSONS_STORED)
     + """SELECT id, complete, ref AS enrollee_id, last_name, first_name,
   CAST(NULL AS VARCHAR) AS middle_name, CASE gender WHEN 'MALE' THEN 'M' ELSE 'F' END AS gender,
   ssn, state, state AS county, '1998-01-01' AS modified
 FROM persons_stored"""
 )
 def flatten_person(spark: SparkSession, folder: str) -> DataFrame:
-    out = N.flatten_person(B.persons_stored(spark, folder))
+    out = N.flatten_person(B.persons_stored(spark, folder, whole=True))
     return out.select(
         F.col("_id").alias("id"),
         F.col("hasCompleteInfo").alias("complete"),
@@ -342,13 +388,13 @@ def flatten_person(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    S.with_views(S.COVERAGE, S.SUBSCRIBERS_STORED)
+    S.with_views(S.ALL_COVERAGE, S.SUBSCRIBERS_STORED)
     + """SELECT id, TRUE AS complete, insured_id AS enrollee_id, insured_id, subscriber_id,
   insured_id AS last_name, subscriber_id AS first_name, CAST(NULL AS VARCHAR) AS zip
 FROM subscribers_stored"""
 )
 def flatten_subscriber(spark: SparkSession, folder: str) -> DataFrame:
-    out = N.flatten_subscriber(B.subscribers_stored(spark, folder))
+    out = N.flatten_subscriber(B.subscribers_stored(spark, folder, whole=True))
     return out.select(
         F.col("_id").alias("id"),
         F.col("hasCompleteInfo").alias("complete"),
@@ -362,13 +408,13 @@ def flatten_subscriber(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    S.with_views(S.COVERAGE, S.PATIENTS_STORED)
+    S.with_views(S.ALL_COVERAGE, S.PATIENTS_STORED)
     + """SELECT enrollee_id, CAST(NULL AS VARCHAR) AS relationship, member_id, subscriber_id,
   strftime(updated_at, '%Y-%m-%d') AS modified
 FROM patients_stored"""
 )
 def flatten_patient(spark: SparkSession, folder: str) -> DataFrame:
-    out = N.flatten_patient(B.patients_stored(spark, folder))
+    out = N.flatten_patient(B.patients_stored(spark, folder, whole=True))
     return out.select(
         F.col("ENROLLEE_ID").alias("enrollee_id"),
         F.col("RELATIONSHIP_CODE").alias("relationship"),
@@ -379,12 +425,12 @@ def flatten_patient(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    S.with_views(S.COVERAGE, S.ELIGIBILITIES_STORED)
+    S.with_views(S.ALL_COVERAGE, S.ELIGIBILITIES_STORED)
     + """SELECT id, TRUE AS complete, enrollee_id, product_id, subscriber_id,
   CAST(NULL AS VARCHAR) AS marital_status FROM eligibilities_stored"""
 )
 def flatten_eligibility(spark: SparkSession, folder: str) -> DataFrame:
-    out = N.flatten_eligibility(B.eligibilities_stored(spark, folder))
+    out = N.flatten_eligibility(B.eligibilities_stored(spark, folder, whole=True))
     return out.select(
         F.col("_id").alias("id"),
         F.col("hasCompleteInfo").alias("complete"),

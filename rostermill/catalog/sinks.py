@@ -155,17 +155,36 @@ def patch_nested_fields(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    S.with_views(S.PERSONS_IN)
-    + """SELECT enrollee_id, last_name, '1-persons' AS source, '2024-01-01' AS processed
-FROM persons_in"""
+    S.with_views(S.ALL_PERSONS_IN)
+    + """SELECT p.enrollee_id, p.last_name, p.state, p.modified, '1704067200000-persons' AS source,
+  '2024-01-01' AS processed, CASE WHEN c_nationkey > 12 THEN 'n' || c_nationkey END AS nation,
+  CASE WHEN c_acctbal > 0 THEN CAST(CAST(round(c_acctbal * 100) AS BIGINT) AS VARCHAR) END AS cents,
+  c_nationkey > 12 OR c_acctbal > 0 AS has_more
+FROM persons_in p JOIN customer ON CAST(c_custkey AS VARCHAR) = p.enrollee_id"""
 )
 def raw_dump_with_lineage(spark: SparkSession, folder: str) -> DataFrame:
-    dump = R.raw_dump(B.persons_in(spark, folder), B.fixed_lineage(spark, "persons"))
+    """All customers as input rows; nation and balance are columns that the
+    layout does not declare, and some rows have neither."""
+    cents = F.round(F.col("c_acctbal") * 100).cast("bigint").cast("string")
+    more = F.map_from_arrays(
+        F.array(F.lit("NATION"), F.lit("STATE_2")),
+        F.array(
+            F.when(F.col("c_nationkey") > 12, F.concat(F.lit("n"), "c_nationkey")),
+            F.when(F.col("c_acctbal") > 0, cents),
+        ),
+    )
+    rows = B.persons_in(spark, folder, whole=True, more=F.map_filter(more, lambda _, v: v.isNotNull()))
+    dump = R.raw_dump(rows, F.lit("2024-01-01").cast("timestamp_ntz"))
     return dump.select(
         F.col("ENROLLEE_ID").alias("enrollee_id"),
         F.col("LAST_NAME").alias("last_name"),
+        F.col("STATE").alias("state"),
+        F.col("LAST_MODIFIED_DATE_TIME").alias("modified"),
         F.col("ardbSourceDocument").alias("source"),
         B.day("ardbLastModifiedDate").alias("processed"),
+        F.try_variant_get("undeclared", "$.NATION", "string").alias("nation"),
+        F.try_variant_get("undeclared", "$.STATE_2", "string").alias("cents"),
+        F.col("undeclared").isNotNull().alias("has_more"),
     )
 
 

@@ -221,11 +221,11 @@ def semi_join_composite(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    S.with_views(S.PERSONS_STORED)
+    S.with_views(S.ALL_PERSONS_STORED)
     + "SELECT id, last_name, state FROM persons_stored"
 )
 def nested_projection(spark: SparkSession, folder: str) -> DataFrame:
-    return B.persons_stored(spark, folder).select(
+    return B.persons_stored(spark, folder, whole=True).select(
         F.col("_id").alias("id"),
         F.col("demographic.lastName").alias("last_name"),
         F.col("demographic.address.state").alias("state"),

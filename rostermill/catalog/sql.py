@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
+
+from rostermill.schemas import CLAIM_COLUMNS
+
 PERSONS_IN = """persons_in AS (
   SELECT CAST(c_custkey AS VARCHAR) AS enrollee_id, c_name AS last_name,
     c_mktsegment AS first_name,
@@ -52,6 +56,11 @@ ELIGIBILITIES_STORED = """eligibilities_stored AS (
   FROM coverage_before
   GROUP BY enrollee_id, product_id, subscriber_id, member_id, effective, ends)"""
 
+# The same views without a split, for queries that need one side alone.
+ALL_PERSONS_IN = PERSONS_IN.replace(" WHERE c_acctbal <= 5000", "")
+ALL_PERSONS_STORED = PERSONS_STORED.replace(" WHERE c_acctbal > 0", "")
+ALL_COVERAGE = COVERAGE.replace(" WHERE status <> 'F'", "").replace(" WHERE status = 'F'", "")
+
 CLAIMS = """claim_input AS (
   SELECT l_linestatus, CAST(l_orderkey AS VARCHAR) AS claim_id,
     CAST(o_custkey AS VARCHAR) AS insured_id, o_orderstatus AS claim_status,
@@ -72,6 +81,38 @@ claims_before AS (SELECT * FROM claim_input WHERE l_linestatus = 'F')"""
 ORD = "o1, o2, o3"
 
 
+#: columns of the view that stand for report columns
+_CLAIM_VIEW = {
+    "CLAIM_ID": "claim_id", "INSURED_ENROLLEE_ID": "insured_id", "CLAIM_STATUS": "claim_status",
+    "CLAIM_CATEGORY": "category", "PROVIDER_ID": "provider_id", "DIAGNOSIS_CODE": "diagnosis",
+    "DIAGNOSIS_DESCRIPTION": "description", "CODE": "code", "DATE_OF_SERVICE": "service_date",
+    "QUANTITY": "quantity", "BILLED_AMOUNT": "billed", "ITEM_NUMBER": "item",
+    "SH_ITEM_NUMBER": "sh_item", "MODIFIER1": "modifier1", "MODIFIER2": "modifier2",
+}
+
+
+def claim_column(name: str) -> str:
+    """A column of the wide claim input over the view ``claim_input``."""
+    if name in _CLAIM_VIEW:
+        return _CLAIM_VIEW[name]
+    return f"CASE WHEN o1 % 7 <> {CLAIM_COLUMNS.index(name) % 7} THEN '{name}:' || claim_id END"
+
+
+def canonical(kind: T.DataType, value: dict | str | None) -> str:
+    """Canonical text of a nested value; structs are given as dicts."""
+    if value is None:
+        return "'-'"
+    if isinstance(kind, T.StructType):
+        parts = [f"'{f.name}=', {canonical(f.dataType, value[f.name])}" for f in kind.fields]
+        return "concat('{', " + ", ',', ".join(parts) + ", '}')"
+    return f"coalesce(length({value}) || ':' || {value}, '-')"
+
+
+def digest(kind: T.StructType, values: dict) -> str:
+    parts = [f"'{f.name}=', {canonical(f.dataType, values[f.name])}" for f in kind.fields]
+    return "sha256(concat(" + ", ',', ".join(parts) + "))"
+
+
 def key_id(kind: str, *parts: str) -> str:
     """The deterministic id of a key tuple."""
     tagged = [f"'{len(kind)}:{kind}'"] + [

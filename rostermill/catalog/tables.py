@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rostermill.operators.nest import documents
-from rostermill.schemas import LINEAGE_TYPE
+from rostermill.schemas import CLAIM_COLUMNS, LINEAGE_TYPE
 
 T0 = "1998-01-01 00:00:00"
 
@@ -54,9 +54,18 @@ def fixed_lineage(spark: SparkSession, *files: str) -> DataFrame:
 # --- persons ---------------------------------------------------------------
 
 
-def persons_in(spark: SparkSession, folder: str) -> DataFrame:
-    """ENROLLEES rows: customers with a balance up to 5000."""
-    c = table(spark, folder, "customer").where("c_acctbal <= 5000")
+def persons_in(
+    spark: SparkSession, folder: str, whole: bool = False, more: Column | None = None
+) -> DataFrame:
+    """ENROLLEES rows: customers with a balance up to 5000, or all of them.
+
+    Here and below, queries that need one side alone take it ``whole``; only
+    those that set stored rows against incoming ones take the two parts.
+    ``more`` are undeclared columns.
+    """
+    c = table(spark, folder, "customer")
+    if not whole:
+        c = c.where("c_acctbal <= 5000")
     segment = F.col("c_mktsegment")
     modified = (
         F.when(segment == "FURNITURE", F.lit(None))
@@ -78,15 +87,18 @@ def persons_in(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("1990-01-01").alias("CREATION_DATE"),
         modified.alias("LAST_MODIFIED_DATE_TIME"),
         *position("persons", F.col("c_custkey")),
+        *([] if more is None else [more.alias("_more")]),
     )
 
 
-def persons_stored(spark: SparkSession, folder: str) -> DataFrame:
-    """Enrollee documents: customers with a balance above 0.
+def persons_stored(spark: SparkSession, folder: str, whole: bool = False) -> DataFrame:
+    """Enrollee documents: customers with a balance above 0, or all of them.
 
     Every customer is in this view or in :func:`persons_in`, many in both.
     """
-    c = table(spark, folder, "customer").where("c_acctbal > 0")
+    c = table(spark, folder, "customer")
+    if not whole:
+        c = c.where("c_acctbal > 0")
     values = {
         "_id": F.concat(F.lit("e"), text("c_custkey")),
         "hasCompleteInfo": F.col("c_mktsegment") != "BUILDING",
@@ -138,13 +150,17 @@ def _coverage(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def coverage_in(spark: SparkSession, folder: str) -> DataFrame:
-    """ELIGIBILITY rows: orders that are not finished."""
-    return _coverage(spark, folder).where("o_orderstatus <> 'F'").drop("o_orderstatus", "o_orderdate")
+def coverage_in(spark: SparkSession, folder: str, whole: bool = False) -> DataFrame:
+    """ELIGIBILITY rows: orders that are not finished, or all of them."""
+    rows = _coverage(spark, folder)
+    if not whole:
+        rows = rows.where("o_orderstatus <> 'F'")
+    return rows.drop("o_orderstatus", "o_orderdate")
 
 
-def _finished(spark: SparkSession, folder: str) -> DataFrame:
-    return _coverage(spark, folder).where("o_orderstatus = 'F'")
+def _finished(spark: SparkSession, folder: str, whole: bool) -> DataFrame:
+    rows = _coverage(spark, folder)
+    return rows if whole else rows.where("o_orderstatus = 'F'")
 
 
 def _stamps(at: Column) -> dict[str, Column]:
@@ -154,9 +170,9 @@ def _stamps(at: Column) -> dict[str, Column]:
     }
 
 
-def subscribers_stored(spark: SparkSession, folder: str) -> DataFrame:
-    """One subscriber per (priority, customer) of the finished orders."""
-    g = _finished(spark, folder).groupBy("SUBSCRIBER_ID", "INSURED_ENROLLEE_ID").agg(
+def subscribers_stored(spark: SparkSession, folder: str, whole: bool = False) -> DataFrame:
+    """One subscriber per (priority, customer) of the finished orders, or of all."""
+    g = _finished(spark, folder, whole).groupBy("SUBSCRIBER_ID", "INSURED_ENROLLEE_ID").agg(
         F.max("o_orderdate").alias("at")
     )
     insured = F.col("INSURED_ENROLLEE_ID")
@@ -174,10 +190,10 @@ def subscribers_stored(spark: SparkSession, folder: str) -> DataFrame:
     return documents(g, "subscriber", values)
 
 
-def patients_stored(spark: SparkSession, folder: str) -> DataFrame:
-    """One patient per (enrollee, subscriber, member) of the finished orders."""
+def patients_stored(spark: SparkSession, folder: str, whole: bool = False) -> DataFrame:
+    """One patient per (enrollee, subscriber, member) of the finished orders, or of all."""
     keys = ["ENROLLEE_ID", "SUBSCRIBER_ID", "MEMBER_ID"]
-    g = _finished(spark, folder).groupBy(*keys).agg(F.max("o_orderdate").alias("at"))
+    g = _finished(spark, folder, whole).groupBy(*keys).agg(F.max("o_orderdate").alias("at"))
     ref = F.concat(F.lit("s"), F.col("ENROLLEE_ID"), F.lit("/"), F.col("SUBSCRIBER_ID"))
     values = {
         "_id": F.concat(F.lit("p"), F.col("ENROLLEE_ID"), F.lit("/"), F.col("SUBSCRIBER_ID")),
@@ -199,9 +215,9 @@ ELIGIBILITY_KEYS = [
 ]
 
 
-def eligibilities_stored(spark: SparkSession, folder: str) -> DataFrame:
-    """One eligibility per six-column key of the finished orders."""
-    g = _finished(spark, folder).groupBy(*ELIGIBILITY_KEYS).agg(F.max("o_orderdate").alias("at"))
+def eligibilities_stored(spark: SparkSession, folder: str, whole: bool = False) -> DataFrame:
+    """One eligibility per six-column key of the finished orders, or of all."""
+    g = _finished(spark, folder, whole).groupBy(*ELIGIBILITY_KEYS).agg(F.max("o_orderdate").alias("at"))
     key = F.concat_ws("/", *[F.coalesce(F.col(k), F.lit("-")) for k in ELIGIBILITY_KEYS])
     values = {
         "_id": F.concat(F.lit("x"), key),
@@ -255,6 +271,18 @@ def claim_input(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def wide_claim_input(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`claim_input` with a value in every column of a report: where the
+    tables have none, its name and the claim, missing in one row of seven."""
+    rows = claim_input(spark, folder)
+    texts = [
+        f"CASE WHEN CAST(CODE AS INT) % 7 <> {i % 7} THEN concat('{c}:', CLAIM_ID) END AS `{c}`"
+        for i, c in enumerate(CLAIM_COLUMNS)
+        if c not in rows.columns
+    ]
+    return rows.selectExpr("*", *texts)
+
+
 def claims_in(spark: SparkSession, folder: str) -> DataFrame:
     """Incoming claim rows: open line items."""
     return claim_input(spark, folder).where("l_linestatus = 'O'").drop("l_linestatus")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rostermill.functions.scalars import (
     archive_key,
     epoch_millis,
+    file_name,
     file_suffix,
     stored_name,
     surrogate_key,
@@ -78,12 +79,23 @@ def with_lineage(rows: DataFrame, lineage: DataFrame) -> DataFrame:
     return rows.join(lineage, rows["_file"] == lineage["path"], "left").drop("path")
 
 
-def raw_dump(rows: DataFrame, lineage: DataFrame) -> DataFrame:
-    """Input rows plus the two lineage columns, ready to be appended."""
-    return with_lineage(rows, lineage).select(
-        *rows.columns,
-        F.col("lineage.fileName").alias("ardbSourceDocument"),
-        F.col("lineage.updatedAt").alias("ardbLastModifiedDate"),
+def raw_dump(rows: DataFrame, received_at: Column, more: str = "_more") -> DataFrame:
+    """Whole input rows plus the two lineage columns, ready to be appended.
+
+    Columns that the layout does not declare come in ``more`` (a map of texts)
+    and are kept as one VARIANT, ``undeclared``; it is null where a row has
+    none. The name and time of a file follow from its path and the time the
+    run received it, so raw rows are not joined with the registry.
+    """
+    declared = [c for c in rows.columns if c != more]
+    undeclared = F.lit(None).cast("variant")
+    if more in rows.columns:
+        undeclared = F.when(F.size(more) > 0, F.to_variant_object(more))
+    return rows.select(
+        *declared,
+        undeclared.alias("undeclared"),
+        stored_name(epoch_millis(received_at), file_name("_file")).alias("ardbSourceDocument"),
+        received_at.cast("timestamp_ntz").alias("ardbLastModifiedDate"),
     )
 
 

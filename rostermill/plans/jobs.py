@@ -42,9 +42,11 @@ from rostermill.sources.fixed_width import (
     shared_layout_problems,
 )
 from rostermill.sources.workbook import (
+    Sheet,
     list_sheets,
-    parse_workbook_sheets,
+    parse_workbooks,
     rank_sheets,
+    sheet_rows,
     workbook_files,
 )
 from rostermill.storage import TableStore
@@ -116,6 +118,10 @@ class Ingest:
         self.store.append("status_history/phase=start", run, start)
         return staged
 
+    def received(self, registered: DataFrame) -> Column:
+        """When the run received its files: one moment for all of them."""
+        return F.lit(registered.agg(F.max("receivedAt")).first()[0]).cast("timestamp_ntz")
+
     def finish(self, run: int, files: DataFrame, result: Result, tag: str | None = None) -> None:
         """Write rejects, final statuses and the registry, then commit."""
         rejects = self.spark.createDataFrame([], _REJECTS)
@@ -173,7 +179,7 @@ class Ingest:
         if problems is not None:
             result.add_rejects(_file_rejects(problems))
         if dump:
-            self.store.append("dump_claims", run, raw_dump(staged, lineage))
+            self.store.append("dump_claims", run, raw_dump(rows, self.received(registered)))
         self.finish(run, registered, result, tag)
         return result
 
@@ -208,11 +214,11 @@ class Ingest:
         if not paths:
             return None
         run, books = self.store.next_run(), workbook_files(self.spark, paths)
-        rows, problems = self._sheet(
-            "claim_sheet", run, books, "CLAIMS", CLAIM_COLUMNS, CLAIM_REQUIRED, sheet_required=True
-        )
+        want = {"CLAIMS": Sheet(CLAIM_COLUMNS, CLAIM_REQUIRED, must_exist=True)}
+        rows, problems = self._sheets(run, books, want)
         return self.claim_rows_into(
-            run, rows, files, "provider_claim", "xlsx", dump=True, backup=False, problems=problems
+            run, rows["CLAIMS"], files, "provider_claim", "xlsx", dump=True, backup=False,
+            problems=problems,
         )
 
     def claim_corrections(self, folder: str) -> Result | None:
@@ -222,12 +228,10 @@ class Ingest:
             return None
         run, books = self.store.next_run(), workbook_files(self.spark, paths)
         registered = self.register(files, run, "provider_claim", backup=False)
-        rows, problems = self._sheet(
-            "corrections", run, books, "CLAIMS", CORRECTION_COLUMNS, CORRECTION_COLUMNS,
-            sheet_required=True,
-        )
+        want = {"CLAIMS": Sheet(CORRECTION_COLUMNS, CORRECTION_COLUMNS, must_exist=True)}
+        rows, problems = self._sheets(run, books, want)
         result = correct_claims(
-            rows, StoreRun(self.store, run, self.guard_skew), lineage_struct(registered, "xlsx")
+            rows["CLAIMS"], StoreRun(self.store, run, self.guard_skew), lineage_struct(registered, "xlsx")
         )
         result.add_rejects(_file_rejects(problems))
         self.finish(run, registered, result)
@@ -245,15 +249,13 @@ class Ingest:
         files = self._listed(folder, "xlsx", only)
         return files, listed_paths(files)
 
-    def _sheet(
-        self, name: str, run: int, books: DataFrame, sheet: str, columns: list[str],
-        required: list[str], sheet_required: bool = False,
-    ) -> tuple[DataFrame, DataFrame]:
-        """(rows, problems) of a sheet, parsed once and staged."""
-        parsed = parse_workbook_sheets(books, sheet, columns, required, sheet_required)
-        staged = self.store.stage(name, run, parsed)
-        broken = staged.where("_problem IS NOT NULL").select("_file", "_problem")
-        return staged.where("_problem IS NULL").drop("_problem"), broken
+    def _sheets(
+        self, run: int, books: DataFrame, want: dict[str, Sheet]
+    ) -> tuple[dict[str, DataFrame], DataFrame]:
+        """Rows of each sheet, and problems; all parsed in one pass and staged."""
+        parsed = self.store.stage("sheets", run, parse_workbooks(books, want))
+        rows = {name: sheet_rows(parsed, name, sheet.columns) for name, sheet in want.items()}
+        return rows, parsed.where("_problem IS NOT NULL").select("_file", "_problem")
 
     def eligibility_workbooks(self, folder: str, only: DataFrame | None = None) -> Result | None:
         files, paths = self._new_books(folder, only)
@@ -269,10 +271,8 @@ class Ingest:
         registered = self.register(files, run, "eligibility", backup=True)
         lineage = lineage_struct(registered, "xlsx")
         sheets = {"ENROLLEES": ENROLLEE_COLUMNS, "ELIGIBILITY": ELIGIBILITY_COLUMNS}
-        rows, problems = {}, []
-        for name, columns in sheets.items():
-            rows[name], broken = self._sheet(name.lower(), run, books, name, columns, columns)
-            problems.append(broken)
+        want = {name: Sheet(columns, columns) for name, columns in sheets.items()}
+        rows, problems = self._sheets(run, books, want)
         result = load_eligibility(
             rows["ENROLLEES"],
             rows["ELIGIBILITY"],
@@ -280,10 +280,10 @@ class Ingest:
             lineage,
             relationship_table(self.spark),
         )
-        for broken in problems:
-            result.add_rejects(_file_rejects(broken))
-        self.store.append("dump_enrollees", run, raw_dump(rows["ENROLLEES"], lineage))
-        self.store.append("dump_eligibility", run, raw_dump(rows["ELIGIBILITY"], lineage))
+        result.add_rejects(_file_rejects(problems))
+        at = self.received(registered)
+        self.store.append("dump_enrollees", run, raw_dump(rows["ENROLLEES"], at))
+        self.store.append("dump_eligibility", run, raw_dump(rows["ELIGIBILITY"], at))
         self.finish(run, registered, result, tag)
         return result
 

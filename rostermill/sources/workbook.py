@@ -1,8 +1,9 @@
 """Workbook sheets as all-string rows.
 
 A workbook is a zip archive that cannot be split, so its unit of work is one
-(file, sheet): the listing is spread over the tasks and each task streams
-its sheet's XML in batches. A sheet has at most 1,048,576 rows by format.
+file: the listing is spread over the tasks, and a task unpacks each of its
+workbooks once, streams the XML of all wanted sheets and gives their cells out
+as Arrow batches. A sheet has at most 1,048,576 rows by format.
 """
 
 from __future__ import annotations
@@ -10,17 +11,19 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from datetime import datetime, timedelta
+from typing import NamedTuple
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rostermill.operators.clean import normalize_nulls
-from rostermill.schemas import SHEET_PRIORITY, strings
+from rostermill.schemas import NA_TOKENS, SHEET_PRIORITY, strings
 from rostermill.sources.files import literal_paths
 
 BATCH = 4_096
@@ -111,23 +114,27 @@ def _cell_text(cell, shared: list[str], dates: set[int], epoch: datetime) -> str
     return value.text
 
 
-def _sheet_rows(content: bytes, sheet: str) -> Iterator[dict[int, str]]:
-    """Cells of each row by column index, header row first."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
-        part = _sheet_parts(book).get(sheet)
-        if part is None:
-            return
-        shared, dates = _shared_strings(book), _date_styles(book)
-        old_mac = b'date1904="1"' in book.read("xl/workbook.xml")
-        epoch = datetime(1904, 1, 1) if old_mac else datetime(1899, 12, 30)
-        with book.open(part) as xml:
+class _Book:
+    """An unpacked workbook; what sheets share is read once."""
+
+    def __init__(self, content: bytes):
+        self.zip = zipfile.ZipFile(io.BytesIO(content))
+        self.parts = _sheet_parts(self.zip)
+        self.shared, self.dates = _shared_strings(self.zip), _date_styles(self.zip)
+        old_mac = b'date1904="1"' in self.zip.read("xl/workbook.xml")
+        self.epoch = datetime(1904, 1, 1) if old_mac else datetime(1899, 12, 30)
+
+    def rows(self, sheet: str) -> Iterator[dict[int, str]]:
+        """Cells of each row by column index, header row first."""
+        with self.zip.open(self.parts[sheet]) as xml:
             for _, item in ElementTree.iterparse(xml):
                 if item.tag != f"{_MAIN}row":
                     continue
                 cells = {}
                 for i, cell in enumerate(item.iter(f"{_MAIN}c")):
                     ref = cell.get("r")
-                    cells[_column_index(ref) if ref else i] = _cell_text(cell, shared, dates, epoch)
+                    text = _cell_text(cell, self.shared, self.dates, self.epoch)
+                    cells[_column_index(ref) if ref else i] = text
                 item.clear()
                 yield cells
 
@@ -163,6 +170,129 @@ def rank_sheets(sheets: DataFrame, name: str = "sheet") -> DataFrame:
     return sheets.join(F.broadcast(known), sheets[name] == known["_sheet"]).drop("_sheet")
 
 
+class Sheet(NamedTuple):
+    """What is wanted of a sheet."""
+
+    columns: list[str]
+    required: list[str] = []
+    must_exist: bool = False
+
+
+def _header(cells: dict[int, str]) -> dict[str, int]:
+    """Column name → index. A name's second column is called name.1, the third
+    name.2; one without a name is called by its number."""
+    at: dict[str, int] = {}
+    for index, text in sorted(cells.items()):
+        name = (text or "").strip() or f"column {index + 1}"
+        twin, number = name, 0
+        while twin in at:
+            number += 1
+            twin = f"{name}.{number}"
+        at[twin] = index
+    return at
+
+
+class _Columns:
+    """Rows of one sheet gathered column by column."""
+
+    def __init__(self, schema: pa.Schema, sheet: str | None, path: str):
+        self.schema, self.sheet, self.path = schema, sheet, path
+        self.clear()
+
+    def clear(self) -> None:
+        self.cells: dict[str, list] = {}
+        self.more: list[list[tuple[str, str]]] = []
+        self.lines: list[int] = []
+
+    def add(self, number: int, cells: dict[int, str], at: dict[str, int], more: dict[int, str]) -> None:
+        for name, index in at.items():
+            self.cells.setdefault(name, []).append(cells.pop(index, None))
+        rest = [(more.get(i) or f"column {i + 1}", t) for i, t in sorted(cells.items())]
+        self.more.append([(n, t) for n, t in rest if t not in (None, "")])
+        self.lines.append(number)
+
+    def batch(self, problem: str | None = None) -> pa.RecordBatch:
+        rows = len(self.lines)
+        fixed = {
+            "_sheet": [self.sheet] * rows, "_file": [self.path] * rows, "_block": [0] * rows,
+            "_line": self.lines, "_more": self.more, "_problem": [problem] * rows,
+        }
+        values = fixed | self.cells
+        none = [None] * rows
+        arrays = [pa.array(values.get(f.name, none), f.type) for f in self.schema]
+        self.clear()
+        return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
+
+
+def _book_batches(
+    path: str, content: bytes, sheets: Mapping[str, Sheet], schema: pa.Schema
+) -> Iterator[pa.RecordBatch]:
+    """All wanted sheets of one workbook, unpacked once."""
+    out = _Columns(schema, None, path)
+    try:
+        book = _Book(content)
+        for name, want in sheets.items():
+            out = _Columns(schema, name, path)
+            if name not in book.parts:
+                if want.must_exist:
+                    raise ValueError(f"no sheet {name}")
+                continue
+            rows = book.rows(name)
+            at = _header(next(rows, {}))
+            if missing := sorted(set(want.required) - at.keys()):
+                raise ValueError(f"missing columns: {', '.join(missing)}")
+            wanted = {c: at[c] for c in want.columns if c in at}
+            more = {i: c for c, i in at.items()}
+            for number, cells in enumerate(rows):
+                if any(v not in (None, "") for v in cells.values()):
+                    out.add(number, cells, wanted, more)
+                    if len(out.lines) == BATCH:
+                        yield out.batch()
+            if out.lines:
+                yield out.batch()
+    except _BROKEN as problem:
+        if out.lines:
+            yield out.batch()
+        out.add(-1, {}, {}, {})
+        yield out.batch(f"{type(problem).__name__}: {problem}")
+
+
+def parse_workbooks(books: DataFrame, sheets: Mapping[str, Sheet]) -> DataFrame:
+    """Rows of several sheets of all workbooks, each unpacked once.
+
+    Returns ``_sheet``, the columns that any sheet wants, ``_more`` (the text of
+    all other columns by name), position and ``_problem``. Columns are found by
+    the names in a sheet's first row; one that is absent gives nulls unless it
+    is required. Whole numbers become integer text, date cells
+    ``YYYY-MM-DD HH:MM:SS`` text. A workbook that cannot be read, lacks a
+    required column or a sheet that must exist gives one row with only its name
+    and ``_problem``, so the others go on.
+    """
+    columns = list(dict.fromkeys(c for s in sheets.values() for c in s.columns))
+    texts = [(c, pa.string()) for c in columns]
+    place = [("_file", pa.string()), ("_block", pa.int64()), ("_line", pa.int64())]
+    more = ("_more", pa.map_(pa.string(), pa.string()))
+    schema = pa.schema([("_sheet", pa.string()), *texts, more, *place, ("_problem", pa.string())])
+    kinds = strings(["_sheet", *columns]).add("_more", T.MapType(T.StringType(), T.StringType()))
+    kinds = kinds.add("_file", "string").add("_block", "long").add("_line", "long").add("_problem", "string")
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                yield from _book_batches(path.as_py(), content.as_py(), sheets, schema)
+
+    parsed = books.select("path", "content").mapInArrow(parse, kinds)
+    missing = F.array(*[F.lit(t) for t in NA_TOKENS])
+    said = F.map_filter("_more", lambda _, text: ~F.array_contains(missing, F.trim(text)))
+    return normalize_nulls(parsed.withColumn("_more", said), columns)
+
+
+def sheet_rows(parsed: DataFrame, sheet: str, columns: list[str]) -> DataFrame:
+    """The good rows of one sheet of :func:`parse_workbooks`."""
+    good = parsed.where((F.col("_sheet") == sheet) & F.col("_problem").isNull())
+    return good.select(*columns, "_file", "_block", "_line", "_more")
+
+
 def parse_workbook_sheets(
     books: DataFrame,
     sheet: str,
@@ -170,59 +300,9 @@ def parse_workbook_sheets(
     required: list[str] | None = None,
     sheet_required: bool = False,
 ) -> DataFrame:
-    """Rows of one sheet of all workbooks: wanted columns, position, problem.
-
-    Columns are found by the names in the sheet's first row; one that is
-    absent gives nulls unless it is ``required``. Whole numbers become
-    integer text, date cells ``YYYY-MM-DD HH:MM:SS`` text. A workbook that
-    cannot be read, lacks a required column or a required sheet gives one
-    row with only its name and ``_problem``, so the others go on.
-    """
-    schema = (
-        strings(columns)
-        .add("_file", T.StringType())
-        .add("_block", T.LongType())
-        .add("_line", T.LongType())
-        .add("_problem", T.StringType())
-    )
-    names = schema.fieldNames()
-    need = set(required or [])
-
-    def rows_of(path: str, content: bytes) -> Iterator[list]:
-        rows = _sheet_rows(content, sheet)
-        header = next(rows, None)
-        if header is None:
-            if sheet_required:
-                raise ValueError(f"no sheet {sheet}")
-            return
-        at: dict[str, int] = {}
-        for index, name in header.items():
-            at.setdefault((name or "").strip(), index)
-        if missing := sorted(need - at.keys()):
-            raise ValueError(f"missing columns: {', '.join(missing)}")
-        places = [at.get(c, -1) for c in columns]
-        for number, cells in enumerate(rows):
-            if any(v not in (None, "") for v in cells.values()):
-                yield [cells.get(p) for p in places] + [path, 0, number, None]
-
-    def parse(batches):
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                out = []
-                try:
-                    for row in rows_of(path, content):
-                        out.append(row)
-                        if len(out) == BATCH:
-                            yield pd.DataFrame(out, columns=names)
-                            out = []
-                except _BROKEN as problem:
-                    text = f"{type(problem).__name__}: {problem}"
-                    out.append([None] * len(columns) + [path, 0, -1, text])
-                if out:
-                    yield pd.DataFrame(out, columns=names)
-
-    parsed = books.mapInPandas(parse, schema)
-    return normalize_nulls(parsed, columns)
+    """:func:`parse_workbooks` of one sheet, without further columns."""
+    want = Sheet(columns, required or [], sheet_required)
+    return parse_workbooks(books, {sheet: want}).drop("_sheet", "_more")
 
 
 def read_workbook_sheets(books: DataFrame, sheet: str, columns: list[str]) -> DataFrame:

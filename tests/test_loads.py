@@ -1,5 +1,7 @@
 """Whole jobs on real files: load, reload, correct, backfill, stream."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +188,24 @@ def test_corrections_touch_only_changed_claims(spark, tmp_path, ingest):
     assert got == {"C1": ("E9", ["claims.xlsx", "fix.xlsx"]), "C2": ("E2", ["claims.xlsx"])}
 
 
+def test_the_raw_dump_keeps_all_columns_of_the_sheet(spark, tmp_path, ingest):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    more = [*CLAIM, "CODE_TYPE_2", "SOMETHING NEW"]
+    rows = [[r[c] for c in CLAIM] + [f"t{i}" if i else None, 7 if i < 2 else None] for i, r in enumerate(FIRST)]
+    write_workbook(folder / "claims.xlsx", {"CLAIMS": [more, *rows, [*[FIRST[0][c] for c in CLAIM], None, None]]})
+    ingest.claim_workbooks(str(folder))
+    dump = spark.read.parquet(f"{ingest.store.root}/dump_claims")
+    got = dump.select(
+        "_line", "CLAIM_ID", F.to_json("undeclared").alias("more"), "ardbSourceDocument", "ardbLastModifiedDate"
+    ).orderBy("_line").collect()
+    assert [r.more and json.loads(r.more) for r in got] == [
+        {"SOMETHING NEW": "7"}, {"CODE_TYPE_2": "t1", "SOMETHING NEW": "7"}, {"CODE_TYPE_2": "t2"}, {"CODE_TYPE_2": "t3"}, None,
+    ]
+    registered = ingest.store.read("registry").first()
+    assert {(r.ardbSourceDocument, r.ardbLastModifiedDate) for r in got} == {(registered.fileName, registered.receivedAt)}
+
+
 def person(i, modified="2024-01-01", **more):
     row = {"ENROLLEE_ID": i, "LAST_NAME": f"L{i}", "FIRST_NAME": f"F{i}", "DOB": "1980-01-02",
            "GENDER": "f", "CREATION_DATE": "2020-01-01", "LAST_MODIFIED_DATE_TIME": modified}

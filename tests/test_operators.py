@@ -1,5 +1,7 @@
 """Operators on small frames with the edge rows."""
 
+import hashlib
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from rostermill.operators import quality as Q
 from rostermill.operators import registry as G
 from rostermill.operators import upsert as U
 from rostermill.functions.arrays import array_union_by_key
+from rostermill.functions.digests import row_digest
 from rostermill.skew import hot_keys, salted_left_join
 from rostermill.sources.workbook import rank_sheets
 
@@ -426,3 +429,39 @@ def test_array_union_keeps_first_of_each_key_in_order(spark):
     got = df.select(array_union_by_key("x", "y", "k").alias("u"), array_union_by_key("x", F.lit(None).cast(pair), "k").alias("l")).first()
     assert [tuple(r) for r in got["u"]] == [("b", 1), (None, 2), ("a", 4)]
     assert [tuple(r) for r in got["l"]] == [("b", 1), (None, 2)]
+
+
+def canonical(value):
+    """Of Python values: tuples are named fields, lists arrays, dicts maps."""
+    if value is None:
+        return "-"
+    if isinstance(value, tuple):
+        return "{" + ",".join(f"{n}={canonical(v)}" for n, v in value) + "}"
+    if isinstance(value, dict):
+        return canonical([(("key", k), ("value", v)) for k, v in sorted(value.items())])
+    if isinstance(value, list):
+        return "[" + ",".join(map(canonical, value)) + "]"
+    text = str(value)
+    return f"{len(text)}:{text}"
+
+
+def test_digests_tell_nested_values_apart(spark):
+    ddl = "a string, s struct<x: string, t: struct<y: bigint>>, l array<struct<p: string, q: array<bigint>>>, m map<string, array<string>>"
+    rows = [
+        ("v", ("x", (1,)), [("p", [1, 2]), (None, None), None], {"k": ["1"], "j": None}),
+        ("v", ("x", (None,)), [], {}), ("v", ("x", None), None, None), (None, None, [None], {"j": [None]}),
+        ("-", (None, None), [(None, [])], {"j": []}), ("1:a", ("", (0,)), [("", [None])], {"": [""]}), ("", None, None, None), (None, None, None, None),
+    ]
+    frame = spark.createDataFrame(rows, ddl)
+
+    def fields(r):
+        s = r.s and (("x", r.s.x), ("t", r.s.t and (("y", r.s.t.y),)))
+        items = r.l if r.l is None else [i and (("p", i.p), ("q", i.q)) for i in r.l]
+        return (("a", r.a), ("s", s), ("l", items), ("m", r.m))
+
+    got = frame.select("*", row_digest(frame.schema).alias("d"), F.struct(*frame.columns).alias("w"))
+    got = got.withColumn("of_struct", row_digest(got.schema["w"].dataType, "w")).collect()
+    for r in got:
+        text = ",".join(f"{n}={canonical(v)}" for n, v in fields(r))
+        assert r.d == r.of_struct == hashlib.sha256(text.encode()).hexdigest(), text
+    assert len({r.d for r in got}) == len(rows)

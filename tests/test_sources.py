@@ -1,5 +1,6 @@
 """Scans of real files."""
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 
@@ -14,9 +15,12 @@ from rostermill.sources.fixed_width import (
     shared_heads,
     shared_layout_problems,
 )
+from rostermill.sources import workbook
 from rostermill.sources.workbook import (
+    Sheet,
     list_sheets,
     parse_workbook_sheets,
+    parse_workbooks,
     read_workbook_sheets,
     workbook_files,
 )
@@ -132,3 +136,48 @@ def test_a_broken_workbook_does_not_stop_the_others(spark, tmp_path):
     assert "missing columns: CLAIM_ID" in problems["lacks.xlsx"]
     assert "no sheet CLAIMS" in problems["nosheet.xlsx"]
     assert "BadZipFile" in problems["bad.xlsx"]
+
+
+def test_a_workbook_is_unpacked_once_for_all_sheets(tmp_path, monkeypatch):
+    cells = [[("shared", f"v{i}"), i] for i in range(10_000)]
+    write_workbook(tmp_path / "a.xlsx", {"A": [["X", "Y"], *cells], "B": [["Y"], ["1"]], "C": [["X"], ["2"]]})
+    opened = []
+
+    class Counting(workbook.zipfile.ZipFile):
+        def __init__(self, *args, **more):
+            opened.append("book")
+            super().__init__(*args, **more)
+
+        def open(self, name, *args, **more):
+            opened.append(getattr(name, "filename", name))
+            return super().open(name, *args, **more)
+
+    monkeypatch.setattr(workbook.zipfile, "ZipFile", Counting)
+    schema = pa.schema(
+        [("_sheet", pa.string()), ("X", pa.string()), ("Y", pa.string()), ("_more", pa.map_(pa.string(), pa.string())),
+         ("_file", pa.string()), ("_block", pa.int64()), ("_line", pa.int64()), ("_problem", pa.string())])
+    want = {"A": Sheet(["X"]), "B": Sheet(["X", "Y"]), "D": Sheet(["X"])}
+    batches = list(workbook._book_batches("a", (tmp_path / "a.xlsx").read_bytes(), want, schema))
+    assert [b.num_rows for b in batches] == [4096, 4096, 1808, 1]
+    assert opened.count("book") == 1 and opened.count("xl/sharedStrings.xml") == 1
+    assert [x for x in opened if "sheet" in x.lower() and "shared" not in x] == ["xl/worksheets/sheet1.xml", "xl/worksheets/sheet2.xml"]
+    last = batches[2].to_pylist()[-1]
+    assert last["X"] == "v9999" and last["_more"] == [("Y", "9999")] and last["_line"] == 9999
+
+
+def test_sheets_of_many_workbooks_in_one_pass(spark, tmp_path):
+    write_workbook(tmp_path / "a.xlsx", {
+        "P": [["ID", "NAME", "ID", None, "NAME_2"], ["1", "n", "twin", "nameless", "second"], ["2", None, None, None, "N/A"]],
+        "E": [["NAME", "CODE"], ["m", "c"]],
+    })
+    write_workbook(tmp_path / "b.xlsx", {"E": [["CODE"], ["d"]], "P": [["NAME"], ["lacks id"]]})
+    (tmp_path / "c.xlsx").write_text("not a zip")
+    books = workbook_files(spark, paths(spark, tmp_path, "xlsx"))
+    parsed = parse_workbooks(books, {"E": Sheet(["NAME", "CODE"]), "P": Sheet(["ID", "NAME"], ["ID"], True)})
+    rows = [r.asDict() for r in parsed.collect()]
+    codes = {r["CODE"]: r["NAME"] for r in rows if r["_sheet"] == "E" and not r["_problem"]}
+    assert codes == {"c": "m", "d": None}
+    people = {r["ID"]: (r["NAME"], r["_more"]) for r in rows if r["_sheet"] == "P" and not r["_problem"]}
+    assert people == {"1": ("n", {"ID.1": "twin", "column 4": "nameless", "NAME_2": "second"}), "2": (None, {})}
+    problems = {r["_file"][-6:]: r["_problem"] for r in rows if r["_problem"]}
+    assert problems["b.xlsx"] == "ValueError: missing columns: ID" and "BadZipFile" in problems["c.xlsx"] and len(problems) == 2
