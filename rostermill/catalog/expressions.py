@@ -15,18 +15,24 @@ from rostermill.operators.clean import filter_any_present
 from rostermill.operators.match import code_lookup
 
 
+#: how dates are written, by the order's number
+_NOTATIONS = [
+    "MM/dd/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy h:mm a", "yyyyMMdd",
+    "dd-MMM-yyyy", "MMMM d, yyyy", "M/d/yy",
+]
+
+
 def _dates(spark: SparkSession, folder: str) -> DataFrame:
-    """Order dates as text in three notations, one of them unreadable."""
-    priority = F.col("o_orderpriority")
-    us = F.date_format("o_orderdate", "MM/dd/yyyy")
-    full = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    """Order dates as text in eight notations; one priority is unreadable."""
+    priority, number = F.col("o_orderpriority"), F.col("o_orderkey") % len(_NOTATIONS)
+    written = F.coalesce(*[
+        F.when(number == i, F.date_format("o_orderdate", form)) for i, form in enumerate(_NOTATIONS)
+    ])
     return B.table(spark, folder, "orders").select(
         "o_orderkey",
-        F.when(priority == "1-URGENT", us).when(priority == "2-HIGH", full)
-        .when(priority != "3-MEDIUM", B.day("o_orderdate")).alias("strict"),
-        F.when(priority == "1-URGENT", us).when(priority == "2-HIGH", full)
-        .when(priority == "3-MEDIUM", F.concat(F.lit("on "), us))
-        .when(priority != "5-LOW", B.day("o_orderdate")).alias("loose"),
+        F.when(priority != "3-MEDIUM", written).alias("strict"),
+        F.when(priority == "3-MEDIUM", F.concat(F.lit("on "), written))
+        .when(priority != "5-LOW", written).alias("loose"),
     )
 
 

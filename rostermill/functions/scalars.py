@@ -8,12 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rostermill.codes import GENDERS
+from rostermill.functions.dates import read_timestamp
 
 ColumnOrName = Column | str
 
-_US_DATE = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
-
-
 def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -21,11 +19,10 @@ def col(c: ColumnOrName) -> Column:
 def parse_ts_tolerant(text: ColumnOrName) -> Column:
     """Wall-clock timestamp of a text, null when it cannot be read.
 
-    ISO dates with or without time and ``MM/dd/yyyy`` are read. The result
+    The notations are those of :mod:`~rostermill.functions.dates`. The result
     has no zone, so it does not depend on the session's.
     """
-    iso = F.regexp_replace(F.trim(col(text)), _US_DATE, r"$3-$1-$2")
-    return iso.try_cast("timestamp_ntz")
+    return read_timestamp(col(text))
 
 
 def parse_ts_strict(text: ColumnOrName) -> Column:

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -193,6 +194,30 @@ def test_dates(spark):
         df.select(X.parse_ts_strict("s").alias("t")).collect()
 
 
+def test_dates_are_read_by_their_shape(spark):
+    """What is read equals what pandas reads; the rest is no date."""
+    dates = [
+        "2020-01-02", "2020/1/2", "2020.01.02", "1/2/2020", "01-02-2020", "13/2/2020", "2/13/2020", "1/2/95", "1/2/20",
+        "12/31/99", "20200102", "02-Jan-2020", "2 January 2020", "Jan 2, 2020", "january 2 2020", "Sep 9, 2021",
+        "Thursday, January 2, 2020", "2-feb-20", "2020-Feb-29", "May 2020", "2020-05", "2020",
+    ]
+    times = ["", " 3:04 PM", " 12:00 AM", " 12:30 pm", " 15:04", " 15:04:05", " 15:04:05.250", " 3 PM", " 09:04:05.123456 AM"]
+    texts = [d + t for d in dates for t in times if not (t and d in ("2020", "May 2020", "2020-05"))]
+    texts += ["Sept 9, 2021", "2020-01-02T03:04:05", "2020-01-02T03:04", " 2020-01-02 "]
+    none = [
+        "2020-02-30", "13/13/2020", "1/2/2020 25:00", "1/2/2020 13:00 PM", "0/2/2020", "202001", "123", "12345", "x 2020-01-02",
+        "2020-01-02 y", "Jan", "", " ", "1/2", "2020-13-01", "Mayo 2, 2020", "1/2/2020 3:4:5:6", "--", "99999999", "10000-01-01",
+    ]
+    frame = spark.createDataFrame([(t,) for t in texts + none + [None]], "s string")
+    got = {r.s: r.t for r in frame.select("s", X.parse_ts_tolerant("s").alias("t")).collect()}
+    for t in texts:
+        assert got[t] == pd.to_datetime(t.strip()).to_pydatetime(), t
+    assert {t: got[t] for t in [*none, None] if got[t] is not None} == {}
+    zones = ["2020-01-02T03:04:05Z", "2020-01-02 03:04:05+02:00", "1/2/2020 03:04:05 UTC"]
+    clock = spark.createDataFrame([(z,) for z in zones], "s string").select(X.parse_ts_tolerant("s").cast("string").alias("t"))
+    assert {r.t for r in clock.collect()} == {"2020-01-02 03:04:05"}
+
+
 def test_epoch_millis_truncates_and_ignores_the_zone(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     df = spark.sql("SELECT timestamp_ntz '2024-03-10 02:30:00.123999' AS t")
