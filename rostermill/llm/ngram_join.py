@@ -15,8 +15,9 @@
    left, every class is compared with the one it shares most tiles with. This
    links much of a group of near copies in one comparison per class.
 4. Tiles of three and more whose classes are then in different components are taken
-   apart: the same bound is worked out between all its classes of different
-   components, and only pairs that pass go on, each from one tile.
+   apart, block by block. The same bound, between all classes of a pair of blocks,
+   says which of them stay; these meet again with their sorted arrays, are
+   intersected exactly, and leave one row per linked class. No pair is emitted.
 5. A comparison intersects the two sorted arrays of hashes.
 
 No link between different sets is lost: two linked classes share a tile, and
@@ -28,7 +29,7 @@ fingerprint with a chance of about 3 %, of 10^6 with 3e-8.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,7 +52,7 @@ BITS = 3
 CARRIED = 8
 _NO_TILE = np.iinfo(np.int64).max
 #: classes of a tile compared in one block
-BLOCK = 1024
+BLOCK = 512
 #: fingerprints a task remembers, to write the parts of repeated sets once
 REMEMBERED = 500_000
 
@@ -173,7 +174,7 @@ def folded(bitmaps: list[bytes]) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, join: Join, text: str, key: str) -> DataFrame:
-    """(doc_id, n_shingles, node, tiles, bits); both null for a set seen before."""
+    """(doc_id, n_shingles, node, bits); no bits for a set seen before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer, seen = Signer(join), set()
@@ -181,11 +182,10 @@ def _signed(docs: DataFrame, join: Join, text: str, key: str) -> DataFrame:
             for part in slices(batch):
                 sets = shingle_sets(part.column(1).to_pylist(), join.words)
                 nodes = [signer.node(s) if len(s) else None for s in sets]
-                tiles, bits = [], []
+                bits = []
                 for grams, node in zip(sets, nodes):
                     new = node is not None and node not in seen
                     seen.add(node)
-                    tiles.append(signer.tiles(grams).view(np.int64) if new else None)
                     bits.append(bitmap(grams).tobytes() if new else None)
                 if len(seen) > REMEMBERED:
                     seen.clear()
@@ -194,22 +194,50 @@ def _signed(docs: DataFrame, join: Join, text: str, key: str) -> DataFrame:
                         part.column(0),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(nodes, pa.int64()),
-                        pa.array(tiles, pa.list_(pa.int64())),
                         pa.array(bits, pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "node", "tiles", "bits"],
+                    names=["doc_id", "n_shingles", "node", "bits"],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, node long, tiles array<long>, bits binary"
+        run, f"doc_id {kind}, n_shingles long, node long, bits binary"
     )
 
 
 # -- 2: tiles -----------------------------------------------------------------
 
 
-def _shared_tiles(signed: DataFrame) -> DataFrame:
+def _tiles(docs: DataFrame, join: Join, text: str) -> DataFrame:
+    """(key, node): the tiles of every set, once per task for equal sets.
+
+    They are many times the size of everything else and nearly all of them
+    occur once, so they are never written: the texts are read a second time
+    and the tiles go straight into their shuffle.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer, seen = Signer(join), set()
+        for batch in batches:
+            for part in slices(batch, 200):
+                found, owners = [], []
+                for grams in shingle_sets(part.column(0).to_pylist(), join.words):
+                    node = signer.node(grams) if len(grams) else None
+                    if node is None or node in seen:
+                        continue
+                    seen.add(node)
+                    found.append(signer.tiles(grams).view(np.int64))
+                    owners.append(np.full(len(found[-1]), node))
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                if found:
+                    columns = [pa.array(np.concatenate(x)) for x in (found, owners)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "node"])
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "key long, node long")
+
+
+def _shared_tiles(rows: DataFrame) -> DataFrame:
     """(tile, pivot, node): the classes of tiles that hold two or more.
 
     Rows come sorted by tile, and upper-band classes first within it, so a
@@ -246,8 +274,7 @@ def _shared_tiles(signed: DataFrame) -> DataFrame:
             number += int(at[-1])
             last = (tile[-1], pivots[at[-1]], kept[at[-1]], node[-1])
 
-    exploded = signed.where("tiles IS NOT NULL").select(F.explode("tiles").alias("key"), "node")
-    dealt = exploded.repartition(F.shiftright("key", 1)).sortWithinPartitions("key", "node")
+    dealt = rows.repartition(F.shiftright("key", 1)).sortWithinPartitions("key", "node")
     return dealt.mapInArrow(run, "tile long, pivot long, node long")
 
 
@@ -328,15 +355,63 @@ def _verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 # -- 4: tiles taken apart -----------------------------------------------------
 
 
-def _bounded_pairs(members: DataFrame, facts: DataFrame, join: Join) -> DataFrame:
-    """(a, b) of one tile and different components that may be similar.
+#: a pair of blocks of a tile, in which all classes meet
+_PLACE = ["tile", "i", "j"]
+
+
+def _by_place(rows: DataFrame, task: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """``task`` of the rows of each pair of blocks, at most 2 * BLOCK of them.
+
+    Rows are dealt and sorted by place, so a place is a run of rows; a task
+    holds one run.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+
+        def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            place = np.stack([table.column(c).to_numpy() for c in _PLACE])
+            cut = np.flatnonzero(np.any(place[:, 1:] != place[:, :-1], axis=0)) + 1
+            for low, high in zip([0, *cut.tolist()], [*cut.tolist(), table.num_rows]):
+                found = task(table.slice(low, high - low))
+                if found is not None and found.num_rows:
+                    yield found
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            if not table.num_rows:
+                continue
+            place = np.stack([table.column(c).to_numpy() for c in _PLACE])
+            open_run = np.flatnonzero(np.any(place != place[:, -1:], axis=0))
+            cut = int(open_run[-1]) + 1 if len(open_run) else 0
+            if cut:
+                yield from flush(table.slice(0, cut))
+            held = table.slice(cut)
+        if held is not None and held.num_rows:
+            yield from flush(held)
+
+    dealt = rows.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "second", "node")
+    return dealt.mapInArrow(run, schema)
+
+
+def _sides(second: np.ndarray) -> tuple[bool, np.ndarray, np.ndarray]:
+    """Whether both blocks are one, and the rows on either side."""
+    one = not second.any() or bool(second.all())
+    everything = np.arange(len(second))
+    return (True, everything, everything) if one else (False, np.flatnonzero(~second), np.flatnonzero(second))
+
+
+def _open_classes(members: DataFrame, facts: DataFrame, join: Join) -> DataFrame:
+    """(tile, i, j, second, node, root): classes that may be similar to one of
+    another component in their pair of blocks.
 
     ``members`` has tile and node; ``facts`` has node, root, n, bits and first
     (the lowest tile hashes of the class) and is joined last, so that bitmaps
-    are shuffled with their rows once. Tiles above BLOCK classes are compared block by block, each
-    pair of blocks on its own. A pair is left to another tile where both carry
-    one of a lower hash; the lowest tile of a pair always reports it, so each
-    pair comes up about once.
+    are shuffled with their rows once. Tiles above BLOCK classes are compared
+    block by block, each pair of blocks on its own. A pair is left to another
+    tile where both carry one of a lower hash; the lowest tile of a pair always
+    counts it.
     """
     sizes = members.groupBy("tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = members.join(sizes, "tile").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
@@ -348,66 +423,70 @@ def _bounded_pairs(members: DataFrame, facts: DataFrame, join: Join) -> DataFram
         "node",
         F.xxhash64("tile").alias("own"),
     )
-    spread = spread.join(facts, "node").select("tile", "i", "j", "second", "node", "root", "n", "bits", "own", "first")
-
-    def compare(node, root, n, bits, second, own, first):
-        diagonal = not second.any() or second.all()
-        left = np.flatnonzero(~second) if not diagonal else np.arange(len(node))
-        right = np.flatnonzero(second) if not diagonal else left
+    spread = spread.join(facts, "node").select(*_PLACE, "second", "node", "root", "n", "bits", "own", "first")
+
+    def task(table: pa.Table) -> pa.RecordBatch:
+        root, n, own, second = (table.column(c).to_numpy() for c in ("root", "n", "own", "second"))
+        bits = folded(table.column("bits").to_pylist())
+        lists = table.column("first").to_pylist()
+        first = np.array([x + [_NO_TILE] * (CARRIED - len(x)) for x in lists], dtype=np.int64)
+        one, left, right = _sides(second)
+        kept = np.zeros(len(n), bool)
         b = bits[right]
-        ones_b = np.bitwise_count(b).sum(axis=1, dtype=np.int64)
+        ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         for at in left:
             common = np.bitwise_count(bits[at][None, :] & b).sum(axis=1, dtype=np.int64)
-            ones_a = int(np.bitwise_count(bits[at]).sum())
-            most = np.minimum(n[at] - (ones_a - common), n[right] - (ones_b - common))
+            most = np.minimum(n[at] - (ones[at] - common), n[right] - (ones[right] - common))
             hit = join.linked(most, n[at], n[right]) & (root[right] != root[at])
-            if diagonal:
+            if one:
                 hit &= right > at
             places = right[hit]
             if len(places):
-                mine = first[at][first[at] < own]
+                mine = first[at][first[at] < own[at]]
                 elsewhere = (first[places][:, :, None] == mine[None, None, :]).any(axis=(1, 2))
-                found = node[places[~elsewhere]]
-                yield np.minimum(found, node[at]), np.maximum(found, node[at])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a block pair holds about 2 * BLOCK rows and is a run of sorted rows
-        held = None
-
-        def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            node, root, n = (table.column(c).to_numpy() for c in ("node", "root", "n"))
-            bits = table.column("bits").to_pylist()
-            second = table.column("second").to_numpy()
-            own = table.column("own").to_numpy()
-            lists = table.column("first").to_pylist()
-            place = np.stack([table.column(c).to_numpy() for c in ("tile", "i", "j")])
-            cut = np.flatnonzero(np.any(place[:, 1:] != place[:, :-1], axis=0)) + 1
-            a, b = [], []
-            for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(node)]):
-                first = np.array([x + [_NO_TILE] * (CARRIED - len(x)) for x in lists[s:e]], dtype=np.int64)
-                for x, y in compare(node[s:e], root[s:e], n[s:e], folded(bits[s:e]), second[s:e], own[s], first):
-                    a.append(x)
-                    b.append(y)
-            if a:
-                pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if held is None else pa.concat_tables([held, table])
-            if not table.num_rows:
+                places = places[~elsewhere]
+                kept[places] = True
+                kept[at] |= len(places) > 0
+        some = table.select([*_PLACE, "second", "node", "root"]).filter(pa.array(kept))
+        return some.combine_chunks().to_batches()[0] if some.num_rows else None
+
+    return _by_place(spread, task, "tile long, i int, j int, second boolean, node long, root long")
+
+
+def _linked_classes(open_: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """(a, b): links between classes of other components, one row per class and
+    pair of blocks at most; together they connect all that are similar there."""
+    rows = open_.join(sets, "node").select(*_PLACE, "second", "node", "root", "grams")
+
+    def task(table: pa.Table) -> pa.RecordBatch:
+        node, root, second = (table.column(c).to_numpy() for c in ("node", "root", "second"))
+        sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("grams")]
+        n = np.array([len(x) for x in sets_])
+        _, number = np.unique(np.concatenate(sets_), return_inverse=True)
+        ends = np.cumsum(n)
+        starts = ends - n
+        one, left, right = _sides(second)
+        # local groups: every row points to the lowest row of its group
+        group = np.arange(len(node))
+        same = {r: i for i, r in reversed([*enumerate(root.tolist())])}
+        group = np.array([same[r] for r in root.tolist()])
+        a, b = [], []
+        mark = np.zeros(int(number.max()) + 1, np.int64)
+        for at in left:
+            other = right[(group[right] != group[at]) & ((right > at) | (not one))]
+            if not len(other):
                 continue
-            place = np.stack([table.column(c).to_numpy() for c in ("tile", "i", "j")])
-            open_run = np.flatnonzero(np.any(place != place[:, -1:], axis=0))
-            cut = int(open_run[-1]) + 1 if len(open_run) else 0
-            if cut:
-                yield from flush(table.slice(0, cut))
-            held = table.slice(cut)
-        if held is not None and held.num_rows:
-            yield from flush(held)
+            mark[number[starts[at] : ends[at]]] = 1
+            overlap = np.add.reduceat(mark[number], starts)[other]
+            mark[number[starts[at] : ends[at]]] = 0
+            for mate in other[join.linked(overlap, n[at], n[other])]:
+                if group[mate] != group[at]:
+                    a.append(node[at])
+                    b.append(node[mate])
+                    group[group == group[mate]] = group[at]
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    dealt = spread.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j", "second", "node")
-    return dealt.mapInArrow(run, "a long, b long")
+    return _by_place(rows, task, "a long, b long")
 
 
 # -- the whole ----------------------------------------------------------------
@@ -426,7 +505,7 @@ def similar_groups(docs: DataFrame, join: Join = Join(), text: str = "text", key
     _signed(docs, join, text, key).write.parquet(folder)
     signed = spark.read.parquet(folder)
     rows = staged(signed.select("doc_id", "n_shingles", "node"), "sets")
-    tiles = staged(_shared_tiles(signed), "tiles")
+    tiles = staged(_shared_tiles(_tiles(docs, join, text)), "tiles")
     pairs = staged(tiles.groupBy("node", "pivot").agg(F.count("*").alias("tiles")), "pairs")
     nodes = pairs.select("node").union(pairs.select("pivot")).distinct()
     facts = signed.where("bits IS NOT NULL").join(nodes, "node")
@@ -481,11 +560,14 @@ def _links(
     members = rows.select("tile", "node").union(rows.select("tile", "pivot").distinct())
     carried = members.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.xxhash64("tile"))), 1, CARRIED).alias("first"))
     facts = rooted(facts.join(carried, "node"), "node", "root")
-    # a pair that was compared already is not compared again
+    # a class and a pivot that were compared already are not compared again
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    found = apart(likely, "a", "b").select(*ordered).union(_bounded_pairs(members, facts, join)).distinct()
+    found = apart(likely, "a", "b").select(*ordered).distinct()
     more = staged(found.join(first.select(*ordered), ["a", "b"], "left_anti"), "more")
-    return linked.union(_verified(more, _sets_of(docs, more, classes, join, text, key), join))
+    open_ = staged(_open_classes(members, facts, join), "open")
+    wanted = more.union(open_.select(F.col("node").alias("a"), F.col("node").alias("b")))
+    sets = staged(_sets_of(docs, wanted, classes, join, text, key), "arrays")
+    return linked.union(_verified(more, sets, join)).union(_linked_classes(open_, sets, join))
 
 
 def keep_rows(docs: DataFrame, join: Join = Join(), text: str = "text", key: str = "doc_id") -> DataFrame:

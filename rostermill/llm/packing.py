@@ -38,7 +38,7 @@ from rostermill.llm import word_bpe
 from rostermill.llm.bpe import slices
 
 #: ids planned at once; a single longer document is planned whole
-RUN = 1 << 20
+RUN = 1 << 18
 #: ids between two candidates at most
 STEP = 64
 

@@ -29,7 +29,7 @@ from rostermill.llm import wordscan
 from rostermill.llm.wordscan import LETTER, OTHER, SINGLE, Alphabet, Words
 
 #: words remembered per worker process before the memory is emptied
-CACHE_WORDS = 800_000
+CACHE_WORDS = 200_000
 #: words of more symbols run one at a time
 VECTOR_SYMBOLS = 64
 #: words per vectorised run, which bounds its matrices
@@ -146,7 +146,6 @@ class WordBpe:
         self._library = None
         self._path = path
         self._words: dict[str, bytes] = dict(self._special)
-        self._hashed: dict[int, bytes] = {}
 
     # -- one word ---------------------------------------------------------
 
@@ -323,18 +322,19 @@ class WordBpe:
             return [b""] * len(texts)
         hashed = pa.array(wordscan.hashes(codes, starts, lengths)).dictionary_encode()
         index = hashed.indices.to_numpy()
-        distinct = hashed.dictionary.to_pylist()
-        known = self._hashed
-        new = [(at, h) for at, h in enumerate(distinct) if h not in known]
+        first = np.zeros(len(hashed.dictionary), dtype=np.int64)
+        first[index[::-1]] = np.arange(len(index))[::-1]
+        # equal hashes only propose equal words
+        if not wordscan.same_words(codes, starts, lengths, first[index]):
+            return [self._by_words(text) for text in texts]
+        lower = codes.tobytes().decode("utf-32-le")
+        ends = (starts[first] + lengths[first]).tolist()
+        distinct = [lower[a:b] for a, b in zip(starts[first].tolist(), ends)]
+        known = self._words
+        new = [w for w in distinct if w not in known]
         if new:
-            first = np.zeros(len(distinct), dtype=np.int64)
-            first[index[::-1]] = np.arange(len(index))[::-1]
-            lower = codes.tobytes().decode("utf-32-le")
-            at = first[[at for at, _ in new]]
-            ends = (starts[at] + lengths[at]).tolist()
-            found = [lower[a:b].encode() for a, b in zip(starts[at].tolist(), ends)]
-            known.update(zip([h for _, h in new], self.encode_words(found)))
-        parts = [known[h] for h in distinct]
+            known.update(zip(new, self.encode_words([w.encode() for w in new])))
+        parts = [known[w] for w in distinct]
         pool = np.frombuffer(b"".join(parts), dtype="<u2")
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) >> 1
         begin = np.cumsum(sizes) - sizes
@@ -360,8 +360,8 @@ class WordBpe:
                 plain.append(text)
                 places.append(at)
         for group, numbers in wordscan.stretches(plain, _BLANK):
-            if len(self._hashed) > CACHE_WORDS:
-                self._hashed = {}
+            if len(self._words) > CACHE_WORDS:
+                self._words = dict(self._special)
             for number, ids in zip(numbers, self._plain_group(group)):
                 out[places[number]].append(ids)
         return [b"".join(parts) for parts in out]

@@ -14,8 +14,8 @@ import numpy as np
 
 BLANK, LETTER, SINGLE, OTHER = 0, 1, 2, 3
 #: code points scanned at once; a longer text is cut at a blank
-STRETCH = 1_500_000
-_BASE = 0x9E3779B97F4A7C15 | 1
+STRETCH = 400_000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Words(NamedTuple):
@@ -72,17 +72,6 @@ class Alphabet:
         return Words(codes, starts, lengths, bounds)
 
 
-_POWERS = np.ones(1, dtype=np.uint64)
-
-
-def _powers(count: int) -> np.ndarray:
-    global _POWERS
-    while len(_POWERS) < count:
-        step = np.uint64(pow(_BASE, len(_POWERS), 1 << 64))
-        _POWERS = np.concatenate([_POWERS, _POWERS * step])
-    return _POWERS
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers."""
     h = h ^ (h >> np.uint64(30))
@@ -94,15 +83,30 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def hashes(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word: a polynomial in its code points, scrambled."""
+    """64-bit hash of each word: the sum of a scrambled number for each code
+    point at its place.
+
+    Scrambling comes before the sum, so the numbers of different (code point,
+    place) pairs have nothing in common that words could be built to exploit,
+    as they can be for a polynomial modulo 2^64.
+    """
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
     total = int(lengths.sum())
     first = np.cumsum(lengths) - lengths
     within = np.arange(total) - np.repeat(first, lengths)
-    value = codes[within + np.repeat(starts, lengths)].astype(np.uint64) + np.uint64(1)
-    value *= _powers(int(lengths.max()))[within]
-    return mix(np.add.reduceat(value, first) + lengths.astype(np.uint64))
+    value = codes[within + np.repeat(starts, lengths)].astype(np.uint64)
+    value += (within.astype(np.uint64) + np.uint64(1)) * _STEP
+    return mix(np.add.reduceat(mix(value), first) + lengths.astype(np.uint64))
+
+
+def same_words(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> bool:
+    """Whether each word equals, code point for code point, word ``first`` of it."""
+    if not (lengths == lengths[first]).all():
+        return False
+    ahead = np.cumsum(lengths) - lengths
+    within = np.arange(int(lengths.sum())) - np.repeat(ahead, lengths)
+    return bool((codes[within + np.repeat(starts, lengths)] == codes[within + np.repeat(starts[first], lengths)]).all())
 
 
 def stretches(texts: list[str], blank: str) -> Iterator[tuple[list[str], list[int]]]:

@@ -127,6 +127,14 @@ def test_ngram_groups_match_brute_force(spark, join):
     assert got == brute_groups(rows, join)
 
 
+def test_long_words_with_structure_are_not_linked(spark):
+    from test_llm_tokens import LONG_WORDS
+
+    rows = list(enumerate(LONG_WORDS)) + [(20 + i, w) for i, w in enumerate(LONG_WORDS)]
+    got = {r[0]: r[2] for r in ngram_join.similar_groups(frame(spark, rows)).collect()}
+    assert got == {k: k % 20 for k, _ in rows}
+
+
 def test_tiles_that_hold_many_groups_are_taken_apart(spark, monkeypatch):
     """A chain of near copies whose ends are unlike, with blocks of two."""
     monkeypatch.setattr(ngram_join, "BLOCK", 2)

@@ -20,6 +20,15 @@ from rostermill.workdir import fresh_folder
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
 
+
+def thue_morse(size, letters="ab"):
+    """Two words that polynomial hashes modulo 2^64 cannot tell apart."""
+    first = [letters[bin(i).count("1") % 2] for i in range(size)]
+    return "".join(first), "".join(letters[letters[0] == c] for c in first)
+
+
+LONG_WORDS = [w for size in (64, 1024, 4096) for w in thue_morse(size)]
+
 ODD = [
     "",
     "  \n\t ",
@@ -32,6 +41,8 @@ ODD = [
     "日本語テキスト 😀👩‍👩‍👧 한국어",
     "ab" * 3000 + "é" * 500,
     "word " * 4000,
+    " ".join(LONG_WORDS),
+    LONG_WORDS[3] + " " + LONG_WORDS[2],
 ]
 
 
@@ -65,6 +76,28 @@ def test_ids_equal_the_library_on_random_texts(texts):
     assert [ids_of(x) for x in word_bpe.loaded(PATH).encode(texts)] == [library_ids(t) for t in texts]
 
 
+def test_equal_hashes_do_not_make_equal_words(monkeypatch):
+    """With a hash that knows only lengths, ids are still the library's."""
+    from rostermill.llm import wordscan
+
+    monkeypatch.setattr(wordscan, "hashes", lambda codes, starts, lengths: lengths.astype(np.uint64))
+    own = word_bpe.WordBpe(PATH)
+    texts = ["some words of one length and four more", " ".join(LONG_WORDS), "same same same", ""]
+    assert [ids_of(x) for x in own.encode(texts)] == [library_ids(t) for t in texts]
+
+
+def test_hashes_tell_structured_words_apart():
+    from rostermill.llm import wordscan
+
+    words = [*LONG_WORDS, "ab", "ba", "a", "b", "aa", "a\x00"]
+    codes = np.array([ord(c) for w in words for c in w], np.uint32)
+    lengths = np.array([len(w) for w in words])
+    starts = np.cumsum(lengths) - lengths
+    assert len(set(wordscan.hashes(codes, starts, lengths).tolist())) == len(words)
+    assert wordscan.same_words(codes, starts, lengths, np.arange(len(words)))
+    assert not wordscan.same_words(codes, starts, lengths, np.arange(len(words)) // 2 * 2)
+
+
 def test_one_tree_and_many_trees_agree():
     own = word_bpe.loaded(PATH)
     rng = random.Random(3)
