@@ -18,6 +18,8 @@ from rostermill.schemas import FALLBACK_FIELDS, LINE_MATCH_KEYS, ORDINAL
 
 #: longest array put into one row
 PART_ROWS = 10_000
+#: slots that are added up in one group
+SLOTS = 4_096
 
 
 def ordinal_slot(order: list[str], part_rows: int = PART_ROWS) -> list[Column]:
@@ -40,17 +42,33 @@ def with_part(
 
     Children are numbered within bounded slots, and slots start at the sum of
     the counts of those before them, so no task orders a whole parent. The
-    counts are one row per (parent, slot).
+    counts, one row per (parent, slot), are added up in two levels: within
+    stretches of at most ``SLOTS`` slots of one split, and over stretches. A
+    parent's own window holds one row per stretch, that is per split or per
+    ``SLOTS * part_rows`` rows of one. The last slot column is a whole number.
     """
     slots = ordinal_slot(order, part_rows) if slot is None else slot
+    stretch = [*slots[:-1], F.floor(slots[-1] / SLOTS)]
     place = F.struct(
         F.struct(*keys).alias("parent"),
+        F.struct(*[c.alias(f"s{i}") for i, c in enumerate(stretch)]).alias("stretch"),
         F.struct(*[c.alias(f"s{i}") for i, c in enumerate(slots)]).alias("slot"),
     )
     placed = children.withColumn("_place", place)
     counts = placed.groupBy("_place").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_place.parent").orderBy("_place.slot").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_place", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    counts = counts.withColumn("_long", F.struct("_place.parent", "_place.stretch"))
+
+    def ahead(key: str, by: str) -> Column:
+        before = Window.partitionBy(key).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(before), F.lit(0))
+
+    long = counts.groupBy("_long").agg(F.sum("_n").alias("_n"))
+    long = long.select("_long", ahead("_long.parent", "_long.stretch").alias("_base"))
+    starts = (
+        counts.withColumn("_inside", ahead("_long", "_place.slot"))
+        .join(long, "_long")
+        .select("_place", (F.col("_base") + F.col("_inside")).alias("_start"))
+    )
     within = F.row_number().over(Window.partitionBy("_place").orderBy(*order))
     return (
         placed.join(starts, "_place")

@@ -256,8 +256,10 @@ def load_eligibility(
 
     def settle(table: str, classified: DataFrame, keys: list[str]) -> DataFrame:
         """Keep the classified rows; give back the good changed ones."""
-        kept = run.cut(f"{table}_classified", classified)
+        kept, counted = run.cut_counted(f"{table}_classified", classified)
         result.classified[table] = kept
+        if counted is not None:
+            result.counted[table] = counted
         result.add_rejects(rejected(kept, table, _row_key(keys)))
         return with_lineage(changed(accepted(kept)), lineage)
 

@@ -31,7 +31,7 @@ from rostermill.schemas import (
     ELIGIBILITY_COLUMNS,
     ENROLLEE_COLUMNS,
 )
-from rostermill.sources.files import list_input_files, listed_paths, scan_lines
+from rostermill.sources.files import list_input_files, listed_paths, scan_new_lines
 from rostermill.sources.fixed_width import (
     file_layouts,
     first_heads,
@@ -190,20 +190,26 @@ class Ingest:
 
         ``only`` (path) restricts them, here and in other jobs.
         """
-        files = self._listed(folder, "rpt", only)
-        paths = listed_paths(files)
-        if not paths:
-            return None
         run = self.store.next_run()
-        lines = self.store.stage("lines", run, scan_lines(self.spark, paths))
+        files = self.store.stage("new_files", run, self._listed(folder, "rpt", only))
+        n_files, since, first = files.agg(
+            F.count("*"), F.min("modificationTime"), F.min("path")
+        ).first()
+        if not n_files:
+            return None
+        scanned = scan_new_lines(self.spark, folder, "rpt", files, since)
+        lines = self.store.stage("lines", run, scanned)
         if shared_layout:
-            heads = first_heads(self.spark, paths)
-            problems = shared_layout_problems(shared_heads(lines, *heads))
-            rows = parse_shared_layout(lines, CLAIM_COLUMNS, *heads, skip_others=True)
+            both = first_heads(self.spark, [first])
+            heads = self.store.stage("heads", run, shared_heads(lines, *both))
+            problems = shared_layout_problems(heads)
+            rows = parse_shared_layout(
+                lines, CLAIM_COLUMNS, *both, skip_others=True, heads=heads
+            )
         else:
             layouts = self.store.stage("layouts", run, file_layouts(lines, CLAIM_COLUMNS))
             problems = layout_problems(layouts, CLAIM_REQUIRED)
-            rows = read_reports(lines, paths, CLAIM_COLUMNS, CLAIM_REQUIRED, layouts)
+            rows = read_reports(lines, n_files, CLAIM_COLUMNS, CLAIM_REQUIRED, layouts)
         return self.claim_rows_into(
             run, rows, files, "claim_rpt", "rpt", dump=False, backup=False, problems=problems
         )

@@ -10,15 +10,20 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rostermill.operators.classify import action_counts
+from rostermill.operators.classify import INSERT, NO_ACTION, UPDATE, action_counts
 from rostermill.operators.upsert import upsert_replace
 from rostermill.skew import heavy_key_sets, hot_keys, split_sets
 from rostermill.storage import REPLACE_KEY, TableStore
 
 
+ACTIONS = (INSERT, UPDATE, NO_ACTION)
+#: rows with a reject reason, whatever their action
+REJECTED = "rejected"
+
+
 @dataclass
 class Result:
     """Changed rows and current view per table, rejected rows, classified rows."""
@@ -27,9 +32,16 @@ class Result:
     current: dict[str, DataFrame] = field(default_factory=dict)
     classified: dict[str, DataFrame] = field(default_factory=dict)
     rejects: DataFrame | None = None
+    #: what was counted while a step's rows were written: action → rows
+    counted: dict[str, dict[str, int]] = field(default_factory=dict)
 
     def counts(self) -> DataFrame:
-        """(step, action, n_rows) of the classified rows."""
+        """(step, action, n_rows) of the classified rows. Rows that were
+        counted while they were written are not read again."""
+        if self.classified and self.counted.keys() >= self.classified.keys():
+            rows = [(s, a, n) for s, found in self.counted.items() for a, n in found.items() if n and a != REJECTED]
+            spark = next(iter(self.classified.values())).sparkSession
+            return spark.createDataFrame(rows, "step string, action string, n_rows bigint")
         parts = [
             action_counts(rows).select(F.lit(step).alias("step"), "action", "n_rows")
             for step, rows in self.classified.items()
@@ -67,6 +79,11 @@ class LazyRun:
     def cut(self, name: str, rows: DataFrame) -> DataFrame:
         return rows
 
+    def cut_counted(self, name: str, rows: DataFrame) -> tuple[DataFrame, dict[str, int] | None]:
+        """:meth:`cut` of classified rows; how many have each action, and how
+        many a reject reason, if the rows are written by it."""
+        return self.cut(name, rows), None
+
     def hot(self, rows: DataFrame, keys: list[str]) -> DataFrame | None:
         """Heavy lookup keys of ``rows``, when skew is to be looked for."""
         return hot_keys(rows, keys) if self.guard_skew else None
@@ -97,6 +114,18 @@ class StoreRun(LazyRun):
     def cut(self, name: str, rows: DataFrame) -> DataFrame:
         return self.store.stage(name, self.number, rows)
 
+    def cut_counted(self, name: str, rows: DataFrame) -> tuple[DataFrame, dict[str, int] | None]:
+        return observed_cut(self, name, rows)
+
+
+def observed_cut(run: LazyRun, name: str, rows: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """Write rows and count them in the tasks that write them."""
+    seen = Observation(f"{name}-{run.number}")
+    counts = {a: F.count_if(F.col("action") == a) for a in ACTIONS}
+    counts[REJECTED] = F.count("_reason")
+    kept = run.cut(name, rows.observe(seen, *[c.alias(a) for a, c in counts.items()]))
+    return kept, {action: seen.get[action] for action in counts}
+
 
 def changed(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("action").isin("insert", "update"))
@@ -121,5 +150,8 @@ class FolderRun(LazyRun):
         rows.write.mode("overwrite").parquet(path)
         return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
+    def cut_counted(self, name: str, rows: DataFrame) -> tuple[DataFrame, dict[str, int] | None]:
+        return observed_cut(self, name, rows)
+
     def save(self, table: str, changes: DataFrame) -> DataFrame:
         return super().save(table, self.cut(f"{table}_changes", changes))

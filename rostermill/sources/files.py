@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,30 @@ def number_rows(lines: DataFrame) -> DataFrame:
     return lines.withColumn("_line", F.monotonically_increasing_id())
 
 
+def scan_new_lines(
+    spark: SparkSession, folder: str, extension: str, files: DataFrame, since: datetime
+) -> DataFrame:
+    """:func:`scan_lines` of those files below ``folder`` that are in ``files``.
+
+    ``files`` (path) are all of a modification time from ``since`` on. Older
+    ones are pruned by their metadata before any task starts; the few others
+    that are not wanted drop out in a join. The driver holds no list of paths.
+    """
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", f"*.{extension}")
+        .text(folder)
+        .where(F.col("_metadata.file_modification_time") >= F.lit(since))
+        .select(
+            "value",
+            decoded_path("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+        )
+    )
+    wanted = files.select(F.col("path").alias("_file"))
+    return number_rows(lines.join(wanted, "_file", "left_semi"))
+
+
 def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Text lines (column ``value``) of the files with their position."""
     return number_rows(

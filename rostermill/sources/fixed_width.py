@@ -6,8 +6,6 @@ the last reaches to the end of the longer of the two lines.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +19,7 @@ from rostermill.sources.files import (
 )
 from rostermill.workdir import staged
 
-#: layouts (about 5 kB each) broadcast in one go; more files are read in groups
+#: layouts (about 5 kB each) that are broadcast at most
 FILES_PER_GROUP = 5_000
 
 
@@ -116,24 +114,29 @@ def parse_lines(
     columns: list[str],
     required: list[str] | None = None,
     layouts: DataFrame | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Rows of fixed-width lines as null-cleaned strings plus position.
 
-    Files may differ in layout. The layouts are broadcast: the caller bounds
-    the number of files (:data:`FILES_PER_GROUP`, or files per batch in a
-    stream). A column that a file lacks is null; a file that lacks a
+    Files may differ in layout. ``few`` says that the caller has checked that
+    there are at most :data:`FILES_PER_GROUP` of them: their layouts are then
+    broadcast; else their size decides. A column that a file lacks is null; a file that lacks a
     ``required`` one gives no rows (see :func:`layout_problems`).
     """
     known = file_layouts(lines, columns) if layouts is None else layouts
     for c in required or []:
         known = known.where(f"_at.`{c}` IS NOT NULL")
-    rows = lines.join(F.broadcast(known), "_file").where(_is_row())
+    rows = lines.join(F.broadcast(known) if few else known, "_file").where(_is_row())
     cells = [_cell(f"_at.`{c}`.start", f"_at.`{c}`.length") + f" AS `{c}`" for c in columns]
     return normalize_nulls(rows.selectExpr(*cells, *ORDINAL), columns)
 
 
 def shared_heads(lines: DataFrame, header: str, dashes: str) -> DataFrame:
-    """(_file, _last_head, _same): whether a file has the given head lines."""
+    """(_file, _last_head, _same): whether a file has the given head lines.
+
+    One row per file. Write it before :func:`parse_shared_layout`, so that its
+    size is known and decides how it is joined.
+    """
     same = F.col("_header").eqNullSafe(F.lit(header.rstrip())) & F.col("_dashes").eqNullSafe(F.lit(dashes.rstrip()))
     return _heads(lines).select("_file", "_last_head", same.alias("_same"))
 
@@ -144,13 +147,18 @@ def shared_layout_problems(heads: DataFrame) -> DataFrame:
 
 
 def parse_shared_layout(
-    lines: DataFrame, columns: list[str], header: str, dashes: str, skip_others: bool = False
+    lines: DataFrame,
+    columns: list[str],
+    header: str,
+    dashes: str,
+    skip_others: bool = False,
+    heads: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of files that all have the given two head lines.
 
     Positions are literals. A file with other head lines stops the job, or
     gives no rows with ``skip_others`` (see :func:`shared_layout_problems`).
-    The broadcast holds a path and a number per file.
+    ``heads`` are the written :func:`shared_heads`.
     """
     header, dashes = header.rstrip(), dashes.rstrip()
     width = max(len(header), len(dashes))
@@ -161,7 +169,7 @@ def parse_shared_layout(
     at: dict[str, tuple[int, int]] = {}
     for start, end in zip(starts, ends):
         at.setdefault(header[start:end].strip(), (start + 1, end - start))
-    rows = lines.join(F.broadcast(shared_heads(lines, header, dashes)), "_file")
+    rows = lines.join(shared_heads(lines, header, dashes) if heads is None else heads, "_file")
     other = F.raise_error(F.concat(F.lit("other layout: "), "_file")).cast("boolean")
     rows = rows.where(F.when(F.col("_same"), _is_row()).otherwise(F.lit(False) if skip_others else other))
     cells = [
@@ -172,7 +180,7 @@ def parse_shared_layout(
 
 def read_reports(
     lines: DataFrame,
-    files: list[str],
+    files: int,
     columns: list[str],
     required: list[str] | None = None,
     layouts: DataFrame | None = None,
@@ -182,18 +190,10 @@ def read_reports(
     ``lines`` is a written table: row numbers tell the head lines, so they
     must not change between the pass that finds the layouts and the one that
     reads rows, and the first of these then reads little more than the start
-    of each file. More than :data:`FILES_PER_GROUP` files are read group by
-    group, so that no broadcast grows with their number.
+    of each file. The layouts of up to :data:`FILES_PER_GROUP` files are
+    broadcast; with more, the join is left to the size of what was written.
     """
-    parts = []
-    for i in range(0, len(files), FILES_PER_GROUP):
-        group, known = lines, layouts
-        if len(files) > FILES_PER_GROUP:
-            part = F.col("_file").between(files[i], files[min(i + FILES_PER_GROUP, len(files)) - 1])
-            group = lines.where(part)
-            known = None if layouts is None else layouts.where(part)
-        parts.append(parse_lines(group, columns, required, known))
-    return reduce(DataFrame.unionByName, parts)
+    return parse_lines(lines, columns, required, layouts, few=files <= FILES_PER_GROUP)
 
 
 def first_heads(spark: SparkSession, files: list[str]) -> list[str]:
@@ -214,5 +214,7 @@ def read_fixed_width(
         raise FileNotFoundError(f"no .rpt file below {folder}")
     lines = staged(scan_lines(spark, files), "lines")
     if shared_layout:
-        return parse_shared_layout(lines, columns, *first_heads(spark, files))
-    return read_reports(lines, files, columns, required)
+        both = first_heads(spark, files)
+        heads = staged(shared_heads(lines, *both), "heads")
+        return parse_shared_layout(lines, columns, *both, heads=heads)
+    return read_reports(lines, len(files), columns, required)

@@ -111,7 +111,7 @@ def stream_claim_reports(
 
     def parse(batch: DataFrame, run: int) -> Parsed:
         layouts = ingest.store.stage("layouts", run, file_layouts(batch, CLAIM_COLUMNS))
-        rows = parse_lines(batch, CLAIM_COLUMNS, CLAIM_REQUIRED, layouts)
+        rows = parse_lines(batch, CLAIM_COLUMNS, CLAIM_REQUIRED, layouts, few=True)
         return Parsed(rows, layout_problems(layouts, CLAIM_REQUIRED))
 
     ingest.claim_reports(folder, only=ingest.failed_files("claim_rpt"))

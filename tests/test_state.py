@@ -1,5 +1,7 @@
 """State between runs: pruned reads, runtime filters, retried files, one count."""
 
+import os
+import random
 import re
 
 import pytest
@@ -9,9 +11,11 @@ from files import write_report
 from rostermill.catalog import tables as B
 from rostermill.codes import relationship_table
 from rostermill.operators.nest import documents
+from rostermill.operators import children
 from rostermill.plans import eligibility as PE
 from rostermill.plans.jobs import Ingest
 from rostermill.plans.run import FolderRun, LazyRun, StoreRun
+from rostermill.sources.files import scan_new_lines
 from rostermill.skew import heavy_key_sets, hot_keys, split_sets
 from rostermill.storage import TableStore, bucket_of
 from rostermill.streaming.incremental import stream_claim_reports
@@ -241,3 +245,83 @@ def test_runs_of_lazy_plans_see_what_they_saved(spark):
     now = run.save("claim", claims(spark, ["2", "3"], "b"))
     assert run.state("claim") is now
     assert {r.CLAIM_ID: r.CLAIM_STATUS for r in now.collect()} == {"1": "a", "2": "b", "3": "b"}
+
+
+def test_loads_count_while_they_write(spark, tmp_path):
+    run = FolderRun(
+        {"enrollee": B.persons_stored(spark, SF), "subscriber": B.subscribers_stored(spark, SF),
+         "patient": B.patients_stored(spark, SF), "eligibility": B.eligibilities_stored(spark, SF)},
+        str(tmp_path),
+    )
+    result = PE.load_eligibility(
+        B.persons_in(spark, SF), B.coverage_in(spark, SF), run, B.fixed_lineage(spark, "persons", "coverage"),
+        relationship_table(spark),
+    )
+    plan = plan_of(result.counts())
+    assert "FileScan" not in plan
+    got = {(r.step, r.action): r.n_rows for r in result.counts().collect()}
+    want = {}
+    for step, rows in result.classified.items():
+        for r in rows.groupBy("action").count().collect():
+            want[step, r["action"]] = r["count"]
+        assert result.counted[step]["rejected"] == rows.where("_reason IS NOT NULL").count()
+    assert got == want and {s for s, _ in got} == {"enrollee", "subscriber", "patient", "eligibility"}
+
+
+def files_read(df):
+    """Text files that the executed plan opened."""
+    df.collect()
+    found, stack = 0, [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            stack.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            stack.append(node.plan())
+        elif name == "FileSourceScanExec" and node.toString().startswith("FileScan text"):
+            found = max(found, node.metrics().apply("numFiles").value())
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_old_files_are_pruned_by_their_metadata(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i in range(6):
+        write_report(folder / f"old{i}.rpt", CLAIM, FIRST)
+        os.utime(folder / f"old{i}.rpt", (1_700_000_000 + i, 1_700_000_000 + i))
+    ingest = Ingest(TableStore(spark, str(tmp_path / "store")))
+    ingest.claim_reports(str(folder))
+    write_report(folder / "new.rpt", CLAIM, SECOND)
+    monkeypatch.setattr("rostermill.plans.jobs.listed_paths", None)  # the claim load takes no list
+    scans = []
+
+    def watched(*args):
+        scans.append(scan_new_lines(*args))
+        return scans[-1]
+
+    monkeypatch.setattr("rostermill.plans.jobs.scan_new_lines", watched)
+    ingest.claim_reports(str(folder))
+    assert files_read(scans[0]) == 1
+    got = claims_of(ingest.store)
+    assert got["C1"][0] == "second" and got["C1"][3][0] == "new.rpt"
+    assert {r.originalName: r.status for r in ingest.current_registry().collect()}["new.rpt"] == "Completed"
+
+
+@pytest.mark.parametrize("part_rows, slots", [(3, 2), (5, 4), (4, 1000)])
+def test_parts_of_a_giant_parent_over_many_stretches(rows, monkeypatch, part_rows, slots):
+    monkeypatch.setattr(children, "SLOTS", slots)
+    rng = random.Random(part_rows)
+    data = [{"P": "giant" if i % 3 == 0 else rng.choice(["a", "b", None, f"p{i % 50}"]), "V": str(i), "_file": rng.choice("xyz")} for i in range(600)]
+    df = rows(["P", "V"], data, partitions=7)
+    found = children.with_part(df, ["P"], ["_file", "_block", "_line"], part_rows=part_rows)
+    by = {}
+    for n, d in enumerate(data):
+        by.setdefault(d["P"], []).append((d["_file"], n, d["V"]))
+    want = {v: i // part_rows for items in by.values() for i, (_, _, v) in enumerate(sorted(items))}
+    assert {r.V: r.part for r in found.collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"Window \[(.*?)\]", plan)
+    assert len(windows) == 3
