@@ -26,10 +26,10 @@ import numpy as np
 import pyarrow as pa
 
 from rostermill.llm import wordscan
-from rostermill.llm.wordscan import LETTER, OTHER, SINGLE, Alphabet, Words
+from rostermill.llm.wordscan import LETTER, OTHER, SINGLE, Alphabet, Letters, Words
 
 #: words remembered per worker process before the memory is emptied
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 #: words of more symbols run one at a time
 VECTOR_SYMBOLS = 64
 #: words per vectorised run, which bounds its matrices
@@ -102,6 +102,32 @@ def _contractions(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts[keep], lengths[keep], np.concatenate([[0], np.cumsum(keep)])[bounds]
 
 
+#: letters of a word that is its own key, nine bits each
+_SHORT = 7
+_PACKED = (np.arange(_LIMIT + 1, dtype=np.uint64)[:, None] + np.uint64(1)) << np.arange(0, 9 * _SHORT, 9, dtype=np.uint64)
+_PACKED = np.concatenate([_PACKED, np.zeros((_LIMIT + 1, 1), np.uint64)], axis=1).ravel()
+
+
+def _word_keys(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key of each word, whether the key is the word itself).
+
+    Words of up to ``_SHORT`` code points are packed into their key; that of a
+    longer one is a hash with the highest bit set.
+    """
+    sure = lengths <= _SHORT
+    first = np.cumsum(lengths) - lengths
+    within = np.arange(int(lengths.sum()))
+    where = within + np.repeat(starts - first, lengths)
+    within -= np.repeat(first, lengths)
+    np.minimum(within, _SHORT, out=within)
+    within += codes[where].astype(np.int64) * (_SHORT + 1)
+    key = np.add.reduceat(_PACKED[within], first)
+    long = np.flatnonzero(~sure)
+    if len(long):
+        key[long] = wordscan.hashes(codes, starts[long], lengths[long]) | np.uint64(1 << 63)
+    return key, sure
+
+
 def _tree(leaves: list[int], none: int) -> tuple[list[int], int]:
     size = 1
     while size < len(leaves):
@@ -145,7 +171,8 @@ class WordBpe:
         self._special_cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self._library = None
         self._path = path
-        self._words: dict[str, bytes] = dict(self._special)
+        #: by text, and short ones also by key
+        self._words: dict[int | str, bytes] = dict(self._special)
 
     # -- one word ---------------------------------------------------------
 
@@ -320,21 +347,37 @@ class WordBpe:
         starts, lengths, bounds = _contractions(words)
         if not len(starts):
             return [b""] * len(texts)
-        hashed = pa.array(wordscan.hashes(codes, starts, lengths)).dictionary_encode()
-        index = hashed.indices.to_numpy()
-        first = np.zeros(len(hashed.dictionary), dtype=np.int64)
+        key, sure = _word_keys(codes, starts, lengths)
+        keyed = pa.array(key).dictionary_encode()
+        index = keyed.indices.to_numpy()
+        distinct = keyed.dictionary.to_numpy()
+        first = np.zeros(len(distinct), dtype=np.int64)
         first[index[::-1]] = np.arange(len(index))[::-1]
-        # equal hashes only propose equal words
-        if not wordscan.same_words(codes, starts, lengths, first[index]):
-            return [self._by_words(text) for text in texts]
+        # equal keys of long words only propose equal words
+        long = np.flatnonzero(~sure)
+        if len(long):
+            like = np.zeros(len(key), dtype=np.int64)
+            like[long] = np.arange(len(long))
+            letters = Letters.of(codes, starts[long], lengths[long])
+            if not wordscan.same_words(letters, lengths[long], like[first[index[long]]]):
+                return [self._by_words(text) for text in texts]
         lower = codes.tobytes().decode("utf-32-le")
-        ends = (starts[first] + lengths[first]).tolist()
-        distinct = [lower[a:b] for a, b in zip(starts[first].tolist(), ends)]
-        known = self._words
-        new = [w for w in distinct if w not in known]
+
+        def texts_of(at: list[int]) -> list[str]:
+            rows = first[at]
+            ends = (starts[rows] + lengths[rows]).tolist()
+            return [lower[x:y] for x, y in zip(starts[rows].tolist(), ends)]
+
+        # a short word is known by its key, a long one by its text
+        known: dict[int | str, bytes] = self._words
+        names: list[int | str] = distinct.tolist()
+        at = np.flatnonzero(~sure[first]).tolist()
+        for i, text in zip(at, texts_of(at)):
+            names[i] = text
+        new = [i for i, name in enumerate(names) if name not in known]
         if new:
-            known.update(zip(new, self.encode_words([w.encode() for w in new])))
-        parts = [known[w] for w in distinct]
+            known.update(zip([names[i] for i in new], self.encode_words([t.encode() for t in texts_of(new)])))
+        parts = [known[name] for name in names]
         pool = np.frombuffer(b"".join(parts), dtype="<u2")
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) >> 1
         begin = np.cumsum(sizes) - sizes

@@ -82,6 +82,34 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+class Letters(NamedTuple):
+    """Code points of words, one word after another."""
+
+    codes: np.ndarray
+    #: place of each in its word, and of each word's first
+    within: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Letters:
+        first = np.cumsum(lengths) - lengths
+        within = np.arange(int(lengths.sum()))
+        where = within + np.repeat(starts - first, lengths)
+        within -= np.repeat(first, lengths)
+        return cls(codes[where], within, first)
+
+
+def _scrambled(codes: np.ndarray, within: np.ndarray) -> np.ndarray:
+    return mix(codes.astype(np.uint64) + (within.astype(np.uint64) + np.uint64(1)) * _STEP)
+
+
+#: scrambled numbers of the first code points at the first places
+_FEW_CODES, _FEW_PLACES = 384, 32
+_SCRAMBLED = _scrambled(
+    np.repeat(np.arange(_FEW_CODES), _FEW_PLACES), np.tile(np.arange(_FEW_PLACES), _FEW_CODES)
+)
+
+
 def hashes(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """64-bit hash of each word: the sum of a scrambled number for each code
     point at its place.
@@ -90,23 +118,30 @@ def hashes(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     place) pairs have nothing in common that words could be built to exploit,
     as they can be for a polynomial modulo 2^64.
     """
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    total = int(lengths.sum())
-    first = np.cumsum(lengths) - lengths
-    within = np.arange(total) - np.repeat(first, lengths)
-    value = codes[within + np.repeat(starts, lengths)].astype(np.uint64)
-    value += (within.astype(np.uint64) + np.uint64(1)) * _STEP
-    return mix(np.add.reduceat(mix(value), first) + lengths.astype(np.uint64))
+    return hashes_of(Letters.of(codes, starts, lengths), lengths)
 
 
-def same_words(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> bool:
-    """Whether each word equals, code point for code point, word ``first`` of it."""
-    if not (lengths == lengths[first]).all():
+def hashes_of(letters: Letters, lengths: np.ndarray) -> np.ndarray:
+    if not len(lengths):
+        return np.zeros(0, dtype=np.uint64)
+    codes, within, first = letters
+    at = codes.astype(np.int64) * _FEW_PLACES + within
+    far = (within >= _FEW_PLACES) | (codes >= _FEW_CODES)
+    some = bool(far.any())
+    if some:
+        at[far] = 0
+    value = _SCRAMBLED[at]
+    if some:
+        value[far] = _scrambled(codes[far], within[far])
+    return mix(np.add.reduceat(value, first) + lengths.astype(np.uint64))
+
+
+def same_words(letters: Letters, lengths: np.ndarray, like: np.ndarray) -> bool:
+    """Whether each word equals, code point for code point, word ``like`` of it."""
+    if not (lengths == lengths[like]).all():
         return False
-    ahead = np.cumsum(lengths) - lengths
-    within = np.arange(int(lengths.sum())) - np.repeat(ahead, lengths)
-    return bool((codes[within + np.repeat(starts, lengths)] == codes[within + np.repeat(starts[first], lengths)]).all())
+    other = letters.within + np.repeat(letters.first[like], lengths)
+    return bool((letters.codes == letters.codes[other]).all())
 
 
 def stretches(texts: list[str], blank: str) -> Iterator[tuple[list[str], list[int]]]:

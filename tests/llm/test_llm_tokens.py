@@ -82,7 +82,7 @@ def test_equal_hashes_do_not_make_equal_words(monkeypatch):
 
     monkeypatch.setattr(wordscan, "hashes", lambda codes, starts, lengths: lengths.astype(np.uint64))
     own = word_bpe.WordBpe(PATH)
-    texts = ["some words of one length and four more", " ".join(LONG_WORDS), "same same same", ""]
+    texts = ["generates sentences different something", " ".join(LONG_WORDS), "same same same", ""]
     assert [ids_of(x) for x in own.encode(texts)] == [library_ids(t) for t in texts]
 
 
@@ -94,8 +94,12 @@ def test_hashes_tell_structured_words_apart():
     lengths = np.array([len(w) for w in words])
     starts = np.cumsum(lengths) - lengths
     assert len(set(wordscan.hashes(codes, starts, lengths).tolist())) == len(words)
-    assert wordscan.same_words(codes, starts, lengths, np.arange(len(words)))
-    assert not wordscan.same_words(codes, starts, lengths, np.arange(len(words)) // 2 * 2)
+    letters = wordscan.Letters.of(codes, starts, lengths)
+    assert wordscan.same_words(letters, lengths, np.arange(len(words)))
+    assert not wordscan.same_words(letters, lengths, np.arange(len(words)) // 2 * 2)
+    # looked up or worked out, a scrambled number is the same
+    wide = wordscan.hashes(codes[::-1], starts, lengths)
+    assert len(set(wide.tolist()) & set(wordscan.hashes(codes, starts, lengths).tolist())) <= len(words)
 
 
 def test_one_tree_and_many_trees_agree():
@@ -242,6 +246,38 @@ def test_shards_give_back_what_was_written(spark, odd_docs, monkeypatch):
     assert token_shards.lookup(spark, folder, buckets, foreign).count() == 0
 
 
+def test_a_few_keys_open_a_few_files(spark, tmp_path, monkeypatch):
+    """All other shards and index files are spoilt, and nobody notices."""
+    monkeypatch.setattr(token_shards, "SHARD_IDS", 400)
+    monkeypatch.setattr(token_shards, "BUCKET_KEYS", 20)
+    rows = [(n, f"text number {n} " * 20) for n in range(300)] + [(None, "no key")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = str(tmp_path / "shards")
+    token_shards.write_shards(docs, PATH, folder)
+    buckets = token_shards.write_index(spark, folder)
+    keys = spark.createDataFrame([(7,), (180,), (299,), (5000,)], "doc_id long")
+    want = {r["doc_id"]: r for r in token_shards.read_keys(spark, folder, buckets, keys).collect()}
+    assert sorted(want) == [7, 180, 299]
+    for key, row in want.items():
+        ids = library_ids(rows[key][1]) + [2]
+        assert (row["n_tokens"], row["ids_crc32"]) == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+    places = token_shards.lookup(spark, folder, buckets, keys).collect()
+    kept = {f"part={r['part']}/shard={r['shard']}/" for r in places}
+    asked = {r[0] for r in keys.select(token_shards._bucket("doc_id", buckets)).collect()}
+    kept |= {f"bucket={b}/" for b in asked}
+    spoilt = 0
+    for path in [*tmp_path.glob("shards/shards/*/*/*.txt"), *tmp_path.glob("shards/index/*/*.txt")]:
+        if not any(k in str(path) for k in kept):
+            path.write_bytes(b"spoilt")
+            path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+            spoilt += 1
+    assert spoilt >= 10
+    again = {r["doc_id"]: r for r in token_shards.read_keys(spark, folder, buckets, keys).collect()}
+    assert again == want
+    with pytest.raises(Exception):
+        token_shards.read_keys(spark, folder, buckets, docs).collect()
+
+
 def test_no_documents_make_no_shards(spark, odd_docs):
     folder = fresh_folder(spark, "shards")
     token_shards.write_shards(odd_docs.where("false"), PATH, folder)
