@@ -62,7 +62,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage keeps is written and reread."""
+    """All stages over ``documents``; what a stage keeps is written and reread.
+
+    Texts are long, so tasks pass few of them to Python at a time.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for at, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

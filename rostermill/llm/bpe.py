@@ -6,7 +6,9 @@ spreads the rows. There is no shuffle: a row's ids depend on its text alone.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +25,17 @@ def slices(batch: pa.RecordBatch, rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     """Parts of a batch, so that few texts are Python objects at a time."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Return free memory to the system. Worker processes outlive their task, and
+    several stages' workers share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
 
 
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id") -> DataFrame:
