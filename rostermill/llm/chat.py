@@ -1,9 +1,11 @@
 """Chat records of several layouts as one formatted text with a loss mask.
 
-The nested field paths of a record select a declarative mapping to turns. A
-table's own schema is looked at once, and further columns do not matter;
-records kept as JSON are told by a fingerprint of their paths row by row, so one
-column may mix layouts. Everything is DataFrame expressions.
+The nested field paths of a record are hashed, and the fingerprint selects a
+declarative mapping to turns. Of a record's paths those that a mapping knows
+are fingerprinted, so further fields do not matter, whatever their names; of
+several mappings that fit, the one of most paths counts. A table's own schema
+is looked at once; records kept as JSON are told row by row, so one column may
+mix layouts. Everything is DataFrame expressions.
 
 Turns are written in a template whose markers enclose each text::
 
@@ -18,16 +20,17 @@ list of spans of the assistant's texts in the formatted text, in code points.
 Edge cases: null text or role counts as empty; turns are ordered by turn (null
 first), then role, then text, so ties have one result; repeated rows are
 turns of their own; rows with a null conversation id form one conversation;
-unknown layouts raise for a table and are left out, with their fingerprint,
+unknown layouts raise for a table and are listed, with their fingerprint,
 by :func:`unmapped_json` for JSON. A conversation is one row of output, so the
 turns of one conversation meet in one task; that is the format's limit.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,6 +64,17 @@ class Mapping:
     paths: tuple[str, ...]
     turns: str
     ddl: str
+    #: the turn's number, where a record is one turn; else turns are counted
+    number: str | None = None
+
+    @property
+    def print(self) -> str:
+        return fingerprint(self.paths)
+
+
+def fingerprint(paths: Iterable[str]) -> str:
+    """Digest of a set of field paths."""
+    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()
 
 
 def _turn(role: str, text: str) -> str:
@@ -68,6 +82,13 @@ def _turn(role: str, text: str) -> str:
 
 
 MAPPINGS = [
+    Mapping(
+        "turn",
+        ("role", "text", "turn"),
+        f"array({_turn('role', 'text')})",
+        "role string, text string, turn long",
+        "turn",
+    ),
     Mapping(
         "messages",
         ("messages[].role", "messages[].content"),
@@ -106,25 +127,25 @@ MAPPINGS = [
         "instruction string, input string, output string",
     ),
 ]
-#: one row per turn
-TURN_ROWS = ("role", "text", "turn")
-_KNOWN = {*TURN_ROWS, *[p for m in MAPPINGS for p in m.paths]}
+_BY_PRINT = {m.print: m for m in MAPPINGS}
+#: those of most paths first, the earlier one of several
+_CHOICE = sorted(MAPPINGS, key=lambda m: -len(m.paths))
+_KNOWN = sorted({p for m in MAPPINGS for p in m.paths})
 
 
 def canonical_turns(df: DataFrame, key: str = "conv_id") -> DataFrame:
     """(key, turn, role, text) from a table in any known layout.
 
-    A layout fits if all its fields are there; further columns do not matter.
-    Rows of turns come first, then the fitting layout of most fields, the
-    earlier one of several. An unknown layout raises.
+    A layout fits if the fingerprint of the paths that it knows is its own;
+    further columns do not matter. An unknown layout raises.
     """
     paths = {p for p in field_paths(df.schema) if p != key}
-    if paths.issuperset(TURN_ROWS):
-        return df.select(key, "turn", "role", "text")
-    fitting = [m for m in MAPPINGS if paths.issuperset(m.paths)]
-    if not fitting:
-        raise ValueError(f"no mapping for the fields {sorted(paths & _KNOWN)}")
-    found = max(fitting, key=lambda m: len(m.paths))
+    prints = (fingerprint(paths.intersection(m.paths)) for m in _CHOICE)
+    found = next((_BY_PRINT[p] for p in prints if p in _BY_PRINT), None)
+    if found is None:
+        raise ValueError(f"no mapping for the fields {sorted(paths.intersection(_KNOWN))}")
+    if found.number is not None:
+        return df.select(key, found.number, "role", "text")
     return _turn_rows(df.select(key, F.expr(found.turns).alias("turns")), key)
 
 
@@ -132,36 +153,61 @@ def _turn_rows(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, F.posexplode("turns").alias("turn", "t")).select(key, "turn", "t.role", "t.text")
 
 
-def json_print(record: Column) -> Column:
-    """Fingerprint of a JSON record's field paths, an ``id`` left out.
+def _prefixed(texts: Column, prefix: str) -> Column:
+    return F.transform(texts, lambda t: F.concat(F.lit(prefix), t))
+
+
+def json_paths(record: Column) -> Column:
+    """Field paths of a JSON record, as far as mappings know them.
 
-    The engine's own schema of the value lists the fields by name; types and
-    the id are cut away, so equal layouts of other value types agree.
+    An empty list stands for a list of all its fields, so that a record
+    without turns has a layout. Null for what is not a JSON object.
     """
-    shape = F.schema_of_variant(F.try_parse_json(record))
-    shape = F.regexp_replace(shape, r"\b(conv_)?id: [A-Z]+(\([0-9,]+\))?(, )?", "")
-    return F.xxhash64(F.regexp_replace(shape, r": [A-Z]+(\([0-9,]+\))?(?=[,>])", ""))
+    names = F.json_object_keys(record)
+    paths = names
+    for owner in sorted({p.split("[]")[0] for p in _KNOWN if "[]" in p}):
+        inner = [p for p in _KNOWN if p.startswith(f"{owner}[].")]
+        items = F.from_json(F.get_json_object(record, f"$.{owner}"), T.ArrayType(T.StringType()))
+        # a list element that is no object has no keys
+        keys = F.flatten(F.transform(items, lambda x: F.coalesce(F.json_object_keys(x), F.array().cast("array<string>"))))
+        found = _prefixed(keys, f"{owner}[].")
+        empty = F.array(*[F.lit(p) for p in inner])
+        none = F.array().cast("array<string>")
+        found = F.when(F.size(items) == 0, empty).otherwise(F.coalesce(found, none))
+        paths = F.concat(paths, F.when(F.array_contains(names, owner), found).otherwise(none))
+    return F.array_distinct(paths)
 
 
-def _shape(mapping: Mapping) -> str:
-    """What :func:`json_print` hashes for a mapping."""
-    plain = [p for p in mapping.paths if "[]." not in p]
-    if plain:
-        return f"OBJECT<{', '.join(sorted(plain))}>"
-    inner = sorted(p.split("[].")[1] for p in mapping.paths)
-    return f"OBJECT<{mapping.paths[0].split('[]')[0]}: ARRAY<OBJECT<{', '.join(inner)}>>>"
+def _print_of(paths: Column, known: Iterable[str]) -> Column:
+    """:func:`fingerprint` of those of a column's paths that are ``known``."""
+    mine = F.array_intersect(paths, F.array(*[F.lit(p) for p in sorted(known)]))
+    return F.sha2(F.array_join(F.sort_array(mine), "\n"), 256)
+
+
+def _chosen(paths: Column) -> Column:
+    """Number of the mapping that a record's paths select, or null."""
+    return F.coalesce(*[F.when(_print_of(paths, m.paths) == m.print, F.lit(MAPPINGS.index(m))) for m in _CHOICE])
 
 
 def turns_of_json(df: DataFrame, record: str, key: str = "conv_id") -> DataFrame:
-    """(key, turn, role, text) from JSON records of mixed layouts."""
-    marked = df.select(key, F.col(record).alias("_record"), json_print(F.col(record)).alias("_print"))
+    """(key, turn, role, text) from JSON records of mixed layouts.
+
+    Further fields do not matter, as in tables; a record whose list of turns
+    is empty gives no row.
+    """
+    marked = df.select(key, F.col(record).alias("_record"), json_paths(F.col(record)).alias("_paths"))
+    marked = marked.withColumn("_chosen", _chosen(F.col("_paths")))
     shape = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]))
-    turns = F.lit(None).cast(shape)
-    for number, mapping in enumerate(MAPPINGS):
-        fits = F.col("_print") == F.xxhash64(F.lit(_shape(mapping)))
-        marked = marked.withColumn(f"_m{number}", F.when(fits, F.from_json("_record", mapping.ddl)))
-        turns = F.when(F.col(f"_m{number}").isNotNull(), F.expr(_inside(mapping, f"_m{number}"))).otherwise(turns)
-    return _turn_rows(marked.select(key, turns.alias("turns")), key)
+    turns, number = F.lit(None).cast(shape), F.lit(None).cast("long")
+    for at, mapping in enumerate(MAPPINGS):
+        fits = F.col("_chosen") == at
+        marked = marked.withColumn(f"_m{at}", F.when(fits, F.from_json("_record", mapping.ddl)))
+        turns = F.when(fits, F.expr(_inside(mapping, f"_m{at}"))).otherwise(turns)
+        if mapping.number:
+            number = F.when(fits, F.col(f"_m{at}.{mapping.number}")).otherwise(number)
+    rows = marked.select(key, number.alias("_number"), F.posexplode(turns).alias("turn", "t"))
+    at = F.coalesce("_number", F.col("turn").cast("long")).alias("turn")
+    return rows.select(key, at, "t.role", "t.text")
 
 
 def _inside(mapping: Mapping, owner: str) -> str:
@@ -173,10 +219,13 @@ def _inside(mapping: Mapping, owner: str) -> str:
 
 
 def unmapped_json(df: DataFrame, record: str, key: str = "conv_id") -> DataFrame:
-    """(key, print) of JSON records whose layout no mapping fits."""
-    known = [F.xxhash64(F.lit(_shape(m))) for m in MAPPINGS]
-    found = df.select(key, json_print(F.col(record)).alias("print"))
-    return found.where(~reduce(lambda a, b: a | b, [F.col("print").eqNullSafe(k) for k in known]))
+    """(key, print) of JSON records whose layout no mapping fits.
+
+    ``print`` is the fingerprint of their known paths, null for what is not a
+    JSON object.
+    """
+    found = df.select(key, json_paths(F.col(record)).alias("paths"))
+    return found.where(_chosen(F.col("paths")).isNull()).select(key, _print_of(F.col("paths"), _KNOWN).alias("print"))
 
 
 # -- template -----------------------------------------------------------------
