@@ -2,18 +2,23 @@
 
 A folder holds
 
-``shards/``  one file per shard: a head (magic, version, bytes per id,
-             partition, number in the partition, ids of the partition before
-             it, documents, ids), then key, null mark and id count of every
-             document, then the ids of all documents, little-endian, 16 bits.
-``index/``   one file per bucket of key hashes: a head (magic, version,
+``shards/``  one file per shard, in a folder named after its partition and
+             number: a head (magic, version, bytes per id, partition, number in
+             the partition, ids of the partition before it, documents, ids,
+             documents without a key), then key, null mark and id count of
+             every document, then the ids of all, little-endian, 16 bits.
+``index/``   one file per bucket of key hashes, in a folder named after the
+             bucket: a head (magic, version,
              bucket, entries), a minimal perfect hash, and per entry a
              fingerprint of the key, partition, shard, place of the document's
              first id in the shard, id count and number of copies of the key.
 ``bases``    a table with the ids before each partition and its documents.
+``heads``    a table of the shards that hold documents without a key.
 
 A key is found in constant time: its hash names the index file and, through
-the perfect hash, the entry; the stored fingerprint tells a foreign key apart.
+the perfect hash, the entry; the stored fingerprint tells a foreign key apart;
+the entry names the shard file. Only files that are named so are opened: a
+join with the wanted names prunes the folders when a scan starts.
 Files are written by Spark's own writer, one row a file, so a lost task leaves
 nothing behind, and any store that Spark can write will do.
 """
@@ -36,6 +41,7 @@ from rostermill.llm.bpe import slices
 from rostermill.llm.packing import in_key_order
 from rostermill.llm.perfect_hash import PerfectHash
 from rostermill.llm.wordscan import mix
+from rostermill.workdir import staged
 
 #: ids of a shard, unless one document has more
 SHARD_IDS = 4_000_000
@@ -43,24 +49,41 @@ SHARD_IDS = 4_000_000
 BUCKET_KEYS = 20_000
 
 _MAGIC = b"IDSHARDS"
-_HEAD = "<8sIIQQQQQ"
+_HEAD = "<8sIIQQQQQQ"
 _HEAD_SIZE = struct.calcsize(_HEAD)
 _INDEX_MAGIC = b"IDINDEX_"
 _INDEX_HEAD = "<8sIQQ"
 _INDEX_HEAD_SIZE = struct.calcsize(_INDEX_HEAD)
 _BASES = "part long, base long, docs long"
+_HEADS = "part long, shard long"
 _ENTRY = np.dtype(
     [("print", "<u8"), ("part", "<u4"), ("shard", "<u4"), ("first", "<u8"), ("ids", "<u8"), ("copies", "<u4")]
 )
 
 
-def _write_files(rows: DataFrame, path: str) -> None:
-    """One file per row, holding its ``blob`` and a line end."""
-    rows.selectExpr("cast(blob AS string) AS value").write.option("maxRecordsPerFile", 1).text(path)
+def _write_files(rows: DataFrame, path: str, *names: str) -> None:
+    """One file per row, holding its ``blob`` and a line end, in folders named
+    after the columns ``names``."""
+    values = rows.selectExpr("cast(blob AS string) AS value", *names)
+    values.write.partitionBy(*names).option("maxRecordsPerFile", 1).text(path)
 
 
-def _read_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("content")
+def _read_files(spark: SparkSession, path: str, names: list[str], wanted: DataFrame | None = None) -> DataFrame:
+    """(names, content) of files, with ``wanted`` (names) only of those.
+
+    ``names`` are the columns in the folders' names. Numbers are never
+    negative; the comparison lets the optimizer prune folders by the join.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    for name in names:
+        if name not in files.columns:  # no file at all
+            files = files.withColumn(name, F.lit(None).cast("long"))
+    files = files.select(*names, "content")
+    if wanted is None:
+        return files
+    near = wanted.select(*[F.col(n).cast(files.schema[n].dataType) for n in names])
+    near = near.where(" AND ".join(f"{n} >= 0" for n in names)).distinct()
+    return files.join(near, names, "left_semi")
 
 
 # -- shards -------------------------------------------------------------------
@@ -69,7 +92,7 @@ def _read_files(spark: SparkSession, path: str) -> DataFrame:
 def _shard(keys: pa.Array, ids: list[bytes], part: int, number: int, before: int) -> bytes:
     counts = np.array([len(x) // 2 for x in ids], dtype="<u8")
     null = np.array(keys.is_null().to_pylist(), dtype=np.uint8)
-    head = struct.pack(_HEAD, _MAGIC, 1, 2, part, number, before, len(ids), int(counts.sum()))
+    head = struct.pack(_HEAD, _MAGIC, 2, 2, part, number, before, len(ids), int(counts.sum()), int(null.sum()))
     return b"".join([head, keys.fill_null(0).to_numpy().astype("<i8").tobytes(), null.tobytes(), counts.tobytes(), *ids])
 
 
@@ -77,8 +100,8 @@ class Shard:
     """A shard file taken apart."""
 
     def __init__(self, data: bytes):
-        magic, version, width, self.part, self.number, self.before, docs, ids = struct.unpack_from(_HEAD, data)
-        if magic != _MAGIC or version != 1 or width != 2:
+        magic, version, width, self.part, self.number, self.before, docs, ids, _ = struct.unpack_from(_HEAD, data)
+        if magic != _MAGIC or version != 2 or width != 2:
             raise ValueError("not a shard of this version")
         at = _HEAD_SIZE
         self.keys = np.frombuffer(data, "<i8", docs, at)
@@ -89,7 +112,7 @@ class Shard:
 
 
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, key: str = "doc_id", text: str = "text") -> None:
-    """Encode all documents and write ``shards`` and ``bases``.
+    """Encode all documents and write ``shards``, ``bases`` and ``heads``.
 
     Null and empty texts are the end id alone; a null key sorts first.
     """
@@ -108,14 +131,15 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2,
                 held += new
                 size += sum(map(len, new)) // 2
                 if size >= SHARD_IDS:
-                    yield _row(_shard(pa.concat_arrays(keys), held, part, number, before))
+                    yield _row(_shard(pa.concat_arrays(keys), held, part, number, before), part, number)
                     number, before = number + 1, before + size
                     keys, held, size = [], [], 0
         if held:
-            yield _row(_shard(pa.concat_arrays(keys), held, part, number, before))
+            yield _row(_shard(pa.concat_arrays(keys), held, part, number, before), part, number)
 
     spark = docs.sparkSession
-    _write_files(in_key_order(docs, key, text).mapInArrow(run, "blob binary"), f"{folder}/shards")
+    blobs = in_key_order(docs, key, text).mapInArrow(run, "blob binary, part long, shard long")
+    _write_files(blobs, f"{folder}/shards", "part", "shard")
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,22 +149,28 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2,
                     pa.array([h[3] for h in heads], pa.int64()),
                     pa.array([h[6] for h in heads], pa.int64()),
                     pa.array([h[5] + h[7] for h in heads], pa.int64()),
+                    pa.array([h[4] for h in heads], pa.int64()),
+                    pa.array([h[8] for h in heads], pa.int64()),
                 ],
-                names=["part", "docs", "ids"],
+                names=["part", "docs", "ids", "shard", "unkeyed"],
             )
 
     # one row per partition of the write, not per shard or document
     head = F.substring("content", 1, _HEAD_SIZE).alias("head")
-    ends = _read_files(spark, f"{folder}/shards").select(head).mapInArrow(sizes, "part long, docs long, ids long")
+    stored = _read_files(spark, f"{folder}/shards", ["part", "shard"]).select(head)
+    ends = stored.mapInArrow(sizes, "part long, docs long, ids long, shard long, unkeyed long")
+    ends = staged(ends, "heads")
     total, bases = 0, []
     for row in ends.groupBy("part").agg(F.max("ids").alias("ids"), F.sum("docs").alias("docs")).orderBy("part").collect():
         bases.append((row["part"], total, row["docs"]))
         total += row["ids"]
     spark.createDataFrame(bases, _BASES).coalesce(1).write.parquet(f"{folder}/bases")
+    ends.where("unkeyed > 0").select("part", "shard").write.parquet(f"{folder}/heads")
 
 
-def _row(blob: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["blob"])
+def _row(blob: bytes, part: int, number: int) -> pa.RecordBatch:
+    arrays = [pa.array([blob], pa.binary()), pa.array([part], pa.int64()), pa.array([number], pa.int64())]
+    return pa.RecordBatch.from_arrays(arrays, names=["blob", "part", "shard"])
 
 
 # -- index --------------------------------------------------------------------
@@ -191,13 +221,15 @@ def write_index(spark: SparkSession, folder: str) -> int:
             entries[name][at] = group[name].to_numpy()
         entries["copies"][at] = group.groupby("key")["key"].transform("size").to_numpy()
         head = struct.pack(_INDEX_HEAD, _INDEX_MAGIC, 1, int(group["bucket"].iloc[0]), len(keys))
-        return pd.DataFrame({"blob": [head + perfect.to_bytes() + entries.tobytes()]})
+        blob = head + perfect.to_bytes() + entries.tobytes()
+        return pd.DataFrame({"blob": [blob], "bucket": [int(group["bucket"].iloc[0])]})
 
-    rows = _read_files(spark, f"{folder}/shards").mapInArrow(tables, "key long, part long, shard long, first long, ids long")
+    shards = _read_files(spark, f"{folder}/shards", ["part", "shard"]).select("content")
+    rows = shards.mapInArrow(tables, "key long, part long, shard long, first long, ids long")
     docs = spark.read.schema(_BASES).parquet(f"{folder}/bases").agg(F.sum("docs")).first()[0] or 0
     buckets = max(1, -(-docs // BUCKET_KEYS))
-    built = rows.withColumn("bucket", _bucket("key", buckets)).groupBy("bucket").applyInPandas(build, "blob binary")
-    _write_files(built, f"{folder}/index")
+    built = rows.withColumn("bucket", _bucket("key", buckets)).groupBy("bucket").applyInPandas(build, "blob binary, bucket long")
+    _write_files(built, f"{folder}/index", "bucket")
     return buckets
 
 
@@ -208,11 +240,6 @@ def lookup(spark: SparkSession, folder: str, buckets: int, keys: DataFrame, key:
     for each.
     """
 
-    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [struct.unpack_from(_INDEX_HEAD, x)[2] for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), batch.column(0)], names=["bucket", "blob"])
-
     def find(wanted: pd.DataFrame, files: pd.DataFrame) -> pd.DataFrame:
         out = {name: np.zeros(0, np.int64) for name in ("key", "part", "shard", "first", "ids")}
         if len(files) and len(wanted):
@@ -239,9 +266,9 @@ def lookup(spark: SparkSession, folder: str, buckets: int, keys: DataFrame, key:
             out = {"key": known} | {n: entries[n][at].astype(np.int64) for n in ("part", "shard", "first", "ids")}
         return pd.DataFrame(out)
 
-    files = _read_files(spark, f"{folder}/index").mapInArrow(heads, "bucket long, blob binary")
     wanted = keys.select(F.col(key).cast("long").alias("key")).where("key IS NOT NULL").distinct()
     wanted = wanted.withColumn("bucket", _bucket("key", buckets))
+    files = _read_files(spark, f"{folder}/index", ["bucket"], wanted).withColumnRenamed("content", "blob")
     return (
         wanted.groupBy("bucket")
         .cogroup(files.groupBy("bucket"))
@@ -252,8 +279,9 @@ def lookup(spark: SparkSession, folder: str, buckets: int, keys: DataFrame, key:
 # -- reading ------------------------------------------------------------------
 
 
-def scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Every stored document with its ids, in 32-bit form.
+def scan(spark: SparkSession, folder: str, wanted: DataFrame | None = None) -> DataFrame:
+    """Every stored document with its ids, in 32-bit form; with ``wanted``
+    (part, shard) those of some shards.
 
     Returns part, shard, first, unkeyed, start (ids of all documents before
     it), n_tokens, ids.
@@ -283,7 +311,7 @@ def scan(spark: SparkSession, folder: str) -> DataFrame:
                         names=["part", "shard", "first", "unkeyed", "within", "n_tokens", "ids"],
                     )
 
-    rows = _read_files(spark, f"{folder}/shards").mapInArrow(
+    rows = _read_files(spark, f"{folder}/shards", ["part", "shard"], wanted).select("content").mapInArrow(
         run, "part long, shard long, first long, unkeyed boolean, within long, n_tokens long, ids binary"
     )
     bases = spark.read.schema(_BASES).parquet(f"{folder}/bases").select("part", "base")
@@ -296,15 +324,21 @@ def scan(spark: SparkSession, folder: str) -> DataFrame:
 def read_keys(spark: SparkSession, folder: str, buckets: int, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """Stored documents of some keys: doc_id, start, n_tokens, ids_crc32.
 
-    Places come from the index; documents stored without a key follow with a
+    Places come from the index, and only the shards that they name are read;
+    if a null key is asked for, documents stored without a key follow with a
     null doc_id. ``ids_crc32`` is taken over all ids in 32-bit form.
     """
     places = lookup(spark, folder, buckets, keys, key).select(
         F.col("key").alias("doc_id"), "part", "shard", "first", F.col("ids").alias("indexed")
     )
-    stored = scan(spark, folder).select("part", "shard", "first", "unkeyed", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    places = staged(places, "places")
+    shards = places.select("part", "shard")
+    unkeyed = keys.where(F.col(key).isNull()).limit(1).count() > 0
+    if unkeyed:
+        shards = shards.union(spark.read.schema(_HEADS).parquet(f"{folder}/heads"))
+    stored = scan(spark, folder, shards).select("part", "shard", "first", "unkeyed", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     return (
         stored.join(places, ["part", "shard", "first"], "left")
-        .where(F.col("unkeyed") | (F.col("indexed") == F.col("n_tokens")))
+        .where((F.col("unkeyed") & F.lit(unkeyed)) | (F.col("indexed") == F.col("n_tokens")))
         .select("doc_id", "start", "n_tokens", "ids_crc32")
     )
