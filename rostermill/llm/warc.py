@@ -43,7 +43,7 @@ _DATE = "2020-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def record_id(page: int, digest: str) -> str:
+def record_id(page: int | None, digest: str) -> str:
     """The record id of a page's payload, the same in every run."""
     h = hashlib.sha256(f"page {page} {digest}".encode()).hexdigest()
     return f"<urn:uuid:{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:32]}>"
@@ -84,10 +84,11 @@ def _uri(url: str | None) -> str:
     return "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url or "")
 
 
-def page_records(page: int, url: str | None, payload: bytes, digest: str, refers_to: int | None, segment: int = SEGMENT) -> list[bytes]:
+def page_records(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, segment: int = SEGMENT) -> list[bytes]:
     """The records of one page."""
     name = record_id(page, digest)
-    common = [("WARC-Date", _DATE), ("WARC-Target-URI", _uri(url)), ("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Page-ID", page)]
+    common = [("WARC-Date", _DATE), ("WARC-Target-URI", _uri(url)), ("WARC-Payload-Digest", f"sha256:{digest}")]
+    common += [] if page is None else [("WARC-Page-ID", page)]
     http = "Content-Type", "application/http; msgtype=response"
     if refers_to is not None:
         block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -153,8 +154,9 @@ def first_pages(pages: DataFrame, least: int = LEAST) -> DataFrame:
 def write(pages: DataFrame, folder: str, least: int = LEAST, segment: int = SEGMENT) -> None:
     """Write all pages (page_id, url, html) to gzip WARC files in ``folder``.
 
-    Null html is an empty payload, a null URL an empty one. Rows without a
-    page_id have no record; of rows that repeat an id, each has one.
+    Null html is an empty payload, a null URL an empty one. Every row has a
+    record, also of rows that repeat an id. One without a page_id is a response
+    that names no page, and none refers to it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +168,7 @@ def write(pages: DataFrame, folder: str, least: int = LEAST, segment: int = SEGM
                     out += page_records(page, url, payload, hashlib.sha256(payload).hexdigest(), refers_to, segment)
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    narrow = pages.where("page_id IS NOT NULL").select("page_id", "url", "html")
+    narrow = pages.select("page_id", "url", "html")
     digest = F.unhex(F.sha2(F.coalesce("html", F.lit("")), 256))
     marked = (
         narrow.withColumn("digest", digest)
@@ -235,15 +237,19 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     A response's size and digest are those of the payload put together again;
     a lost segment, a wrong length or a digest that differs from the header
-    raises. A revisit's are those its record gives.
+    raises. A revisit's are those its record gives, and must be those of a
+    response of the page that it refers to; else reading raises.
     """
     parts = segments(spark, folder)
     alone = parts.where("total = octet_length(block) AND number = 1")
     split = parts.where("NOT (total <=> octet_length(block) AND number = 1)")
-    # a page's segments are its own group; a row written twice comes back twice
+    # Equal segments are one before they meet, however often a row was written;
+    # a page's segments are its own group, and it comes back as often as written.
+    kinds = ["origin", "number", "total", "type", "page_id", "refers_to", "digest", "block"]
+    split = split.groupBy(*kinds).agg(F.count("*").alias("copies"))
     joined = split.groupBy("origin").agg(
-        F.array_distinct(F.sort_array(F.collect_list(F.struct("number", "block")))).alias("parts"),
-        F.count_if(F.col("number") == 1).alias("copies"),
+        F.sort_array(F.collect_list(F.struct("number", "block"))).alias("parts"),
+        F.sum(F.when(F.col("number") == 1, F.col("copies")).otherwise(0)).alias("copies"),
         F.max("total").alias("total"),
         F.max(F.when(F.col("number") == 1, F.struct("type", "page_id", "refers_to", "digest"))).alias("first"),
     )
@@ -278,6 +284,16 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
             )
 
-    return every.mapInArrow(
+    pages = every.mapInArrow(
         check, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     )
+    pages = staged(pages, "pages")
+    # one row for each page referred to, however many refer to it
+    asked = pages.where("record_type = 'revisit'").select(
+        F.col("refers_to").alias("page_id"), "payload_digest", "payload_bytes"
+    ).distinct()
+    there = pages.where("record_type = 'response'").select("page_id", "payload_digest", "payload_bytes")
+    wrong = asked.join(there, ["page_id", "payload_digest", "payload_bytes"], "left_anti").first()
+    if wrong is not None:
+        raise ValueError(f"a revisit differs from the response of page {wrong['page_id']}, or there is none")
+    return pages
