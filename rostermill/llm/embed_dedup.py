@@ -121,6 +121,24 @@ def _members(classes: DataFrame, centres: dict[int, np.ndarray], margin: float)
     )
 
 
+def _drawn(classes: DataFrame, count: int, sample: int) -> DataFrame:
+    """(size, vector): the ``sample`` classes of lowest hash, vectors as bytes.
+
+    A threshold cuts before the rows meet, so that the last task gets about
+    twice the sample, however many partitions there are.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = [np.asarray(v.values, np.float64).tobytes() for v in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.binary())], names=["size", "vector"])
+
+    order = F.xxhash64("node")
+    share = min(1.0, 2 * sample / max(1, count))
+    near = classes.where(order <= int(share * 2**64) - 2**63 - 1).orderBy(order, "node").limit(sample)
+    return near.select("size", "embedding").mapInArrow(run, "size int, vector binary")
+
+
 def _linked(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
     """Which rows of a and b have a cosine of at least ``least``."""
     na, nb = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
@@ -201,11 +219,11 @@ def near_duplicates(
         "classes",
     )
     counts = {r["size"]: r["count"] for r in classes.groupBy("size").count().collect()}
-    drawn: dict[int, list] = {}
-    for row in classes.orderBy(F.xxhash64("node"), "node").limit(cells.sample).select("size", "embedding").collect():
-        drawn.setdefault(row["size"], []).append(row["embedding"])
+    drawn: dict[int, list[bytes]] = {}
+    for size, vector in _drawn(classes, sum(counts.values()), cells.sample).collect():
+        drawn.setdefault(size, []).append(vector)
     centres = {
-        size: fit(np.array(sample, dtype=np.float64), min(cells.most, -(-counts[size] // cells.size)), cells.rounds)
+        size: fit(np.frombuffer(b"".join(sample)).reshape(len(sample), size), min(cells.most, -(-counts[size] // cells.size)), cells.rounds)
         for size, sample in drawn.items()
     }
     members = staged(_members(classes, centres, margin), "members")

@@ -71,6 +71,14 @@ def train(docs: DataFrame, fit: Fit = Fit(), text: str = "text", lang: str = "la
     windows = labelled.select(
         "lang", "order", F.substr("text", (F.pmod("order", room) + 1).cast("int"), F.lit(fit.window)).alias("text")
     )
+    # the rows of lowest hash, cut by a threshold before they meet: a language's
+    # window gets about twice the wanted rows, however many there are
+    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct("order").alias("texts")).collect()
+    room = F.lit(0).cast("long")
+    for row in sizes:
+        share = min(1.0, 2 * fit.rows / max(1, row["texts"]))
+        room = F.when(F.col("lang") == row["lang"], F.lit(int(share * 2**64) - 2**63 - 1)).otherwise(room)
+    windows = windows.where(F.col("order") <= room)
     rank = F.dense_rank().over(Window.partitionBy("lang").orderBy("order"))
     sample = (
         windows.withColumn("rank", rank).where(F.col("rank") <= fit.rows).groupBy("lang", "rank").agg(F.min("text").alias("text"))

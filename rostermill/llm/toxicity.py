@@ -108,20 +108,32 @@ def _chances(model: Model, counts: np.ndarray) -> np.ndarray:
 
 def _sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> DataFrame:
     """At most ``toxic_rows + clean_rows`` labelled texts; labels are broadcast."""
-    labels = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    known = _labelled(labels)
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     order = F.xxhash64("doc_id")
-    drawn = [
-        labels.where(F.col("toxic") == kind).orderBy(order, "doc_id").limit(rows)
-        for kind, rows in ((1, fit.toxic_rows), (0, fit.clean_rows))
-    ]
-    few = drawn[0].union(drawn[1]).distinct()
-    return docs.select("doc_id", "text").where("doc_id IS NOT NULL").join(F.broadcast(few), "doc_id")
+
+    def drawn(kind: int, rows: int) -> DataFrame:
+        # cut by a threshold first, so that the last task gets about twice the wanted rows
+        share = min(1.0, 2 * rows / max(1, sizes.get(kind, 0)))
+        near = known.where((F.col("toxic") == kind) & (order <= int(share * 2**64) - 2**63 - 1))
+        return near.orderBy(order, "doc_id").limit(rows)
+
+    few = drawn(1, fit.toxic_rows).union(drawn(0, fit.clean_rows))
+    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL").join(F.broadcast(few), "doc_id")
+    # rows that repeat an id are one: that of the smallest hash of its text
+    least = F.min(F.struct(F.xxhash64("text"), "text")).alias("least")
+    return texts.groupBy("doc_id", "toxic").agg(least).select("doc_id", "toxic", F.col("least.text").alias("text"))
+
+
+def _labelled(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic), one row per id; an id that is labelled both ways is toxic."""
+    good = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)")
+    return good.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
 
 
 def _weights(labels: DataFrame, fit: Fit) -> tuple[float, float]:
     """How many labels a sampled clean row and a sampled toxic row stand for."""
-    found = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    sizes = {r[0]: r[1] for r in found.groupBy("toxic").count().collect()}
+    sizes = {r[0]: r[1] for r in _labelled(labels).groupBy("toxic").count().collect()}
     return max(1.0, sizes.get(0, 0) / fit.clean_rows), max(1.0, sizes.get(1, 0) / fit.toxic_rows)
 
 

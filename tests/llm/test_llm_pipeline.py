@@ -80,8 +80,18 @@ def test_last_stage_packs_what_is_left(stages):
     assert all(n == len(library_ids(texts[k])) + 1 for k, n in whole.items())
 
 
+def test_clear_texts_stay_in_the_language_stage(stages):
+    before = {r["doc_id"]: len(re.findall(r"[^\W\d_]+", r["text"] or "")) for r in stages[1].collect()}
+    kept = {r["doc_id"] for r in stages[2].collect()}
+    long = [k for k, n in before.items() if n > 30]
+    assert sum(k in kept for k in long) >= 0.99 * len(long)
+    assert all(n for k, n in before.items() if k in kept)
+
+
 def test_toxic_documents_go(stages, spark):
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     kept = {r["doc_id"] for r in stages[1].collect()}
+    toxic = [k for k, t in labels.items() if t == 1 and k in {r["doc_id"] for r in stages[0].collect()}]
+    assert sum(k not in kept for k in toxic) >= 0.8 * len(toxic) > 0
     clean = [k for k, t in labels.items() if t == 0]
     assert sum(k in kept for k in clean) >= 0.98 * len(clean)

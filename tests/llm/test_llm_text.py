@@ -49,6 +49,46 @@ def test_language_of_odd_rows_and_tied_models(spark):
     assert langid.predict(docs.where("false"), model).count() == 0
 
 
+def test_samples_do_not_depend_on_partitions(spark):
+    """The rows of lowest hash, copies once, whatever the number of partitions."""
+    rng = random.Random(6)
+    rows = [("copy of copies", "aa")] * 500 + [(" ".join(rng.choices("abcdefg", k=12)), rng.choice(["aa", "bb"])) for _ in range(3000)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    fit = langid.Fit(rows=20)
+    one, many = langid.train(docs.repartition(1), fit), langid.train(docs.repartition(40), fit)
+    assert one == many
+    hashed = docs.select("lang", "text", F.xxhash64("text").alias("h")).distinct().collect()
+    for name, content in one.dictionaries:
+        lowest = sorted((r["h"], r["text"]) for r in hashed if r["lang"] == name)[:20]
+        assert content.decode() == "\n".join(t for _, t in lowest)
+
+
+def test_predictions_equal_a_loop_over_all_dictionaries(documents):
+    """The language of the smallest total size, from a plain compression loop."""
+    import zstandard
+
+    model = langid.train(documents)
+    rows = documents.where("length(text) > 30").orderBy("doc_id").limit(150)
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(rows, model, keep={"doc_id": F.col("doc_id")}).collect()}
+    fit = model.fit
+    for r in rows.collect():
+        data = r["text"].lower().encode()
+        sizes = []
+        for name, content in model.dictionaries:
+            total = 0
+            for at in range(0, len(data), fit.block):
+                part = data[at : at + fit.block]
+                level = fit.level if len(part) >= fit.short else fit.short_level
+                words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                words.precompute_compress(level=level)
+                by = zstandard.ZstdCompressor(level=level, dict_data=words, write_content_size=False, write_checksum=False, write_dict_id=False)
+                total += len(by.compress(part))
+            sizes.append((total, name))
+        least = min(size for size, _ in sizes)
+        if any(map(str.isalpha, r["text"])):
+            assert got[r["doc_id"]] == next(n for size, n in sizes if size == least)
+
+
 # -- toxicity ---------------------------------------------------------------
 
 
@@ -118,6 +158,23 @@ def test_a_bounded_sample_keeps_the_balance_of_the_labels(spark):
         assert 0.25 < chance < 0.5, fit
 
 
+def test_repeated_ids_and_labels_count_once(spark):
+    rng = random.Random(4)
+    rows = made_documents(rng, 300)
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], schema)
+    labels = spark.createDataFrame([(k, x) for k, _, x in rows], "doc_id long, toxic int")
+    plain = toxicity.train(docs, labels)
+    again = docs.union(docs.where("doc_id = 3")).union(spark.createDataFrame([(1, rows[1][1])] * 2000, schema))
+    twice = labels.union(labels).union(spark.createDataFrame([(3, 0), (3, None), (None, 1), (6, 7)], "doc_id long, toxic int"))
+    other = toxicity.train(again.repartition(9), twice.repartition(7))
+    assert (plain.features == other.features).all()
+    assert abs(plain.weights - other.weights).max() < 1e-9 and abs(plain.thresholds - other.thresholds).max() < 1e-9
+    fit = toxicity.Fit(toxic_rows=40, clean_rows=80)
+    drawn = toxicity._sample(again, twice, fit).collect()
+    assert len(drawn) == len({r["doc_id"] for r in drawn}) == 120
+
+
 def test_toxicity_without_labels_rejects_nothing(spark):
     docs = spark.createDataFrame([(1, "scum")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
@@ -182,6 +239,43 @@ def test_further_columns_may_bear_names_of_other_layouts(spark):
     assert sorted(tuple(r) for r in turns.collect()) == [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
 
 
+def test_json_records_with_further_fields_and_without_turns(spark):
+    said = [{"role": "user", "content": "q", "name": "n"}, {"role": "assistant", "content": "a", "tool_calls": [1]}]
+    records = [
+        {"messages": said, "source": "s", "prompt": "x"},
+        {"messages": []},
+        {"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a", "weight": 1}], "id": 7},
+        {"instruction": "q", "input": "", "output": "a", "completion": "x", "meta": {"prompt": "x"}},
+        {"turn": 5, "role": "tool", "text": "t", "prompt": "x", "messages": 3},
+        {"messages": ["not an object"], "x": 1},
+        {"messages": [{"role": "user"}]},
+        [1, 2], "text", 3,
+    ]
+    df = spark.createDataFrame([(i, json.dumps(r), "c") for i, r in enumerate(records)] + [(20, None, "c"), (21, "{", "c"), (None, json.dumps(records[0]), "c")], "conv_id long, record string, turn string")
+    got = {}
+    for r in chat.turns_of_json(df, "record").collect():
+        got.setdefault(r["conv_id"], []).append((r["turn"], r["role"], r["text"]))
+    two = [(0, "user", "q"), (1, "assistant", "a")]
+    assert {k: sorted(v) for k, v in got.items()} == {0: two, 2: two, 3: two, 4: [(5, "tool", "t")], None: two}
+    assert sorted(r["conv_id"] for r in chat.unmapped_json(df, "record").collect()) == [5, 6, 7, 8, 9, 20, 21]
+
+
+def test_the_fingerprint_selects_the_mapping(spark, monkeypatch):
+    """On the query's own path too: without its print the layout is unknown."""
+    rows = spark.read.parquet(f"{SF}/conversations.parquet")
+    hashed = []
+    real = chat.fingerprint
+    monkeypatch.setattr(chat, "fingerprint", lambda paths: hashed.append(set(paths)) or real(hashed[-1]))
+    assert chat.canonical_turns(rows).columns == ["conv_id", "turn", "role", "text"]
+    assert {"role", "text", "turn"} in hashed
+    monkeypatch.setattr(chat, "_BY_PRINT", {p: m for p, m in chat._BY_PRINT.items() if m.name != "turn"})
+    with pytest.raises(ValueError):
+        chat.canonical_turns(rows)
+    records = spark.sql("SELECT 1L AS conv_id, '{\"prompt\": \"q\", \"completion\": \"a\"}' AS record")
+    plan = chat.turns_of_json(records, "record")._jdf.queryExecution().analyzed().toString()
+    assert next(m.print for m in chat.MAPPINGS if m.name == "prompt") in plan
+
+
 def test_formatting_uses_no_python(spark):
     turns = chat.canonical_turns(spark.read.parquet(f"{SF}/conversations.parquet"))
     plan = chat.read_back(chat.format_turns(turns))._jdf.queryExecution().executedPlan().toString()
@@ -205,18 +299,18 @@ def test_pages_come_back_from_archives(spark):
     long = "WARC/1.1\r\nContent-Length: 5\r\n\r\n" + "lörem " * 9000
     rows = [(5, "http://a/", "x" * 100), (3, "http://b/ ü\r\nX: y", "x" * 100), (9, None, "x" * 99), (8, "", "x" * 99), (7, "u", None), (6, "u", "")]
     rows += [(20, "u", long), (21, "u", long), (22, "u", long + "!"), (None, "u", long), (30, "u", "ü" * 50), (31, "u", "ü" * 50)]
+    rows += [(None, "u", long + "none"), (None, "v", long + "none"), (None, None, None)]
     rows += [(40, "u", long + "?"), (40, "u", long + "?"), (40, "u", "other" * 100)]
     pages = spark.createDataFrame([(*r, "d", 1) for r in rows], "page_id long, url string, html string, digest string, leaf int")
     folder = fresh_folder(spark, "warc")
     warc.write(pages.repartition(3), folder, segment=1000)
-    got = sorted((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"] or 0) for r in warc.read(spark, folder).collect())
+    got = sorted((r["page_id"] or 0, r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"] or 0) for r in warc.read(spark, folder).collect())
     want = []
     for page, _, html in rows:
-        if page is not None:
-            data = (html or "").encode()
-            first = min(p for p, _, h in rows if p is not None and (h or "") == (html or ""))
-            again = len(data) >= 100 and first != page
-            want.append((page, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first if again else 0))
+        data = (html or "").encode()
+        first = min([p for p, _, h in rows if p is not None and (h or "") == (html or "")], default=None)
+        again = len(data) >= 100 and page is not None and first != page
+        want.append((page or 0, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first if again else 0))
     assert got == sorted(want)
 
 
@@ -236,6 +330,26 @@ def test_a_lost_segment_is_noticed(spark, tmp_path):
                 warc.read(spark, str(folder)).collect()
 
 
+def test_a_revisit_must_have_its_response(spark, tmp_path):
+    import gzip
+
+    digest = lambda data: hashlib.sha256(data).hexdigest()
+    first = warc.page_records(1, "u", b"z" * 900, digest(b"z" * 900), None)
+    good = warc.page_records(2, "u", b"z" * 900, digest(b"z" * 900), 1)
+    other = warc.page_records(3, "u", b"y" * 900, digest(b"y" * 900), 1)
+    lost = warc.page_records(4, "u", b"z" * 900, digest(b"z" * 900), 9)
+    for name, kept in (("good", first + good * 3), ("other", first + good + other), ("lost", first + lost)):
+        folder = tmp_path / name
+        folder.mkdir()
+        with gzip.open(folder / "a.warc.gz", "wb") as file:
+            file.write(b"".join(r + b"\r\n" for r in kept))
+        if name == "good":
+            assert sorted(r["page_id"] for r in warc.read(spark, str(folder)).collect()) == [1, 2, 2, 2]
+        else:
+            with pytest.raises(ValueError, match="differs from the response"):
+                warc.read(spark, str(folder))
+
+
 def test_no_pages_make_no_records(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     folder = fresh_folder(spark, "warc")
