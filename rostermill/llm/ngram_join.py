@@ -51,8 +51,9 @@ BITS = 3
 #: tiles of a class that its rows carry, those of lowest hash
 CARRIED = 8
 _NO_TILE = np.iinfo(np.int64).max
-#: classes of a tile compared in one block
-BLOCK = 512
+#: classes of a tile in one block, and elements of their sets, at most (about)
+BLOCK = 4_096
+ELEMENTS = 4_000_000
 #: fingerprints a task remembers, to write the parts of repeated sets once
 REMEMBERED = 500_000
 
@@ -360,7 +361,7 @@ _PLACE = ["tile", "i", "j"]
 
 
 def _by_place(rows: DataFrame, task: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``task`` of the rows of each pair of blocks, at most 2 * BLOCK of them.
+    """``task`` of the rows of each pair of blocks.
 
     Rows are dealt and sorted by place, so a place is a run of rows; a task
     holds one run.
@@ -402,18 +403,26 @@ def _sides(second: np.ndarray) -> tuple[bool, np.ndarray, np.ndarray]:
     return (True, everything, everything) if one else (False, np.flatnonzero(~second), np.flatnonzero(second))
 
 
+def _bounded(n: np.ndarray, bits: np.ndarray, ones: np.ndarray, at: int, right: np.ndarray, join: Join) -> np.ndarray:
+    """Which rows of ``right`` bit counts do not rule out for row ``at``."""
+    common = np.bitwise_count(bits[at][None, :] & bits[right]).sum(axis=1, dtype=np.int64)
+    most = np.minimum(n[at] - (ones[at] - common), n[right] - (ones[right] - common))
+    return join.linked(most, n[at], n[right])
+
+
 def _open_classes(members: DataFrame, facts: DataFrame, join: Join) -> DataFrame:
-    """(tile, i, j, second, node, root): classes that may be similar to one of
-    another component in their pair of blocks.
+    """(tile, i, j, second, node, root, n, bits): classes that may be similar to
+    one of another component in their pair of blocks.
 
     ``members`` has tile and node; ``facts`` has node, root, n, bits and first
     (the lowest tile hashes of the class) and is joined last, so that bitmaps
-    are shuffled with their rows once. Tiles above BLOCK classes are compared
-    block by block, each pair of blocks on its own. A pair is left to another
-    tile where both carry one of a lower hash; the lowest tile of a pair always
-    counts it.
+    are shuffled with their rows once. Tiles of more than BLOCK classes or
+    ELEMENTS elements are compared block by block, each pair of blocks on its
+    own. A pair is left to another tile where both carry one of a lower hash;
+    the lowest tile of a pair always counts it.
     """
-    sizes = members.groupBy("tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / ELEMENTS)).cast("int")
+    sizes = members.join(facts.select("node", "n"), "node").groupBy("tile").agg(blocks.alias("blocks"))
     placed = members.join(sizes, "tile").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "tile",
@@ -425,62 +434,60 @@ def _open_classes(members: DataFrame, facts: DataFrame, join: Join) -> DataFrame
     )
     spread = spread.join(facts, "node").select(*_PLACE, "second", "node", "root", "n", "bits", "own", "first")
 
-    def task(table: pa.Table) -> pa.RecordBatch:
+    def task(table: pa.Table) -> pa.RecordBatch | None:
         root, n, own, second = (table.column(c).to_numpy() for c in ("root", "n", "own", "second"))
+        if (root == root[0]).all():
+            return None
         bits = folded(table.column("bits").to_pylist())
+        ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         lists = table.column("first").to_pylist()
         first = np.array([x + [_NO_TILE] * (CARRIED - len(x)) for x in lists], dtype=np.int64)
         one, left, right = _sides(second)
         kept = np.zeros(len(n), bool)
-        b = bits[right]
-        ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         for at in left:
-            common = np.bitwise_count(bits[at][None, :] & b).sum(axis=1, dtype=np.int64)
-            most = np.minimum(n[at] - (ones[at] - common), n[right] - (ones[right] - common))
-            hit = join.linked(most, n[at], n[right]) & (root[right] != root[at])
-            if one:
-                hit &= right > at
-            places = right[hit]
+            other = right[(root[right] != root[at]) & ((right > at) | (not one))]
+            if not len(other):
+                continue
+            places = other[_bounded(n, bits, ones, at, other, join)]
             if len(places):
                 mine = first[at][first[at] < own[at]]
                 elsewhere = (first[places][:, :, None] == mine[None, None, :]).any(axis=(1, 2))
                 places = places[~elsewhere]
                 kept[places] = True
                 kept[at] |= len(places) > 0
-        some = table.select([*_PLACE, "second", "node", "root"]).filter(pa.array(kept))
+        some = table.select([*_PLACE, "second", "node", "root", "n", "bits"]).filter(pa.array(kept))
         return some.combine_chunks().to_batches()[0] if some.num_rows else None
 
-    return _by_place(spread, task, "tile long, i int, j int, second boolean, node long, root long")
+    return _by_place(spread, task, "tile long, i int, j int, second boolean, node long, root long, n long, bits binary")
 
 
 def _linked_classes(open_: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     """(a, b): links between classes of other components, one row per class and
-    pair of blocks at most; together they connect all that are similar there."""
-    rows = open_.join(sets, "node").select(*_PLACE, "second", "node", "root", "grams")
+    pair of blocks at most; together they connect all that are similar there.
+
+    Pairs that the bound leaves are intersected unless their classes are in one
+    group by then, so a block costs few intersections per class. A task holds
+    the arrays of one pair of blocks.
+    """
+    rows = open_.join(sets, "node").select(*_PLACE, "second", "node", "root", "n", "bits", "grams")
 
     def task(table: pa.Table) -> pa.RecordBatch:
-        node, root, second = (table.column(c).to_numpy() for c in ("node", "root", "second"))
-        sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("grams")]
-        n = np.array([len(x) for x in sets_])
-        _, number = np.unique(np.concatenate(sets_), return_inverse=True)
-        ends = np.cumsum(n)
-        starts = ends - n
+        node, root, n, second = (table.column(c).to_numpy() for c in ("node", "root", "n", "second"))
+        grams = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("grams")]
+        bits = folded(table.column("bits").to_pylist())
+        ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         one, left, right = _sides(second)
-        # local groups: every row points to the lowest row of its group
-        group = np.arange(len(node))
-        same = {r: i for i, r in reversed([*enumerate(root.tolist())])}
-        group = np.array([same[r] for r in root.tolist()])
+        # local groups, by the place of one of their classes
+        _, group = np.unique(root, return_inverse=True)
         a, b = [], []
-        mark = np.zeros(int(number.max()) + 1, np.int64)
         for at in left:
             other = right[(group[right] != group[at]) & ((right > at) | (not one))]
-            if not len(other):
-                continue
-            mark[number[starts[at] : ends[at]]] = 1
-            overlap = np.add.reduceat(mark[number], starts)[other]
-            mark[number[starts[at] : ends[at]]] = 0
-            for mate in other[join.linked(overlap, n[at], n[other])]:
-                if group[mate] != group[at]:
+            for mate in other[_bounded(n, bits, ones, at, other, join)] if len(other) else ():
+                if group[mate] == group[at]:
+                    continue
+                small, large = sorted((grams[at], grams[mate]), key=len)
+                found = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                if join.linked(int((large[found] == small).sum()), n[at], n[mate]):
                     a.append(node[at])
                     b.append(node[mate])
                     group[group == group[mate]] = group[at]
