@@ -278,6 +278,21 @@ def test_a_few_keys_open_a_few_files(spark, tmp_path, monkeypatch):
         token_shards.read_keys(spark, folder, buckets, docs).collect()
 
 
+def test_all_keys_of_many_buckets_come_back(spark, monkeypatch):
+    """With shuffles that stay spread, so that groups meet by their key alone."""
+    monkeypatch.setattr(token_shards, "BUCKET_KEYS", 25)
+    docs = spark.createDataFrame([(n, f"text {n}") for n in range(500)], "doc_id long, text string")
+    folder = fresh_folder(spark, "shards")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_shards.write_shards(docs, PATH, folder)
+        buckets = token_shards.write_index(spark, folder)
+        assert buckets == 20
+        assert sorted(r["doc_id"] for r in token_shards.read_keys(spark, folder, buckets, docs).collect()) == list(range(500))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_no_documents_make_no_shards(spark, odd_docs):
     folder = fresh_folder(spark, "shards")
     token_shards.write_shards(odd_docs.where("false"), PATH, folder)
