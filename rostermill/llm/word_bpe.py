@@ -116,11 +116,13 @@ def _word_keys(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tu
     """
     sure = lengths <= _SHORT
     first = np.cumsum(lengths) - lengths
-    within = np.arange(int(lengths.sum()))
-    where = within + np.repeat(starts - first, lengths)
-    within -= np.repeat(first, lengths)
+    # a stretch is short, so places fit 32 bits
+    sizes = lengths.astype(np.int32)
+    within = np.arange(int(lengths.sum()), dtype=np.int32)
+    where = within + np.repeat((starts - first).astype(np.int32), sizes)
+    within -= np.repeat(first.astype(np.int32), sizes)
     np.minimum(within, _SHORT, out=within)
-    within += codes[where].astype(np.int64) * (_SHORT + 1)
+    within += codes[where].astype(np.int32) * np.int32(_SHORT + 1)
     key = np.add.reduceat(_PACKED[within], first)
     long = np.flatnonzero(~sure)
     if len(long):
