@@ -15,7 +15,7 @@ from rostermill.operators.registry import with_lineage
 from rostermill.codes import RELATIONSHIPS, relationship_table
 from rostermill.functions.digests import row_digest
 from rostermill.plans.eligibility import _PATIENT, _PERSON, _POLICY
-from rostermill.schemas import CLAIM_FIELDS, CLAIM_GROUPS, LINE_FIELDS, stored_schema, strings
+from rostermill.schemas import CLAIM_FIELDS, CLAIM_GROUPS, LINE_FIELDS
 
 LABELS = "(VALUES " + ", ".join(
     "('" + c + "', '" + label.replace("'", "''") + "')" for c, label in RELATIONSHIPS.items()
@@ -226,9 +226,10 @@ def nest_eligibility(spark: SparkSession, folder: str) -> DataFrame:
 
 #: a whole header document and a whole line in SQL: layout path → value
 _CLAIM_HEADER = (
-    {"_id": "billed", "ardbDocuments": None, "ardbSourceDocument": None, "ardbLastModifiedDate": None}
+    {"_id": "billed"}
     | {c: S.claim_column(c) for c in CLAIM_FIELDS}
     | {group: {c: S.claim_column(c) for c in names} for group, names in CLAIM_GROUPS.items()}
+    | {"ardbDocuments": None, "ardbSourceDocument": None, "ardbLastModifiedDate": None}
 )
 _LINE = {c: S.claim_column(c) for c in LINE_FIELDS} | {
     "ITEM_NUMBER": "(CASE WHEN item = '' THEN sh_item ELSE item END)"
@@ -258,7 +259,7 @@ def nest_claim_header(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     S.with_views(S.CLAIMS)
-    + f"""SELECT claim_id, billed AS row_key, {S.digest(stored_schema('claim'), _CLAIM_HEADER)} AS digest
+    + f"""SELECT claim_id, billed AS row_key, {S.digest(_CLAIM_HEADER)} AS digest
 FROM claim_input"""
 )
 def digest_claim_header(spark: SparkSession, folder: str) -> DataFrame:
@@ -314,7 +315,7 @@ def nest_service_line(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     S.with_views(S.CLAIMS)
-    + f"""SELECT claim_id, code, {S.digest(strings(LINE_FIELDS), _LINE)} AS digest FROM claim_input"""
+    + f"""SELECT claim_id, code, {S.digest(_LINE)} AS digest FROM claim_input"""
 )
 def digest_service_line(spark: SparkSession, folder: str) -> DataFrame:
     """Digest of whole service lines, all 95 fields."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 from rostermill.schemas import CLAIM_COLUMNS
 
 PERSONS_IN = """persons_in AS (
@@ -98,18 +96,19 @@ def claim_column(name: str) -> str:
     return f"CASE WHEN o1 % 7 <> {CLAIM_COLUMNS.index(name) % 7} THEN '{name}:' || claim_id END"
 
 
-def canonical(kind: T.DataType, value: dict | str | None) -> str:
-    """Canonical text of a nested value; structs are given as dicts."""
+def canonical(value: dict | str | None) -> str:
+    """Canonical text of a nested value; structs are given as dicts, in the
+    order of the layout, and an absent value as None."""
     if value is None:
         return "'-'"
-    if isinstance(kind, T.StructType):
-        parts = [f"'{f.name}=', {canonical(f.dataType, value[f.name])}" for f in kind.fields]
+    if isinstance(value, dict):
+        parts = [f"'{name}=', {canonical(v)}" for name, v in value.items()]
         return "concat('{', " + ", ',', ".join(parts) + ", '}')"
     return f"coalesce(length({value}) || ':' || {value}, '-')"
 
 
-def digest(kind: T.StructType, values: dict) -> str:
-    parts = [f"'{f.name}=', {canonical(f.dataType, values[f.name])}" for f in kind.fields]
+def digest(values: dict) -> str:
+    parts = [f"'{name}=', {canonical(v)}" for name, v in values.items()]
     return "sha256(concat(" + ", ',', ".join(parts) + "))"
 
 

@@ -3,6 +3,8 @@
 import os
 import random
 import re
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -325,3 +327,10 @@ def test_parts_of_a_giant_parent_over_many_stretches(rows, monkeypatch, part_row
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     windows = re.findall(r"Window \[(.*?)\]", plan)
     assert len(windows) == 3
+
+
+def test_queries_are_listed_without_a_session():
+    """The entry is imported, and its queries and SQL listed, before Spark starts."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 90 and set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
