@@ -80,8 +80,9 @@ def _read_files(spark: SparkSession, path: str, names: list[str], wanted: DataFr
             files = files.withColumn(name, F.lit(None).cast("long"))
     files = files.select(*names, "content")
     if wanted is not None:
-        near = wanted.select(*[F.col(n).cast(files.schema[n].dataType) for n in names])
-        near = near.where(" AND ".join(f"{n} >= 0" for n in names)).distinct()
+        near = wanted.select(*[F.col(n).cast(files.schema[n].dataType) for n in names]).distinct()
+        # written, so that the names' true size decides how they are joined
+        near = staged(near, "names").where(" AND ".join(f"{n} >= 0" for n in names))
         files = files.join(near, names, "left_semi")
     # numbers in folder names are read as int; rows are dealt by type and value
     return files.select(*[F.col(n).cast("long").alias(n) for n in names], "content")
