@@ -25,6 +25,7 @@ from rostermill.plans.eligibility import load_eligibility as load_coverage
 from rostermill.plans.jobs import Ingest
 from rostermill.plans.run import FolderRun, LazyRun, Result
 from rostermill.schemas import LINE_FIELDS, ORDINAL
+from rostermill.skew import by_shuffle
 from rostermill.storage import TableStore
 from rostermill.streaming.incremental import Parsed, stream_claim_rows
 from rostermill.workdir import fresh_folder
@@ -389,4 +390,4 @@ def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
     service_lines = store.read("claim_line")
     runs = service_lines.groupBy(F.col("CLAIM_ID").alias("claim_id")).agg(F.max("_run").cast("int").alias("run"))
     view = _claims_view(store.read("claim"), store.read("claim_diagnosis"), service_lines)
-    return view.join(runs, "claim_id")
+    return view.join(by_shuffle(runs), "claim_id")

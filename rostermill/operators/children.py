@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from rostermill.operators.dedup import keep_first
 from rostermill.operators.match import lookup
 from rostermill.schemas import FALLBACK_FIELDS, LINE_MATCH_KEYS, ORDINAL
+from rostermill.skew import by_shuffle
 
 #: longest array put into one row
 PART_ROWS = 10_000
@@ -66,12 +67,12 @@ def with_part(
     long = long.select("_long", ahead("_long.parent", "_long.stretch").alias("_base"))
     starts = (
         counts.withColumn("_inside", ahead("_long", "_place.slot"))
-        .join(long, "_long")
+        .join(by_shuffle(long), "_long")
         .select("_place", (F.col("_base") + F.col("_inside")).alias("_start"))
     )
     within = F.row_number().over(Window.partitionBy("_place").orderBy(*order))
     return (
-        placed.join(starts, "_place")
+        placed.join(by_shuffle(starts), "_place")
         .withColumn("part", F.floor((F.col("_start") + within - 1) / part_rows).cast("bigint"))
         .drop("_place", "_start")
     )

@@ -31,6 +31,7 @@ from rostermill.schemas import (
     LINE_MATCH_KEYS,
     ORDINAL,
 )
+from rostermill.skew import by_shuffle
 
 
 def claim_rows(rows: DataFrame) -> DataFrame:
@@ -121,7 +122,7 @@ def load_claims(
     classified = classify_claims(rows, run.state("claim", ids))
     result.classified["claim"] = classified
     sources = claim_sources(rows, lineage)
-    headers = with_lineage(classified, lineage).join(sources, "_claim", "left")
+    headers = with_lineage(classified, lineage).join(by_shuffle(sources), "_claim", "left")
     headers = headers.withColumn(
         "documents", array_union_by_key("documents", "_old.ardbDocuments", "documentId")
     )

@@ -334,3 +334,17 @@ def test_queries_are_listed_without_a_session():
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     code = "import __spark_entry__ as e; assert len(e.queries()) > 90 and set(e.oracle_sql()) <= set(e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
+def test_keys_of_later_snapshots_are_counted_before_they_are_broadcast(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path), buckets=2)
+    for run, ids in enumerate([range(40), range(0, 40, 2)]):
+        store.write("claim", run, claims(spark, [str(i) for i in ids], f"run {run}"))
+        store.commit(run)
+    assert "BroadcastHashJoin" in plan_of(store.read("claim"))
+    monkeypatch.setattr("rostermill.storage.FEW_KEYS", 19)
+    many = store.read("claim")
+    assert "BroadcastHashJoin" not in plan_of(many)
+    assert {r.CLAIM_STATUS: r["count"] for r in many.groupBy("CLAIM_STATUS").count().collect()} == {
+        "run 0": 20, "run 1": 20,
+    }
