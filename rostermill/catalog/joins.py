@@ -22,7 +22,7 @@ from rostermill.operators.registry import latest_status
 from rostermill.operators.registry import skip_registered_files as skip_files
 from rostermill.plans.claims import claim_rows, classify_claims
 from rostermill.plans.eligibility import stub_persons
-from rostermill.skew import hot_keys
+from rostermill.skew import by_shuffle, hot_keys
 
 
 @query(
@@ -61,7 +61,7 @@ def filter_changed(spark: SparkSession, folder: str) -> DataFrame:
     orders = B.table(spark, folder, "orders").select(
         "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("order_status")
     )
-    joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).drop("o_orderkey")
+    joined = lines.join(by_shuffle(orders), lines["l_orderkey"] == orders["o_orderkey"]).drop("o_orderkey")
     return changed_rows(joined, "l_linestatus", "order_status")
 
 
@@ -365,7 +365,7 @@ def insert_missing_parents(spark: SparkSession, folder: str) -> DataFrame:
     )
     stubs = stub_persons(absent, "INSURED_ENROLLEE_ID")
     keyed = stubs.join(
-        absent.select(F.col("INSURED_ENROLLEE_ID").alias("k"), "_line"),
+        by_shuffle(absent.select(F.col("INSURED_ENROLLEE_ID").alias("k"), "_line")),
         F.col("referenceId") == F.col("k"),
     )
     return keyed.select(

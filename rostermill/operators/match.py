@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rostermill.operators.dedup import distinct_keys, keep_first
 from rostermill.schemas import ORDINAL
-from rostermill.skew import null_safe_equal, salted_left_join
+from rostermill.skew import by_shuffle, null_safe_equal, salted_left_join
 
 Expr = str | Column | Callable[[], Column]
 Fields = Mapping[str, Expr]
@@ -78,7 +78,7 @@ def lookup(
         condition = null_safe_equal([(left[lk], side[k]) for lk, k in pairs])
     else:
         condition = reduce(and_, [left[lk] == side[k] for lk, k in pairs])
-    return left.join(side, condition, how).drop(*keys)
+    return left.join(by_shuffle(side), condition, how).drop(*keys)
 
 
 def tuple_hash(keys: list[str] | list[Column]) -> Column:
@@ -99,7 +99,7 @@ def _semi(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str) ->
     keys = [f"_k{i}" for i in range(len(on))]
     side = right.select(*[F.col(r).alias(k) for r, k in zip(on.values(), keys)])
     condition = null_safe_equal([(_path(left, lk), side[k]) for lk, k in zip(on.keys(), keys)])
-    return left.join(side, condition, how)
+    return left.join(by_shuffle(side), condition, how)
 
 
 def _path(df: DataFrame, dotted: str) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rostermill.functions.arrays import array_concat, set_nested_fields
 from rostermill.operators.match import without_match
-from rostermill.skew import null_safe_equal
+from rostermill.skew import by_shuffle, null_safe_equal
 
 KEEP_OLD = ("created", "histories")
 APPEND = ("ardbDocuments",)
@@ -74,7 +74,7 @@ def update_many_nested(
         F.lit(True).alias("_hit"),
         *[F.col(c).alias(f"_c_{c}") for c in [*values.values(), *extra]],
     )
-    joined = state.join(side, null_safe_equal([(state[key], side["_ck"])]), "left")
+    joined = state.join(by_shuffle(side), null_safe_equal([(state[key], side["_ck"])]), "left")
     hit = F.col("_hit")
     new_root = set_nested_fields(root, {p: F.col(f"_c_{c}") for p, c in values.items()})
     out = {root: F.when(hit, new_root).otherwise(F.col(root))}
@@ -99,7 +99,7 @@ def patch_nested_fields(
     side = patch.select(
         F.col(key).alias("_pk"), *[F.col(c).alias(f"_p_{c}") for c in fields.values()]
     )
-    joined = state.join(side, state[key] == side["_pk"], "left")
+    joined = state.join(by_shuffle(side), state[key] == side["_pk"], "left")
     by_root: dict[str, dict[str, Column]] = {}
     for path, column in fields.items():
         root, _, rest = path.partition(".")

@@ -490,3 +490,32 @@ def test_digests_tell_nested_values_apart(spark):
         text = ",".join(f"{n}={canonical(v)}" for n, v in fields(r))
         assert r.d == r.of_struct == hashlib.sha256(text.encode()).hexdigest(), text
     assert len({r.d for r in got}) == len(rows)
+
+
+def test_sides_that_grow_are_not_broadcast(spark):
+    def side(*names):
+        return spark.range(20).select(*[F.col("id").cast("string").alias(n) for n in names])
+
+    left, right = side("a", "b"), side("k", "v")
+    found = {
+        "lookup": M.lookup(left, right, {"a": "k"}, {"v": "v"}, "r"),
+        "inner": M.lookup(left, right, {"a": "k"}, {"v": "v"}, "r", how="inner"),
+        "with_match": M.with_match(left, right, {"a": "k"}),
+        "without_match": M.without_match(left, right, {"a": "k"}),
+        "update_many": U.update_many_nested(
+            left.select("a", F.struct("b").alias("d")),
+            right.withColumnRenamed("k", "a"), "a", "d", {"b": "v"},
+        ),
+        "patch": U.patch_nested_fields(
+            left.select("a", F.struct("b").alias("d")), right.withColumnRenamed("k", "a"), "a", {"d.b": "v"}
+        ),
+        "parts": K.with_part(
+            left.withColumn("_block", F.lit(0)).withColumn("_line", F.lit(1)), ["a"], ["_block", "_line"]
+        ),
+    }
+    for name, df in found.items():
+        assert "BroadcastHashJoin" not in plan_of(df), name
+        assert df.count() == 20 * (name != "without_match"), name
+    hot = left.select("a").limit(1)
+    salted = M.lookup(left, right, {"a": "k"}, {"v": "v"}, "r", hot=hot)
+    assert "SortMergeJoin" in plan_of(salted) and salted.count() == 20
