@@ -15,10 +15,11 @@ from rostermill.catalog import tables as B
 from rostermill.operators.match import with_match
 from rostermill.schemas import SHEET_PRIORITY
 from rostermill.sources.files import list_input_files as list_files
+from rostermill.sources.fixed_width import FILES_PER_GROUP, file_layouts, parse_lines
 from rostermill.sources.fixed_width import fwf_layout as layout_of
-from rostermill.sources.fixed_width import parse_lines
 from rostermill.sources.workbook import rank_sheets
 from rostermill.sources.workbook import read_workbook_sheets as read_sheets
+from rostermill.workdir import staged
 
 _FIELDS = ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_shipdate"]
 
@@ -113,7 +114,10 @@ FROM lineitem
 """
 )
 def read_fixed_width(spark: SparkSession, folder: str) -> DataFrame:
-    rows = parse_lines(_report(spark, folder), _FIELDS)
+    lines = _report(spark, folder)
+    layouts = staged(file_layouts(lines, _FIELDS), "layouts")
+    few = layouts.count() <= FILES_PER_GROUP
+    rows = parse_lines(lines, _FIELDS, layouts=layouts, few=few)
     return rows.select(*_FIELDS, F.col("_file").alias("file"))
 
 

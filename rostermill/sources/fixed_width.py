@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rostermill.operators.clean import normalize_nulls
 from rostermill.schemas import ORDINAL
+from rostermill.skew import hot_keys, salted_left_join
 from rostermill.sources.files import (
     list_input_files,
     listed_paths,
@@ -120,13 +121,20 @@ def parse_lines(
 
     Files may differ in layout. ``few`` says that the caller has checked that
     there are at most :data:`FILES_PER_GROUP` of them: their layouts are then
-    broadcast; else their size decides. A column that a file lacks is null; a file that lacks a
+    broadcast; else rows meet them by file, those of a large file in many
+    tasks. A column that a file lacks is null; a file that lacks a
     ``required`` one gives no rows (see :func:`layout_problems`).
     """
     known = file_layouts(lines, columns) if layouts is None else layouts
     for c in required or []:
         known = known.where(f"_at.`{c}` IS NOT NULL")
-    rows = lines.join(F.broadcast(known) if few else known, "_file").where(_is_row())
+    if few:
+        rows = lines.join(F.broadcast(known), "_file")
+    else:
+        known = known.withColumnRenamed("_file", "_f").where("_f IS NOT NULL")
+        large = hot_keys(lines, ["_file"])
+        rows = salted_left_join(lines, known, [("_file", "_f")], large, how="inner", spread=["_block", "_line"])
+    rows = rows.where(_is_row())
     cells = [_cell(f"_at.`{c}`.start", f"_at.`{c}`.length") + f" AS `{c}`" for c in columns]
     return normalize_nulls(rows.selectExpr(*cells, *ORDINAL), columns)
 
@@ -191,7 +199,7 @@ def read_reports(
     must not change between the pass that finds the layouts and the one that
     reads rows, and the first of these then reads little more than the start
     of each file. The layouts of up to :data:`FILES_PER_GROUP` files are
-    broadcast; with more, the join is left to the size of what was written.
+    broadcast.
     """
     return parse_lines(lines, columns, required, layouts, few=files <= FILES_PER_GROUP)
 

@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 
 from files import write_report, write_workbook
 from rostermill.sources.files import list_input_files, listed_paths, scan_lines
+from rostermill.sources import fixed_width
 from rostermill.sources.fixed_width import (
     file_layouts,
     fwf_layout,
@@ -181,3 +182,27 @@ def test_sheets_of_many_workbooks_in_one_pass(spark, tmp_path):
     assert people == {"1": ("n", {"ID.1": "twin", "column 4": "nameless", "NAME_2": "second"}), "2": (None, {})}
     problems = {r["_file"][-6:]: r["_problem"] for r in rows if r["_problem"]}
     assert problems["b.xlsx"] == "ValueError: missing columns: ID" and "BadZipFile" in problems["c.xlsx"] and len(problems) == 2
+
+
+def test_rows_of_one_report_are_not_gathered(spark):
+    """Layouts go to the rows: rows do not meet by file."""
+    from rostermill.catalog import all_queries
+
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = all_queries()["read_fixed_width"](spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "hashpartitioning(_file" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_many_layouts_meet_a_large_file_in_many_tasks(spark, monkeypatch):
+    data = [("head", "f", 0, 0), ("----", "f", 0, 1)] + [(f"{i:04d}", "f", 0, 2 + i) for i in range(300)]
+    data += [("lost", None, 0, i) for i in range(5)]
+    lines = spark.createDataFrame(data, "value string, _file string, _block bigint, _line bigint")
+    monkeypatch.setattr(fixed_width.hot_keys, "__defaults__", (100,))
+    rows = fixed_width.parse_lines(lines, ["head"])
+    assert "_salt" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["head"] for r in rows.collect()) == [f"{i:04d}" for i in range(300)]
