@@ -12,6 +12,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NULL = "-"
+#: texts of fewer code points find what stands before them in a list
+LISTED = 100
+_LEADS = "split('" + " ".join(f"{n}:" for n in range(LISTED)) + "', ' ')"
+
+
+def _leaf_parts(head: str, value: str) -> list[str]:
+    """Name, length and text of a leaf; a null leaf has the sign of nulls."""
+    text = f"CAST({value} AS STRING)"
+    lead = f"coalesce(get({_LEADS}, length({text})), concat(length({text}), ':'), '{NULL}')"
+    return [f"'{head}'", lead, f"coalesce({text}, '')"]
+
+
+def _field_parts(
+    fields: list[T.StructField], root: str, opening: str = "", depth: int = 0, present: bool = True
+) -> list[str]:
+    """SQL texts whose results, one after another, are the fields' canonical texts.
+
+    ``present``: what holds the fields is not null, so neither are structs that
+    their type declares so, and their fields are parts like all others.
+    """
+    parts = []
+    for i, f in enumerate(fields):
+        head, value = f"{opening if i == 0 else ','}{f.name}=", f"{root}`{f.name}`"
+        if present and isinstance(f.dataType, T.StructType) and f.dataType.fields and not f.nullable:
+            parts += _field_parts(f.dataType.fields, f"{value}.", head + "{", depth) + ["'}'"]
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            parts += [f"'{head}'", canonical_sql(f.dataType, value, depth)]
+        else:
+            parts += _leaf_parts(head, value)
+    return parts
 
 
 def canonical_sql(kind: T.DataType, value: str, depth: int = 0) -> str:
@@ -21,11 +51,7 @@ def canonical_sql(kind: T.DataType, value: str, depth: int = 0) -> str:
     (key, value) sorted by key, leaf ``length:text``, null ``-``.
     """
     if isinstance(kind, T.StructType):
-        parts = [
-            f"'{'{' if i == 0 else ','}{f.name}=', "
-            + canonical_sql(f.dataType, f"{value}.`{f.name}`", depth)
-            for i, f in enumerate(kind.fields)
-        ]
+        parts = _field_parts(kind.fields, f"{value}.", "{", depth)
         whole = "concat(" + ", ".join(parts) + ", '}')" if parts else "'{}'"
     elif isinstance(kind, T.ArrayType):
         item = f"x{depth}"
@@ -35,19 +61,15 @@ def canonical_sql(kind: T.DataType, value: str, depth: int = 0) -> str:
         entry = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
         return canonical_sql(T.ArrayType(entry), f"array_sort(map_entries({value}))", depth)
     else:
-        text = f"CAST({value} AS STRING)"
-        return f"coalesce(concat(length({text}), ':', {text}), '{NULL}')"
+        return "concat(" + ", ".join(_leaf_parts("", value)) + ")"
     return f"CASE WHEN {value} IS NULL THEN '{NULL}' ELSE {whole} END"
 
 
 def row_digest(schema: T.StructType, root: str | None = None) -> Column:
     """SHA-256 of the canonical text of a struct column, or of whole rows.
 
-    Map keys must be sortable. The text is built by one expression, so wide
-    layouts cost one pass and no Python.
+    Map keys must be sortable. The text is one ``concat`` of all names, lengths
+    and leaves, so each is copied once; wide layouts cost one pass and no Python.
     """
-    parts = [
-        f"'{f.name}=', " + canonical_sql(f.dataType, f"{root}.`{f.name}`" if root else f"`{f.name}`")
-        for f in schema.fields
-    ]
-    return F.expr("sha2(concat(" + ", ',', ".join(parts) + "), 256)")
+    parts = _field_parts(schema.fields, f"{root}." if root else "", present=root is None)
+    return F.expr("sha2(concat(" + ", ".join(parts) + "), 256)")

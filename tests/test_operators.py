@@ -1,6 +1,7 @@
 """Operators on small frames with the edge rows."""
 
 import hashlib
+import re
 
 import pandas as pd
 import pytest
@@ -492,6 +493,26 @@ def test_digests_tell_nested_values_apart(spark):
     assert len({r.d for r in got}) == len(rows)
 
 
+def test_digests_copy_a_text_once(spark):
+    """Each text is a part of one concat, whatever its length or place."""
+    def leaf(x):
+        return "-" if x is None else f"{len(x)}:{x}"
+
+    values = [None, "", "a", "\u00e9" * 99, "\u00df" * 100, "x" * 101, "\U0001f600" * 1000]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, a string")
+    frame = frame.select("a", F.struct(F.struct("a").alias("s"), "i").alias("w"))
+    whole = row_digest(frame.schema).alias("d")
+    part = F.when(F.col("w.i") > 0, F.col("w")).alias("w")
+    some = frame.select("a", part).select("a", row_digest(frame.schema["w"].dataType, "w").alias("d"))
+    for (i, v), r, q in zip(enumerate(values), frame.select(whole).collect(), some.collect()):
+        inner = f"s={{a={leaf(v)}}},i={leaf(str(i))}"
+        assert r.d == hashlib.sha256(f"a={leaf(v)},w={{{inner}}}".encode()).hexdigest(), v
+        assert q.d == hashlib.sha256((inner if i else "s=-,i=-").encode()).hexdigest(), v
+    plan = frame.select(whole)._jdf.queryExecution().analyzed().toString()
+    assert not re.search(r":, (cast\()?a#\d+", plan)
+
+
+
 def test_sides_that_grow_are_not_broadcast(spark):
     def side(*names):
         return spark.range(20).select(*[F.col("id").cast("string").alias(n) for n in names])
