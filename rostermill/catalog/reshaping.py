@@ -321,10 +321,12 @@ def digest_service_line(spark: SparkSession, folder: str) -> DataFrame:
     """Digest of whole service lines, all 95 fields."""
     rows = B.wide_claim_input(spark, folder)
     out = rows.select("CLAIM_ID", N.nest_service_line(rows).alias("s"))
-    return out.select(
+    # a field of a struct is looked up each time that it is named, a column is not
+    lines = out.select("CLAIM_ID", "s.*")
+    return lines.select(
         F.col("CLAIM_ID").alias("claim_id"),
-        F.col("s.CODE").alias("code"),
-        row_digest(out.schema["s"].dataType, "s").alias("digest"),
+        F.col("CODE").alias("code"),
+        row_digest(out.schema["s"].dataType).alias("digest"),
     )
 
 

@@ -17,7 +17,9 @@ def session_settings(input_bytes: int, cores: int) -> dict[str, str]:
     execution merges the small ones, so narrow steps do not pay for it. Skewed
     sort-merge joins are split at run time in addition to the explicit salt.
     Lookups by key tuples build a Bloom filter from the keys of a load when the
-    stored side is large; the filter itself has a fixed greatest size.
+    stored side is large; the filter itself has a fixed greatest size. Steps of
+    many columns whose generated method is above 8000 bytes, which the JVM would
+    only interpret, are generated in smaller methods.
     """
     partitions = max(3 * cores, -(-input_bytes // REDUCE_BYTES))
     return {
@@ -29,5 +31,6 @@ def session_settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.files.maxPartitionBytes": str(SCAN_BYTES),
         "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": str(1024 * MIB),
         "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(1024 * MIB),
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.session.timeZone": "UTC",
     }
