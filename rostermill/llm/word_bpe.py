@@ -376,10 +376,12 @@ class WordBpe:
         at = np.flatnonzero(~sure[first]).tolist()
         for i, text in zip(at, texts_of(at)):
             names[i] = text
-        new = [i for i, name in enumerate(names) if name not in known]
-        if new:
-            known.update(zip([names[i] for i in new], self.encode_words([t.encode() for t in texts_of(new)])))
-        parts = [known[name] for name in names]
+        # one look at each word: most are remembered, and the memory is large
+        parts = list(map(known.get, names))
+        if None in parts:
+            new = [i for i, part in enumerate(parts) if part is None]
+            for i, ids in zip(new, self.encode_words([t.encode() for t in texts_of(new)])):
+                known[names[i]] = parts[i] = ids
         pool = np.frombuffer(b"".join(parts), dtype="<u2")
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) >> 1
         begin = np.cumsum(sizes) - sizes
@@ -399,7 +401,7 @@ class WordBpe:
         for at, text in enumerate(texts):
             if not text:
                 continue
-            if _ODD.search(text) or self._special_cut and self._special_cut.search(text):
+            if not text.isascii() and _ODD.search(text) or self._special_cut and self._special_cut.search(text):
                 out[at].append(self._by_words(text))
             else:
                 plain.append(text)

@@ -37,6 +37,11 @@ class Alphabet:
     def __init__(self, kinds: np.ndarray, lower: np.ndarray):
         self.kinds = kinds.astype(np.uint8)
         self.lower = lower.astype(np.uint32)
+        # the same as tables of bytes, for texts in Latin-1
+        latin = np.arange(256)
+        few = np.minimum(latin, len(self.kinds) - 1)
+        small = np.where(few < len(self.kinds) - 1, self.lower[few], latin)
+        self._latin = (self.kinds[few].tobytes(), small.astype(np.uint8).tobytes()) if small.max() < 256 else None
 
     @classmethod
     def of(cls, limit: int, blank: str, upper_to_lower: dict[str, str]) -> Alphabet:
@@ -48,13 +53,23 @@ class Alphabet:
             lower[ord(a)] = ord(b)
         return cls(kinds, lower)
 
-    def scan(self, texts: list[str]) -> Words:
-        joined = "\n".join(texts) + "\n"
+    def _codes_and_kinds(self, joined: str) -> tuple[np.ndarray, np.ndarray]:
+        if self._latin:
+            try:
+                raw = joined.encode("latin-1")
+            except UnicodeEncodeError:
+                pass
+            else:
+                kinds, lower = (np.frombuffer(raw.translate(t), dtype=np.uint8) for t in self._latin)
+                return lower.astype(np.uint32), kinds
         codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
         limit = len(self.kinds) - 1
         index = np.minimum(codes, limit)
-        kind = self.kinds[index]
-        codes = np.where(index < limit, self.lower[index], codes)
+        return np.where(index < limit, self.lower[index], codes), self.kinds[index]
+
+    def scan(self, texts: list[str]) -> Words:
+        joined = "\n".join(texts) + "\n"
+        codes, kind = self._codes_and_kinds(joined)
         begins = np.empty(len(kind), dtype=bool)
         begins[0] = True
         np.not_equal(kind[1:], kind[:-1], out=begins[1:])

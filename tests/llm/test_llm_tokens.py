@@ -298,3 +298,32 @@ def test_no_documents_make_no_shards(spark, odd_docs):
     token_shards.write_shards(odd_docs.where("false"), PATH, folder)
     buckets = token_shards.write_index(spark, folder)
     assert token_shards.read_keys(spark, folder, buckets, odd_docs).count() == 0
+
+
+def test_words_are_looked_up_once():
+    """Also where a stretch is in Latin-1 and its neighbour is not."""
+    class Counted(dict):
+        looks = 0
+
+        def __contains__(self, key):
+            self.looks += 1
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            self.looks += 1
+            return super().__getitem__(key)
+
+        def get(self, key, default=None):
+            self.looks += 1
+            return super().get(key, default)
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library = word_bpe.WordBpe(path), Tokenizer.from_file(path)
+    for texts in (["One two extraordinarily two", "", None, "\u00c4ra \u00fcber \u00b5"], ["\u0142\u00f3d\u017a one", "\u00c9t\u00c9"]):
+        for _ in range(2):
+            encoder._words = Counted(encoder._words)
+            got = encoder.encode(texts)
+            words = {w for t in texts if t for w in t.lower().split()}
+            assert encoder._words.looks == len(words)
+            for text, ids in zip(texts, got):
+                assert np.frombuffer(ids, "<u2").tolist() == library.encode(text or "", add_special_tokens=False).ids
