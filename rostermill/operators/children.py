@@ -15,12 +15,18 @@ from pyspark.sql import functions as F
 from rostermill.operators.dedup import keep_first
 from rostermill.operators.match import lookup
 from rostermill.schemas import FALLBACK_FIELDS, LINE_MATCH_KEYS, ORDINAL
-from rostermill.skew import by_shuffle
+from rostermill.skew import HOT_ROWS, by_shuffle, hot_keys, null_safe_equal
+from rostermill.workdir import release
 
 #: longest array put into one row
 PART_ROWS = 10_000
 #: slots that are added up in one group
 SLOTS = 4_096
+#: a parent with fewer children than this is ordered by one task
+HEAVY_ROWS = HOT_ROWS
+
+#: one frame of parent keys, or none
+Heavy = tuple[DataFrame, ...]
 
 
 def ordinal_slot(order: list[str], part_rows: int = PART_ROWS) -> list[Column]:
@@ -78,6 +84,47 @@ def with_part(
     )
 
 
+def heavy_parents(children: DataFrame, keys: list[str]) -> Heavy:
+    """The parents of at least ``HEAVY_ROWS`` children, counted at once.
+
+    There is no frame when no parent has as many. Counts are combined before
+    their shuffle, so a heavy parent costs one row per map task.
+    """
+    found = hot_keys(children, keys, HEAVY_ROWS)
+    none = found.isEmpty()
+    release(children.sparkSession)
+    return () if none else (found,)
+
+
+def number_parts(
+    children: DataFrame,
+    keys: list[str],
+    order: list[str],
+    slot: list[Column] | None = None,
+    part_rows: int = PART_ROWS,
+    heavy: Heavy | None = None,
+) -> DataFrame:
+    """:func:`with_part` for ``heavy`` parents (:func:`heavy_parents`, counted
+    here unless given); children of all others are shuffled by parent once and
+    numbered there, so a task orders less than ``HEAVY_ROWS`` of one parent.
+    """
+    if heavy is None:
+        heavy = heavy_parents(children, keys)
+
+    def by_parent(some: DataFrame) -> DataFrame:
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return some.withColumn("part", F.floor((number - 1) / part_rows).cast("bigint"))
+
+    if not heavy:
+        return by_parent(children)
+    # at most one key for every HEAVY_ROWS children
+    names = [f"_heavy{i}" for i in range(len(keys))]
+    found = F.broadcast(heavy[0].select(*[F.col(k).alias(n) for k, n in zip(keys, names)]))
+    same = null_safe_equal([(children[k], found[n]) for k, n in zip(keys, names)])
+    large = with_part(children.join(found, same, "left_semi"), keys, order, slot, part_rows)
+    return by_parent(children.join(found, same, "left_anti")).unionByName(large)
+
+
 def collect_ordered(
     children: DataFrame,
     keys: list[str],
@@ -86,19 +133,22 @@ def collect_ordered(
     alias: str,
     slot: list[Column] | None = None,
     part_rows: int = PART_ROWS,
+    heavy: Heavy | None = None,
 ) -> DataFrame:
     """Children of each parent as ordered arrays of at most ``part_rows`` structs.
 
     One row per (parent, ``part``); parts count from 0, all but a parent's
     last are full, and most parents have one. ``slot`` must rise with
-    ``order`` and hold at most a bounded number of rows.
+    ``order`` and hold at most a bounded number of rows. Without ``heavy``
+    parents the arrays are built where the children were numbered, so children
+    are shuffled once and the result lies by ``keys``.
     """
     item = F.expr(
         f"named_struct('o', struct({', '.join(order)}), 'v', struct({', '.join(fields)}))"
     )
     needed = [*dict.fromkeys([*keys, *fields, *order])] if slot is None else children.columns
     return (
-        with_part(children.select(*needed), keys, order, slot, part_rows)
+        number_parts(children.select(*needed), keys, order, slot, part_rows, heavy)
         .groupBy(*keys, "part")
         .agg(F.array_sort(F.collect_list(item)).alias("_items"))
         .select(*keys, "part", F.transform("_items", lambda i: i["v"]).alias(alias))
@@ -115,9 +165,14 @@ def collect_distinct_ordered(
     slot: list[Column] | None = None,
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """:func:`collect_ordered` of the first child of each distinct key."""
+    """:func:`collect_ordered` of the first child of each distinct key.
+
+    Heavy parents are those with many children of any kind: that is found
+    without looking for the first ones.
+    """
+    heavy = heavy_parents(children, keys)
     first = keep_first(children, [*keys, *distinct], order)
-    return collect_ordered(first, keys, fields, order, alias, slot, part_rows)
+    return collect_ordered(first, keys, fields, order, alias, slot, part_rows, heavy)
 
 
 def match_child_rows(

@@ -329,6 +329,28 @@ def test_parts_of_a_giant_parent_over_many_stretches(rows, monkeypatch, part_row
     assert len(windows) == 3
 
 
+@pytest.mark.parametrize("least", [1, 60, 10**6])
+def test_children_are_shuffled_once_unless_a_parent_is_heavy(rows, monkeypatch, least):
+    monkeypatch.setattr(children, "HEAVY_ROWS", least)
+    rng = random.Random(7)
+    data = [{"P": "giant" if i % 3 == 0 else rng.choice(["a", None, f"p{i % 50}"]), "V": str(i)} for i in range(400)]
+    df = rows(["P", "V"], data, partitions=5)
+    found = children.collect_ordered(df, ["P"], ["V"], ["_file", "_block", "_line"], "items", part_rows=30)
+    exchanges = plan_of(found).count("Exchange hashpartitioning")
+    assert exchanges == 1 if least == 10**6 else exchanges > 1
+    want = {}
+    for d in data:
+        want.setdefault(d["P"], []).append(d["V"])
+    got = {(r.P, r.part): [i.V for i in r["items"]] for r in found.collect()}
+    assert got == {(p, i // 30): v[i : i + 30] for p, v in want.items() for i in range(0, len(v), 30)}
+
+
+def test_lines_and_orders_meet_by_claim(spark):
+    """A claim's rows lie together: what groups them by claim shuffles nothing again."""
+    by_claim = B.claim_input(spark, SF).groupBy("CLAIM_ID").count()
+    assert plan_of(by_claim).count("Exchange hashpartitioning") == 2
+
+
 def test_queries_are_listed_without_a_session():
     """The entry is imported, and its queries and SQL listed, before Spark starts."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
