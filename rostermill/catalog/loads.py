@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,28 +158,29 @@ def load_eligibility(spark: SparkSession, folder: str) -> DataFrame:
 # --- claims ----------------------------------------------------------------
 
 
-def _stored_children(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _stored_children(before: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Diagnoses and lines of the earlier input, as a first load stores them."""
-    rows = PC.claim_rows(B.claims_before(spark, folder))
-    none = spark.range(0)
-    diagnoses = PC.new_diagnoses(
-        rows, none.select(F.lit("").alias("CLAIM_ID"), F.lit("").alias("DIAGNOSIS_CODE")), 0
-    )
-    blank = none.select(F.lit("").alias("CLAIM_ID"), *[F.lit("").alias(c) for c in LINE_FIELDS])
+    rows, spark = PC.claim_rows(before), before.sparkSession
+    none = spark.createDataFrame([], "CLAIM_ID string, DIAGNOSIS_CODE string")
+    diagnoses = PC.new_diagnoses(rows, none, 0)
+    blank = spark.createDataFrame([], ", ".join(f"{c} string" for c in ["CLAIM_ID", *LINE_FIELDS]))
     return diagnoses, PC.new_lines(rows, blank, LazyRun({}, 0), single_file=True)
 
 
-def _load_claims(spark: SparkSession, folder: str, rows: DataFrame):
-    diagnoses, lines = _stored_children(spark, folder)
-    run = FolderRun(
-        {
-            "claim": B.claims_stored(spark, folder),
-            "claim_diagnosis": diagnoses,
-            "claim_line": lines,
-        },
-        fresh_folder(spark, "loads"),
-    )
-    return PC.load_claims(PC.claim_rows(rows), run, B.fixed_lineage(spark, "claims"))
+def _load_claims(
+    spark: SparkSession, folder: str, seen: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> Result:
+    """Open lines over fulfilled ones. Both inputs are read many times, so they
+    are written first, with the columns of the scan; a load takes them as ``seen``."""
+    run = FolderRun({}, fresh_folder(spark, "loads"))
+    diagnoses, lines = _stored_children(run.cut("claims_before", B.claims_before(spark, folder)))
+    rows = run.cut("claims_in", B.claims_in(spark, folder))
+    run.tables = {
+        "claim": B.claims_stored(spark, folder),
+        "claim_diagnosis": diagnoses,
+        "claim_line": lines,
+    }
+    return PC.load_claims(PC.claim_rows(seen(rows)), run, B.fixed_lineage(spark, "claims"))
 
 
 def _heads(name: str, rows: str) -> str:
@@ -274,19 +276,20 @@ _ITEM = "(CASE WHEN item = '' THEN sh_item ELSE item END)"
 @query(_claims_sql(_ITEM))
 def load_claims(spark: SparkSession, folder: str) -> DataFrame:
     """Claim documents after open lines were loaded over fulfilled ones."""
-    return _view(_load_claims(spark, folder, B.claims_in(spark, folder)))
+    return _view(_load_claims(spark, folder))
 
 
 @query(_claims_sql("CASE WHEN old = 1 AND item <> '' THEN item ELSE sh_item END"))
 def load_claims_workbook(spark: SparkSession, folder: str) -> DataFrame:
     """The workbook form: item numbers come under their second name, and the
     rows pass through the raw dump."""
-    rows = B.claims_in(spark, folder).drop("ITEM_NUMBER").withColumn(
-        "ITEM_NUMBER", F.lit(None).cast("string")
-    )
-    dump = raw_dump(PC.claim_rows(rows), F.lit("2024-01-01").cast("timestamp_ntz"))
-    extra = ["undeclared", "ardbSourceDocument", "ardbLastModifiedDate"]
-    return _view(_load_claims(spark, folder, dump.drop(*extra)))
+
+    def dumped(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("ITEM_NUMBER", F.lit(None).cast("string"))
+        dump = raw_dump(PC.claim_rows(rows), F.lit("2024-01-01").cast("timestamp_ntz"))
+        return dump.drop("undeclared", "ardbSourceDocument", "ardbLastModifiedDate")
+
+    return _view(_load_claims(spark, folder, dumped))
 
 
 @query(

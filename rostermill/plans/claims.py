@@ -8,12 +8,20 @@ nested documents from them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostermill.functions.arrays import array_union_by_key, set_nested_fields
 from rostermill.functions.scalars import surrogate_key
-from rostermill.operators.children import PART_ROWS, collect_ordered, merge_lines
+from rostermill.operators.children import (
+    PART_ROWS,
+    Heavy,
+    collect_ordered,
+    heavy_parents,
+    merge_lines,
+)
 from rostermill.operators.classify import classify_always_update
 from rostermill.operators.clean import enforce_string_schema
 from rostermill.operators.dedup import keep_first, keep_from_last_file, keep_last
@@ -146,30 +154,30 @@ def assemble_claims(
     A row holds up to ``part_rows`` children of each kind. A claim with more
     comes as several rows with the same header, numbered by ``part`` from 0.
     """
-    order = ["_run", *ORDINAL]
-    codes = collect_ordered(
-        diagnoses, ["CLAIM_ID"], DIAGNOSIS_FIELDS, order, "DIAGNOSIS_CODES", part_rows=part_rows
-    )
-    items = collect_ordered(
-        lines, ["CLAIM_ID"], LINE_FIELDS, order, "SERVICE_LINES", part_rows=part_rows
-    )
-    right = items.select(
-        F.col("CLAIM_ID").alias("_c"), F.col("part").alias("_part"), "SERVICE_LINES"
-    )
-    both = codes.join(
-        right,
-        codes["CLAIM_ID"].eqNullSafe(right["_c"]) & codes["part"].eqNullSafe(right["_part"]),
-        "full_outer",
-    ).select(
-        F.coalesce("CLAIM_ID", "_c").alias("CLAIM_ID"),
-        F.coalesce("part", "_part").alias("part"),
-        "DIAGNOSIS_CODES",
-        "SERVICE_LINES",
+    order, claim = ["_run", *ORDINAL], F.expr(_CLAIM_KEY)
+    heavy: Heavy = ()
+
+    def parts(children: DataFrame, fields: list[str], alias: str) -> DataFrame:
+        nonlocal heavy
+        placed = children.withColumn("_claim", claim)
+        found = heavy_parents(placed, ["_claim"])
+        heavy += found
+        return collect_ordered(
+            placed, ["_claim"], fields, order, alias, part_rows=part_rows, heavy=found
+        )
+
+    codes = parts(diagnoses, DIAGNOSIS_FIELDS, "DIAGNOSIS_CODES")
+    items = parts(lines, LINE_FIELDS, "SERVICE_LINES")
+    # Both lie by claim and stay there: one under the other, a part's two rows become one.
+    both = (
+        codes.unionByName(items, allowMissingColumns=True)
+        .groupBy("_claim", "part")
+        .agg(*[F.first(a, ignorenulls=True).alias(a) for a in ("DIAGNOSIS_CODES", "SERVICE_LINES")])
     )
-    header = {c: c for c in claims.columns}
+    hot = reduce(DataFrame.unionByName, heavy).distinct() if heavy else None
     joined = lookup(
-        both, claims, {"CLAIM_ID": "CLAIM_ID"}, header, "_h", how="inner",
-        hot=both.where("part > 0").select("CLAIM_ID").distinct(), spread=["CLAIM_ID", "part"],
+        both, claims, {"_claim": claim}, {c: c for c in claims.columns}, "_h", how="inner",
+        hot=hot, spread=["_claim", "part"], null_safe=False,
     )
     return joined.select(
         "part",

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from rostermill.operators.classify import INSERT, NO_ACTION, UPDATE, action_counts
 from rostermill.operators.upsert import upsert_replace
 from rostermill.skew import heavy_key_sets, hot_keys, split_sets
-from rostermill.storage import REPLACE_KEY, TableStore
+from rostermill.storage import COMPRESSION, REPLACE_KEY, TableStore
+from rostermill.workdir import release
 
 
 ACTIONS = (INSERT, UPDATE, NO_ACTION)
@@ -147,7 +148,8 @@ class FolderRun(LazyRun):
 
     def cut(self, name: str, rows: DataFrame) -> DataFrame:
         path = f"{self.folder}/{name}"
-        rows.write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").parquet(path, compression=COMPRESSION)
+        release(rows.sparkSession)
         return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
     def cut_counted(self, name: str, rows: DataFrame) -> tuple[DataFrame, dict[str, int] | None]:

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from rostermill.schemas import STORED, stored_schema
 from rostermill.skew import by_shuffle
+from rostermill.workdir import release
 
 #: column whose rows are replaced together by a later run; None: append only
 REPLACE_KEY: dict[str, str | None] = {
@@ -52,6 +53,8 @@ BUCKET_KEY = {
 
 #: keys of later snapshots that are broadcast at most
 FEW_KEYS = 100_000
+#: of written tables; digests and other long texts take half of what snappy leaves
+COMPRESSION = "zstd"
 
 _COMMIT = "run bigint, tables array<string>, is_base boolean, tag string, buckets int"
 
@@ -121,7 +124,8 @@ class TableStore:
         """
         placed = rows.withColumn("bucket", bucket_of(BUCKET_KEY[table], self.buckets))
         whole = placed.hint("rebalance", "bucket").write.partitionBy("bucket").mode("overwrite")
-        whole.parquet(f"{self.root}/{table}/snapshot={run}")
+        whole.parquet(f"{self.root}/{table}/snapshot={run}", compression=COMPRESSION)
+        release(self.spark)
         self._written.setdefault(run, set()).add(table)
 
     def _visible(self, table: str, pending: int | None) -> list[int]:
@@ -188,12 +192,14 @@ class TableStore:
         they need, and a lost executor costs a re-read, not a re-parse.
         """
         path = f"{self.root}/staged/{name}/run={run}"
-        rows.write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").parquet(path, compression=COMPRESSION)
+        release(self.spark)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def append(self, name: str, run: int, rows: DataFrame) -> None:
         """Add a run's rows to an append-only table (dumps, rejects, history)."""
-        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/run={run}")
+        path = f"{self.root}/{name}/run={run}"
+        rows.write.mode("overwrite").parquet(path, compression=COMPRESSION)
 
     def read_appended(self, name: str, schema: str) -> DataFrame:
         """An append-only table with its ``run``; empty if never written.

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from files import write_report
 from rostermill.catalog import tables as B
+from rostermill.catalog.loads import load_claims
 from rostermill.codes import relationship_table
 from rostermill.operators.nest import documents
 from rostermill.operators import children
 from rostermill.plans import eligibility as PE
+from rostermill.plans.claims import assemble_claims
 from rostermill.plans.jobs import Ingest
 from rostermill.plans.run import FolderRun, LazyRun, StoreRun
 from rostermill.sources.files import scan_new_lines
@@ -345,6 +347,47 @@ def test_children_are_shuffled_once_unless_a_parent_is_heavy(rows, monkeypatch,
     assert got == {(p, i // 30): v[i : i + 30] for p, v in want.items() for i in range(0, len(v), 30)}
 
 
+@pytest.mark.parametrize("least", [1, 5, 10**6])
+def test_claims_are_assembled_where_their_children_lie(spark, monkeypatch, least):
+    """Diagnoses, lines and headers are shuffled once each; claims with one kind of
+    children, with more parts of one kind, without an id or a header."""
+    monkeypatch.setattr(children, "HEAVY_ROWS", least)
+
+    def stored(table, field, kept):
+        data = [(c, f"{field}{i}", i) for c, n in kept.items() for i in range(n)]
+        frame = spark.createDataFrame(data, "c string, v string, i bigint")
+        values = {"CLAIM_ID": "c", field: "v", "_run": "0", "_file": F.lit("f"), "_block": "0", "_line": "i"}
+        return documents(frame, table, values)
+
+    codes, lines = {"a": 7, "b": 2, "d": 1, None: 3}, {"a": 3, "c": 8, "d": 4, None: 1, "lost": 2}
+    ids = ["a", "b", "c", "d", None, "childless"]
+    heads = documents(spark.createDataFrame([(i,) for i in ids], "i string"), "claim", {"_id": "i", "CLAIM_ID": "i"})
+    args = heads, stored("claim_diagnosis", "DIAGNOSIS_CODE", codes), stored("claim_line", "CODE", lines)
+    found = assemble_claims(*args, part_rows=3)
+    if least == 10**6:
+        assert plan_of(found).count("Exchange hashpartitioning") == 3
+    got = {
+        (r.CLAIM_ID, r.part): ([x.DIAGNOSIS_CODE for x in r.DIAGNOSIS_CODES], [x.CODE for x in r.SERVICE_LINES])
+        for r in found.collect()
+    }
+    want = {}
+    for c in ids:
+        for part in range(-(-max(codes.get(c, 0), lines.get(c, 0)) // 3)):
+            at = range(3 * part, 3 * part + 3)
+            want[c, part] = (
+                [f"DIAGNOSIS_CODE{i}" for i in at if i < codes.get(c, 0)],
+                [f"CODE{i}" for i in at if i < lines.get(c, 0)],
+            )
+    assert got == want and found.count() == len(want)
+
+
+def test_a_load_reads_its_inputs_once(spark):
+    """Lines and orders are joined when the inputs are written; only the ids of
+    stored headers are looked up in the tables again."""
+    plan = plan_of(load_claims(spark, SF))
+    assert not re.search(r"FileScan parquet \[[^]]*l_linenumber", plan)
+
+
 def test_lines_and_orders_meet_by_claim(spark):
     """A claim's rows lie together: what groups them by claim shuffles nothing again."""
     by_claim = B.claim_input(spark, SF).groupBy("CLAIM_ID").count()
