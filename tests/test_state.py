@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from files import write_report
 from rostermill.catalog import tables as B
-from rostermill.catalog.loads import load_claims
+from rostermill.catalog.loads import load_claims, load_claims_workbook
 from rostermill.codes import relationship_table
 from rostermill.operators.nest import documents
 from rostermill.operators import children
@@ -381,10 +381,11 @@ def test_claims_are_assembled_where_their_children_lie(spark, monkeypatch, least
     assert got == want and found.count() == len(want)
 
 
-def test_a_load_reads_its_inputs_once(spark):
+@pytest.mark.parametrize("load", [load_claims, load_claims_workbook])
+def test_a_load_reads_its_inputs_once(spark, load):
     """Lines and orders are joined when the inputs are written; only the ids of
     stored headers are looked up in the tables again."""
-    plan = plan_of(load_claims(spark, SF))
+    plan = plan_of(load(spark, SF))
     assert not re.search(r"FileScan parquet \[[^]]*l_linenumber", plan)
 
 
