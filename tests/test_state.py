@@ -5,6 +5,7 @@ import random
 import re
 import subprocess
 import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -389,6 +390,26 @@ def test_a_load_reads_its_inputs_once(spark, load):
     assert not re.search(r"FileScan parquet \[[^]]*l_linenumber", plan)
 
 
+def test_a_written_table_lets_shuffle_files_go(spark, tmp_path):
+    """Of twelve written steps, the files of at most the last ones are left."""
+    blocks = spark._jsc.sc().env().blockManager().diskBlockManager()
+
+    def kept():
+        files = blocks.getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+    before, store = kept(), TableStore(spark, str(tmp_path))
+    for run in range(6):
+        store.write("claim", run, claims(spark, [str(i) for i in range(50)], "a").repartition(4, "CLAIM_ID"))
+        store.stage("lines", run, spark.range(100).repartition(3, "id"))
+    for _ in range(50):
+        if len(kept() - before) <= 3:
+            break
+        time.sleep(0.2)
+    assert len(kept() - before) <= 3
+
+
 def test_lines_and_orders_meet_by_claim(spark):
     """A claim's rows lie together: what groups them by claim shuffles nothing again."""
     by_claim = B.claim_input(spark, SF).groupBy("CLAIM_ID").count()
