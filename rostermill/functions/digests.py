@@ -11,9 +11,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rostermill.functions.scalars import unfused
+
 NULL = "-"
 #: texts of fewer code points find what stands before them in a list
 LISTED = 100
+#: a concat of more parts is above what the JVM compiles as one method
+FEW_PARTS = 30
 _LEADS = "split('" + " ".join(f"{n}:" for n in range(LISTED)) + "', ' ')"
 
 
@@ -70,6 +74,11 @@ def row_digest(schema: T.StructType, root: str | None = None) -> Column:
 
     Map keys must be sortable. The text is one ``concat`` of all names, lengths
     and leaves, so each is copied once; wide layouts cost one pass and no Python.
+    With many parts, one more is an empty text that keeps the step by itself.
     """
     parts = _field_parts(schema.fields, f"{root}." if root else "", present=root is None)
+    if len(parts) > FEW_PARTS:
+        value = f"{root}." if root else ""
+        alone = unfused(f"{value}`{schema.fields[0].name}` IS NULL")
+        parts.append(f"substring(CAST({alone} AS STRING), 1, 0)")
     return F.expr("sha2(concat(" + ", ".join(parts) + "), 256)")

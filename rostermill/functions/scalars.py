@@ -159,3 +159,13 @@ def file_name(path: ColumnOrName) -> Column:
 def file_suffix(name: ColumnOrName) -> Column:
     """Last extension with its dot, "" when there is none."""
     return F.regexp_extract(col(name), r"[^/.](\.[^./]+)$", 1)
+
+
+def unfused(value: str) -> str:
+    """SQL text with the same result as ``value``, taken through a lambda function.
+
+    The engine fuses neighbouring steps into one method, and the JVM compiles
+    no method above 8000 bytes: wide steps would be interpreted. A step that
+    has a lambda function is not fused, and generated in small methods.
+    """
+    return f"get(transform(array({value}), x -> x), 0)"

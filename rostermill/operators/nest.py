@@ -16,6 +16,7 @@ from rostermill.functions.scalars import (
     name_of,
     parse_ts_strict,
     qualifier_struct,
+    unfused,
 )
 from rostermill.schemas import (
     ALTERNATE_ITEM_NUMBER,
@@ -29,6 +30,9 @@ from rostermill.schemas import (
 
 Value = Column | str | None
 
+#: structs of more computed fields are built by a step of their own
+FEW_FIELDS = 20
+
 
 def documents(df: DataFrame, entity: str, values: Mapping[str, Value]) -> DataFrame:
     """Rows of a stored table, filled from dotted path → value.
@@ -298,7 +302,11 @@ def nest_claim_header(df: DataFrame) -> DataFrame:
 
 
 def _struct(values: Mapping[str, str | None]) -> Column:
-    inner = ", ".join(f"'{n}', CAST({v or 'NULL'} AS STRING)" for n, v in values.items())
+    texts = {n: f"CAST({v or 'NULL'} AS STRING)" for n, v in values.items()}
+    if len(texts) > FEW_FIELDS:
+        first = next(iter(texts))
+        texts[first] = unfused(texts[first])
+    inner = ", ".join(f"'{n}', {t}" for n, t in texts.items())
     return F.expr(f"named_struct({inner})")
 
 

@@ -513,6 +513,26 @@ def test_digests_copy_a_text_once(spark):
 
 
 
+def test_wide_digests_and_structs_are_not_fused(spark):
+    """Fused, their method is above what the JVM compiles."""
+    from rostermill.operators.nest import nest_service_line
+    from rostermill.schemas import LINE_FIELDS
+
+    data = [("x", None), (None, "y"), ("1", "2")]
+    frame = spark.createDataFrame(data, f"{LINE_FIELDS[0]} string, {LINE_FIELDS[-1]} string").repartition(2)
+    frame = frame.withColumns({c: F.concat(F.lit(c), F.col(LINE_FIELDS[-1])) for c in LINE_FIELDS[1:-1]})
+    lines = frame.select(nest_service_line(frame).alias("s"))
+    got = lines.select("s", row_digest(lines.schema["s"].dataType, "s").alias("d"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" in plan
+    for r in got.collect():
+        text = ",".join(f"{n}={canonical(v)}" for n, v in r.s.asDict().items())
+        assert r.d == hashlib.sha256(text.encode()).hexdigest()
+    assert {r.s[LINE_FIELDS[0]] for r in got.collect()} == {"x", None, "1"}
+    projects = [x for x in plan_of(got).split("== Initial Plan ==")[0].splitlines() if "Project [" in x]
+    assert projects and not any("*(" in x for x in projects if "sha2" in x or "named_struct" in x)
+
+
 def test_sides_that_grow_are_not_broadcast(spark):
     def side(*names):
         return spark.range(20).select(*[F.col("id").cast("string").alias(n) for n in names])
